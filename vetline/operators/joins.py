@@ -1,0 +1,24 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) shipped to every executor; beyond it a shuffle join.
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows per partition (limit pushdown), so the
+    check stays cheap even when the answer is no.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df`` as is
+    (the planner then shuffles, and AQE may still convert at runtime)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
