@@ -68,3 +68,298 @@ def q_message_listing(spark, d):
 @register("recent_matches")
 def q_recent_matches(spark, d):
     return reports.recent_matches(fx.fx_seen(spark, d), fx.fx_channels(spark, d))
+
+
+# ---- shared pieces -------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from vetline.functions import text as tx  # noqa: E402
+from vetline.functions.answers import parse_answers  # noqa: E402
+from vetline.operators import cards, dedup, evaluate, route, state  # noqa: E402
+from vetline.sources import allowlist, messages as msgs  # noqa: E402
+from vetline.sources.tables import evolve, read_table  # noqa: E402
+from vetline import schemas  # noqa: E402
+
+BACKFILL_CUTOFF = fx.BASE_EPOCH     # cutoff used with the fixtures
+BACKFILL_TEST_CAP = 20              # binds at sf0.01 (50 messages per chat)
+MIGRATION_EPOCH = 1705276800        # 2024-01-15: outcome rows before it lack the new columns
+
+
+def _normalized(spark, d):
+    return msgs.normalize(fx.fx_messages(spark, d))
+
+
+def _distinct_messages(spark, d):
+    return dedup.first_arrivals(_normalized(spark, d))
+
+
+def _resolution(spark, d):
+    return allowlist.resolve(allowlist.normalize_entries(fx.fx_allowlist_entries(spark, d)),
+                             fx.fx_directory(spark, d))
+
+
+# ---- ingest and text -------------------------------------------------------------
+@register("messages_normalized")
+def q_messages_normalized(spark, d):
+    return _normalized(spark, d).select("chat_id", "msg_id", "source", "chat_title", "text", "n_chars")
+
+
+@register("prefilter")
+def q_prefilter(spark, d):
+    n = _normalized(spark, d)
+    return n.filter(tx.worth_evaluating("text")).select("chat_id", "msg_id", "source", "n_chars")
+
+
+@register("chat_titles")
+def q_chat_titles(spark, d):
+    m = fx.fx_messages(spark, d).select("chat_id", "chat_title", "chat_username", "chat_first_name").distinct()
+    return m.select(
+        "chat_id",
+        tx.chat_title("chat_title", "chat_username", "chat_first_name", "chat_id").alias("live_title"),
+        tx.registration_title("chat_title", "chat_username", "chat_id").alias("registration_title"),
+        tx.backfill_title("chat_title", "chat_username", "chat_id").alias("backfill_title"),
+    )
+
+
+@register("source_links")
+def q_source_links(spark, d):
+    m = fx.fx_messages(spark, d).select("chat_id", "msg_id").distinct()
+    return m.select("chat_id", "msg_id", tx.source_link("chat_id", "msg_id").alias("link"))
+
+
+@register("markdown_escape")
+def q_markdown_escape(spark, d):
+    m = fx.fx_messages(spark, d).select("chat_id", "msg_id", "text").distinct()
+    esc = tx.md_escape("text")
+    return m.select("chat_id", "msg_id", esc.alias("escaped"),
+                    (F.length(esc) - F.length("text")).alias("n_escaped"))
+
+
+@register("sources_normalized")
+def q_sources_normalized(spark, d):
+    return allowlist.normalize_entries(fx.fx_allowlist_entries(spark, d))
+
+
+@register("resolved_sources")
+def q_resolved_sources(spark, d):
+    return _resolution(spark, d)[0]
+
+
+@register("unresolved_sources")
+def q_unresolved_sources(spark, d):
+    return _resolution(spark, d)[1]
+
+
+@register("allowlisted_messages")
+def q_allowlisted_messages(spark, d):
+    resolved, _ = _resolution(spark, d)
+    return allowlist.allowlisted(fx.fx_messages(spark, d), resolved).select("chat_id", "msg_id", "source")
+
+
+# ---- dedup, backfill, state ------------------------------------------------------
+def _backfill_pass(spark, d):
+    """The backfill pass after the live pass: live arrivals are recorded."""
+    n = _normalized(spark, d)
+    live_seen = n.filter(F.col("source") == "live").select("chat_id", "msg_id")
+    incoming = dedup.first_arrivals(n.filter(F.col("source") == "backfill"))
+    return incoming, live_seen
+
+
+@register("unseen_messages")
+def q_unseen_messages(spark, d):
+    incoming, seen = _backfill_pass(spark, d)
+    return dedup.unseen(incoming, seen).select("chat_id", "msg_id", "source", "n_chars")
+
+
+@register("dedup_skips")
+def q_dedup_skips(spark, d):
+    incoming, seen = _backfill_pass(spark, d)
+    return dedup.already_seen(incoming, seen).select("chat_id", "msg_id", "source")
+
+
+def _backfilled(spark, d):
+    m = _distinct_messages(spark, d)
+    return msgs.backfill(m, BACKFILL_CUTOFF, cap=BACKFILL_TEST_CAP)
+
+
+@register("backfill_scan")
+def q_backfill_scan(spark, d):
+    b = _backfilled(spark, d)
+    return b.select("chat_id", "msg_id", "date_s",
+                    tx.backfill_title(F.col("chat_title"), F.col("chat_username"), F.col("chat_id")).alias("title"))
+
+
+@register("backfill_counts")
+def q_backfill_counts(spark, d):
+    counts = _backfilled(spark, d).groupBy("chat_id").agg(F.count(F.lit(1)).alias("n_scanned"))
+    return (fx.fx_directory(spark, d).join(counts, "chat_id", "left")
+            .select("chat_id", "handle", F.coalesce("n_scanned", F.lit(0).cast("bigint")).alias("n_scanned")))
+
+
+def _seen_batches(spark, d):
+    ev = read_table(spark, d, "events")
+    ts = tx.epoch_seconds("ts")
+    rescored = ev.filter(F.col("value") > 300).select(
+        F.col("user_id").alias("chat_id"), F.col("event_id").alias("msg_id"),
+        F.lit(True).alias("is_vacancy"), F.lit(100).alias("score"), F.lit(True).alias("posted"),
+        F.lit("rescored").alias("title"), (ts + 86400).alias("ts"))
+    marked = ev.filter((F.col("event_type") == "click") & (F.col("value") < 1)).select(
+        F.col("user_id").alias("chat_id"), F.col("event_id").alias("msg_id"),
+        F.lit(None).cast("boolean").alias("is_vacancy"), F.lit(None).cast("int").alias("score"),
+        F.lit(False).alias("posted"), F.lit(None).cast("string").alias("title"), ts.alias("ts"))
+    return state.seen_rows(rescored), state.seen_rows(marked)
+
+
+@register("seen_upsert")
+def q_seen_upsert(spark, d):
+    b1, b2 = _seen_batches(spark, d)
+    return state.upsert_seen(fx.fx_seen(spark, d), b1, b2)
+
+
+@register("channels_upsert")
+def q_channels_upsert(spark, d):
+    chats = fx.fx_messages(spark, d).select("chat_id", "chat_title", "chat_username").distinct()
+    regs = chats.select("chat_id", F.col("chat_username").alias("username"),
+                        tx.registration_title("chat_title", "chat_username", "chat_id").alias("title"),
+                        F.lit(0).alias("seq"))
+    # a later registration (customers with a negative balance re-registered) wins
+    cu = read_table(spark, d, "customer").filter(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").alias("chat_id"), F.lit(None).cast("string").alias("username"),
+        F.col("c_name").alias("title"), F.lit(1).alias("seq"))
+    return state.upsert_channels(fx.fx_channels(spark, d), regs.unionByName(cu))
+
+
+@register("channels_touch")
+def q_channels_touch(spark, d):
+    touches = fx.fx_seen(spark, d).select("chat_id", "ts").unionByName(
+        fx.fx_messages(spark, d).select("chat_id", F.col("date_s").alias("ts")))
+    return state.touch_channels(fx.fx_channels_base(spark, d), touches)
+
+
+@register("schema_evolve")
+def q_schema_evolve(spark, d):
+    s = fx.fx_seen(spark, d)
+    old = s.filter(F.col("ts") < MIGRATION_EPOCH).select(*[f.name for f in schemas.SEEN_V1.fields])
+    new = s.filter(F.col("ts") >= MIGRATION_EPOCH)
+    return evolve(old, new)
+
+
+# ---- answers and scoring ---------------------------------------------------------
+@register("score_clamp")
+def q_score_clamp(spark, d):
+    ev = read_table(spark, d, "events")
+    raw = F.col("value") - 50
+    return ev.select(F.col("event_id").alias("msg_id"), raw.alias("raw_score"), tx.clamp_score(raw).alias("score"))
+
+
+def _parsed(spark, d):
+    return parse_answers(fx.fx_answers(spark, d))
+
+
+@register("parsed_answers")
+def q_parsed_answers(spark, d):
+    p = _parsed(spark, d)
+    return p.select("chat_id", "msg_id", "parse_status", "is_vacancy", "title", "company",
+                    F.array_join("stack", "|").alias("stack"), F.size("stack").alias("n_stack"),
+                    "grade", "salary", "remote", "match_score", "reasoning",
+                    F.array_join("red_flags", "|").alias("red_flags"), "should_apply")
+
+
+@register("parse_status")
+def q_parse_status(spark, d):
+    p = _parsed(spark, d)
+    dispo = (F.when(F.col("parse_status") != "ok", F.col("parse_status"))
+             .when(~F.col("is_vacancy"), F.lit("not_vacancy"))
+             .when(F.col("match_score") < route.DEFAULT_THRESHOLD, F.lit("below_threshold"))
+             .otherwise(F.lit("posted")))
+    return p.groupBy(dispo.alias("disposition")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("contract_checks")
+def q_contract_checks(spark, d):
+    return route.contract_checks(_parsed(spark, d))
+
+
+@register("call_outcomes")
+def q_call_outcomes(spark, d):
+    return evaluate.call_outcomes(fx.fx_calls(spark, d)).drop("error")
+
+
+@register("inference_requests")
+def q_inference_requests(spark, d):
+    m = _distinct_messages(spark, d).filter(tx.worth_evaluating("text"))
+    return m.select("chat_id", "msg_id",
+                    evaluate.inference_request(F.col("chat_title"), F.col("text")).alias("request"))
+
+
+@register("rule_hits")
+def q_rule_hits(spark, d):
+    return evaluate.rule_hits(read_table(spark, d, "documents"), keys=("doc_id",))
+
+
+@register("rule_scores")
+def q_rule_scores(spark, d):
+    return evaluate.rule_scores(read_table(spark, d, "documents"), keys=("doc_id",)).drop("rule_flags")
+
+
+@register("usage_totals")
+def q_usage_totals(spark, d):
+    u = fx.fx_usage(spark, d)
+    return u.groupBy("chat_id").agg(
+        F.count(F.lit(1)).alias("calls"),
+        *[F.sum(c).cast("bigint").alias(c) for c in
+          ("input_tokens", "output_tokens", "cache_read_tokens", "cache_create_tokens")])
+
+
+# ---- routing and end to end -------------------------------------------------------
+def _routed_fx(spark, d):
+    """Distinct messages evaluated by the fixture model results (fx_eval)."""
+    m = _distinct_messages(spark, d)
+    ev = fx.fx_eval(spark, d).withColumnRenamed("status", "call_status") \
+        .withColumn("parse_status", F.lit("ok"))
+    return route.route(m.join(ev, ["chat_id", "msg_id"]))
+
+
+def _outcome_cols():
+    return [F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
+            F.col("out_posted").alias("posted"), F.col("out_title").alias("title")]
+
+
+@register("dispositions")
+def q_dispositions(spark, d):
+    r = _routed_fx(spark, d)
+    return r.select("chat_id", "msg_id", "disposition", *_outcome_cols(), "recorded")
+
+
+@register("disposition_funnel")
+def q_disposition_funnel(spark, d):
+    arrivals = dedup.mark_primary(_normalized(spark, d)).select("chat_id", "msg_id", "source", "primary")
+    r = _routed_fx(spark, d).select("chat_id", "msg_id", F.col("disposition").alias("first_disposition"))
+    per = arrivals.join(r, ["chat_id", "msg_id"], "left")
+    dispo = (F.when(F.col("primary"), F.col("first_disposition"))
+             .when(F.col("first_disposition") == "transient", F.lit("transient"))
+             .otherwise(F.lit("dedup_skip")))
+    return per.groupBy("source", dispo.alias("disposition")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("match_cards")
+def q_match_cards(spark, d):
+    return cards.match_cards(_routed_fx(spark, d))
+
+
+def triage(arrivals, seen, rules=evaluate.FX_RULES, threshold=route.DEFAULT_THRESHOLD):
+    """Normalise -> in-batch dedup -> skip seen -> rule scorer -> route."""
+    n = msgs.normalize(arrivals)
+    first = dedup.first_arrivals(n)
+    skips = dedup.already_seen(first, seen).select(
+        "chat_id", "msg_id", "source", F.lit("dedup_skip").alias("disposition"),
+        F.lit(None).cast("int").alias("is_vacancy"), F.lit(None).cast("int").alias("score"),
+        F.lit(None).cast("int").alias("posted"), F.lit(None).cast("string").alias("title"))
+    fresh = dedup.unseen(first, seen)
+    routed = route.route(evaluate.evaluate_with_rules(fresh, rules, threshold=threshold), threshold)
+    return routed.select("chat_id", "msg_id", "source", "disposition", *_outcome_cols()).unionByName(skips)
+
+
+@register("triage_end_to_end")
+def q_triage_end_to_end(spark, d):
+    return triage(fx.fx_messages(spark, d), fx.fx_seen(spark, d))
