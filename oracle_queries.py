@@ -540,3 +540,16 @@ UNION ALL
 SELECT f.chat_id, f.msg_id, f.source, 'dedup_skip', CAST(NULL AS INTEGER), CAST(NULL AS INTEGER),
        CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR)
 FROM fx_first f WHERE EXISTS (SELECT 1 FROM fx_seen s WHERE s.chat_id = f.chat_id AND s.msg_id = f.msg_id)""")
+
+# ---- streaming ---------------------------------------------------------------------
+Q["stream_triage"] = f"""
+WITH conv AS (SELECT conv_id AS chat_id, turn AS msg_id, trim(coalesce(text, ''), {WS}) AS text FROM conversations),
+  fresh AS (SELECT DISTINCT * FROM conv c
+            WHERE NOT EXISTS (SELECT 1 FROM conversations s WHERE s.turn = 0 AND s.conv_id = c.chat_id
+                                                            AND s.turn = c.msg_id)),
+  scored AS (SELECT chat_id, msg_id, n_signals > 0 AS is_vac, {_CAPPED} AS match_score
+             FROM ({_rule_score_sql('chat_id, msg_id', 'fresh')}) x),
+  routed AS (SELECT f.chat_id, f.msg_id, 'live' AS source, '' AS title, s.match_score,
+               {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
+             FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
+SELECT chat_id, msg_id, source, disposition, {_OUT} FROM routed"""

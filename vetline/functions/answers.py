@@ -162,4 +162,8 @@ def parse_answers(df: DataFrame, raw_col: str = "raw") -> DataFrame:
         "should_apply": pick(F.expr(g("should_apply", "b")), F.lit(False)),
     }
     keep = [c for c in df.columns if c not in out_cols]
-    return p.select(*keep, "parse_status", *[v.alias(k) for k, v in out_cols.items()])
+    # Emit the results through a one-row generator: a later filter on these
+    # columns then stays above it instead of being pushed below the staged
+    # projections (which would inline and repeat the whole parse).
+    result = F.struct(F.col("parse_status"), *[v.alias(k) for k, v in out_cols.items()])
+    return p.select(*keep, F.inline(F.array(result)))

@@ -58,15 +58,16 @@ def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int
 def contract_checks(parsed: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Data-quality counts of parsed answers against the answer contract:
     enum domains, score range, and ``should_apply`` versus the apply rule
-    (score >= threshold and no red flags)."""
-    ok = parsed.filter(F.col("parse_status") == "ok")
+    (score >= threshold and no red flags).  Only ``ok`` answers count; the
+    condition sits inside each aggregate (one pass, no filter)."""
+    ok = F.col("parse_status") == "ok"
     rule = (F.col("match_score") >= threshold) & (F.size("red_flags") == 0)
 
     def n(c):
-        return F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+        return F.sum(F.when(ok & c, 1).otherwise(0)).cast("bigint")
 
-    return ok.agg(
-        F.count(F.lit(1)).alias("answers"),
+    return parsed.agg(
+        n(F.lit(True)).alias("answers"),
         n(~F.col("grade").isin(*GRADES)).alias("bad_grade"),
         n(~F.col("remote").isin(*REMOTES)).alias("bad_remote"),
         n((F.col("match_score") < 0) | (F.col("match_score") > 100)).alias("bad_score"),

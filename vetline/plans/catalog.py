@@ -363,3 +363,12 @@ def triage(arrivals, seen, rules=evaluate.FX_RULES, threshold=route.DEFAULT_THRE
 @register("triage_end_to_end")
 def q_triage_end_to_end(spark, d):
     return triage(fx.fx_messages(spark, d), fx.fx_seen(spark, d))
+
+
+# ---- streaming -------------------------------------------------------------------
+@register("stream_triage")
+def q_stream_triage(spark, d):
+    from vetline.streaming import triage_stream as ts
+    plan = ts.triage_stream(ts.conversation_stream(spark, d), ts.first_turns_seen(spark, d))
+    out = ts.run_available_now(spark, plan, "stream_triage")
+    return spark.read.parquet(out).select(*ts.OUTPUT_COLS)
