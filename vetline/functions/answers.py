@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetline.functions.text import PY_WHITESPACE
+from vetline.operators.joins import spread
 
 # ---- fixed values -----------------------------------------------------------
 # Defaults of the evaluation fields when the answer omits them.
@@ -107,7 +108,7 @@ def parse_answers(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """
     idx = {f: i for i, f in enumerate(FIELDS)}
     wrapped = F.concat(F.lit("["), F.coalesce(F.col(raw_col), F.lit("{}")), F.lit("\n," + _SENTINEL_JSON + "]"))
-    p = df.withColumn("_v", F.try_parse_json(wrapped))
+    p = spread(df).withColumn("_v", F.try_parse_json(wrapped))
     p = p.select("*",
                  F.coalesce(F.expr(f"try_variant_get(_v, '$[1]', 'string') = '{_SENTINEL_VALUE}' "
                                    "AND array_size(try_variant_get(_v, '$', 'array<variant>')) = 2"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vetline.functions.answers import parse_answers
+from vetline.operators.joins import spread
 from vetline.functions.text import chat_title as _chat_title  # noqa: F401  (re-export for callers)
 
 # ---- fixed values -------------------------------------------------------------
@@ -82,7 +83,7 @@ def _hit_structs(rules: Sequence[Rule], text: Column) -> Column:
 def rule_hits(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
               keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
     """One row per (message, matching rule)."""
-    return (df.select(*keys, F.explode(_hit_structs(rules, F.col(text_col))).alias("h"))
+    return (spread(df).select(*keys, F.explode(_hit_structs(rules, F.col(text_col))).alias("h"))
             .select(*keys, "h.rule_id", "h.kind", "h.pattern", "h.weight"))
 
 
@@ -122,7 +123,7 @@ def rule_score_columns(rules: Sequence[Rule] = FX_RULES, text_col: str = "text")
 def rule_scores(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
                 keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
     cols = rule_score_columns(rules, text_col)
-    return df.select(*keys, *[c.alias(k) for k, c in cols.items()])
+    return spread(df).select(*keys, *[c.alias(k) for k, c in cols.items()])
 
 
 def evaluate_with_rules(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",

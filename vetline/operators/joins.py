@@ -22,3 +22,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     """``broadcast(df)`` when its row count is proven small, else ``df`` as is
     (the planner then shuffles, and AQE may still convert at runtime)."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` (default: the
+    cluster's default parallelism) when its input has fewer partitions.
+
+    Used before CPU-heavy per-row work (JSON parsing, regex over whole texts):
+    a small file with one row group is one input split and would otherwise run
+    on one core.  On a cluster reading many file splits this is a no-op.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

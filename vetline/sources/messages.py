@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vetline import schemas
 from vetline.functions import text as tx
+from vetline.operators.joins import spread
 
 # ---- fixed values ------------------------------------------------------------
 BACKFILL_CAP = 200        # newest messages read per source
@@ -23,7 +24,7 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = False) -> Da
 
 def normalize(messages: DataFrame) -> DataFrame:
     """Stripped text (NULL -> ''), display title, and text length."""
-    return messages.withColumns({
+    return spread(messages).withColumns({
         "text": tx.strip_ws("text"),
         "chat_title": tx.chat_title("chat_title", "chat_username", "chat_first_name", "chat_id"),
     }).withColumn("n_chars", F.length("text"))
