@@ -553,3 +553,16 @@ WITH conv AS (SELECT conv_id AS chat_id, turn AS msg_id, trim(coalesce(text, '')
                {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
              FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
 SELECT chat_id, msg_id, source, disposition, {_OUT} FROM routed"""
+
+Q["scorer_hook"] = _with(["fx_first"], f"""
+, e AS (
+  SELECT chat_id, msg_id, text, length(text) AS n,
+    CASE msg_id % 8 WHEN 0 THEN 'transient' WHEN 3 THEN 'transient' WHEN 5 THEN 'crash' ELSE 'ok' END AS call_status,
+    CASE WHEN msg_id % 5 = 2 THEN 'parse_error' ELSE 'ok' END AS parse_status,
+    msg_id % 5 <> 1 AS is_vac,
+    CASE msg_id % 5 WHEN 0 THEN length(text) % 101 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN length(text) % 101
+         ELSE least(100, (7 * length(text)) % 150) END AS match_score,
+    CASE WHEN msg_id % 5 = 0 THEN 'Role ' || CAST(msg_id AS VARCHAR) ELSE '' END AS title
+  FROM fx_first),
+  routed AS (SELECT *, {_dispo('text', 'call_status', 'parse_status', 'is_vac', 'match_score')} AS disposition FROM e)
+SELECT chat_id, msg_id, disposition, {_OUT} FROM routed""")

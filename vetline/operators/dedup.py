@@ -56,3 +56,16 @@ def unseen(messages: DataFrame, seen: DataFrame) -> DataFrame:
 def already_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
     """Messages whose key is in the outcome table (left semi): ``dedup_skip``."""
     return messages.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_semi")
+
+
+def flag_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
+    """Add ``in_seen``: whether the key is already in the outcome table.
+
+    One keyed left join instead of an anti plus a semi join, so the outcome
+    table (the largest input) is scanned and shuffled once.  Its keys are made
+    distinct first (the table may be an uncompacted append log); that
+    aggregate leaves them hash-partitioned on the key, which the join reuses.
+    """
+    keys = seen.select(*SEEN_KEY).distinct().withColumn("in_seen", F.lit(True))
+    return (messages.join(keys, SEEN_KEY, "left")
+            .withColumn("in_seen", F.coalesce(F.col("in_seen"), F.lit(False))))

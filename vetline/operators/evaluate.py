@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vetline.functions.answers import parse_answers
+from vetline.functions.answers import FIELDS as PARSED_FIELDS, parse_answers
 from vetline.operators.joins import spread
 from vetline.functions.text import chat_title as _chat_title  # noqa: F401  (re-export for callers)
 
@@ -127,22 +127,28 @@ def rule_scores(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str =
 
 
 def evaluate_with_rules(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
-                        threshold: int = 70) -> DataFrame:
+                        threshold: int = 70, mask: Column | None = None) -> DataFrame:
     """Rule scorer as an evaluation: a message matching any signal is a
-    vacancy; flags are the matched hard/blocker rules."""
+    vacancy; flags are the matched hard/blocker rules.  Rows outside ``mask``
+    are not evaluated (NULL evaluation; the regexes do not run for them)."""
     c = rule_score_columns(rules, text_col)
+    on = mask if mask is not None else F.lit(True)
+
+    def m(col: Column) -> Column:
+        return F.when(on, col)
+
     return df.select(
         "*",
-        F.lit("ok").alias("call_status"),
-        F.lit("ok").alias("parse_status"),
-        (c["n_signals"] > 0).alias("is_vacancy"),
-        F.lit("").alias("title"), F.lit("").alias("company"),
-        F.array().cast("array<string>").alias("stack"),
-        F.lit("unknown").alias("grade"), F.lit("").alias("salary"), F.lit("unknown").alias("remote"),
-        c["rule_score"].alias("match_score"),
-        F.lit("").alias("reasoning"),
-        c["rule_flags"].alias("red_flags"),
-        ((c["rule_score"] >= threshold) & (F.size(c["rule_flags"]) == 0)).alias("should_apply"),
+        m(F.lit("ok")).alias("call_status"),
+        m(F.lit("ok")).alias("parse_status"),
+        m(c["n_signals"] > 0).alias("is_vacancy"),
+        m(F.lit("")).alias("title"), m(F.lit("")).alias("company"),
+        m(F.array().cast("array<string>")).alias("stack"),
+        m(F.lit("unknown")).alias("grade"), m(F.lit("")).alias("salary"), m(F.lit("unknown")).alias("remote"),
+        m(c["rule_score"]).alias("match_score"),
+        m(F.lit("")).alias("reasoning"),
+        m(c["rule_flags"]).alias("red_flags"),
+        m((c["rule_score"] >= threshold) & (F.size(c["rule_flags"]) == 0)).alias("should_apply"),
     )
 
 
@@ -156,16 +162,18 @@ def call_outcome(status: Column) -> Column:
             .otherwise(F.lit("crash")))
 
 
-def call_outcomes(calls: DataFrame, status_col: str = "http_status") -> DataFrame:
+def call_outcomes(calls: DataFrame, status_col: str = "http_status", mask: Column | None = None) -> DataFrame:
     """Outcome, attempts made and back-off slept, when every attempt of a call
-    returns the same status."""
+    returns the same status.  Rows outside ``mask`` made no call (NULLs)."""
     out = call_outcome(F.col(status_col))
+    if mask is not None:
+        out = F.when(mask, out)
     backoff = sum(BACKOFF_BASE_S * 2 ** i for i in range(MAX_ATTEMPTS))
     return calls.select(
         "*",
         out.alias("call_status"),
-        F.when(out == "transient", MAX_ATTEMPTS).otherwise(1).alias("attempts"),
-        F.when(out == "transient", backoff).otherwise(0).alias("backoff_s"),
+        F.when(out == "transient", MAX_ATTEMPTS).when(out.isNotNull(), 1).alias("attempts"),
+        F.when(out == "transient", backoff).when(out.isNotNull(), 0).alias("backoff_s"),
     )
 
 
@@ -185,19 +193,44 @@ ANSWER_SCHEMA = T.StructType([
 
 
 def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concurrency: int | None = None,
-                  threshold: int = 70) -> DataFrame:
+                  mask: Column | None = None) -> DataFrame:
     """Run a user scorer over Arrow batches and parse its answers.
 
-    ``batch_fn`` receives an iterator of pandas frames with ``chat_id, msg_id,
-    chat_title, text, request`` and yields frames shaped like
-    ``ANSWER_SCHEMA``.  ``concurrency`` partitions bound the parallel clients.
-    The output should be persisted (checkpoint or written) before it feeds
-    more than one sink, so the scorer runs once per message.
+    ``batch_fn`` receives an iterator of pandas frames with the input columns
+    (at least ``chat_id, msg_id, chat_title, text``) plus ``request`` and
+    yields frames with the columns of ``ANSWER_SCHEMA`` (missing ones are
+    NULL).  Only rows inside ``mask`` are handed to it; the others pass with
+    NULL answers.  Each answer is matched back to its message inside the same
+    batch, so the input columns travel on without a join.  ``concurrency``
+    partitions bound the parallel clients.  Persist the output (checkpoint or
+    write) before it feeds more than one sink, so the scorer runs once per
+    message.
     """
-    req = df.select("chat_id", "msg_id", "chat_title", "text",
-                    inference_request(F.col("chat_title"), F.col("text")).alias("request"))
-    if concurrency:
-        req = req.repartition(int(concurrency))
-    answers = req.mapInPandas(batch_fn, ANSWER_SCHEMA)
-    answers = call_outcomes(answers)
-    return parse_answers(answers, "raw")
+    on = mask if mask is not None else F.lit(True)
+    req = df.select("*", F.when(on, inference_request(F.col("chat_title"), F.col("text"))).alias("request"),
+                    on.alias("_evaluate"))
+    req = req.repartition(int(concurrency)) if concurrency else spread(req)
+    key = ["chat_id", "msg_id"]
+    names = [f.name for f in ANSWER_SCHEMA.fields]
+    carried = [f for f in req.schema.fields if f.name not in names and f.name != "request"]
+    schema = T.StructType(ANSWER_SCHEMA.fields + carried)
+    out_names = [f.name for f in schema.fields]
+    answer_cols = [n for n in names if n not in key]
+
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            keep = pdf[key + [f.name for f in carried]]
+            todo = pdf[pdf["_evaluate"].fillna(False).astype(bool)]
+            outs = [o.reindex(columns=names) for o in batch_fn(iter([todo]))] if len(todo) else []
+            ans = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=names)
+            merged = keep.merge(ans, on=key, how="left")
+            yield merged.reindex(columns=out_names)
+
+    answers = req.mapInPandas(run, schema)
+    answers = call_outcomes(answers, mask=F.col("_evaluate"))
+    parsed = parse_answers(answers, "raw")
+    strs = F.array().cast("array<string>")
+    return parsed.select(
+        *[c for c in parsed.columns if c not in ("_evaluate",) + PARSED_FIELDS + ("parse_status",)],
+        *[F.when(F.col("_evaluate"), F.col(c)).alias(c) for c in ("parse_status",) + PARSED_FIELDS])

@@ -21,8 +21,11 @@ REMOTES = ("full", "hybrid", "onsite", "unknown")
 
 
 def disposition(text: Column, call_status: Column, parse_status: Column, is_vacancy: Column,
-                score: Column, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN) -> Column:
-    return (F.when(~worth_evaluating(text, min_len), F.lit("too_short"))
+                score: Column, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN,
+                in_seen: Column | None = None) -> Column:
+    first = F.when(in_seen, F.lit("dedup_skip")).when(~worth_evaluating(text, min_len), F.lit("too_short")) \
+        if in_seen is not None else F.when(~worth_evaluating(text, min_len), F.lit("too_short"))
+    return (first
             .when(call_status == "transient", F.lit("transient"))
             .when((call_status == "crash") | (parse_status == "crash"), F.lit("crash"))
             .when(parse_status == "parse_error", F.lit("parse_error"))
@@ -32,15 +35,17 @@ def disposition(text: Column, call_status: Column, parse_status: Column, is_vaca
 
 
 def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN,
-          text_col: str = "text") -> DataFrame:
+          text_col: str = "text", seen_col: str | None = None) -> DataFrame:
     """Add ``disposition`` and the outcome columns it implies.
 
     Expects ``call_status``, ``parse_status``, ``is_vacancy``, ``match_score``
-    and ``title``.  ``recorded`` is false only for ``transient`` (left
-    unrecorded so the message is retried by a later run).
+    and ``title`` (and, with ``seen_col``, a flag for keys already recorded:
+    ``dedup_skip``).  ``recorded`` is false for ``transient`` (left unrecorded
+    so the message is retried by a later run) and for ``dedup_skip``.
     """
     d = disposition(F.col(text_col), F.col("call_status"), F.col("parse_status"), F.col("is_vacancy"),
-                    F.col("match_score"), threshold, min_len)
+                    F.col("match_score"), threshold, min_len,
+                    F.col(seen_col) if seen_col else None)
     e = evaluated.withColumn("disposition", d)
     dc = F.col("disposition")
     vac = dc.isin("below_threshold", "posted")
@@ -49,9 +54,9 @@ def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int
         F.when(vac, 1).when(dc.isin("too_short", "parse_error", "not_vacancy"), 0).cast("int").alias("out_is_vacancy"),
         F.when(dc.isin("parse_error", "not_vacancy", "below_threshold", "posted"), F.col("match_score"))
          .cast("int").alias("out_score"),
-        F.when(dc == "posted", 1).otherwise(0).alias("out_posted"),
+        F.when(dc == "posted", 1).when(dc != "dedup_skip", 0).alias("out_posted"),
         F.when(vac, F.col("title")).alias("out_title"),
-        (dc != "transient").alias("recorded"),
+        (~dc.isin("transient", "dedup_skip")).alias("recorded"),
     )
 
 

@@ -348,16 +348,10 @@ def q_match_cards(spark, d):
 
 
 def triage(arrivals, seen, rules=evaluate.FX_RULES, threshold=route.DEFAULT_THRESHOLD):
-    """Normalise -> in-batch dedup -> skip seen -> rule scorer -> route."""
-    n = msgs.normalize(arrivals)
-    first = dedup.first_arrivals(n)
-    skips = dedup.already_seen(first, seen).select(
-        "chat_id", "msg_id", "source", F.lit("dedup_skip").alias("disposition"),
-        F.lit(None).cast("int").alias("is_vacancy"), F.lit(None).cast("int").alias("score"),
-        F.lit(None).cast("int").alias("posted"), F.lit(None).cast("string").alias("title"))
-    fresh = dedup.unseen(first, seen)
-    routed = route.route(evaluate.evaluate_with_rules(fresh, rules, threshold=threshold), threshold)
-    return routed.select("chat_id", "msg_id", "source", "disposition", *_outcome_cols()).unionByName(skips)
+    """Normalise -> in-batch dedup -> flag seen -> rule scorer -> route."""
+    from vetline.plans import jobs
+    routed = jobs.triage_plan(arrivals, seen, jobs.rules_evaluator(rules, threshold), threshold)
+    return routed.select("chat_id", "msg_id", "source", "disposition", *_outcome_cols())
 
 
 @register("triage_end_to_end")
@@ -365,6 +359,16 @@ def q_triage_end_to_end(spark, d):
     return triage(fx.fx_messages(spark, d), fx.fx_seen(spark, d))
 
 
+@register("scorer_hook")
+def q_scorer_hook(spark, d):
+    """E1 with a user batch scorer (Arrow batches via mapInPandas): a
+    deterministic stand-in for the model service."""
+    from vetline.plans import jobs
+    routed = jobs.triage_plan(fx.fx_messages(spark, d), spark.createDataFrame([], schemas.SEEN),
+                              jobs.batch_evaluator(fx.fx_scorer))
+    return routed.select("chat_id", "msg_id", "disposition", *_outcome_cols())
+
+
 # ---- streaming -------------------------------------------------------------------
 @register("stream_triage")
 def q_stream_triage(spark, d):

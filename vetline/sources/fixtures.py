@@ -187,3 +187,39 @@ def fx_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("user_id").alias("chat_id"), e.alias("msg_id"),
                      (e % 700).alias("input_tokens"), (e % 600).alias("output_tokens"),
                      (e % 5 * 100).alias("cache_read_tokens"), (e % 3 * 50).alias("cache_create_tokens"))
+
+
+def fx_scorer(batches):
+    """Deterministic stand-in for the model service (a user batch scorer).
+
+    Per message, by ``msg_id % 8`` the call fails with 429, a connection
+    error (no status) or 400, else returns 200; the answer text depends on
+    ``msg_id % 5`` and the text length ``n``:
+    0 a vacancy scored ``n % 101`` with title/stack/grade/remote,
+    1 not a vacancy, 2 not JSON, 3 a vacancy with string values,
+    4 a vacancy scored ``(7 n) % 150`` with a red flag.
+    """
+    import json
+
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for cid, mid, text in zip(pdf["chat_id"], pdf["msg_id"], pdf["text"]):
+            n = len(text)
+            status = {0: 429, 3: None, 5: 400}.get(mid % 8, 200)
+            m = mid % 5
+            if m == 0:
+                raw = json.dumps({"is_vacancy": True, "match_score": n % 101, "title": f"Role {mid}",
+                                  "stack": ["Go", ""], "grade": "senior", "remote": "full"})
+            elif m == 1:
+                raw = json.dumps({"is_vacancy": False, "match_score": 0})
+            elif m == 2:
+                raw = "not json"
+            elif m == 3:
+                raw = json.dumps({"is_vacancy": "yes", "match_score": str(n % 101)})
+            else:
+                raw = json.dumps({"is_vacancy": True, "match_score": (7 * n) % 150, "red_flags": ["relocation"]})
+            out.append((cid, mid, raw if status == 200 else None, status,
+                        "connection" if status is None else None, n, 100, 0, 0))
+        yield pd.DataFrame(out, columns=["chat_id", "msg_id", "raw", "http_status", "error", "input_tokens",
+                                         "output_tokens", "cache_read_tokens", "cache_create_tokens"])
