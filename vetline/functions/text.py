@@ -122,3 +122,15 @@ def clamp_score(c) -> Column:
 
 def dash_if_empty(c) -> Column:
     return F.coalesce(nonempty(col(c).cast("string")), F.lit(DASH))
+
+
+def parse_channel(c) -> Column:
+    """Id-or-handle parse of a configured channel: stripped; a leading '-' or
+    all digits means a numeric id (NULL ``chat_id`` with ``valid`` false when
+    it is not a number), anything else is a handle."""
+    s = F.btrim(col(c), F.lit(PY_WHITESPACE))
+    numeric = s.startswith("-") | s.rlike(r"^[0-9]+\z")
+    as_id = s.try_cast("bigint")
+    return F.struct(F.when(numeric, as_id).alias("chat_id"),
+                    F.when(~numeric, s).alias("username"),
+                    (~numeric | as_id.isNotNull()).alias("valid"))

@@ -28,6 +28,8 @@ LIST_LIMIT = 200          # list_messages default
 LIST_PAGE_LIMIT = 300     # limit the listing page asks for
 RECENT_LIMIT = 20         # recent_matches default
 RECENT_PAGE_LIMIT = 30    # limit the front page asks for
+FILTER_LABELS = {"all": "All messages", "vacancies": "Vacancies", "not_vacancies": "Not vacancies",
+                 "posted": "Posted matches"}
 CARD_LABELS = (("Total seen", "all"), ("Vacancies", "vacancies"),
                ("Not vacancies", "not_vacancies"), ("Posted (matched)", "posted"),
                ("Channels tracked", None))
@@ -180,3 +182,15 @@ def render_recent(rows: DataFrame) -> DataFrame:
         F.col("score"),
         tx.source_link("chat_id", "msg_id").alias("link"),
     )
+
+
+def list_page_title(channels: DataFrame, filter_type: str = "all", channel_id: int | None = None) -> DataFrame:
+    """Title of a drill-down listing: ``<channel label> · <filter label>``
+    (one row; the label is looked up by key, not by scanning statistics)."""
+    flabel = FILTER_LABELS[normalize_filter(filter_type)]
+    if channel_id is None:
+        return channels.sparkSession.range(1).select(F.lit(flabel).alias("title"))
+    ch = channels.filter(F.col("chat_id") == F.lit(int(channel_id)).cast("bigint"))
+    # a global aggregate always yields one row (NULL label when unknown)
+    return (ch.agg(F.first(tx.channel_label("title", "username"), ignorenulls=True).alias("label"))
+            .select(F.concat_ws(" · ", F.col("label"), F.lit(flabel)).alias("title")))

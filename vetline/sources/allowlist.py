@@ -55,12 +55,13 @@ def load_sources(spark: SparkSession, path: str, strict: bool = True) -> DataFra
     return out
 
 
-def resolve(sources: DataFrame, directory: DataFrame) -> tuple[DataFrame, DataFrame]:
+def resolve(sources: DataFrame, directory: DataFrame, require_any: bool = False) -> tuple[DataFrame, DataFrame]:
     """Match valid allow-list entries to the chat directory (chat_id, handle):
     handles by case-folded name, ids by chat id.  Returns (resolved, unresolved).
 
     The allow-list is small configuration; it is broadcast only after its size
-    is checked, else the join shuffles.
+    is checked, else the join shuffles.  With ``require_any`` an allow-list
+    of which nothing resolves is an error.
     """
     valid = sources.filter(F.col("kind") != "invalid")
     small = broadcast_if_bounded(valid, MAX_SOURCES)
@@ -72,6 +73,8 @@ def resolve(sources: DataFrame, directory: DataFrame) -> tuple[DataFrame, DataFr
              .select("pos", "chat_id", "handle"))
     resolved = by_handle.unionByName(by_id)
     unresolved = valid.join(resolved.select("pos"), "pos", "left_anti")
+    if require_any and resolved.limit(1).count() == 0:
+        raise RuntimeError("No sources could be resolved")
     return resolved, unresolved
 
 
