@@ -201,21 +201,24 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
     yields frames with the columns of ``ANSWER_SCHEMA`` (missing ones are
     NULL).  Only rows inside ``mask`` are handed to it; the others pass with
     NULL answers.  Each answer is matched back to its message inside the same
-    batch, so the input columns travel on without a join.  ``concurrency``
+    batch, so the input columns (all but ``text``) travel on without a join.  ``concurrency``
     partitions bound the parallel clients.  Persist the output (checkpoint or
     write) before it feeds more than one sink, so the scorer runs once per
     message.
     """
     on = mask if mask is not None else F.lit(True)
-    req = df.select("*", F.when(on, inference_request(F.col("chat_title"), F.col("text"))).alias("request"),
+    # the text goes to Python only for rows that are scored, and does not come
+    # back (callers keep a precomputed junk flag instead)
+    carried_in = [c for c in df.columns if c not in ("text", "request")]
+    req = df.select(*carried_in, F.when(on, F.col("text")).alias("text"),
+                    F.when(on, inference_request(F.col("chat_title"), F.col("text"))).alias("request"),
                     on.alias("_evaluate"))
     req = req.repartition(int(concurrency)) if concurrency else spread(req)
     key = ["chat_id", "msg_id"]
     names = [f.name for f in ANSWER_SCHEMA.fields]
-    carried = [f for f in req.schema.fields if f.name not in names and f.name != "request"]
+    carried = [f for f in req.schema.fields if f.name not in names and f.name not in ("request", "text")]
     schema = T.StructType(ANSWER_SCHEMA.fields + carried)
     out_names = [f.name for f in schema.fields]
-    answer_cols = [n for n in names if n not in key]
 
     def run(batches):
         import pandas as pd

@@ -22,9 +22,11 @@ REMOTES = ("full", "hybrid", "onsite", "unknown")
 
 def disposition(text: Column, call_status: Column, parse_status: Column, is_vacancy: Column,
                 score: Column, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN,
-                in_seen: Column | None = None) -> Column:
-    first = F.when(in_seen, F.lit("dedup_skip")).when(~worth_evaluating(text, min_len), F.lit("too_short")) \
-        if in_seen is not None else F.when(~worth_evaluating(text, min_len), F.lit("too_short"))
+                in_seen: Column | None = None, worth: Column | None = None) -> Column:
+    """``text`` may be None when ``worth`` (the junk-filter flag) is given."""
+    worth = worth if worth is not None else worth_evaluating(text, min_len)
+    first = F.when(in_seen, F.lit("dedup_skip")).when(~worth, F.lit("too_short")) \
+        if in_seen is not None else F.when(~worth, F.lit("too_short"))
     return (first
             .when(call_status == "transient", F.lit("transient"))
             .when((call_status == "crash") | (parse_status == "crash"), F.lit("crash"))
@@ -35,7 +37,7 @@ def disposition(text: Column, call_status: Column, parse_status: Column, is_vaca
 
 
 def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN,
-          text_col: str = "text", seen_col: str | None = None) -> DataFrame:
+          text_col: str = "text", seen_col: str | None = None, worth_col: str | None = None) -> DataFrame:
     """Add ``disposition`` and the outcome columns it implies.
 
     Expects ``call_status``, ``parse_status``, ``is_vacancy``, ``match_score``
@@ -43,9 +45,9 @@ def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int
     ``dedup_skip``).  ``recorded`` is false for ``transient`` (left unrecorded
     so the message is retried by a later run) and for ``dedup_skip``.
     """
-    d = disposition(F.col(text_col), F.col("call_status"), F.col("parse_status"), F.col("is_vacancy"),
-                    F.col("match_score"), threshold, min_len,
-                    F.col(seen_col) if seen_col else None)
+    d = disposition(None if worth_col else F.col(text_col), F.col("call_status"), F.col("parse_status"),
+                    F.col("is_vacancy"), F.col("match_score"), threshold, min_len,
+                    F.col(seen_col) if seen_col else None, F.col(worth_col) if worth_col else None)
     e = evaluated.withColumn("disposition", d)
     dc = F.col("disposition")
     vac = dc.isin("below_threshold", "posted")

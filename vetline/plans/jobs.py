@@ -46,10 +46,10 @@ def triage_plan(arrivals: DataFrame, seen: DataFrame, evaluator, threshold: int
     """
     n = msgs.normalize(arrivals)
     first = dedup.flag_seen(dedup.first_arrivals(n), seen)
-    base = first.select("chat_id", "msg_id", "source", "chat_title", "text", "in_seen")
-    mask = ~F.col("in_seen") & tx.worth_evaluating("text", min_len)
-    evaluated = evaluator(base, mask)
-    return route.route(evaluated, threshold, min_len, seen_col="in_seen")
+    base = first.select("chat_id", "msg_id", "source", "chat_title", "text", "in_seen",
+                        tx.worth_evaluating("text", min_len).alias("worth"))
+    evaluated = evaluator(base, ~F.col("in_seen") & F.col("worth"))
+    return route.route(evaluated, threshold, min_len, seen_col="in_seen", worth_col="worth")
 
 
 @dataclass

@@ -30,9 +30,32 @@ def configure(spark: SparkSession) -> SparkSession:
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (user scorers run
+    there), once per SparkContext: zip it and ``addPyFile`` it."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="vetline-pyfiles-"), "vetline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
+
+
 def build(master: str = "local[8]", app: str = "vetline", shuffle_partitions: int = 8,
           extra: dict | None = None) -> SparkSession:
     """Session for tests and local runs (UI off, small shuffle width)."""
