@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---- fixed values (must equal the reference's behaviour) -------------------
+# ---- fixed values (behaviour the results must reproduce) -------------------
 # Characters Python's str.strip() removes (str.isspace): U+0009-U+000D,
 # U+001C-U+001F, U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028,
 # U+2029, U+202F, U+205F, U+3000.

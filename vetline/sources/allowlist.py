@@ -41,7 +41,7 @@ def normalize_entries(entries: DataFrame, entry_col: str = "entry", pos_col: str
 
 def load_sources(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Read ``{"chats": [...]}``; require a non-empty array; with ``strict``
-    any invalid entry fails the job (as the reference refuses to start)."""
+    any invalid entry fails the job (the service refuses to start on it)."""
     doc = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     arr = doc.select(F.expr("try_variant_get(v, '$.chats', 'array<variant>')").alias("a"))
     arr = arr.select(F.when(F.coalesce(F.size("a"), F.lit(0)) > 0, F.col("a"))

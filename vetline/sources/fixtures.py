@@ -1,6 +1,6 @@
 """Deterministic outcome/message/answer tables derived from the given tables.
 
-The reference reads chat messages and model answers from live services; the
+The triage service reads chat messages and model answers from live services; the
 test tables have none of these shapes, so each fixture is a projection of a
 given table (see FIXTURES.md).  All are lazy DataFrames: their work grows with
 the input tables.
