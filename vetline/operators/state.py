@@ -1,9 +1,9 @@
 """Outcome and channel tables with upsert semantics, as aggregate plans.
 
-Parquet has no in-place update; each upsert is an append log plus a
-latest-wins compaction.  Every merge below is a union followed by one
-``groupBy`` on the key: a single hash shuffle with map-side partial
-aggregation (a hot key collapses before the shuffle), and no join.
+Parquet has no in-place update; the outcome table is an append log read
+latest-wins (compaction rewrites it).  Small inputs (a batch of new outcome
+rows, registrations, touches) are reduced per key first; the large table
+then streams through one join with them, never sorted or aggregated whole.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vetline import schemas
+from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from vetline.schemas import SEEN_KEY
 from vetline.sources.tables import conform
 
 SEEN_VALUE_COLS = ["is_vacancy", "score", "posted", "title"]
@@ -36,26 +38,46 @@ def seen_rows(outcomes: DataFrame, ts_col: str = "ts") -> DataFrame:
     )
 
 
-def upsert_seen(current: DataFrame, *batches: DataFrame) -> DataFrame:
+def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Insert-or-replace by ``(chat_id, msg_id)``: the latest write replaces all
-    columns.  ``current`` and each batch are outcome-table frames; later
-    batches win over earlier ones at equal ``ts``."""
-    parts = [conform(current, schemas.SEEN).withColumn("_batch", F.lit(0))]
+    columns.  Later batches win over earlier ones at equal ``ts``; a batch
+    row wins over the current row at equal ``ts``.
+
+    The batches (small) are reduced to their latest row per key first; the
+    outcome table (large) then streams once through a left join with them --
+    a broadcast hash join when the batch side is proven small, so the big
+    table is neither shuffled nor sorted -- plus a key-only anti join for the
+    keys that are new.
+    """
+    cur = conform(current, schemas.SEEN)
+    log = None
     for i, b in enumerate(batches, start=1):
-        parts.append(conform(b, schemas.SEEN).withColumn("_batch", F.lit(i)))
-    log = parts[0]
-    for p in parts[1:]:
-        log = log.unionByName(p)
-    return latest_per_key(log)
-
-
-def latest_per_key(log: DataFrame, order_cols=("ts", "_batch")) -> DataFrame:
+        part = conform(b, schemas.SEEN).withColumn("_batch", F.lit(i))
+        log = part if log is None else log.unionByName(part)
+    if log is None:
+        return cur
+    latest = latest_per_key(log, keep_order=True)
+    side = broadcast_if_bounded(latest.select(
+        *SEEN_KEY, *[F.col(c).alias(f"_b_{c}") for c in SEEN_VALUE_COLS + ["ts", "_batch"]]), max_broadcast_rows)
+    j = cur.join(side, SEEN_KEY, "left")
+    take = F.col("_b__batch").isNotNull() & (F.coalesce(F.col("_b_ts") >= F.col("ts"), F.col("ts").isNull()))
+    replaced = j.select(*SEEN_KEY, *[F.when(take, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c)
+                                     for c in SEEN_VALUE_COLS + ["ts"]])
+    # keys of the batch already present: the big table's keys stream through
+    # the (broadcast) batch keys; the result is at most the batch size
+    present = cur.select(*SEEN_KEY).join(side.select(*SEEN_KEY), SEEN_KEY, "left_semi")
+    new = latest.join(present, SEEN_KEY, "left_anti").select(*SEEN_KEY, *SEEN_VALUE_COLS, "ts")
+    return replaced.unionByName(new)
+
+
+def latest_per_key(log: DataFrame, order_cols=("ts", "_batch"), keep_order: bool = False) -> DataFrame:
     """Latest row per key of an append log (max over an ordering struct)."""
     order = [c for c in order_cols if c in log.columns]
     w = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in SEEN_VALUE_COLS])).alias("w")
+    extra = [F.col(f"w.{c}").alias(c) for c in order if c != "ts"] if keep_order else []
     return (log.groupBy("chat_id", "msg_id").agg(w)
             .select("chat_id", "msg_id", *[F.col(f"w.{c}").alias(c) for c in SEEN_VALUE_COLS],
-                    F.col("w.ts").alias("ts")))
+                    F.col("w.ts").alias("ts"), *extra))
 
 
 def upsert_channels(current: DataFrame, registrations: DataFrame) -> DataFrame:
@@ -78,14 +100,12 @@ def upsert_channels(current: DataFrame, registrations: DataFrame) -> DataFrame:
 
 def touch_channels(channels: DataFrame, touched: DataFrame) -> DataFrame:
     """Set ``last_msg_ts`` to the newest ``ts`` recorded for each channel;
-    messages of unregistered chats change nothing."""
-    ch = conform(channels, schemas.CHANNELS).select(
-        "chat_id", F.struct("username", "title", "last_msg_ts").alias("c"),
-        F.lit(None).cast("bigint").alias("t"))
-    tc = touched.select("chat_id", F.lit(None).cast(ch.schema["c"].dataType).alias("c"),
-                        F.col("ts").cast("bigint").alias("t"))
-    return (ch.unionByName(tc).groupBy("chat_id")
-            .agg(F.max("c").alias("c"), F.max("t").alias("t"))
-            .filter(F.col("c").isNotNull())
-            .select("chat_id", "c.username", "c.title",
-                    F.greatest("c.last_msg_ts", "t").alias("last_msg_ts")))
+    messages of unregistered chats change nothing.
+
+    The touches (one row per recorded message) are reduced to one row per
+    chat by a hash aggregate (partial per partition, so a busy chat collapses
+    map-side), then joined to the channel dimension."""
+    t = touched.groupBy("chat_id").agg(F.max(F.col("ts").cast("bigint")).alias("_t"))
+    ch = conform(channels, schemas.CHANNELS)
+    return (ch.join(t, "chat_id", "left")
+            .select("chat_id", "username", "title", F.greatest("last_msg_ts", "_t").alias("last_msg_ts")))
