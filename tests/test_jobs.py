@@ -56,3 +56,19 @@ def test_channel_snapshot_touched(spark):
                     channels_path=ch_in, channels_out=ch_out)
     got = rows(spark.read.parquet(ch_out))
     assert len(got) == 20 and all(r["last_msg_ts"] == 77 for r in got)
+
+
+def test_scorer_called_once_per_evaluated_message(spark):
+    seen, matches, _ = _paths()
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for pdf in batches:
+            calls.add(len(pdf))
+            yield from fx.fx_scorer(iter([pdf]))
+
+    res = jobs.run_triage(spark, fx.fx_messages(spark, SF001), seen, matches,
+                          evaluator=jobs.batch_evaluator(counting), run_ts=5)
+    routed = spark.read.parquet(res.routed_path)
+    evaluated = routed.filter(~F.col("disposition").isin("too_short", "dedup_skip")).count()
+    assert calls.value == evaluated

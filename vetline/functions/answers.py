@@ -97,7 +97,7 @@ FIELDS = ("is_vacancy", "title", "company", "stack", "grade", "salary", "remote"
           "match_score", "reasoning", "red_flags", "should_apply")
 
 
-def parse_answers(df: DataFrame, raw_col: str = "raw") -> DataFrame:
+def parse_answers(df: DataFrame, raw_col: str = "raw", spread_input: bool = True) -> DataFrame:
     """Add ``parse_status`` (ok | parse_error | crash) and the typed fields.
 
     A NULL raw answer (no content) is read as ``{}``.  ``crash`` rows carry
@@ -108,7 +108,7 @@ def parse_answers(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """
     idx = {f: i for i, f in enumerate(FIELDS)}
     wrapped = F.concat(F.lit("["), F.coalesce(F.col(raw_col), F.lit("{}")), F.lit("\n," + _SENTINEL_JSON + "]"))
-    p = spread(df).withColumn("_v", F.try_parse_json(wrapped))
+    p = (spread(df) if spread_input else df).withColumn("_v", F.try_parse_json(wrapped))
     p = p.select("*",
                  F.coalesce(F.expr(f"try_variant_get(_v, '$[1]', 'string') = '{_SENTINEL_VALUE}' "
                                    "AND array_size(try_variant_get(_v, '$', 'array<variant>')) = 2"),

@@ -213,7 +213,8 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
     req = df.select(*carried_in, F.when(on, F.col("text")).alias("text"),
                     F.when(on, inference_request(F.col("chat_title"), F.col("text"))).alias("request"),
                     on.alias("_evaluate"))
-    req = req.repartition(int(concurrency)) if concurrency else spread(req)
+    if concurrency:
+        req = req.repartition(int(concurrency))
     key = ["chat_id", "msg_id"]
     names = [f.name for f in ANSWER_SCHEMA.fields]
     carried = [f for f in req.schema.fields if f.name not in names and f.name not in ("request", "text")]
@@ -232,7 +233,7 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
 
     answers = req.mapInPandas(run, schema)
     answers = call_outcomes(answers, mask=F.col("_evaluate"))
-    parsed = parse_answers(answers, "raw")
+    parsed = parse_answers(answers, "raw", spread_input=False)
     strs = F.array().cast("array<string>")
     return parsed.select(
         *[c for c in parsed.columns if c not in ("_evaluate",) + PARSED_FIELDS + ("parse_status",)],

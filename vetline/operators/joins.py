@@ -25,14 +25,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the
-    cluster's default parallelism) when its input has fewer partitions.
-
-    Used before CPU-heavy per-row work (JSON parsing, regex over whole texts):
-    a small file with one row group is one input split and would otherwise run
-    on one core.  On a cluster reading many file splits this is a no-op.
+    """Round-robin a scan-level ``df`` over at least ``min_partitions``
+    (default: the cluster's default parallelism) when it reads fewer files.
+
+    Used before CPU-heavy per-row work (JSON parsing, regex over whole texts)
+    right after a scan: a small file with one row group is one input split
+    and would otherwise run on one core.  On a cluster reading many files
+    this is a no-op.  Nothing is executed to decide (``inputFiles`` only
+    lists files); do not use it above a shuffle, which already spreads rows.
     """
     if df.isStreaming:
         return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want) if len(df.inputFiles()) < want else df
