@@ -29,19 +29,17 @@ OUTPUT_COLS = ["chat_id", "msg_id", "source", "disposition", "is_vacancy", "scor
 
 
 def triage_stream(stream: DataFrame, seen: DataFrame, rules: Sequence[evaluate.Rule] = evaluate.FX_RULES,
-                  threshold: int = route.DEFAULT_THRESHOLD, event_time: str | None = None,
-                  watermark: str = "2 days") -> DataFrame:
+                  threshold: int = route.DEFAULT_THRESHOLD) -> DataFrame:
     """Streaming plan: one routed row per new message.
 
-    With an event-time column the dedup state is bounded by the watermark
-    (``dropDuplicatesWithinWatermark``); without one it keeps every key, like
-    the outcome table itself (use the RocksDB state store at scale).
+    Messages carry no usable event time (late messages are always accepted),
+    so no watermark is set: the dedup state keeps every key seen by this
+    query, like the outcome table itself (use the RocksDB state store
+    provider at scale; it spills to local disk and checkpoints to the shared
+    folder).  Keys already in the outcome table are removed by the
+    stream-static anti join.
     """
-    n = msgs.normalize(stream)
-    if event_time:
-        n = n.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(SEEN_KEY)
-    else:
-        n = n.dropDuplicates(SEEN_KEY)
+    n = msgs.normalize(stream).dropDuplicates(SEEN_KEY)
     fresh = n.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_anti")
     routed = route.route(evaluate.evaluate_with_rules(fresh, rules, threshold=threshold), threshold)
     return routed.select("chat_id", "msg_id", "source", "disposition",
