@@ -8,10 +8,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vetline import session
+from vetline import schemas, session
+from vetline.functions import text as tx
+from vetline.functions.answers import parse_answers
+from vetline.operators import cards, dedup, evaluate, route, state
 from vetline.plans import reports
+from vetline.sources import allowlist
 from vetline.sources import fixtures as fx
+from vetline.sources import messages as msgs
+from vetline.sources.tables import evolve, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -71,15 +78,6 @@ def q_recent_matches(spark, d):
 
 
 # ---- shared pieces -------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from vetline.functions import text as tx  # noqa: E402
-from vetline.functions.answers import parse_answers  # noqa: E402
-from vetline.operators import cards, dedup, evaluate, route, state  # noqa: E402
-from vetline.sources import allowlist, messages as msgs  # noqa: E402
-from vetline.sources.tables import evolve, read_table  # noqa: E402
-from vetline import schemas  # noqa: E402
-
 BACKFILL_CUTOFF = fx.BASE_EPOCH     # cutoff used with the fixtures
 BACKFILL_TEST_CAP = 20              # binds at sf0.01 (50 messages per chat)
 MIGRATION_EPOCH = 1705276800        # 2024-01-15: outcome rows before it lack the new columns

@@ -117,13 +117,13 @@ def fx_allowlist_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(m == 2, F.concat(F.lit('" @src'), ns, F.lit(' "')))
              .when(m == 3, F.concat(F.lit('"@missing'), ns, F.lit('"')))
              .otherwise(ch_id.cast("string")))
-    good = src.select((F.col("n") * 10).alias("pos"), entry.alias("entry"))
-    bad = src.filter(F.col("n") % 7 == 6).select(
-        F.explode(F.array(
-            F.struct((F.col("n") * 10 + 1).alias("pos"), F.lit('"  "').alias("entry")),
-            F.struct((F.col("n") * 10 + 2).alias("pos"), F.concat(ns, F.lit(".5")).alias("entry")),
-        )).alias("e")).select("e.*")
-    return good.unionByName(bad)
+    bad = F.col("n") % 7 == 6
+    entries = F.array_compact(F.array(
+        F.struct((F.col("n") * 10).alias("pos"), entry.alias("entry")),
+        F.when(bad, F.struct((F.col("n") * 10 + 1).alias("pos"), F.lit('"  "').alias("entry"))),
+        F.when(bad, F.struct((F.col("n") * 10 + 2).alias("pos"), F.concat(ns, F.lit(".5")).alias("entry"))),
+    ))
+    return src.select(F.explode(entries).alias("e")).select("e.*")
 
 
 def fx_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
