@@ -127,8 +127,8 @@ Q["message_listing"] = f"""
 SELECT chat_id, msg_id,
   {_FMT_TS.format(t="ts")} AS time,
   CASE WHEN nullif(channel_username, '') IS NOT NULL
-       THEN coalesce(nullif(channel_title, ''), '?') || ' (@' || channel_username || ')'
-       ELSE coalesce(nullif(channel_title, ''), '?') END AS channel,
+       THEN coalesce(nullif(title, ''), nullif(channel_title, ''), '?') || ' (@' || channel_username || ')'
+       ELSE coalesce(nullif(title, ''), nullif(channel_title, ''), '?') END AS channel,
   coalesce(nullif(title, ''), '—') AS title,
   coalesce(CAST(score AS VARCHAR), '—') AS score,
   coalesce(nullif(concat_ws(' ', CASE WHEN posted THEN 'posted' END,
@@ -159,8 +159,10 @@ def _worth(t: str) -> str:
 
 FX["fx_norm"] = f"""
 SELECT chat_id, msg_id, date_s, trim(coalesce(text, ''), {WS}) AS text,
-  coalesce(nullif(chat_title, ''), nullif(chat_username, ''), nullif(chat_first_name, ''),
-           CAST(chat_id AS VARCHAR), 'unknown') AS chat_title,
+  CASE WHEN source = 'backfill'
+       THEN coalesce(nullif(chat_title, ''), nullif(chat_username, ''), CAST(chat_id AS VARCHAR), '?')
+       ELSE coalesce(nullif(chat_title, ''), nullif(chat_username, ''), nullif(chat_first_name, ''),
+                     CAST(chat_id AS VARCHAR), 'unknown') END AS chat_title,
   chat_title AS raw_title, chat_username, source,
   length(trim(coalesce(text, ''), {WS})) AS n_chars
 FROM fx_messages"""

@@ -61,3 +61,10 @@ def test_union_arrivals_and_primary(spark):
     u = dedup.mark_primary(dedup.union_arrivals(live, back))
     got = sorted((r["msg_id"], r["source"], r["primary"]) for r in rows(u))
     assert got == [(1, "backfill", False), (1, "live", True), (2, "backfill", True)]
+
+
+def test_listing_label_reads_message_title_first(spark):
+    seen = spark.createDataFrame([(1, 1, 1, 90, 1, "Role", 10), (1, 2, 0, 5, 0, None, 9)], schemas.SEEN)
+    ch = spark.createDataFrame([(1, "u", "Chan", 5)], schemas.CHANNELS)
+    got = {r["msg_id"]: r["channel"] for r in rows(reports.render_listing(reports.list_messages(seen, ch)))}
+    assert got == {1: "Role (@u)", 2: "Chan (@u)"}

@@ -164,7 +164,10 @@ def render_listing(rows: DataFrame) -> DataFrame:
     return rows.select(
         "chat_id", "msg_id",
         tx.fmt_ts("ts").alias("time"),
-        tx.channel_label("channel_title", "channel_username").alias("channel"),
+        # the label reads the row's "title" before the channel title, and in a
+        # listing row that is the message title: kept as the service shows it
+        tx.channel_label(F.coalesce(tx.nonempty("title"), F.col("channel_title")), "channel_username")
+          .alias("channel"),
         tx.dash_if_empty("title").alias("title"),
         tx.dash_if_empty("score").alias("score"),
         tx.status_tags(F.col("posted").cast("int"), F.col("is_vacancy").cast("int")).alias("tags"),

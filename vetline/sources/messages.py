@@ -26,7 +26,11 @@ def normalize(messages: DataFrame) -> DataFrame:
     """Stripped text (NULL -> ''), display title, and text length."""
     return spread(messages).withColumns({
         "text": tx.strip_ws("text"),
-        "chat_title": tx.chat_title("chat_title", "chat_username", "chat_first_name", "chat_id"),
+        # live messages title their chat by title/username/first name; the
+        # backfill scan by the source entity's title/username/id
+        "chat_title": F.when(F.col("source") == "backfill",
+                             tx.backfill_title("chat_title", "chat_username", "chat_id"))
+                       .otherwise(tx.chat_title("chat_title", "chat_username", "chat_first_name", "chat_id")),
     }).withColumn("n_chars", F.length("text"))
 
 
