@@ -72,3 +72,11 @@ def test_scorer_called_once_per_evaluated_message(spark):
     routed = spark.read.parquet(res.routed_path)
     evaluated = routed.filter(~F.col("disposition").isin("too_short", "dedup_skip")).count()
     assert calls.value == evaluated
+
+
+def test_job_keeps_only_allowlisted_chats(spark):
+    seen, matches, _ = _paths()
+    allowed = spark.createDataFrame([(0,), (4,)], "chat_id long")
+    res = jobs.run_triage(spark, fx.fx_messages(spark, SF001), seen, matches, run_ts=1, allowed=allowed)
+    chats = {r["chat_id"] for r in rows(spark.read.parquet(res.routed_path).select("chat_id").distinct())}
+    assert chats == {0, 4}

@@ -9,8 +9,10 @@ executor only recomputes from that table); then the sinks are projections:
   seen      append-only log of outcome rows (latest-wins on read/compaction)
   matches   one card per posted message
   channels  new snapshot with last activity touched
-Every sink is a plain Parquet write: a failed task is retried by Spark and a
-failed job leaves no partial table behind (output committer).
+Every sink is a plain Parquet write through Spark's output committer: a
+failed task is retried; a re-run after a failed job may append the same
+outcome rows again, which the latest-wins read and compaction absorb
+(``matches`` is at-least-once, as publishing is).
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from vetline import schemas, session
 from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
 from vetline.sources import messages as msgs
+from vetline.sources.allowlist import allowlisted
 from vetline.sources.tables import conform
 
+
 def rules_evaluator(rules=evaluate.FX_RULES, threshold: int = route.DEFAULT_THRESHOLD):
     return lambda df, mask: evaluate.evaluate_with_rules(df, rules, threshold=threshold, mask=mask)
 
@@ -37,13 +41,16 @@ def batch_evaluator(batch_fn, concurrency: int | None = None):
 
 
 def triage_plan(arrivals: DataFrame, seen: DataFrame, evaluator, threshold: int = route.DEFAULT_THRESHOLD,
-                min_len: int = tx.MIN_TEXT_LEN) -> DataFrame:
+                min_len: int = tx.MIN_TEXT_LEN, allowed: DataFrame | None = None) -> DataFrame:
     """Routed rows, one per distinct message, ``dedup_skip`` included; lazy.
 
     One pass: the scorer is asked only for rows that are new and worth it
     (``mask``), every other row flows past it, and ``route`` assigns the
-    disposition; no branch re-reads or re-shuffles the input.
+    disposition; no branch re-reads or re-shuffles the input.  ``allowed``
+    (resolved sources) keeps only messages of allow-listed chats.
     """
+    if allowed is not None:
+        arrivals = allowlisted(arrivals, allowed)
     n = msgs.normalize(arrivals)
     first = dedup.flag_seen(dedup.first_arrivals(n), seen)
     base = first.select("chat_id", "msg_id", "source", "chat_title", "text", "in_seen",
@@ -63,14 +70,14 @@ class TriageResult:
 def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches_path: str,
                evaluator: Callable[[DataFrame, object], DataFrame] | None = None, run_ts: int = 0,
                channels_path: str | None = None, channels_out: str | None = None,
-               threshold: int = route.DEFAULT_THRESHOLD) -> TriageResult:
+               threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
     ``channels_out`` receives the touched channel snapshot."""
     session.configure(spark)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
     seen = _read_or_empty(spark, seen_path)
     routed_path = session.scratch_path(spark, "routed")
-    triage_plan(arrivals, seen, evaluator, threshold).write.parquet(routed_path)
+    triage_plan(arrivals, seen, evaluator, threshold, allowed=allowed).write.parquet(routed_path)
     routed = spark.read.parquet(routed_path)
 
     new_seen = state.seen_rows(routed.filter("recorded").select(
