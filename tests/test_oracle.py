@@ -9,6 +9,8 @@ from conftest import SF001
 from tools.oracle_check import TABLES, digest
 
 NAMES = sorted(se.queries())
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +33,10 @@ def test_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {se.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(dcols, drows)
 

@@ -130,7 +130,7 @@ def q_markdown_escape(spark, d):
     m = fx.fx_messages(spark, d).select("chat_id", "msg_id", "text").distinct()
     esc = tx.md_escape("text")
     return m.select("chat_id", "msg_id", esc.alias("escaped"),
-                    (F.length(esc) - F.length("text")).alias("n_escaped"))
+                    (F.length(esc) - F.length("text")).cast("bigint").alias("n_escaped"))
 
 
 @register("sources_normalized")

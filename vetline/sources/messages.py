@@ -31,7 +31,7 @@ def normalize(messages: DataFrame) -> DataFrame:
         "chat_title": F.when(F.col("source") == "backfill",
                              tx.backfill_title("chat_title", "chat_username", "chat_id"))
                        .otherwise(tx.chat_title("chat_title", "chat_username", "chat_first_name", "chat_id")),
-    }).withColumn("n_chars", F.length("text"))
+    }).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_CAP,
