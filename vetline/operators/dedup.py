@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
 from vetline.schemas import SEEN_KEY
 
 # ---- fixed values ------------------------------------------------------------
@@ -58,14 +59,25 @@ def already_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
     return messages.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_semi")
 
 
-def flag_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
+def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame | None = None,
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``in_seen``: whether the key is already in the outcome table.
 
-    One keyed left join instead of an anti plus a semi join, so the outcome
-    table (the largest input) is scanned and shuffled once.  Its keys are made
-    distinct first (the table may be an uncompacted append log); that
-    aggregate leaves them hash-partitioned on the key, which the join reuses.
+    One keyed left join instead of an anti plus a semi join.  The outcome
+    table is the largest input and grows with every run, while a run's batch
+    is small: when the batch's keys (``candidate_keys``, e.g. the key columns
+    of the raw arrivals scan) are proven small, they are broadcast and the
+    outcome table's key columns stream through a semi join -- no shuffle of
+    the outcome table; only the hits (at most the batch size) join back.
+    Otherwise the distinct outcome keys are shuffle-joined (the aggregate
+    leaves them hash-partitioned on the key, which the join reuses).
     """
-    keys = seen.select(*SEEN_KEY).distinct().withColumn("in_seen", F.lit(True))
+    seen_keys = seen.select(*SEEN_KEY)
+    if candidate_keys is not None:
+        raw = candidate_keys.select(*SEEN_KEY)
+        # the raw row count bounds the distinct keys; checking it needs no shuffle
+        if row_count_at_most(raw, max_broadcast_rows):
+            seen_keys = seen_keys.join(F.broadcast(raw.distinct()), SEEN_KEY, "left_semi")
+    keys = seen_keys.distinct().withColumn("in_seen", F.lit(True))
     return (messages.join(keys, SEEN_KEY, "left")
             .withColumn("in_seen", F.coalesce(F.col("in_seen"), F.lit(False))))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from vetline import schemas, session
+from vetline.schemas import SEEN_KEY
 from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
 from vetline.sources import messages as msgs
@@ -52,7 +53,7 @@ def triage_plan(arrivals: DataFrame, seen: DataFrame, evaluator, threshold: int
     if allowed is not None:
         arrivals = allowlisted(arrivals, allowed)
     n = msgs.normalize(arrivals)
-    first = dedup.flag_seen(dedup.first_arrivals(n), seen)
+    first = dedup.flag_seen(dedup.first_arrivals(n), seen, candidate_keys=arrivals.select(*SEEN_KEY))
     base = first.select("chat_id", "msg_id", "source", "chat_title", "text", "in_seen",
                         tx.worth_evaluating("text", min_len).alias("worth"))
     evaluated = evaluator(base, ~F.col("in_seen") & F.col("worth"))
