@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from vetline.sources import allowlist

@@ -1,7 +1,6 @@
 """Scalar expressions and the disposition truth table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from vetline.functions import text as tx

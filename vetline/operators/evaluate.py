@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from vetline.functions.answers import FIELDS as PARSED_FIELDS, parse_answers
 from vetline.operators.joins import spread
-from vetline.functions.text import chat_title as _chat_title  # noqa: F401  (re-export for callers)
 
 # ---- fixed values -------------------------------------------------------------
 # Call outcome classes: 2xx ok; 429, >= 500 or no status (connection error)
