@@ -84,9 +84,12 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     new_seen = state.seen_rows(routed.filter("recorded").select(
         "chat_id", "msg_id", F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
         F.col("out_posted").alias("posted"), F.col("out_title").alias("title"), F.lit(int(run_ts)).alias("ts")))
-    new_seen.write.mode("append").parquet(seen_path)
-    cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")) \
-        .write.mode("append").parquet(matches_path)
+    day = F.to_date(tx.from_epoch("ts")).alias("dt")
+    # both logs are partitioned by day of the processing time: readers of
+    # recent rows prune old days, and compaction can rewrite day by day
+    new_seen.select("*", day).write.mode("append").partitionBy("dt").parquet(seen_path)
+    cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")).select("*", day) \
+        .write.mode("append").partitionBy("dt").parquet(matches_path)
     if channels_path and channels_out:
         state.touch_channels(spark.read.parquet(channels_path), new_seen).write.parquet(channels_out)
     return TriageResult(routed_path, seen_path, matches_path, channels_out)
