@@ -111,11 +111,11 @@ def parse_answers(df: DataFrame, raw_col: str = "raw", spread_input: bool = True
     p = (spread(df) if spread_input else df).withColumn("_v", F.try_parse_json(wrapped))
     p = p.select("*",
                  F.coalesce(F.expr(f"try_variant_get(_v, '$[1]', 'string') = '{_SENTINEL_VALUE}' "
-                                   "AND array_size(try_variant_get(_v, '$', 'array<variant>')) = 2"),
+                                   "AND try_variant_get(_v, '$[2]', 'variant') IS NULL"),
                             F.lit(False)).alias("_wrap_ok"),
                  F.expr("try_variant_get(_v, '$[0]', 'variant')").alias("_d")).drop("_v")
     fields = ", ".join(f"try_variant_get(_d, '$.{f}', 'variant')" for f in FIELDS)
-    p = p.select("*", F.expr("coalesce(schema_of_variant(_d) LIKE 'OBJECT%', false)").alias("_is_obj"),
+    p = p.select("*", F.expr("try_variant_get(_d, '$', 'struct<>') IS NOT NULL").alias("_is_obj"),
                  F.expr(f"transform(array({fields}), x -> named_struct("
                         f"'v', x, 't', schema_of_variant(x)))").alias("_f")).drop("_d")
     p = p.select("*", F.expr(
