@@ -568,3 +568,33 @@ Q["scorer_hook"] = _with(["fx_first"], f"""
   FROM fx_first),
   routed AS (SELECT *, {_dispo('text', 'call_status', 'parse_status', 'is_vac', 'match_score')} AS disposition FROM e)
 SELECT chat_id, msg_id, disposition, {_OUT} FROM routed""")
+
+_CODE = ("CAST(CASE ({e}) % 8 WHEN 0 THEN 429 WHEN 1 THEN 500 WHEN 2 THEN 503 WHEN 3 THEN NULL "
+         "WHEN 4 THEN 400 WHEN 5 THEN 401 ELSE 200 END AS INTEGER)")
+
+
+def _ok(x: str) -> str:
+    return f"coalesce({x} BETWEEN 200 AND 299, false)"
+
+
+def _fatal(x: str) -> str:
+    return f"coalesce(NOT ({x} BETWEEN 200 AND 299) AND {x} <> 429 AND {x} < 500, false)"
+
+
+Q["call_attempts"] = f"""
+WITH a AS (SELECT user_id AS chat_id, event_id AS msg_id, {_CODE.format(e='event_id')} AS s1,
+             {_CODE.format(e='event_id + 1')} AS s2, {_CODE.format(e='event_id + 2')} AS s3 FROM events),
+  b AS (SELECT *, CASE WHEN {_ok('s1')} THEN 1 WHEN {_ok('s2')} AND NOT {_fatal('s1')} THEN 2
+                       WHEN {_ok('s3')} AND NOT {_fatal('s1')} AND NOT {_fatal('s2')} THEN 3 ELSE 0 END AS ok_at,
+               CASE WHEN {_fatal('s1')} THEN 1 WHEN {_fatal('s2')} THEN 2 WHEN {_fatal('s3')} THEN 3 ELSE 0 END AS crash_at
+        FROM a)
+SELECT chat_id, msg_id,
+  coalesce(CAST(s1 AS VARCHAR), 'none') || ',' || coalesce(CAST(s2 AS VARCHAR), 'none') || ','
+    || coalesce(CAST(s3 AS VARCHAR), 'none') AS statuses,
+  CASE WHEN ok_at > 0 AND (crash_at = 0 OR ok_at < crash_at) THEN 'ok' WHEN crash_at > 0 THEN 'crash'
+       ELSE 'transient' END AS call_status,
+  CAST(CASE WHEN ok_at > 0 AND (crash_at = 0 OR ok_at < crash_at) THEN ok_at WHEN crash_at > 0 THEN crash_at
+       ELSE 3 END AS INTEGER) AS attempts,
+  CAST(CASE WHEN ok_at > 0 AND (crash_at = 0 OR ok_at < crash_at) THEN pow(2, ok_at - 1) - 1
+            WHEN crash_at > 0 THEN pow(2, crash_at - 1) - 1 ELSE 7 END AS INTEGER) AS backoff_s
+FROM b"""

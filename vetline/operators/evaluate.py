@@ -176,6 +176,28 @@ def call_outcomes(calls: DataFrame, status_col: str = "http_status", mask: Colum
     )
 
 
+def attempt_outcomes(calls: DataFrame, statuses_col: str = "attempt_statuses") -> DataFrame:
+    """Outcome of a call from the statuses of its successive attempts (NULL
+    element = no response).  Attempts stop at the first 2xx (ok) or the first
+    non-retryable status (crash); after ``MAX_ATTEMPTS`` retryable failures
+    the call is transient.  The back-off slept is 1, 2, 4 s after each failed
+    retryable attempt (the last one included)."""
+    s = F.slice(F.col(statuses_col), 1, MAX_ATTEMPTS)
+    ok_at = F.array_position(F.transform(s, lambda x: F.coalesce(x.between(200, 299), F.lit(False))), True)
+    crash_at = F.array_position(F.transform(s, lambda x: F.coalesce(
+        ~x.between(200, 299) & (x != RATE_LIMITED) & (x < 500), F.lit(False))), True)
+    first_ok = (ok_at > 0) & ((crash_at == 0) | (ok_at < crash_at))
+    outcome = (F.when(first_ok, F.lit("ok")).when(crash_at > 0, F.lit("crash"))
+               .when(F.size(s) >= MAX_ATTEMPTS, F.lit("transient")))
+    attempts = F.when(first_ok, ok_at).when(crash_at > 0, crash_at).when(F.size(s) >= MAX_ATTEMPTS,
+                                                                          F.lit(MAX_ATTEMPTS))
+    # waits after the failed retryable attempts: 2^0 + ... + 2^(k-1)
+    retried = F.when(outcome == "transient", F.lit(MAX_ATTEMPTS)).otherwise(attempts - 1)
+    backoff = (F.pow(F.lit(2), retried) - 1).cast("int")
+    return calls.select("*", outcome.alias("call_status"), attempts.cast("int").alias("attempts"),
+                        F.when(outcome.isNotNull(), backoff).alias("backoff_s"))
+
+
 def inference_request(chat_title: Column, text: Column) -> Column:
     head, rest = REQUEST_TEMPLATE.split("{chat_title}")
     mid, tail = rest.split("{text}")

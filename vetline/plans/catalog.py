@@ -283,6 +283,13 @@ def q_call_outcomes(spark, d):
     return evaluate.call_outcomes(fx.fx_calls(spark, d)).drop("error")
 
 
+@register("call_attempts")
+def q_call_attempts(spark, d):
+    calls = evaluate.attempt_outcomes(fx.fx_call_attempts(spark, d))
+    return calls.select("chat_id", "msg_id", F.array_join(F.transform("attempt_statuses", lambda x: F.coalesce(
+        x.cast("string"), F.lit("none"))), ",").alias("statuses"), "call_status", "attempts", "backoff_s")
+
+
 @register("inference_requests")
 def q_inference_requests(spark, d):
     m = _distinct_messages(spark, d).filter(tx.worth_evaluating("text"))

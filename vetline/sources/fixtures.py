@@ -223,3 +223,18 @@ def fx_scorer(batches):
                         "connection" if status is None else None, n, 100, 0, 0))
         yield pd.DataFrame(out, columns=["chat_id", "msg_id", "raw", "http_status", "error", "input_tokens",
                                          "output_tokens", "cache_read_tokens", "cache_create_tokens"])
+
+
+def _status_code(e):
+    r = e % 8
+    return (F.when(r == 0, 429).when(r == 1, 500).when(r == 2, 503).when(r == 3, F.lit(None))
+            .when(r == 4, 400).when(r == 5, 401).otherwise(200)).cast("int")
+
+
+def fx_call_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model calls with up to three attempts: attempt ``i`` (0-based) of
+    event ``e`` returns the status ``fx_calls`` gives event ``e + i``."""
+    ev = read_table(spark, sf_dir, "events")
+    e = F.col("event_id")
+    return ev.select(F.col("user_id").alias("chat_id"), e.alias("msg_id"),
+                     F.array(_status_code(e), _status_code(e + 1), _status_code(e + 2)).alias("attempt_statuses"))
