@@ -40,6 +40,22 @@ def mark_primary(arrivals: DataFrame) -> DataFrame:
     return arrivals.withColumn("primary", F.row_number().over(w) == 1)
 
 
+def arrival_counts(arrivals: DataFrame) -> DataFrame:
+    """Per (key, source): ``n`` arrivals, of which ``n_primary`` (0 or 1) is
+    the one processed; the rest are in-batch duplicates.
+
+    Counts ``mark_primary`` would give without ranking every arrival: copies
+    collapse in a partial aggregate before the shuffle (a message arriving
+    millions of times costs one row per map partition), and the primary
+    source per key is then picked over at most one row per source.  Sources
+    of equal rank are ordered by name."""
+    per_source = arrivals.groupBy(*SEEN_KEY, "source").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct(_source_rank().alias("r"), F.col("source").alias("s"))
+    best = F.min(rank).over(Window.partitionBy(*SEEN_KEY))
+    is_primary = F.coalesce(best == rank, F.lit(False))
+    return per_source.withColumn("n_primary", F.when(is_primary, 1).otherwise(0).cast("bigint"))
+
+
 def first_arrivals(arrivals: DataFrame) -> DataFrame:
     """One row per key.  ``row_number() = 1`` is planned with a partial
     per-partition group limit before the shuffle, so duplicates are dropped
@@ -49,14 +65,22 @@ def first_arrivals(arrivals: DataFrame) -> DataFrame:
     return arrivals.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def seen_keys(seen: DataFrame) -> DataFrame:
+    """Distinct keys of the outcome table.  An append log may hold many rows
+    of one key; the partial aggregate collapses them map-side, and the join
+    that follows reuses its hash partitioning on the key (no extra shuffle),
+    so no task receives all copies of one key."""
+    return seen.select(*SEEN_KEY).distinct()
+
+
 def unseen(messages: DataFrame, seen: DataFrame) -> DataFrame:
     """Messages whose key is not in the outcome table (left anti)."""
-    return messages.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_anti")
+    return messages.join(seen_keys(seen), SEEN_KEY, "left_anti")
 
 
 def already_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
     """Messages whose key is in the outcome table (left semi): ``dedup_skip``."""
-    return messages.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_semi")
+    return messages.join(seen_keys(seen), SEEN_KEY, "left_semi")
 
 
 def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame | None = None,
@@ -72,12 +96,12 @@ def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame |
     Otherwise the distinct outcome keys are shuffle-joined (the aggregate
     leaves them hash-partitioned on the key, which the join reuses).
     """
-    seen_keys = seen.select(*SEEN_KEY)
+    outcome_keys = seen.select(*SEEN_KEY)
     if candidate_keys is not None:
         raw = candidate_keys.select(*SEEN_KEY)
         # the raw row count bounds the distinct keys; checking it needs no shuffle
         if row_count_at_most(raw, max_broadcast_rows):
-            seen_keys = seen_keys.join(F.broadcast(raw.distinct()), SEEN_KEY, "left_semi")
-    keys = seen_keys.distinct().withColumn("in_seen", F.lit(True))
+            outcome_keys = outcome_keys.join(F.broadcast(raw.distinct()), SEEN_KEY, "left_semi")
+    keys = outcome_keys.distinct().withColumn("in_seen", F.lit(True))
     return (messages.join(keys, SEEN_KEY, "left")
             .withColumn("in_seen", F.coalesce(F.col("in_seen"), F.lit(False))))

@@ -338,13 +338,19 @@ def q_dispositions(spark, d):
 
 @register("disposition_funnel")
 def q_disposition_funnel(spark, d):
-    arrivals = dedup.mark_primary(_normalized(spark, d)).select("chat_id", "msg_id", "source", "primary")
+    # arrivals counted per (key, source) before any join: copies of one
+    # message never reach a single task as rows
+    counts = dedup.arrival_counts(_normalized(spark, d).select("chat_id", "msg_id", "source"))
     r = _routed_fx(spark, d).select("chat_id", "msg_id", F.col("disposition").alias("first_disposition"))
-    per = arrivals.join(r, ["chat_id", "msg_id"], "left")
-    dispo = (F.when(F.col("primary"), F.col("first_disposition"))
-             .when(F.col("first_disposition") == "transient", F.lit("transient"))
-             .otherwise(F.lit("dedup_skip")))
-    return per.groupBy("source", dispo.alias("disposition")).agg(F.count(F.lit(1)).alias("n"))
+    per = counts.join(r, ["chat_id", "msg_id"], "left")
+    repeat = (F.when(F.col("first_disposition") == "transient", F.lit("transient"))
+              .otherwise(F.lit("dedup_skip")))
+    parts = F.array(
+        F.struct(F.col("first_disposition").alias("disposition"), F.col("n_primary").alias("n")),
+        F.struct(repeat.alias("disposition"), (F.col("n") - F.col("n_primary")).alias("n")))
+    return (per.select("source", F.explode(parts).alias("p")).filter(F.col("p.n") > 0)
+            .groupBy("source", F.col("p.disposition").alias("disposition"))
+            .agg(F.sum("p.n").cast("bigint").alias("n")))
 
 
 @register("match_cards")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline import session
-from vetline.operators import evaluate, route
+from vetline.operators import dedup, evaluate, route
 from vetline.schemas import SEEN_KEY
 from vetline.sources import messages as msgs
 
@@ -40,7 +40,7 @@ def triage_stream(stream: DataFrame, seen: DataFrame, rules: Sequence[evaluate.R
     stream-static anti join.
     """
     n = msgs.normalize(stream).dropDuplicates(SEEN_KEY)
-    fresh = n.join(seen.select(*SEEN_KEY), SEEN_KEY, "left_anti")
+    fresh = dedup.unseen(n, seen)
     routed = route.route(evaluate.evaluate_with_rules(fresh, rules, threshold=threshold), threshold)
     return routed.select("chat_id", "msg_id", "source", "disposition",
                          F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
