@@ -26,15 +26,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan-level ``df`` over at least ``min_partitions``
-    (default: the cluster's default parallelism) when it reads fewer files.
+    (default: the cluster's default parallelism) when it has fewer splits.
 
     Used before CPU-heavy per-row work (JSON parsing, regex over whole texts)
     right after a scan: a small file with one row group is one input split
     and would otherwise run on one core.  On a cluster reading many files
-    this is a no-op.  Nothing is executed to decide (``inputFiles`` only
-    lists files); do not use it above a shuffle, which already spreads rows.
+    this is a no-op.  Nothing is executed to decide.  A large input (many
+    splits from planning the scan, one number to the driver) is left as is
+    without listing its files; for a small one the file count decides, since
+    Spark cuts a small file into several splits of which only those holding
+    a row group read anything.  Do not use it above a shuffle, which already
+    spreads rows.
     """
     if df.isStreaming:
         return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 4 * want:
+        return df
     return df.repartition(want) if len(df.inputFiles()) < want else df

@@ -39,10 +39,18 @@ _SHIPPED: set[int] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (user scorers run
-    there), once per SparkContext: zip it and ``addPyFile`` it."""
+    there), once per SparkContext: zip it and ``addPyFile`` it.
+
+    On a cluster the package is normally deployed with ``--py-files``
+    (``spark.submit.pyFiles``); then nothing is done.  Otherwise the zip is
+    built next to the driver process and Spark serves it to the executors.
+    """
     sc = spark.sparkContext
     if id(sc) in _SHIPPED:
         return
+    if "vetline" in (sc.getConf().get("spark.submit.pyFiles") or ""):
+        _SHIPPED.add(id(sc))
+        return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="vetline-pyfiles-"), "vetline.zip")
