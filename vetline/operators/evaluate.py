@@ -182,7 +182,13 @@ def attempt_outcomes(calls: DataFrame, statuses_col: str = "attempt_statuses") -
     non-retryable status (crash); after ``MAX_ATTEMPTS`` retryable failures
     the call is transient.  The back-off slept is 1, 2, 4 s after each failed
     retryable attempt (the last one included)."""
-    s = F.slice(F.col(statuses_col), 1, MAX_ATTEMPTS)
+    outcome, attempts, backoff = _attempt_columns(F.col(statuses_col))
+    return calls.select("*", outcome.alias("call_status"), attempts.alias("attempts"), backoff.alias("backoff_s"))
+
+
+def _attempt_columns(statuses: Column) -> tuple[Column, Column, Column]:
+    """(outcome, attempts, back-off seconds) from per-attempt statuses."""
+    s = F.slice(statuses, 1, MAX_ATTEMPTS)
     ok_at = F.array_position(F.transform(s, lambda x: F.coalesce(x.between(200, 299), F.lit(False))), True)
     crash_at = F.array_position(F.transform(s, lambda x: F.coalesce(
         ~x.between(200, 299) & (x != RATE_LIMITED) & (x < 500), F.lit(False))), True)
@@ -194,8 +200,61 @@ def attempt_outcomes(calls: DataFrame, statuses_col: str = "attempt_statuses") -
     # waits after the failed retryable attempts: 2^0 + ... + 2^(k-1)
     retried = F.when(outcome == "transient", F.lit(MAX_ATTEMPTS)).otherwise(attempts - 1)
     backoff = (F.pow(F.lit(2), retried) - 1).cast("int")
-    return calls.select("*", outcome.alias("call_status"), attempts.cast("int").alias("attempts"),
-                        F.when(outcome.isNotNull(), backoff).alias("backoff_s"))
+    return outcome, attempts.cast("int"), F.when(outcome.isNotNull(), backoff)
+
+
+def _retryable(status) -> bool:
+    return status is None or status == RATE_LIMITED or status >= 500
+
+
+def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_base_s: float = BACKOFF_BASE_S,
+                    sleep: Callable[[float], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """Batch scorer (for ``evaluate_with``) from a per-message client call,
+    with the service's retry policy.
+
+    ``call(request) -> (http_status, raw, usage)``: ``http_status`` None means
+    no response; ``usage`` is a dict of token counts (``input_tokens``,
+    ``output_tokens``, ``cache_read_tokens``, ``cache_create_tokens``) or
+    None.  A raised ``OSError`` (connection refused, timeout) also counts as
+    no response; any other exception as a failed call that is not retried
+    (status 0, classified ``crash``).  A retryable failure (429, >= 500, no
+    response) waits ``backoff_base_s * 2**attempt`` seconds -- 1, 2, 4 --
+    after each attempt, the last one included, up to ``max_attempts``; any
+    other status ends the call.  Every attempt's status is kept in
+    ``attempt_statuses``, so outcome, attempts and back-off follow from them.
+    Runs inside the tasks (one client per partition; the partition count
+    bounds the parallel calls).
+    """
+    def run(batches):
+        import time
+
+        import pandas as pd
+        wait = sleep or time.sleep
+        for pdf in batches:
+            out = []
+            for cid, mid, request in zip(pdf["chat_id"], pdf["msg_id"], pdf["request"]):
+                statuses, raw, usage, error = [], None, None, None
+                for attempt in range(max_attempts):
+                    try:
+                        status, answer, used = call(request)
+                    except OSError as e:
+                        status, answer, used, error = None, None, None, type(e).__name__
+                    except Exception as e:  # noqa: BLE001 -- recorded as a crashed call
+                        statuses.append(0)
+                        error = type(e).__name__
+                        break
+                    statuses.append(None if status is None else int(status))
+                    if status is not None and 200 <= status <= 299:
+                        raw, usage, error = answer, used, None
+                        break
+                    if not _retryable(status):
+                        break
+                    wait(backoff_base_s * 2 ** attempt)
+                u = usage or {}
+                out.append((cid, mid, raw, statuses[-1], error, u.get("input_tokens"), u.get("output_tokens"),
+                            u.get("cache_read_tokens"), u.get("cache_create_tokens"), statuses))
+            yield pd.DataFrame(out, columns=[f.name for f in ANSWER_SCHEMA.fields])
+    return run
 
 
 def inference_request(chat_title: Column, text: Column) -> Column:
@@ -210,6 +269,8 @@ ANSWER_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
     T.StructField("input_tokens", T.LongType()), T.StructField("output_tokens", T.LongType()),
     T.StructField("cache_read_tokens", T.LongType()), T.StructField("cache_create_tokens", T.LongType()),
+    # statuses of the successive attempts, when the scorer reports them
+    T.StructField("attempt_statuses", T.ArrayType(T.IntegerType())),
 ])
 
 
@@ -250,12 +311,24 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
             outs = [o.reindex(columns=names) for o in batch_fn(iter([todo]))] if len(todo) else []
             ans = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=names)
             merged = keep.merge(ans, on=key, how="left")
+            # unscored rows, and scorers that do not report attempts, leave it empty
+            merged["attempt_statuses"] = pd.Series(
+                [None if v is None or (isinstance(v, float) and v != v) else list(v)
+                 for v in merged["attempt_statuses"]], index=merged.index, dtype=object)
             yield merged.reindex(columns=out_names)
 
     answers = req.mapInPandas(run, schema)
     answers = call_outcomes(answers, mask=F.col("_evaluate"))
+    # reported attempts decide when present (e.g. 429, 429, 200 is ok after three attempts)
+    a_out, a_att, a_back = _attempt_columns(F.col("attempt_statuses"))
+    has = F.col("_evaluate") & F.col("attempt_statuses").isNotNull()
+    answers = answers.withColumns({"call_status": F.when(has, a_out).otherwise(F.col("call_status")),
+                                   "attempts": F.when(has, a_att).otherwise(F.col("attempts")),
+                                   "backoff_s": F.when(has, a_back).otherwise(F.col("backoff_s"))})
     parsed = parse_answers(answers, "raw", spread_input=False)
     strs = F.array().cast("array<string>")
     return parsed.select(
         *[c for c in parsed.columns if c not in ("_evaluate",) + PARSED_FIELDS + ("parse_status",)],
-        *[F.when(F.col("_evaluate"), F.col(c)).alias(c) for c in ("parse_status",) + PARSED_FIELDS])
+        # an answer exists only when the call succeeded
+        *[F.when(F.col("_evaluate") & (F.col("call_status") == "ok"), F.col(c)).alias(c)
+          for c in ("parse_status",) + PARSED_FIELDS])
