@@ -4,6 +4,7 @@ import json
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from vetline.operators import evaluate
@@ -53,3 +54,20 @@ def test_message_stream_equals_batch(spark):
     batch = batch.filter("disposition <> 'dedup_skip'").select("chat_id", "msg_id", "disposition")
     # the stream keeps the first arrival of a key; dispositions do not depend on which
     assert streamed == sorted(map(str, rows(batch)))
+
+
+def test_message_stream_with_batch_scorer_equals_batch(spark):
+    d = tempfile.mkdtemp(prefix="vetline-msgs-scorer-")
+    m = fx.fx_messages(spark, SF001).select(*[f.name for f in schemas.MESSAGES.fields])
+    for part in m.randomSplit([0.5, 0.5], seed=5):
+        part.write.mode("append").parquet(d)
+    seen = fx.fx_seen(spark, SF001)
+    scorer = jobs.batch_evaluator(fx.fx_scorer)
+    plan = ts.triage_stream(msgs.read_messages(spark, d, streaming=True), seen, evaluator=scorer)
+    out = ts.run_available_now(spark, plan, "t_s2")
+    streamed = sorted(map(str, rows(spark.read.parquet(out).select("chat_id", "msg_id", "disposition", "score"))))
+    batch = jobs.triage_plan(msgs.read_messages(spark, d), seen, scorer)
+    batch = batch.filter("disposition <> 'dedup_skip'").select("chat_id", "msg_id", "disposition",
+                                                               F.col("out_score").alias("score"))
+    assert streamed == sorted(map(str, rows(batch)))
+    assert {r["disposition"] for r in rows(spark.read.parquet(out))} >= {"transient", "crash", "parse_error"}

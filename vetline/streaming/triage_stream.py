@@ -15,12 +15,13 @@ the engine, the sink commits each batch once).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline import session
+from vetline.functions import text as tx
 from vetline.operators import dedup, evaluate, route
 from vetline.schemas import SEEN_KEY
 from vetline.sources import messages as msgs
@@ -29,19 +30,28 @@ OUTPUT_COLS = ["chat_id", "msg_id", "source", "disposition", "is_vacancy", "scor
 
 
 def triage_stream(stream: DataFrame, seen: DataFrame, rules: Sequence[evaluate.Rule] = evaluate.FX_RULES,
-                  threshold: int = route.DEFAULT_THRESHOLD) -> DataFrame:
+                  threshold: int = route.DEFAULT_THRESHOLD,
+                  evaluator: Callable[[DataFrame, Column], DataFrame] | None = None) -> DataFrame:
     """Streaming plan: one routed row per new message.
 
     Messages carry no usable event time (late messages are always accepted),
     so no watermark is set: the dedup state keeps every key seen by this
     query, like the outcome table itself (use the RocksDB state store
     provider at scale; it spills to local disk and checkpoints to the shared
-    folder).  Keys already in the outcome table are removed by the
-    stream-static anti join.
+    folder; each scheduled ``availableNow`` run starts a fresh checkpoint,
+    so the state holds one run's keys).  Keys already in the outcome table
+    are removed by the stream-static anti join.
+
+    ``evaluator(df, mask)`` is the batch job's scorer hook (rules by
+    default; a user batch scorer runs through ``mapInPandas``, which works
+    on a stream too); it is asked only for rows that pass the junk filter.
     """
     n = msgs.normalize(stream).dropDuplicates(SEEN_KEY)
-    fresh = dedup.unseen(n, seen)
-    routed = route.route(evaluate.evaluate_with_rules(fresh, rules, threshold=threshold), threshold)
+    fresh = dedup.unseen(n, seen).withColumn("worth", tx.worth_evaluating("text"))
+    if evaluator is None:
+        def evaluator(df, mask):
+            return evaluate.evaluate_with_rules(df, rules, threshold=threshold, mask=mask)
+    routed = route.route(evaluator(fresh, F.col("worth")), threshold, worth_col="worth")
     return routed.select("chat_id", "msg_id", "source", "disposition",
                          F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
                          F.col("out_posted").alias("posted"), F.col("out_title").alias("title"))
