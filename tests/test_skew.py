@@ -51,3 +51,29 @@ def test_seen_check_with_hot_outcome_key(spark):
     assert sorted((r["chat_id"], r["msg_id"]) for r in rows(dedup.already_seen(msgs, seen))) == [(1, 1), (2, 5)]
     flagged = {(r["chat_id"], r["msg_id"]): r["in_seen"] for r in rows(dedup.flag_seen(msgs, seen, msgs))}
     assert flagged == {(1, 1): True, (2, 5): True, (3, 7): False}
+
+
+def _brute_backfill(data, cutoff, cap):
+    out = []
+    for chat in {c for c, _, _ in data}:
+        taken = 0
+        for _, mid, date in sorted((r for r in data if r[0] == chat), key=lambda r: -r[1]):
+            if taken >= cap:
+                break
+            taken += 1
+            if date is not None and date < cutoff:
+                break
+            out.append((chat, mid))
+    return sorted(out)
+
+
+def test_backfill_hot_chat_equals_take_while(spark):
+    from vetline.sources import messages as msgs
+    # chat 1 holds most rows, spread over many input partitions; old messages
+    # appear out of order (every 37th) and some dates are NULL
+    data = [(1, i, None if i % 11 == 0 else (10 if i % 37 == 0 else 1000 + i)) for i in range(5000)]
+    data += [(2, i, 5 if i == 3 else 2000) for i in range(10)] + [(3, 1, None)]
+    df = spark.createDataFrame(data, "chat_id long, msg_id long, date_s long").repartition(16)
+    for cutoff, cap in ((500, 200), (500, 50), (5000, 200), (0, 3)):
+        got = sorted((r["chat_id"], r["msg_id"]) for r in rows(msgs.backfill(df, cutoff, cap=cap)))
+        assert got == _brute_backfill(data, cutoff, cap), (cutoff, cap)
