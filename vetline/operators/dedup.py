@@ -97,11 +97,15 @@ def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame |
     leaves them hash-partitioned on the key, which the join reuses).
     """
     outcome_keys = seen.select(*SEEN_KEY)
+    bounded = False
     if candidate_keys is not None:
         raw = candidate_keys.select(*SEEN_KEY)
-        # the raw row count bounds the distinct keys; checking it needs no shuffle
-        if row_count_at_most(raw, max_broadcast_rows):
-            outcome_keys = outcome_keys.join(F.broadcast(raw.distinct()), SEEN_KEY, "left_semi")
+        # the raw row count bounds the keys; checking it needs no shuffle, and
+        # the semi join needs no distinct build side (no shuffle either)
+        bounded = row_count_at_most(raw, max_broadcast_rows)
+        if bounded:
+            outcome_keys = outcome_keys.join(F.broadcast(raw), SEEN_KEY, "left_semi")
     keys = outcome_keys.distinct().withColumn("in_seen", F.lit(True))
-    return (messages.join(keys, SEEN_KEY, "left")
+    # the hits are a subset of the checked batch keys: bounded as well
+    return (messages.join(F.broadcast(keys) if bounded else keys, SEEN_KEY, "left")
             .withColumn("in_seen", F.coalesce(F.col("in_seen"), F.lit(False))))
