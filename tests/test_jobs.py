@@ -45,6 +45,12 @@ def test_batch_scorer_job_retries_only_transient(spark):
     c = spark.read.parquet(jobs.compact_seen(spark, seen, out))
     assert c.count() == 200 - transient
     assert c.select("chat_id", "msg_id").distinct().count() == c.count()
+    assert "dt" in c.columns
+    # the compacted table keeps the log's layout: the next run appends to it
+    r3 = spark.read.parquet(jobs.run_triage(spark, arrivals, out, matches, evaluator=ev, run_ts=3).routed_path)
+    got = {r["disposition"]: r["count"] for r in rows(r3.groupBy("disposition").count())}
+    assert got == {"transient": transient, "dedup_skip": 200 - transient}
+    assert spark.read.parquet(out).count() == 200 - transient
 
 
 def test_channel_snapshot_touched(spark):

@@ -84,7 +84,7 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     new_seen = state.seen_rows(routed.filter("recorded").select(
         "chat_id", "msg_id", F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
         F.col("out_posted").alias("posted"), F.col("out_title").alias("title"), F.lit(int(run_ts)).alias("ts")))
-    day = F.to_date(tx.from_epoch("ts")).alias("dt")
+    day = _day()
     # both logs are partitioned by day of the processing time: readers of
     # recent rows prune old days, and compaction can rewrite day by day
     new_seen.select("*", day).write.mode("append").partitionBy("dt").parquet(seen_path)
@@ -96,12 +96,17 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
 
 
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
-    """Latest row per key of the append log, written as a new table."""
-    state.latest_per_key(conform(spark.read.parquet(seen_path), schemas.SEEN).withColumn("_batch", F.lit(0))) \
-        .write.parquet(out_path)
+    """Latest row per key of the append log, written as a new table with the
+    log's layout (partitioned by day of ``ts``), so later runs append to it."""
+    latest = state.latest_per_key(conform(spark.read.parquet(seen_path), schemas.SEEN).withColumn("_batch", F.lit(0)))
+    latest.select("*", _day()).write.partitionBy("dt").parquet(out_path)
     return out_path
 
 
+def _day():
+    return F.to_date(tx.from_epoch("ts")).alias("dt")
+
+
 def _read_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The outcome table at ``path``; empty on the first run."""
     try:
