@@ -91,6 +91,19 @@ SELECT c.chat_id, c.username, c.title, c.last_msg_ts,
 FROM fx_channels c LEFT JOIN fx_seen s ON s.chat_id = c.chat_id
 GROUP BY c.chat_id, c.username, c.title, c.last_msg_ts""")
 
+_NOCASE = "translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+Q["channel_ranking"] = _with(["fx_channels", "fx_seen"], f"""
+SELECT c.chat_id, c.username, c.title, c.last_msg_ts,
+  count(s.msg_id) AS total,
+  {_CI.format(c="s.is_vacancy = 1")} AS vacancies,
+  {_CI.format(c="s.posted = 1")} AS posted,
+  round(avg(CASE WHEN s.is_vacancy = 1 THEN s.score END), 1) AS avg_score,
+  CAST(coalesce(max(CASE WHEN s.is_vacancy = 1 THEN s.score ELSE 0 END), 0) AS INTEGER) AS max_score,
+  row_number() OVER (ORDER BY {_NOCASE.format(c="c.title")} ASC NULLS FIRST, c.chat_id ASC) AS rank
+FROM fx_channels c LEFT JOIN fx_seen s ON s.chat_id = c.chat_id
+GROUP BY c.chat_id, c.username, c.title, c.last_msg_ts""")
+
 Q["dashboard_cards"] = _with(["fx_seen", "fx_channels"], f"""
 , o AS (SELECT count(*) AS v0, {_CI.format(c="is_vacancy = 1")} AS v1,
                {_CI.format(c="is_vacancy = 0")} AS v2, {_CI.format(c="posted = 1")} AS v3 FROM fx_seen),

@@ -46,6 +46,11 @@ def q_channel_stats(spark, d):
     return reports.channel_stats(fx.fx_channels(spark, d), fx.fx_seen(spark, d))
 
 
+@register("channel_ranking")
+def q_channel_ranking(spark, d):
+    return reports.channel_ranking(fx.fx_channels(spark, d), fx.fx_seen(spark, d))
+
+
 @register("dashboard_cards")
 def q_dashboard_cards(spark, d):
     return reports.dashboard_cards(fx.fx_seen(spark, d), fx.fx_channels(spark, d))

@@ -83,6 +83,15 @@ def channel_stats(channels: DataFrame, seen: DataFrame, ordered: bool = True) ->
     return out
 
 
+def channel_ranking(channels: DataFrame, seen: DataFrame) -> DataFrame:
+    """Channel statistics with ``rank``, the display position in the page's
+    order (case-folded title, NULL first, then ``chat_id``), computed without
+    moving all channels into one task."""
+    from vetline.operators.order import ranked
+    return ranked(channel_stats(channels, seen, ordered=False),
+                  nocase_key("title").asc_nulls_first(), F.col("chat_id").asc())
+
+
 def dashboard_cards(seen: DataFrame, channels: DataFrame) -> DataFrame:
     """The five summary cards in long form (label, value, filter link).
 
