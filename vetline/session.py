@@ -72,7 +72,9 @@ def build(master: str = "local[8]", app: str = "vetline", shuffle_partitions: in
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # checkpoints (ranking) are removed once their DataFrame is garbage collected
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**REQUIRED_CONF, **SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
