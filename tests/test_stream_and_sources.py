@@ -32,6 +32,11 @@ def test_stream_equals_batch_over_split_files(spark):
     batch = ts.triage_stream(ts.as_messages(conv), seen).select(*ts.OUTPUT_COLS)
     assert streamed == sorted(map(str, rows(batch)))
     assert len(streamed) == conv.count() - seen.count()
+    # the run kept its dedup state in RocksDB; the session setting is back
+    ckpt = out[: -len("/data")].removeprefix("file:") + "/_checkpoint/offsets"
+    first = sorted(os.listdir(ckpt), key=lambda f: int(f) if f.isdigit() else -1)[-1]
+    assert "RocksDBStateStoreProvider" in open(os.path.join(ckpt, first)).read()
+    assert "RocksDB" not in (spark.conf.get(ts.STATE_STORE_KEY, None) or "")
 
 
 def _write(obj):

@@ -57,14 +57,35 @@ def triage_stream(stream: DataFrame, seen: DataFrame, rules: Sequence[evaluate.R
                          F.col("out_posted").alias("posted"), F.col("out_title").alias("title"))
 
 
-def run_available_now(spark: SparkSession, plan: DataFrame, name: str) -> str:
+# ---- fixed values ------------------------------------------------------------
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# -------------------------------------------------------------------------------
+
+
+def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_state: bool = True) -> str:
     """Drain the stream once into a fresh Parquet folder under the checkpoint
-    root; returns the folder."""
+    root; returns the folder.
+
+    The dedup state of the run lives in the RocksDB state store (off-heap,
+    spills to local disk, snapshots to the checkpoint folder), chosen for
+    this query only: the session's setting is restored when it ends.
+    """
     out = session.scratch_path(spark, name)
-    q = (plan.writeStream.format("parquet").outputMode("append")
-         .option("path", out + "/data").option("checkpointLocation", out + "/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    old = spark.conf.get(STATE_STORE_KEY, None)
+    if rocksdb_state:
+        spark.conf.set(STATE_STORE_KEY, ROCKSDB_STATE_STORE)
+    try:
+        q = (plan.writeStream.format("parquet").outputMode("append")
+             .option("path", out + "/data").option("checkpointLocation", out + "/_checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        if rocksdb_state:
+            if old is None:
+                spark.conf.unset(STATE_STORE_KEY)
+            else:
+                spark.conf.set(STATE_STORE_KEY, old)
     if q.exception() is not None:
         raise q.exception()
     return out + "/data"
