@@ -86,7 +86,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set (local tests) a private folder is created and set.
+    when neither is set and the master is local (tests, local runs) a private
+    folder is created and set; on a cluster a machine-local folder is not
+    shared by the executors, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -94,6 +96,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints and written intermediate tables go there)")
         d = tempfile.mkdtemp(prefix="vetline-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
