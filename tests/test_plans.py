@@ -1,5 +1,7 @@
 """Physical-plan checks: the shapes the design relies on at scale."""
 
+import re
+
 from conftest import SF01
 
 
@@ -46,3 +48,34 @@ def test_scan_prunes_columns(spark):
     p = QUERIES["overall_stats"](spark, SF01)._jdf.queryExecution().executedPlan().toString()
     schema = p.split("ReadSchema: ")[1].split("\n")[0]
     assert "props" not in schema and "user_id" not in schema and "event_type" in schema
+
+
+def test_seen_flag_broadcasts_without_size_statistics(spark):
+    """With Spark's size-based broadcast off (as for a huge outcome table),
+    the checked batch keys are still broadcast and the outcome table streams
+    through them: no sort-merge join, no shuffle of the outcome rows."""
+    from vetline.plans.catalog import QUERIES
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan(QUERIES["triage_end_to_end"](spark, SF01))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" not in p
+    assert "BroadcastHashJoin [chat_id" in p and "LeftSemi" in p and "LeftOuter" in p
+
+
+def test_funnel_does_not_rank_every_arrival(spark):
+    from vetline.plans.catalog import QUERIES
+    p = plan(QUERIES["disposition_funnel"](spark, SF01))
+    # every row_number window sits on a group limit (in-batch dedup keeps one
+    # row per key per map partition); the funnel counts arrivals in an aggregate
+    lines = [re.sub(r"^\*\(\d+\) ", "", ln.strip(" :+-")) for ln in p.splitlines()]
+    ranking = [i for i, ln in enumerate(lines) if ln.startswith("Window [row_number()")]
+    assert ranking
+    for i in ranking:
+        assert lines[i + 1].startswith("WindowGroupLimit") and "Final" in lines[i + 1]
+    assert "partial_count" in p
