@@ -12,13 +12,21 @@ from vetline.operators.joins import spread
 # ---- fixed values ------------------------------------------------------------
 BACKFILL_CAP = 200        # newest messages read per source
 # -------------------------------------------------------------------------------
+MAX_FILES_PER_TRIGGER = 1000
 
 
-def read_messages(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, streaming: bool = False,
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Messages in Parquet under ``path``, with the fixed schema (no
-    inference); ``streaming`` gives the Structured Streaming source."""
+    inference); ``streaming`` gives the Structured Streaming source.
+
+    A stream reads at most ``max_files_per_trigger`` new files per
+    micro-batch (``availableNow`` still drains everything, batch by batch),
+    which bounds a micro-batch -- and with it the copies of one message that
+    the streaming dedup sends to one task."""
     if streaming:
-        return spark.readStream.schema(schemas.MESSAGES).parquet(path)
+        return (spark.readStream.schema(schemas.MESSAGES)
+                .option("maxFilesPerTrigger", int(max_files_per_trigger)).parquet(path))
     return spark.read.schema(schemas.MESSAGES).parquet(path)
 
 
