@@ -49,3 +49,19 @@ def test_schema_evolve(spark):
     assert e.columns == [f.name for f in schemas.SEEN.fields]
     r = [x for x in rows(e) if x["msg_id"] == 1 and x["chat_id"] == 1][0]
     assert r["is_vacancy"] is None and r["title"] is None
+
+
+def test_read_seen_old_and_new_files(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from vetline.sources.tables import read_seen
+    d = tempfile.mkdtemp(prefix="vetline-seen-versions-") + "/seen"
+    old = spark.createDataFrame([(1, 1, 50, 0, 10)], "chat_id long, msg_id long, score int, posted int, ts long")
+    new = spark.createDataFrame([(1, 2, 1, 90, 1, "Role", 20)], schemas.SEEN)
+    # the newer file is written first: schema inference could pick either footer
+    new.withColumn("dt", F.lit("2024-01-02")).write.partitionBy("dt").parquet(d)
+    old.withColumn("dt", F.lit("2024-01-01")).write.mode("append").partitionBy("dt").parquet(d)
+    got = {r["msg_id"]: (r["is_vacancy"], r["score"], r["title"]) for r in rows(read_seen(spark, d))}
+    assert got == {1: (None, 50, None), 2: (1, 90, "Role")}

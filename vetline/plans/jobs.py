@@ -30,7 +30,7 @@ from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
 from vetline.sources import messages as msgs
 from vetline.sources.allowlist import allowlisted
-from vetline.sources.tables import conform
+from vetline.sources.tables import read_channels, read_seen
 
 
 def rules_evaluator(rules=evaluate.FX_RULES, threshold: int = route.DEFAULT_THRESHOLD):
@@ -91,14 +91,14 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")).select("*", day) \
         .write.mode("append").partitionBy("dt").parquet(matches_path)
     if channels_path and channels_out:
-        state.touch_channels(spark.read.parquet(channels_path), new_seen).write.parquet(channels_out)
+        state.touch_channels(read_channels(spark, channels_path), new_seen).write.parquet(channels_out)
     return TriageResult(routed_path, seen_path, matches_path, channels_out)
 
 
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
     """Latest row per key of the append log, written as a new table with the
     log's layout (partitioned by day of ``ts``), so later runs append to it."""
-    latest = state.latest_per_key(conform(spark.read.parquet(seen_path), schemas.SEEN).withColumn("_batch", F.lit(0)))
+    latest = state.latest_per_key(read_seen(spark, seen_path).withColumn("_batch", F.lit(0)))
     latest.select("*", _day()).write.partitionBy("dt").parquet(out_path)
     return out_path
 
@@ -110,7 +110,7 @@ def _day():
 def _read_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The outcome table at ``path``; empty on the first run."""
     try:
-        return conform(spark.read.parquet(path), schemas.SEEN)
+        return read_seen(spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], schemas.SEEN)

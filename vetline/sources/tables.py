@@ -36,9 +36,11 @@ def evolve(*frames: DataFrame, schema: T.StructType = schemas.SEEN) -> DataFrame
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
-    """Outcome table at ``path``; older files without the new columns merge in."""
-    return conform(spark.read.option("mergeSchema", "true").parquet(path), schemas.SEEN)
+    """Outcome table at ``path`` read with its fixed schema: files written
+    before ``is_vacancy``/``title`` existed read back NULL there.  No schema
+    inference or footer merge over the (many) files of the log."""
+    return conform(spark.read.schema(schemas.SEEN).parquet(path), schemas.SEEN)
 
 
 def read_channels(spark: SparkSession, path: str) -> DataFrame:
-    return conform(spark.read.parquet(path), schemas.CHANNELS)
+    return conform(spark.read.schema(schemas.CHANNELS).parquet(path), schemas.CHANNELS)
