@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetline import schemas
+from vetline import schemas, session
 from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 from vetline.schemas import SEEN_KEY
 from vetline.sources.tables import conform
@@ -38,7 +38,8 @@ def seen_rows(outcomes: DataFrame, ts_col: str = "ts") -> DataFrame:
     )
 
 
-def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                materialize: bool = True) -> DataFrame:
     """Insert-or-replace by ``(chat_id, msg_id)``: the latest write replaces all
     columns.  Later batches win over earlier ones at equal ``ts``; a batch
     row wins over the current row at equal ``ts``.
@@ -47,7 +48,9 @@ def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int
     outcome table (large) then streams once through a left join with them --
     a broadcast hash join when the batch side is proven small, so the big
     table is neither shuffled nor sorted -- plus a key-only anti join for the
-    keys that are new.
+    keys that are new.  With ``materialize`` the reduced batch is
+    checkpointed once to the shared folder, so the size check and its three
+    uses read it instead of recomputing the batch plans.
     """
     cur = conform(current, schemas.SEEN)
     log = None
@@ -57,6 +60,9 @@ def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int
     if log is None:
         return cur
     latest = latest_per_key(log, keep_order=True)
+    if materialize:
+        session.checkpoint_root(latest.sparkSession)
+        latest = latest.checkpoint(eager=True)
     side = broadcast_if_bounded(latest.select(
         *SEEN_KEY, *[F.col(c).alias(f"_b_{c}") for c in SEEN_VALUE_COLS + ["ts", "_batch"]]), max_broadcast_rows)
     j = cur.join(side, SEEN_KEY, "left")
