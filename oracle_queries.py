@@ -426,6 +426,9 @@ SELECT disposition, count(*) AS n FROM (
 GROUP BY disposition""")
 
 _N = "CAST(coalesce(sum(CASE WHEN {c} THEN 1 ELSE 0 END), 0) AS BIGINT)"
+_SENTENCES = ("(len(regexp_extract_all({x}, '[.!?\u2026]+(?:[ \t\n\r\f]|$)')) "
+              "+ CASE WHEN length({x}) > 0 AND NOT regexp_matches({x}, '[.!?\u2026]$') THEN 1 ELSE 0 END)")
+
 Q["contract_checks"] = _with(["fx_answers"], _PARSED + f"""
 SELECT count(*) AS answers,
   {_N.format(c="grade NOT IN ('junior','middle','senior','staff','lead','unknown')")} AS bad_grade,
@@ -433,7 +436,9 @@ SELECT count(*) AS answers,
   {_N.format(c="match_score < 0 OR match_score > 100")} AS bad_score,
   {_N.format(c="should_apply <> (match_score >= 70 AND len(red_flags) = 0)")} AS apply_mismatch,
   {_N.format(c="match_score >= 70 AND len(red_flags) = 0")} AS apply_by_rule,
-  {_N.format(c="is_vacancy")} AS vacancies
+  {_N.format(c="is_vacancy")} AS vacancies,
+  {_N.format(c="NOT is_vacancy AND match_score <> 0")} AS scored_non_vacancy,
+  {_N.format(c=_SENTENCES.format(x="reasoning") + " > 2")} AS long_reasoning
 FROM parsed WHERE parse_status = 'ok'""")
 
 Q["call_outcomes"] = """

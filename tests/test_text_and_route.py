@@ -1,6 +1,7 @@
 """Scalar expressions and the disposition truth table."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from vetline.functions import text as tx
@@ -85,3 +86,35 @@ def test_card_text(spark):
     card = rows(cards.match_cards(df))[0]["card"]
     assert card == ("*Go\\_dev* — ACME\\*\nScore: 88/100 · grade: senior · remote: unknown\nStack: Go, k8s\n"
                     "Salary: —\nRed flags: —\n\nFits \\[well]\n\nSource: Chan · https://t.me/c/1000000002/9")
+
+
+REASONINGS = [
+    ("", 0), ("Go + Kafka match, senior, remote", 1), ("Go + Kafka match. Senior, remote.", 2),
+    ("One. Two! Three?", 3), ("Needs 3.5 years of Java. No remote", 2), ("Wait... what? ok", 3),
+    ("Требуют Java, твой основной — Go; remote нет.", 1), ("A… B… C", 3), ("No stop at end!!", 1),
+]
+
+
+def test_reasoning_sentences_spark_and_duckdb(spark):
+    import duckdb
+
+    import oracle_queries
+    from vetline.operators import route
+    df = spark.createDataFrame([(t,) for t, _ in REASONINGS], "reasoning string")
+    got = [r["n"] for r in rows(df.select(route.n_sentences(F.col("reasoning")).alias("n")))]
+    assert got == [n for _, n in REASONINGS]
+    con = duckdb.connect()
+    for text, n in REASONINGS:
+        sql = "SELECT " + oracle_queries._SENTENCES.format(x="$1")
+        assert con.execute(sql, [text]).fetchone()[0] == n, text
+
+
+def test_contract_checks_counts_stub_scores_and_long_reasoning(spark):
+    from vetline.functions.answers import parse_answers
+    from vetline.operators import route
+    raw = ['{"is_vacancy": false, "match_score": 0}', '{"is_vacancy": false, "match_score": 12}',
+           '{"is_vacancy": true, "match_score": 80, "reasoning": "One. Two. Three."}',
+           '{"is_vacancy": true, "match_score": 80, "reasoning": "Fits. Remote."}']
+    df = spark.createDataFrame([(i, i, r) for i, r in enumerate(raw)], "chat_id long, msg_id long, raw string")
+    c = rows(route.contract_checks(parse_answers(df)))[0]
+    assert (c["answers"], c["scored_non_vacancy"], c["long_reasoning"]) == (4, 1, 1)

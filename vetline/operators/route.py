@@ -17,9 +17,19 @@ DISPOSITIONS = ("dedup_skip", "too_short", "transient", "crash", "parse_error",
                 "not_vacancy", "below_threshold", "posted")
 GRADES = ("junior", "middle", "senior", "staff", "lead", "unknown")
 REMOTES = ("full", "hybrid", "onsite", "unknown")
+MAX_REASONING_SENTENCES = 2
+# a sentence ends at a run of . ! ? or an ellipsis followed by whitespace or the end
+SENTENCE_END = r"[.!?\u2026]+(?:[ \t\n\r\f]|\z)"
+SENTENCE_STOP = r"[.!?\u2026]\z"
 # -------------------------------------------------------------------------------
 
 
+def n_sentences(text: Column) -> Column:
+    """Sentences in a (stripped) text: terminated ones plus an unterminated tail."""
+    tail = F.when((F.length(text) > 0) & ~text.rlike(SENTENCE_STOP), 1).otherwise(0)
+    return F.regexp_count(text, F.lit(SENTENCE_END)) + tail
+
+
 def disposition(text: Column, call_status: Column, parse_status: Column, is_vacancy: Column,
                 score: Column, threshold: int = DEFAULT_THRESHOLD, min_len: int = MIN_TEXT_LEN,
                 in_seen: Column | None = None, worth: Column | None = None) -> Column:
@@ -64,8 +74,9 @@ def route(evaluated: DataFrame, threshold: int = DEFAULT_THRESHOLD, min_len: int
 
 def contract_checks(parsed: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Data-quality counts of parsed answers against the answer contract:
-    enum domains, score range, and ``should_apply`` versus the apply rule
-    (score >= threshold and no red flags).  Only ``ok`` answers count; the
+    enum domains, score range, ``should_apply`` versus the apply rule
+    (score >= threshold and no red flags), non-vacancies with a score, and
+    reasoning longer than two sentences.  Only ``ok`` answers count; the
     condition sits inside each aggregate (one pass, no filter)."""
     ok = F.col("parse_status") == "ok"
     rule = (F.col("match_score") >= threshold) & (F.size("red_flags") == 0)
@@ -81,4 +92,7 @@ def contract_checks(parsed: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Da
         n(F.col("should_apply") != rule).alias("apply_mismatch"),
         n(rule).alias("apply_by_rule"),
         n(F.col("is_vacancy")).alias("vacancies"),
+        # a non-vacancy is a stub with score 0; reasoning is at most 2 sentences
+        n(~F.col("is_vacancy") & (F.col("match_score") != 0)).alias("scored_non_vacancy"),
+        n(n_sentences(F.col("reasoning")) > MAX_REASONING_SENTENCES).alias("long_reasoning"),
     )
