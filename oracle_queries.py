@@ -157,6 +157,27 @@ WHERE s.posted = 1
 ORDER BY s.ts DESC, s.chat_id DESC, s.msg_id DESC
 LIMIT 20""")
 
+_RECENT_30 = Q["recent_matches"].replace("LIMIT 20", "LIMIT 30")
+
+Q["recent_table"] = f"""
+SELECT chat_id, msg_id,
+  {_FMT_TS.format(t="ts")} AS time,
+  coalesce(nullif(channel_title, ''), CAST(chat_id AS VARCHAR)) AS channel,
+  coalesce(nullif(title, ''), '—') AS title,
+  score,
+  {_LINK.format(c="chat_id", m="msg_id")} AS link
+FROM ({_RECENT_30}) r"""
+
+Q["channel_table"] = f"""
+SELECT chat_id, rank,
+  CASE WHEN nullif(username, '') IS NOT NULL THEN coalesce(nullif(title, ''), '?') || ' (@' || username || ')'
+       ELSE coalesce(nullif(title, ''), '?') END AS channel,
+  total, vacancies, posted,
+  coalesce(CAST(avg_score AS VARCHAR), '—') AS avg_score,
+  max_score,
+  {_FMT_TS.format(t="last_msg_ts")} AS last
+FROM ({Q["channel_ranking"]}) x"""
+
 # ---- message-side fixtures ------------------------------------------------------
 # Python's str.strip() whitespace (fixed values): U+0009-U+000D, U+001C-U+0020,
 # U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.

@@ -68,3 +68,14 @@ def test_listing_label_reads_message_title_first(spark):
     ch = spark.createDataFrame([(1, "u", "Chan", 5)], schemas.CHANNELS)
     got = {r["msg_id"]: r["channel"] for r in rows(reports.render_listing(reports.list_messages(seen, ch)))}
     assert got == {1: "Role (@u)", 2: "Chan (@u)"}
+
+
+def test_channel_table_rendering(spark):
+    seen = spark.createDataFrame([(1, 1, 1, 85, 1, "a", 1704067200), (1, 2, 1, 70, 0, None, 10),
+                                  (2, 3, 0, 5, 0, None, 11)], schemas.SEEN)
+    ch = spark.createDataFrame([(1, "u1", "Alpha", 1704067200), (2, None, "beta", 0), (3, None, None, None)],
+                               schemas.CHANNELS)
+    got = {r["chat_id"]: (r["rank"], r["channel"], r["avg_score"], r["max_score"], r["last"])
+           for r in rows(reports.render_channels(reports.channel_ranking(ch, seen)))}
+    assert got == {3: (1, "?", "—", 0, "—"), 1: (2, "Alpha (@u1)", "77.5", 85, "2024-01-01 00:00 UTC"),
+                   2: (3, "beta", "—", 0, "—")}

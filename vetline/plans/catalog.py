@@ -82,6 +82,19 @@ def q_recent_matches(spark, d):
     return reports.recent_matches(fx.fx_seen(spark, d), fx.fx_channels(spark, d))
 
 
+@register("channel_table")
+def q_channel_table(spark, d):
+    """The front page's channel table, rendered, in page order (``rank``)."""
+    return reports.render_channels(reports.channel_ranking(fx.fx_channels(spark, d), fx.fx_seen(spark, d)))
+
+
+@register("recent_table")
+def q_recent_table(spark, d):
+    """The front page's recent-matches table, rendered, at the page's limit."""
+    return reports.render_recent(reports.recent_matches(fx.fx_seen(spark, d), fx.fx_channels(spark, d),
+                                                        limit=reports.RECENT_PAGE_LIMIT))
+
+
 # ---- shared pieces -------------------------------------------------------------
 BACKFILL_CUTOFF = fx.BASE_EPOCH     # cutoff used with the fixtures
 BACKFILL_TEST_CAP = 20              # binds at sf0.01 (50 messages per chat)

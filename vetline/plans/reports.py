@@ -184,6 +184,21 @@ def render_listing(rows: DataFrame) -> DataFrame:
     )
 
 
+def render_channels(stats: DataFrame) -> DataFrame:
+    """Display columns of the channel table: label, counts, average score
+    (dash when there is none), maximum score, last activity; ``rank`` (the
+    row's position) is kept when present."""
+    keep = ["rank"] if "rank" in stats.columns else []
+    return stats.select(
+        "chat_id", *keep,
+        tx.channel_label("title", "username").alias("channel"),
+        "total", "vacancies", "posted",
+        F.coalesce(F.col("avg_score").cast("string"), F.lit(tx.DASH)).alias("avg_score"),
+        "max_score",
+        tx.fmt_ts("last_msg_ts").alias("last"),
+    )
+
+
 def render_recent(rows: DataFrame) -> DataFrame:
     """Display columns of the recent-matches table."""
     return rows.select(
