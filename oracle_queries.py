@@ -178,6 +178,14 @@ SELECT chat_id, rank,
   {_FMT_TS.format(t="last_msg_ts")} AS last
 FROM ({Q["channel_ranking"]}) x"""
 
+Q["list_page_titles"] = _with(["fx_channels"], """
+SELECT c.chat_id, f.filter_type,
+  CASE WHEN nullif(c.username, '') IS NOT NULL THEN coalesce(nullif(c.title, ''), '?') || ' (@' || c.username || ')'
+       ELSE coalesce(nullif(c.title, ''), '?') END || ' · ' || f.flabel AS title
+FROM fx_channels c,
+  (VALUES ('all', 'All messages'), ('vacancies', 'Vacancies'), ('not_vacancies', 'Not vacancies'),
+          ('posted', 'Posted matches')) f(filter_type, flabel)""")
+
 # ---- message-side fixtures ------------------------------------------------------
 # Python's str.strip() whitespace (fixed values): U+0009-U+000D, U+001C-U+0020,
 # U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.

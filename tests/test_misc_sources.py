@@ -42,3 +42,14 @@ def test_list_page_title(spark):
     assert rows(reports.list_page_title(ch, "posted"))[0]["title"] == "Posted matches"
     assert rows(reports.list_page_title(ch, "bogus", 1))[0]["title"] == "CUSTOMER#000000001 (@u1) · All messages"
     assert rows(reports.list_page_title(ch, "vacancies", 999999))[0]["title"] == "Vacancies"
+
+
+def test_list_page_titles_equal_single_title(spark):
+    from vetline.plans import reports
+    ch = spark.createDataFrame([(5, "u5", "Five", None), (6, None, "", None)],
+                               "chat_id long, username string, title string, last_msg_ts long")
+    allt = {(r["chat_id"], r["filter_type"]): r["title"] for r in rows(reports.list_page_titles(ch))}
+    assert len(allt) == 2 * len(reports.FILTER_TYPES)
+    for (cid, ft), title in allt.items():
+        assert title == rows(reports.list_page_title(ch, ft, cid))[0]["title"]
+    assert allt[(6, "posted")] == "? · Posted matches"

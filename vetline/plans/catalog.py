@@ -82,6 +82,11 @@ def q_recent_matches(spark, d):
     return reports.recent_matches(fx.fx_seen(spark, d), fx.fx_channels(spark, d))
 
 
+@register("list_page_titles")
+def q_list_page_titles(spark, d):
+    return reports.list_page_titles(fx.fx_channels(spark, d))
+
+
 @register("channel_table")
 def q_channel_table(spark, d):
     """The front page's channel table, rendered, in page order (``rank``)."""

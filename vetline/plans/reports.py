@@ -221,3 +221,15 @@ def list_page_title(channels: DataFrame, filter_type: str = "all", channel_id: i
     # a global aggregate always yields one row (NULL label when unknown)
     return (ch.agg(F.first(tx.channel_label("title", "username"), ignorenulls=True).alias("label"))
             .select(F.concat_ws(" · ", F.col("label"), F.lit(flabel)).alias("title")))
+
+
+def list_page_titles(channels: DataFrame) -> DataFrame:
+    """The drill-down title of every channel under each filter type
+    (``<channel label> · <filter label>``); the four filter labels are an
+    exploded literal array, not a join."""
+    types = F.array(*[F.struct(F.lit(ft).alias("filter_type"), F.lit(FILTER_LABELS[ft]).alias("flabel"))
+                      for ft in FILTER_TYPES])
+    return (channels.select("chat_id", tx.channel_label("title", "username").alias("label"),
+                            F.explode(types).alias("f"))
+            .select("chat_id", F.col("f.filter_type").alias("filter_type"),
+                    F.concat_ws(" · ", F.col("label"), F.col("f.flabel")).alias("title")))
