@@ -10,12 +10,16 @@ from __future__ import annotations
 # ---- fixture CTEs (FIXTURES.md definitions, DuckDB dialect) ---------------
 FX = {}
 
-FX["fx_seen"] = r"""
+# score clamp: NULL or NaN (no integer) -> 0, else bounded to 0..100, truncated
+CLAMP = ("CAST(CASE WHEN {x} IS NULL OR isnan(CAST({x} AS DOUBLE)) THEN 0 "
+         "ELSE trunc(greatest(0, least(100, {x}))) END AS INTEGER)")
+
+FX["fx_seen"] = f"""
 SELECT user_id AS chat_id, event_id AS msg_id,
   CAST(CASE WHEN event_type IN ('purchase','signup') THEN 1
             WHEN event_type IN ('view','click') THEN 0 END AS INTEGER) AS is_vacancy,
-  CASE WHEN event_type <> 'error' THEN CAST(trunc(greatest(0, least(100, value))) AS INTEGER) END AS score,
-  CASE WHEN event_type IN ('purchase','signup') AND trunc(greatest(0, least(100, value))) >= 70
+  CASE WHEN event_type <> 'error' THEN {CLAMP.format(x="value")} END AS score,
+  CASE WHEN event_type IN ('purchase','signup') AND {CLAMP.format(x="value")} >= 70
        THEN 1 ELSE 0 END AS posted,
   CASE WHEN event_type IN ('purchase','signup') THEN event_type || ' ' || CAST(event_id AS VARCHAR) END AS title,
   CAST(floor(epoch(ts)) AS BIGINT) AS ts
@@ -377,9 +381,9 @@ UNION ALL
 SELECT chat_id, msg_id, is_vacancy, score, posted, title, ts FROM fx_seen WHERE ts >= 1705276800""")
 
 # ---- answers and scoring ---------------------------------------------------------
-Q["score_clamp"] = """
+Q["score_clamp"] = f"""
 SELECT event_id AS msg_id, value - 50 AS raw_score,
-  CAST(trunc(greatest(0, least(100, value - 50))) AS INTEGER) AS score
+  {CLAMP.format(x="value - 50")} AS score
 FROM events"""
 
 

@@ -50,3 +50,20 @@ def test_source_link_matches_python(spark, pairs):
         if c is not None and m is not None and str(c).startswith("-100"):
             want = f"https://t.me/c/{str(c)[4:]}/{m}"
         assert r["x"] == want
+
+
+def _py_clamp(v):
+    if v is None or v != v:          # no integer: 0
+        return 0
+    if v in (float("inf"), float("-inf")):
+        return 100 if v > 0 else 0   # bounded here (an infinite answer score is a crash in parsing)
+    return max(0, min(100, int(v)))
+
+
+@SETTINGS
+@given(st.lists(st.floats(allow_nan=True, allow_infinity=True) | st.integers(-10**15, 10**15).map(float)
+                | st.none(), min_size=1, max_size=300))
+def test_clamp_score_matches_python(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double")
+    out = rows(df.select("i", tx.clamp_score("v").alias("x")).orderBy("i"))
+    assert [r["x"] for r in out] == [_py_clamp(v) for v in values]

@@ -116,8 +116,13 @@ def status_tags(posted, is_vacancy) -> Column:
 
 
 def clamp_score(c) -> Column:
-    """Bound a numeric score to 0..100, then truncate toward zero to INT."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), col(c).cast("double"))).cast("int")
+    """``max(0, min(100, int(x)))`` for a numeric score: NULL or NaN (no
+    integer) gives 0; otherwise bound to 0..100, then truncate toward zero.
+    (``least``/``greatest`` skip NULLs and order NaN above every number, so
+    both are handled first.)"""
+    v = col(c).cast("double")
+    return (F.when(v.isNull() | F.isnan(v), F.lit(0))
+            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(100.0), v)).cast("int")))
 
 
 def dash_if_empty(c) -> Column:
