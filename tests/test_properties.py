@@ -67,3 +67,72 @@ def test_clamp_score_matches_python(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double")
     out = rows(df.select("i", tx.clamp_score("v").alias("x")).orderBy("i"))
     assert [r["x"] for r in out] == [_py_clamp(v) for v in values]
+
+
+def _first_truthy(*vs):
+    for v in vs:
+        if v:
+            return str(v)
+    return None
+
+
+words = st.one_of(st.none(), st.just(""), st.text(alphabet="ab Я1_@", min_size=1, max_size=6))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-10**13, 10**13), words, words, words), min_size=1, max_size=200))
+def test_titles_and_label_match_python(spark, recs):
+    df = spark.createDataFrame([(i, c, t, u, f) for i, (c, t, u, f) in enumerate(recs)],
+                               "i long, c long, t string, u string, f string")
+    out = rows(df.select("i", tx.chat_title("t", "u", "f", "c").alias("live"),
+                         tx.registration_title("t", "u", "c").alias("reg"),
+                         tx.backfill_title("t", "u", "c").alias("back"),
+                         tx.channel_label("t", "u").alias("label")).orderBy("i"))
+    for (c, t, u, f), r in zip(recs, out):
+        assert r["live"] == _first_truthy(t, u, f) or (r["live"] == str(c) and not (t or u or f))
+        assert r["reg"] == (_first_truthy(t, u) or str(c))
+        assert r["back"] == (_first_truthy(t, u) or str(c))
+        label = t or "?"
+        assert r["label"] == (f"{label} (@{u})" if u else label)
+
+
+@SETTINGS
+@given(st.lists(st.integers(-2 * 10**9, 4 * 10**9) | st.just(0) | st.none(), min_size=1, max_size=300))
+def test_fmt_ts_matches_python(spark, values):
+    from datetime import datetime, timezone
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, t long")
+    out = rows(df.select("i", tx.fmt_ts("t").alias("x")).orderBy("i"))
+    for v, r in zip(values, out):
+        want = "—" if not v else datetime.fromtimestamp(v, tz=timezone.utc).strftime("%Y-%m-%d %H:%M UTC")
+        assert r["x"] == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([None, 0, 1]), st.sampled_from([None, 0, 1])), min_size=1, max_size=50))
+def test_status_tags_match_python(spark, pairs):
+    df = spark.createDataFrame([(i, p, v) for i, (p, v) in enumerate(pairs)], "i long, p int, v int")
+    out = rows(df.select("i", tx.status_tags("p", "v").alias("x")).orderBy("i"))
+    for (p, v), r in zip(pairs, out):
+        tags = (["posted"] if p else []) + (["vacancy"] if v == 1 else ["not vacancy"] if v == 0 else [])
+        assert r["x"] == (" ".join(tags) or "—")
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=" \t-0123456789abc@_", min_size=1, max_size=12), min_size=1, max_size=300))
+def test_parse_channel_matches_python(spark, raws):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i long, r string")
+    out = rows(df.select("i", tx.parse_channel("r").alias("x")).orderBy("i"))
+    for raw, r in zip(raws, out):
+        s = raw.strip()
+        if s.startswith("-") or s.isdigit():
+            try:
+                want = (int(s), None, True)
+            except ValueError:
+                want = (None, None, False)      # the service fails to start on it
+            if want[0] is not None and not -2**63 <= want[0] < 2**63:
+                continue                        # beyond 64 bits: a listed deviation
+            if "_" in s:
+                continue                        # int() accepts digit separators: a listed deviation
+        else:
+            want = (None, s, True)
+        assert (r["x"]["chat_id"], r["x"]["username"], r["x"]["valid"]) == want, raw
