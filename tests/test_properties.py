@@ -136,3 +136,32 @@ def test_parse_channel_matches_python(spark, raws):
         else:
             want = (None, s, True)
         assert (r["x"]["chat_id"], r["x"]["username"], r["x"]["valid"]) == want, raw
+
+
+def _seen_rows(draw_keys, ts_vals):
+    return st.lists(st.tuples(draw_keys, ts_vals, st.sampled_from([None, 0, 1]), st.integers(0, 100) | st.none(),
+                              st.sampled_from([0, 1]), st.sampled_from([None, "a", "b"])),
+                    max_size=25, unique_by=lambda r: r[0])
+
+
+KEYS = st.tuples(st.integers(1, 4), st.integers(1, 6))
+TS = st.integers(1, 5)
+
+
+@SETTINGS
+@given(_seen_rows(KEYS, TS), _seen_rows(KEYS, TS), _seen_rows(KEYS, TS))
+def test_upsert_seen_matches_brute_force(spark, cur, b1, b2):
+    from vetline import schemas
+    from vetline.operators import state
+
+    def frame(rs):
+        return spark.createDataFrame([(k[0], k[1], v, s, p, t, ts) for k, ts, v, s, p, t in rs], schemas.SEEN)
+
+    want = {}
+    for order, rs in enumerate((cur, b1, b2)):
+        for k, ts, v, s, p, t in rs:
+            if k not in want or (ts, order) >= want[k][0]:
+                want[k] = ((ts, order), (v, s, p, t, ts))
+    got = {(r["chat_id"], r["msg_id"]): (r["is_vacancy"], r["score"], r["posted"], r["title"], r["ts"])
+           for r in rows(state.upsert_seen(frame(cur), frame(b1), frame(b2)))}
+    assert got == {k: v[1] for k, v in want.items()}
