@@ -165,3 +165,57 @@ def test_upsert_seen_matches_brute_force(spark, cur, b1, b2):
     got = {(r["chat_id"], r["msg_id"]): (r["is_vacancy"], r["score"], r["posted"], r["title"], r["ts"])
            for r in rows(state.upsert_seen(frame(cur), frame(b1), frame(b2)))}
     assert got == {k: v[1] for k, v in want.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.tuples(st.integers(1, 3), st.integers(1, 40)), st.integers(0, 20) | st.none()),
+                max_size=80, unique_by=lambda r: r[0]),
+       st.integers(0, 20), st.integers(1, 8))
+def test_backfill_matches_take_while(spark, msgs_, cutoff, cap):
+    from vetline.sources import messages as msgs
+    df = spark.createDataFrame([(k[0], k[1], d) for k, d in msgs_], "chat_id long, msg_id long, date_s long")
+    want = []
+    for chat in {k[0] for k, _ in msgs_}:
+        newest = sorted(((k[1], d) for k, d in msgs_ if k[0] == chat), reverse=True)[:cap]
+        for mid, d in newest:
+            if d is not None and d < cutoff:
+                break
+            want.append((chat, mid))
+    got = sorted((r["chat_id"], r["msg_id"]) for r in rows(msgs.backfill(df, cutoff, cap=cap)))
+    assert got == sorted(want)
+
+
+NAMES = st.sampled_from([None, "", "x", "y"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 6), NAMES, NAMES, st.integers(0, 50) | st.none()),
+                max_size=6, unique_by=lambda r: r[0]),
+       st.lists(st.tuples(st.integers(1, 8), NAMES, NAMES, st.integers(0, 5)), max_size=12,
+                unique_by=lambda r: (r[0], r[3])),
+       st.lists(st.tuples(st.integers(1, 8), st.integers(0, 60)), max_size=20))
+def test_channel_upsert_and_touch_match_brute_force(spark, cur, regs, touches):
+    from vetline import schemas
+    from vetline.operators import state
+    ch = spark.createDataFrame(cur, schemas.CHANNELS)
+    rg = spark.createDataFrame(regs, "chat_id long, username string, title string, seq int")
+    want = {c: (u, t, ts) for c, u, t, ts in cur}
+    best = {}
+    for c, u, t, seq in regs:
+        if c not in best or seq > best[c][2]:
+            best[c] = (u, t, seq)
+    for c, (u, t, _) in best.items():
+        want[c] = (u, t, want[c][2] if c in want else None)
+    got = {r["chat_id"]: (r["username"], r["title"], r["last_msg_ts"]) for r in rows(state.upsert_channels(ch, rg))}
+    assert got == want
+
+    tc = spark.createDataFrame(touches or [(None, None)], "chat_id long, ts long")
+    newest = {}
+    for c, ts in touches:
+        newest[c] = max(ts, newest.get(c, ts))
+    want_t = {}
+    for c, u, t, ts in cur:
+        vals = [v for v in (ts, newest.get(c)) if v is not None]
+        want_t[c] = (u, t, max(vals) if vals else None)
+    got_t = {r["chat_id"]: (r["username"], r["title"], r["last_msg_ts"]) for r in rows(state.touch_channels(ch, tc))}
+    assert got_t == want_t
