@@ -86,3 +86,35 @@ def test_job_keeps_only_allowlisted_chats(spark):
     res = jobs.run_triage(spark, fx.fx_messages(spark, SF001), seen, matches, run_ts=1, allowed=allowed)
     chats = {r["chat_id"] for r in rows(spark.read.parquet(res.routed_path).select("chat_id").distinct())}
     assert chats == {0, 4}
+
+
+def test_transient_messages_retried_from_the_retry_table(spark):
+    seen, matches, _ = _paths()
+    d = tempfile.mkdtemp(prefix="vetline-retry-")
+    arrivals = fx.fx_messages(spark, SF001)
+    r1 = jobs.run_triage(spark, arrivals, seen, matches, evaluator=jobs.batch_evaluator(fx.fx_scorer),
+                         run_ts=1, retry_out=f"{d}/r1")
+    routed1 = spark.read.parquet(r1.routed_path)
+    transient = {(r["chat_id"], r["msg_id"]) for r in rows(routed1.filter("disposition = 'transient'"))}
+    assert transient
+    pending = spark.read.parquet(r1.retry_path)
+    assert {(r["chat_id"], r["msg_id"]) for r in rows(pending)} == transient
+
+    def always_ok(batches):
+        import json
+
+        import pandas as pd
+        for pdf in batches:
+            yield pd.DataFrame({"chat_id": pdf["chat_id"], "msg_id": pdf["msg_id"],
+                                "raw": [json.dumps({"is_vacancy": False, "match_score": 0})] * len(pdf),
+                                "http_status": [200] * len(pdf)})
+
+    nothing_new = arrivals.limit(0)
+    r2 = jobs.run_triage(spark, nothing_new, seen, matches, evaluator=jobs.batch_evaluator(always_ok), run_ts=2,
+                         retry_in=r1.retry_path, retry_out=f"{d}/r2")
+    got = {(r["chat_id"], r["msg_id"]): r["disposition"] for r in rows(spark.read.parquet(r2.routed_path))}
+    assert set(got) == transient and set(got.values()) == {"not_vacancy"}
+    assert spark.read.parquet(r2.retry_path).count() == 0
+    # every message is recorded exactly once after both runs
+    s = spark.read.parquet(seen)
+    assert s.count() == s.select("chat_id", "msg_id").distinct().count() == 200

@@ -67,3 +67,20 @@ def test_retrying_scorer_routes(spark):
     got = {r["msg_id"]: (r["disposition"], r["recorded"]) for r in rows(routed)}
     assert got == {0: ("posted", True), 1: ("transient", False), 2: ("crash", True), 3: ("posted", True),
                    4: ("transient", False), 5: ("crash", True), 6: ("posted", True)}
+
+
+def test_scorer_may_leave_out_optional_columns(spark):
+    def minimal(batches):
+        import pandas as pd
+        for pdf in batches:
+            yield pd.DataFrame({"chat_id": pdf["chat_id"], "msg_id": pdf["msg_id"],
+                                "raw": ['{"is_vacancy": true, "match_score": 75}'] * len(pdf),
+                                "http_status": [200] * len(pdf)})
+
+    df = _messages(spark).withColumn("chat_username", F.lit(None).cast("string")) \
+        .withColumn("chat_first_name", F.lit(None).cast("string")) \
+        .withColumn("msg_date", F.lit(None).cast("timestamp"))
+    got = rows(evaluate.evaluate_with(df, minimal))
+    assert len(got) == len(SCRIPT)
+    assert all(r["call_status"] == "ok" and r["match_score"] == 75 and r["input_tokens"] is None
+               and r["error"] is None and r["attempt_statuses"] is None for r in got)

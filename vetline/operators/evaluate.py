@@ -311,10 +311,18 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
             outs = [o.reindex(columns=names) for o in batch_fn(iter([todo]))] if len(todo) else []
             ans = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=names)
             merged = keep.merge(ans, on=key, how="left")
-            # unscored rows, and scorers that do not report attempts, leave it empty
-            merged["attempt_statuses"] = pd.Series(
-                [None if v is None or (isinstance(v, float) and v != v) else list(v)
-                 for v in merged["attempt_statuses"]], index=merged.index, dtype=object)
+            # columns a scorer leaves out (and unscored rows) are NULL, typed
+            for f in ANSWER_SCHEMA.fields:
+                c = f.name
+                if c in key:
+                    continue
+                if isinstance(f.dataType, (T.LongType, T.IntegerType)):
+                    merged[c] = pd.to_numeric(merged[c], errors="coerce").astype("Int64")
+                elif isinstance(f.dataType, T.ArrayType):
+                    merged[c] = pd.Series([None if v is None or (isinstance(v, float) and v != v) else list(v)
+                                           for v in merged[c]], index=merged.index, dtype=object)
+                else:
+                    merged[c] = merged[c].astype(object).where(merged[c].notna(), None)
             yield merged.reindex(columns=out_names)
 
     answers = req.mapInPandas(run, schema)

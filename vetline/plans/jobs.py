@@ -28,6 +28,7 @@ from vetline import schemas, session
 from vetline.schemas import SEEN_KEY
 from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
+from vetline.operators.joins import broadcast_if_bounded
 from vetline.sources import messages as msgs
 from vetline.sources.allowlist import allowlisted
 from vetline.sources.tables import read_channels, read_seen
@@ -66,17 +67,30 @@ class TriageResult:
     seen_path: str
     matches_path: str
     channels_path: str | None
+    retry_path: str | None = None
 
 
 def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches_path: str,
                evaluator: Callable[[DataFrame, object], DataFrame] | None = None, run_ts: int = 0,
                channels_path: str | None = None, channels_out: str | None = None,
-               threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None) -> TriageResult:
+               threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
+               retry_in: str | None = None, retry_out: str | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
-    ``channels_out`` receives the touched channel snapshot."""
+    ``channels_out`` receives the touched channel snapshot.
+
+    A ``transient`` message is not recorded, so it is evaluated again when
+    it arrives again.  For sources that do not deliver a message twice (a
+    stream, a one-shot export), ``retry_out`` receives the messages still
+    transient after this run, and the next run passes that folder as
+    ``retry_in``: its messages join the arrivals.  ``retry_out`` is a new
+    folder per run (a snapshot, not a log), so the retry set never grows with
+    messages that have since been recorded."""
     session.configure(spark)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
     seen = _read_or_empty(spark, seen_path)
+    if retry_in:
+        pending = spark.read.schema(schemas.MESSAGES).parquet(retry_in)
+        arrivals = arrivals.unionByName(pending, allowMissingColumns=True)
     routed_path = session.scratch_path(spark, "routed")
     triage_plan(arrivals, seen, evaluator, threshold, allowed=allowed).write.parquet(routed_path)
     routed = spark.read.parquet(routed_path)
@@ -92,7 +106,13 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
         .write.mode("append").partitionBy("dt").parquet(matches_path)
     if channels_path and channels_out:
         state.touch_channels(read_channels(spark, channels_path), new_seen).write.parquet(channels_out)
-    return TriageResult(routed_path, seen_path, matches_path, channels_out)
+    if retry_out:
+        # transient keys are at most the batch: size-checked, then the
+        # arrivals stream through them (no shuffle of the arrivals)
+        keys = broadcast_if_bounded(routed.filter(F.col("disposition") == "transient").select(*SEEN_KEY))
+        msg_cols = [f.name for f in schemas.MESSAGES.fields]
+        arrivals.join(keys, SEEN_KEY, "left_semi").select(*msg_cols).write.parquet(retry_out)
+    return TriageResult(routed_path, seen_path, matches_path, channels_out, retry_out)
 
 
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
