@@ -118,3 +118,23 @@ def test_transient_messages_retried_from_the_retry_table(spark):
     # every message is recorded exactly once after both runs
     s = spark.read.parquet(seen)
     assert s.count() == s.select("chat_id", "msg_id").distinct().count() == 200
+
+
+def test_first_run_registers_channels(spark):
+    seen, matches, ch_out = _paths()
+    regs = fx.fx_directory(spark, SF001).select("chat_id", F.col("handle").alias("username"),
+                                                F.col("handle").alias("title"))
+    jobs.run_triage(spark, fx.fx_messages(spark, SF001), seen, matches, run_ts=77,
+                    channels_out=ch_out, registrations=regs)
+    got = {r["chat_id"]: r for r in rows(spark.read.parquet(ch_out))}
+    assert len(got) == 20 and all(r["last_msg_ts"] == 77 for r in got.values())
+    # a later run re-registers one chat with a new title: the title changes,
+    # the activity time stays (nothing new is recorded in that run)
+    one = next(iter(got))
+    ch_out2 = ch_out + "2"
+    jobs.run_triage(spark, fx.fx_messages(spark, SF001), seen, matches, run_ts=99, channels_path=ch_out,
+                    channels_out=ch_out2, registrations=spark.createDataFrame(
+                        [(one, "renamed", "New title")], "chat_id long, username string, title string"))
+    got2 = {r["chat_id"]: r for r in rows(spark.read.parquet(ch_out2))}
+    assert got2[one]["title"] == "New title" and got2[one]["last_msg_ts"] == 77
+    assert len(got2) == 20

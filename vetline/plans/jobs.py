@@ -74,9 +74,13 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
                evaluator: Callable[[DataFrame, object], DataFrame] | None = None, run_ts: int = 0,
                channels_path: str | None = None, channels_out: str | None = None,
                threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
-               retry_in: str | None = None, retry_out: str | None = None) -> TriageResult:
+               retry_in: str | None = None, retry_out: str | None = None,
+               registrations: DataFrame | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
-    ``channels_out`` receives the touched channel snapshot.
+    ``channels_out`` receives the channel snapshot: the table at
+    ``channels_path`` (empty on the first run), with ``registrations``
+    (``chat_id, username, title``, e.g. the resolved sources) upserted, then
+    touched by this run's recorded messages.
 
     A ``transient`` message is not recorded, so it is evaluated again when
     it arrives again.  For sources that do not deliver a message twice (a
@@ -104,8 +108,11 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     new_seen.select("*", day).write.mode("append").partitionBy("dt").parquet(seen_path)
     cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")).select("*", day) \
         .write.mode("append").partitionBy("dt").parquet(matches_path)
-    if channels_path and channels_out:
-        state.touch_channels(read_channels(spark, channels_path), new_seen).write.parquet(channels_out)
+    if channels_out:
+        channels = _read_channels_or_empty(spark, channels_path)
+        if registrations is not None:
+            channels = state.upsert_channels(channels, registrations)
+        state.touch_channels(channels, new_seen).write.parquet(channels_out)
     if retry_out:
         # transient keys are at most the batch: size-checked, then the
         # arrivals stream through them (no shuffle of the arrivals)
@@ -127,6 +134,17 @@ def _day():
     return F.to_date(tx.from_epoch("ts")).alias("dt")
 
 
+def _read_channels_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
+    """The channel table at ``path``; empty when there is none yet."""
+    if path:
+        try:
+            return read_channels(spark, path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    return spark.createDataFrame([], schemas.CHANNELS)
+
+
 def _read_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The outcome table at ``path``; empty on the first run."""
     try:
