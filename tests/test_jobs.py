@@ -138,3 +138,22 @@ def test_first_run_registers_channels(spark):
     got2 = {r["chat_id"]: r for r in rows(spark.read.parquet(ch_out2))}
     assert got2[one]["title"] == "New title" and got2[one]["last_msg_ts"] == 77
     assert len(got2) == 20
+
+
+def test_seen_check_pruned_to_recent_days(spark):
+    seen, matches, _ = _paths()
+    arrivals = fx.fx_messages(spark, SF001)
+    run1 = 1735689600                      # 2025-01-01, after every message date
+    jobs.run_triage(spark, arrivals, seen, matches, run_ts=run1)
+    since = jobs.seen_horizon(arrivals)
+    assert since is not None and since < run1
+    r2 = jobs.run_triage(spark, arrivals, seen, matches, run_ts=run1 + 86400, seen_since=since)
+    got = {r["disposition"]: r["count"] for r in rows(spark.read.parquet(r2.routed_path).groupBy("disposition").count())}
+    assert got == {"dedup_skip": 200}
+    # the seen check lists only the days since the horizon
+    plan = jobs.triage_plan(arrivals, jobs._read_or_empty(spark, seen, since), jobs.rules_evaluator())
+    p = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in p
+    # a message without a date forces the full check
+    undated = arrivals.limit(3).withColumn("msg_date", F.lit(None).cast("timestamp"))
+    assert jobs.seen_horizon(arrivals.unionByName(undated)) is None

@@ -75,7 +75,7 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
                channels_path: str | None = None, channels_out: str | None = None,
                threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
                retry_in: str | None = None, retry_out: str | None = None,
-               registrations: DataFrame | None = None) -> TriageResult:
+               registrations: DataFrame | None = None, seen_since: int | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
     ``channels_out`` receives the channel snapshot: the table at
     ``channels_path`` (empty on the first run), with ``registrations``
@@ -88,10 +88,15 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     transient after this run, and the next run passes that folder as
     ``retry_in``: its messages join the arrivals.  ``retry_out`` is a new
     folder per run (a snapshot, not a log), so the retry set never grows with
-    messages that have since been recorded."""
+    messages that have since been recorded.
+
+    ``seen_since`` (epoch seconds, e.g. from ``seen_horizon``) limits the
+    seen check to outcome rows recorded since then -- older days of the log
+    are pruned, not read.  Only pass it when records are written after the
+    messages are posted (processing time), so no older record can match."""
     session.configure(spark)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
-    seen = _read_or_empty(spark, seen_path)
+    seen = _read_or_empty(spark, seen_path, seen_since)
     if retry_in:
         pending = spark.read.schema(schemas.MESSAGES).parquet(retry_in)
         arrivals = arrivals.unionByName(pending, allowMissingColumns=True)
@@ -145,10 +150,22 @@ def _read_channels_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
     return spark.createDataFrame([], schemas.CHANNELS)
 
 
-def _read_or_empty(spark: SparkSession, path: str) -> DataFrame:
+def seen_horizon(arrivals: DataFrame, margin_s: int = 86400) -> int | None:
+    """Earliest record time an outcome row of these messages can have: the
+    oldest message date less ``margin_s`` (clock skew), as one aggregate
+    over the batch.  None when a message has no date (then the whole
+    outcome table must be checked) or the batch is empty."""
+    r = arrivals.agg(F.min(F.unix_seconds(F.col("msg_date"))).alias("lo"),
+                     F.count(F.when(F.col("msg_date").isNull(), 1)).alias("undated")).first()
+    if r is None or r["lo"] is None or r["undated"]:
+        return None
+    return int(r["lo"]) - int(margin_s)
+
+
+def _read_or_empty(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
     """The outcome table at ``path``; empty on the first run."""
     try:
-        return read_seen(spark, path)
+        return read_seen(spark, path, since_epoch)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], schemas.SEEN)

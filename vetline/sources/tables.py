@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vetline import schemas
+from vetline.functions.text import from_epoch
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +36,21 @@ def evolve(*frames: DataFrame, schema: T.StructType = schemas.SEEN) -> DataFrame
     return out
 
 
-def read_seen(spark: SparkSession, path: str) -> DataFrame:
+def read_seen(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
     """Outcome table at ``path`` read with its fixed schema: files written
     before ``is_vacancy``/``title`` existed read back NULL there.  No schema
-    inference or footer merge over the (many) files of the log."""
-    return conform(spark.read.schema(schemas.SEEN).parquet(path), schemas.SEEN)
+    inference or footer merge over the (many) files of the log.
+
+    With ``since_epoch`` only rows recorded at or after it are read; on the
+    day-partitioned log that is a partition filter (older days are not
+    listed or opened), else a pushed ``ts`` filter."""
+    df = spark.read.schema(schemas.SEEN).parquet(path)
+    if since_epoch is not None:
+        cond = F.col("ts") >= F.lit(int(since_epoch))
+        if "dt" in df.columns:
+            cond = (F.col("dt") >= F.to_date(from_epoch(F.lit(int(since_epoch))))) & cond
+        df = df.filter(cond)
+    return conform(df, schemas.SEEN)
 
 
 def read_channels(spark: SparkSession, path: str) -> DataFrame:
