@@ -71,3 +71,21 @@ def test_message_stream_with_batch_scorer_equals_batch(spark):
                                                                F.col("out_score").alias("score"))
     assert streamed == sorted(map(str, rows(batch)))
     assert {r["disposition"] for r in rows(spark.read.parquet(out))} >= {"transient", "crash", "parse_error"}
+
+
+def test_stream_with_pruned_seen_equals_full_seen(spark):
+    from vetline.sources.tables import read_seen
+    d = tempfile.mkdtemp(prefix="vetline-msgs-pruned-")
+    m = fx.fx_messages(spark, SF001).select(*[f.name for f in schemas.MESSAGES.fields])
+    m.write.parquet(d + "/in")
+    seen_path = d + "/seen"
+    # half of the messages were recorded by an earlier run (after they were posted)
+    half = msgs.read_messages(spark, d + "/in").filter(F.col("msg_id") % 2 == 0)
+    jobs.run_triage(spark, half, seen_path, d + "/matches", run_ts=1735689600)
+    since = jobs.seen_horizon(msgs.read_messages(spark, d + "/in"))
+    outs = []
+    for name, seen in (("full", read_seen(spark, seen_path)), ("pruned", read_seen(spark, seen_path, since))):
+        plan = ts.triage_stream(msgs.read_messages(spark, d + "/in", streaming=True), seen)
+        out = ts.run_available_now(spark, plan, "t_prune_" + name)
+        outs.append(sorted(map(str, rows(spark.read.parquet(out).select("chat_id", "msg_id", "disposition")))))
+    assert outs[0] == outs[1] and len(outs[0]) > 0

@@ -45,6 +45,13 @@ def triage_stream(stream: DataFrame, seen: DataFrame, rules: Sequence[evaluate.R
     ``evaluator(df, mask)`` is the batch job's scorer hook (rules by
     default; a user batch scorer runs through ``mapInPandas``, which works
     on a stream too); it is asked only for rows that pass the junk filter.
+
+    Every micro-batch reads ``seen`` again.  Pass
+    ``read_seen(spark, path, since_epoch=...)`` with the oldest date a
+    message of this query can have (query start for live messages, the
+    backfill cutoff for backfilled ones, less a margin): records are written
+    after messages are posted, so older days of the log cannot match and are
+    pruned from every micro-batch's read.
     """
     n = msgs.normalize(stream).dropDuplicates(SEEN_KEY)
     fresh = dedup.unseen(n, seen).withColumn("worth", tx.worth_evaluating("text"))
