@@ -332,6 +332,10 @@ Q["backfill_scan"] = _with(["fx_first"], _BACKFILLED + """
 SELECT chat_id, msg_id, date_s,
   coalesce(nullif(raw_title, ''), nullif(chat_username, ''), CAST(chat_id AS VARCHAR), '?') AS title
 FROM backfilled""")
+Q["backfill_scan_default"] = _with(["fx_first"], _BACKFILLED.replace("rn <= 20)", "rn <= 200)") + """
+SELECT chat_id, msg_id, date_s,
+  coalesce(nullif(raw_title, ''), nullif(chat_username, ''), CAST(chat_id AS VARCHAR), '?') AS title
+FROM backfilled""")
 Q["backfill_counts"] = _with(["fx_first", "fx_directory"], _BACKFILLED + """
 SELECT d.chat_id, d.handle, count(b.msg_id) AS n_scanned
 FROM fx_directory d LEFT JOIN backfilled b ON b.chat_id = d.chat_id

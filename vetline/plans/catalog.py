@@ -210,6 +210,14 @@ def q_backfill_scan(spark, d):
                     tx.backfill_title(F.col("chat_title"), F.col("chat_username"), F.col("chat_id")).alias("title"))
 
 
+@register("backfill_scan_default")
+def q_backfill_scan_default(spark, d):
+    """The backfill scan at the service's default cap (200 per source)."""
+    b = msgs.backfill(_distinct_messages(spark, d), BACKFILL_CUTOFF, cap=msgs.BACKFILL_CAP)
+    return b.select("chat_id", "msg_id", "date_s",
+                    tx.backfill_title(F.col("chat_title"), F.col("chat_username"), F.col("chat_id")).alias("title"))
+
+
 @register("backfill_counts")
 def q_backfill_counts(spark, d):
     counts = _backfilled(spark, d).groupBy("chat_id").agg(F.count(F.lit(1)).alias("n_scanned"))
