@@ -129,9 +129,14 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
 
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
     """Latest row per key of the append log, written as a new table with the
-    log's layout (partitioned by day of ``ts``), so later runs append to it."""
+    log's layout (partitioned by day of ``ts``), so later runs append to it.
+
+    The aggregate leaves rows hashed by key, so every task would hold every
+    day and write a file per day; ``REBALANCE`` on the day groups each day's
+    rows before the write, and AQE splits a large day over several tasks
+    (no single task for a hot day), so the file count follows the data."""
     latest = state.latest_per_key(read_seen(spark, seen_path).withColumn("_batch", F.lit(0)))
-    latest.select("*", _day()).write.partitionBy("dt").parquet(out_path)
+    latest.select("*", _day()).hint("rebalance", "dt").write.partitionBy("dt").parquet(out_path)
     return out_path
 
 
