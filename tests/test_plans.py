@@ -79,3 +79,19 @@ def test_funnel_does_not_rank_every_arrival(spark):
     for i in ranking:
         assert lines[i + 1].startswith("WindowGroupLimit") and "Final" in lines[i + 1]
     assert "partial_count" in p
+
+
+def test_listing_with_a_large_channel_dimension(spark):
+    """Beyond the broadcast bound the channel table is not shuffled for k
+    rows: it streams through a broadcast of the k keys; results are equal."""
+    from vetline.plans import reports
+    from vetline.sources import fixtures as fx
+    seen, ch = fx.fx_seen(spark, SF01), fx.fx_channels(spark, SF01)
+    for ft in ("all", "posted"):
+        small = sorted(map(str, reports.list_messages(seen, ch, ft).collect()))
+        large_df = reports.list_messages(seen, ch, ft, max_broadcast_rows=0)
+        assert sorted(map(str, large_df.collect())) == small
+    p = plan(large_df)
+    assert "LeftSemi" in p and "SortMergeJoin" not in p
+    rec = reports.recent_matches(seen, ch, max_broadcast_rows=0)
+    assert sorted(map(str, rec.collect())) == sorted(map(str, reports.recent_matches(seen, ch).collect()))
