@@ -157,3 +157,19 @@ def test_seen_check_pruned_to_recent_days(spark):
     # a message without a date forces the full check
     undated = arrivals.limit(3).withColumn("msg_date", F.lit(None).cast("timestamp"))
     assert jobs.seen_horizon(arrivals.unionByName(undated)) is None
+
+
+def test_replayed_run_gives_one_card_per_message(spark):
+    from vetline.sources.tables import read_matches
+    seen, matches, _ = _paths()
+    arrivals = fx.fx_messages(spark, SF001)
+    jobs.run_triage(spark, arrivals, seen, matches, run_ts=1735689600)
+    # a replay (the outcome append of the first run lost): the same cards again
+    jobs.run_triage(spark, arrivals, seen + "_lost", matches, run_ts=1735689700)
+    raw = spark.read.parquet(matches)
+    keys = raw.select("chat_id", "msg_id").distinct().count()
+    assert keys > 0 and raw.count() == 2 * keys
+    cards = read_matches(spark, matches)
+    assert cards.count() == keys
+    assert {r["ts"] for r in rows(cards)} == {1735689700}
+    assert read_matches(spark, matches, since_epoch=1735689650).count() == keys

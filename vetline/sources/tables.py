@@ -53,5 +53,23 @@ def read_seen(spark: SparkSession, path: str, since_epoch: int | None = None) ->
     return conform(df, schemas.SEEN)
 
 
+def read_matches(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
+    """The match (card) sink for a consumer that delivers cards: one row per
+    message.  The sink is at-least-once (a re-run after a failed job appends
+    the same cards again); the latest card per key is kept by an aggregate
+    (partial per partition, so copies collapse before the shuffle).  With
+    ``since_epoch`` only days since then are read (partition filter)."""
+    df = spark.read.schema(schemas.MATCHES).parquet(path)
+    if since_epoch is not None:
+        cond = F.col("ts") >= F.lit(int(since_epoch))
+        if "dt" in df.columns:
+            cond = (F.col("dt") >= F.to_date(from_epoch(F.lit(int(since_epoch))))) & cond
+        df = df.filter(cond)
+    cols = [f.name for f in schemas.MATCHES.fields if f.name not in schemas.SEEN_KEY]
+    latest = F.max(F.struct(F.col("ts"), *[F.col(c) for c in cols if c != "ts"])).alias("w")
+    return (df.groupBy(*schemas.SEEN_KEY).agg(latest)
+            .select(*schemas.SEEN_KEY, *[F.col(f"w.{c}").alias(c) for c in cols]))
+
+
 def read_channels(spark: SparkSession, path: str) -> DataFrame:
     return conform(spark.read.schema(schemas.CHANNELS).parquet(path), schemas.CHANNELS)
