@@ -84,3 +84,20 @@ def test_scorer_may_leave_out_optional_columns(spark):
     assert len(got) == len(SCRIPT)
     assert all(r["call_status"] == "ok" and r["match_score"] == 75 and r["input_tokens"] is None
                and r["error"] is None and r["attempt_statuses"] is None for r in got)
+
+
+def test_scorer_answering_twice_keeps_one_row(spark):
+    def twice(batches):
+        import pandas as pd
+        for pdf in batches:
+            one = pd.DataFrame({"chat_id": pdf["chat_id"], "msg_id": pdf["msg_id"],
+                                "raw": ['{"is_vacancy": true, "match_score": 10}'] * len(pdf),
+                                "http_status": [200] * len(pdf)})
+            two = one.assign(raw=['{"is_vacancy": true, "match_score": 90}'] * len(pdf))
+            yield pd.concat([one, two])
+
+    df = _messages(spark).withColumn("chat_username", F.lit(None).cast("string")) \
+        .withColumn("chat_first_name", F.lit(None).cast("string")) \
+        .withColumn("msg_date", F.lit(None).cast("timestamp"))
+    got = rows(evaluate.evaluate_with(df, twice))
+    assert len(got) == len(SCRIPT) and {r["match_score"] for r in got} == {90}

@@ -310,6 +310,8 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
             todo = pdf[pdf["_evaluate"].fillna(False).astype(bool)]
             outs = [o.reindex(columns=names) for o in batch_fn(iter([todo]))] if len(todo) else []
             ans = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=names)
+            # one answer per message (the last one a scorer gives), so a row is never duplicated
+            ans = ans.drop_duplicates(subset=key, keep="last")
             merged = keep.merge(ans, on=key, how="left")
             # columns a scorer leaves out (and unscored rows) are NULL, typed
             for f in ANSWER_SCHEMA.fields:
