@@ -219,3 +219,30 @@ def test_channel_upsert_and_touch_match_brute_force(spark, cur, regs, touches):
         want_t[c] = (u, t, max(vals) if vals else None)
     got_t = {r["chat_id"]: (r["username"], r["title"], r["last_msg_ts"]) for r in rows(state.touch_channels(ch, tc))}
     assert got_t == want_t
+
+
+def _policy(statuses):
+    """Walk the attempts as the client does: stop at 2xx (ok) or a
+    non-retryable status (crash); three retryable failures are transient.
+    Back-off: 2**i seconds after each failed retryable attempt i."""
+    backoff = 0
+    for i, s in enumerate(statuses[:3]):
+        if s is not None and 200 <= s <= 299:
+            return "ok", i + 1, backoff
+        if s is not None and s != 429 and s < 500:
+            return "crash", i + 1, backoff
+        backoff += 2 ** i
+    if len(statuses) >= 3:
+        return "transient", 3, backoff
+    return None, None, None
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from([None, 200, 204, 400, 401, 429, 500, 503]), min_size=1, max_size=4),
+                min_size=1, max_size=200))
+def test_attempt_outcomes_follow_the_retry_policy(spark, seqs):
+    from vetline.operators import evaluate
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "i long, attempt_statuses array<int>")
+    out = rows(evaluate.attempt_outcomes(df).orderBy("i"))
+    for s, r in zip(seqs, out):
+        assert (r["call_status"], r["attempts"], r["backoff_s"]) == _policy(s), s
