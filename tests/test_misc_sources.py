@@ -53,3 +53,34 @@ def test_list_page_titles_equal_single_title(spark):
     for (cid, ft), title in allt.items():
         assert title == rows(reports.list_page_title(ch, ft, cid))[0]["title"]
     assert allt[(6, "posted")] == "? · Posted matches"
+
+
+def test_checkpoint_root_refuses_machine_local_folder_on_a_cluster():
+    from vetline import session
+
+    class Conf:
+        def __init__(self, d):
+            self.d = d
+
+        def get(self, key, default=None):
+            return self.d.get(key, default)
+
+    class Ctx:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Spark:
+        def __init__(self, master, conf):
+            self.sparkContext, self.conf = Ctx(master), Conf(conf)
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Spark("spark://cluster:7077", {}))
+    shared = Spark("spark://cluster:7077", {"spark.checkpoint.dir": "hdfs://nn/ckpt"})
+    assert session.checkpoint_root(shared) == "hdfs://nn/ckpt"
+    assert session.checkpoint_root(Spark("local[2]", {})).startswith("/")
