@@ -30,6 +30,24 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.schema(schemas.MESSAGES).parquet(path)
 
 
+def messages_from_records(records: DataFrame, value_col: str = "value", time_col: str | None = "timestamp",
+                          source: str = "live") -> DataFrame:
+    """Messages from a record stream of JSON values, e.g. the ``value`` bytes
+    of ``spark.readStream.format("kafka")`` (the connector package is needed
+    on the cluster) -- one JSON object per record with the message fields.
+    Parsed with the fixed schema (no inference); a record without a message
+    date takes the record time; ``source`` defaults to ``live``.  Works on a
+    stream or a batch of records alike."""
+    body = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGES).alias("m")
+    has_time = time_col is not None and time_col in records.columns
+    out = records.select(body, *([F.col(time_col).alias("_rec_ts")] if has_time else [])).select("m.*", *(
+        ["_rec_ts"] if has_time else []))
+    cols = {"source": F.coalesce(F.col("source"), F.lit(source))}
+    if has_time:
+        cols["msg_date"] = F.coalesce(F.col("msg_date"), F.col("_rec_ts").cast("timestamp"))
+    return out.withColumns(cols).select(*[f.name for f in schemas.MESSAGES.fields])
+
+
 def normalize(messages: DataFrame) -> DataFrame:
     """Stripped text (NULL -> ''), display title, and text length."""
     return spread(messages).withColumns({
