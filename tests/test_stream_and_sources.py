@@ -85,3 +85,22 @@ def test_messages_from_records(spark):
     assert got[5]["chat_id"] == -1001 and got[5]["source"] == "live"
     assert got[5]["msg_date"].strftime("%Y-%m-%d %H:%M:%S") == "2024-01-02 03:04:05"
     assert got[6]["source"] == "backfill" and got[6]["msg_date"].strftime("%Y-%m-%d") == "2024-05-02"
+
+
+def test_record_stream_through_triage(spark):
+    from pyspark.sql import functions as F
+
+    from vetline.sources import fixtures as fx
+    from vetline.sources import messages as msgs
+    d = tempfile.mkdtemp(prefix="vetline-records-")
+    m = fx.fx_messages(spark, SF001).drop("date_s")
+    recs = m.select(F.col("msg_id").cast("string").cast("binary").alias("key"),
+                    F.to_json(F.struct(*m.columns)).cast("binary").alias("value"),
+                    F.current_timestamp().alias("timestamp"))
+    recs.write.parquet(d + "/in")
+    stream = msgs.messages_from_records(
+        spark.readStream.schema("key binary, value binary, timestamp timestamp").parquet(d + "/in"))
+    seen = spark.createDataFrame([], "chat_id long, msg_id long")
+    out = ts.run_available_now(spark, ts.triage_stream(stream, seen), "t_records")
+    got = spark.read.parquet(out)
+    assert got.count() == m.select("chat_id", "msg_id").distinct().count()
