@@ -79,9 +79,12 @@ def test_messages_from_records(spark):
                             "msg_date": "2024-01-02T03:04:05Z"}).encode(), datetime.datetime(2024, 5, 1)),
         (b"k2", json.dumps({"chat_id": 7, "msg_id": 6, "text": "x", "source": "backfill"}).encode(),
          datetime.datetime(2024, 5, 2)),
+        (b"k3", b"not json", datetime.datetime(2024, 5, 3)),
+        (b"k4", json.dumps({"text": "no key"}).encode(), datetime.datetime(2024, 5, 3)),
     ]
     df = spark.createDataFrame(recs, "key binary, value binary, timestamp timestamp")
     got = {r["msg_id"]: r for r in rows(msgs.messages_from_records(df))}
+    assert set(got) == {5, 6}
     assert got[5]["chat_id"] == -1001 and got[5]["source"] == "live"
     assert got[5]["msg_date"].strftime("%Y-%m-%d %H:%M:%S") == "2024-01-02 03:04:05"
     assert got[6]["source"] == "backfill" and got[6]["msg_date"].strftime("%Y-%m-%d") == "2024-05-02"

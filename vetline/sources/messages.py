@@ -36,8 +36,10 @@ def messages_from_records(records: DataFrame, value_col: str = "value", time_col
     of ``spark.readStream.format("kafka")`` (the connector package is needed
     on the cluster) -- one JSON object per record with the message fields.
     Parsed with the fixed schema (no inference); a record without a message
-    date takes the record time; ``source`` defaults to ``live``.  Works on a
-    stream or a batch of records alike."""
+    date takes the record time; ``source`` defaults to ``live``.  A record
+    that is not a message (malformed JSON, or no ``chat_id``/``msg_id``) has
+    no key to dedup or record by and is left out -- kept, those rows would
+    all meet in one NULL-key group.  Works on a stream or a batch alike."""
     body = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGES).alias("m")
     has_time = time_col is not None and time_col in records.columns
     out = records.select(body, *([F.col(time_col).alias("_rec_ts")] if has_time else [])).select("m.*", *(
@@ -45,7 +47,8 @@ def messages_from_records(records: DataFrame, value_col: str = "value", time_col
     cols = {"source": F.coalesce(F.col("source"), F.lit(source))}
     if has_time:
         cols["msg_date"] = F.coalesce(F.col("msg_date"), F.col("_rec_ts").cast("timestamp"))
-    return out.withColumns(cols).select(*[f.name for f in schemas.MESSAGES.fields])
+    return (out.filter(F.col("chat_id").isNotNull() & F.col("msg_id").isNotNull())
+            .withColumns(cols).select(*[f.name for f in schemas.MESSAGES.fields]))
 
 
 def normalize(messages: DataFrame) -> DataFrame:
