@@ -246,3 +246,19 @@ def test_attempt_outcomes_follow_the_retry_policy(spark, seqs):
     out = rows(evaluate.attempt_outcomes(df).orderBy("i"))
     for s, r in zip(seqs, out):
         assert (r["call_status"], r["attempts"], r["backoff_s"]) == _policy(s), s
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 30) | st.none(), min_size=1, max_size=400), st.integers(1, 12))
+def test_ranked_positions_match_a_sort(spark, keys, parts):
+    from vetline.operators.order import ranked
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k long").repartition(parts)
+        got = {r["id"]: r["rank"] for r in rows(ranked(df, F.col("k").asc_nulls_first(), F.col("id").asc()))}
+    finally:
+        spark.conf.set(key, old)
+    order = sorted(range(len(keys)), key=lambda i: (keys[i] is not None, keys[i] or 0, i))
+    assert got == {i: pos + 1 for pos, i in enumerate(order)}
