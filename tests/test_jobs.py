@@ -173,3 +173,14 @@ def test_replayed_run_gives_one_card_per_message(spark):
     assert cards.count() == keys
     assert {r["ts"] for r in rows(cards)} == {1735689700}
     assert read_matches(spark, matches, since_epoch=1735689650).count() == keys
+
+
+def test_scorer_concurrency_gives_the_same_result(spark):
+    arrivals = fx.fx_messages(spark, SF001)
+    seen = spark.createDataFrame([], "chat_id long, msg_id long, is_vacancy int, score int, posted int, "
+                                     "title string, ts long")
+    base = jobs.triage_plan(arrivals, seen, jobs.batch_evaluator(fx.fx_scorer))
+    limited = jobs.triage_plan(arrivals, seen, jobs.batch_evaluator(fx.fx_scorer, concurrency=3))
+    pick = ["chat_id", "msg_id", "disposition", "out_score"]
+    assert sorted(map(str, rows(limited.select(*pick)))) == sorted(map(str, rows(base.select(*pick))))
+    assert limited.count() == arrivals.select("chat_id", "msg_id").distinct().count()
