@@ -77,3 +77,31 @@ def test_backfill_hot_chat_equals_take_while(spark):
     for cutoff, cap in ((500, 200), (500, 50), (5000, 200), (0, 3)):
         got = sorted((r["chat_id"], r["msg_id"]) for r in rows(msgs.backfill(df, cutoff, cap=cap)))
         assert got == _brute_backfill(data, cutoff, cap), (cutoff, cap)
+
+
+def test_channel_stats_with_a_hot_channel_equals_brute_force(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from vetline import schemas
+    from vetline.plans import reports
+    rnd = random.Random(7)
+    data = []
+    for i in range(6000):
+        chat = 1 if i < 4000 else rnd.randint(2, 40)       # chat 1 holds two thirds of the rows
+        vac = rnd.choice([None, 0, 1])
+        data.append((chat, i, vac, rnd.randint(0, 100), int(vac == 1 and rnd.random() < 0.5), None, i))
+    seen = spark.createDataFrame(data, schemas.SEEN).repartition(12)
+    ch = spark.createDataFrame([(c, None, f"c{c}", None) for c in range(1, 45)], schemas.CHANNELS)
+    got = {r["chat_id"]: (r["total"], r["vacancies"], r["posted"], r["avg_score"], r["max_score"])
+           for r in rows(reports.channel_stats(ch, seen))}
+    want = {}
+    for c in range(1, 45):
+        rs = [r for r in data if r[0] == c]
+        vs = [r[3] for r in rs if r[2] == 1]
+        avg = None if not vs else float(Decimal(sum(vs)) / Decimal(len(vs)))
+        avg = None if avg is None else float(Decimal(repr(avg)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
+        want[c] = (len(rs), len(vs), sum(r[4] for r in rs), avg, max(vs) if vs else 0)
+    assert got == want
+    plan = reports.channel_stats(ch, seen)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
