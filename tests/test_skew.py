@@ -105,3 +105,16 @@ def test_channel_stats_with_a_hot_channel_equals_brute_force(spark):
     assert got == want
     plan = reports.channel_stats(ch, seen)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_seen_flag_paths_agree(spark):
+    from vetline.sources import fixtures as fx
+    from conftest import SF001
+    msgs_ = dedup.first_arrivals(fx.fx_messages(spark, SF001))
+    seen = fx.fx_messages(spark, SF001).filter(F.col("source") == "live").select("chat_id", "msg_id")
+    small = dedup.flag_seen(msgs_, seen, candidate_keys=msgs_)
+    large = dedup.flag_seen(msgs_, seen, candidate_keys=msgs_, max_broadcast_rows=0)
+    none = dedup.flag_seen(msgs_, seen)
+    pick = lambda d: sorted(map(str, rows(d.select("chat_id", "msg_id", "in_seen"))))
+    assert pick(small) == pick(large) == pick(none)
+    assert {r["in_seen"] for r in rows(small)} == {True, False}
