@@ -118,3 +118,15 @@ def test_seen_flag_paths_agree(spark):
     pick = lambda d: sorted(map(str, rows(d.select("chat_id", "msg_id", "in_seen"))))
     assert pick(small) == pick(large) == pick(none)
     assert {r["in_seen"] for r in rows(small)} == {True, False}
+
+
+def test_upsert_paths_agree(spark):
+    from conftest import SF001
+    from vetline.operators import state
+    from vetline.plans.catalog import _seen_batches
+    from vetline.sources import fixtures as fx
+    cur = fx.fx_seen(spark, SF001)
+    b1, b2 = _seen_batches(spark, SF001)
+    small = state.upsert_seen(cur, b1, b2)
+    large = state.upsert_seen(cur, b1, b2, max_broadcast_rows=0)
+    assert sorted(map(str, rows(small))) == sorted(map(str, rows(large)))
