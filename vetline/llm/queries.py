@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import minhash, packing
+from vetline.llm import minhash, packing, substring
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op5(spark, d):
 @register("op10_packing")
 def op10(spark, d):
     return packing.pack(read_table(spark, d, "documents"), tokenizer_path(), with_ids=False)
+
+
+@register("op9_substring_dedup")
+def op9(spark, d):
+    return substring.remove_repeats(read_table(spark, d, "documents"), with_text=False)
