@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import minhash, packing, substring
+from vetline.llm import minhash, packing, quality, substring
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op10(spark, d):
 @register("op9_substring_dedup")
 def op9(spark, d):
     return substring.remove_repeats(read_table(spark, d, "documents"), with_text=False)
+
+
+@register("op8_quality_knn")
+def op8(spark, d):
+    return quality.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
