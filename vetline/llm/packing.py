@@ -24,96 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vetline.llm import common as c
+from vetline.llm.token_ids import TokenIds
 
 CAPACITY = 4096
 SMALL = 1024            # longer pieces are packed by configurations
 GROUPS = 256            # groups of equal cardinality
 SHARD_PIECES = 60_000   # pieces best-fitted together
-CACHED_WORDS = 300_000  # per Python worker
-# ASCII punctuation that the tokenizer's pattern keeps in one run after letters
-TAIL = "!\"#$%&()*+,-./:;<=>?@[]^_{|}~"
-
-
-class WordIds:
-    """Token ids of whole texts, from the ids of their white-space separated
-    chunks: the tokenizer's pattern never spans white space, so a text's ids
-    are its chunks' ids in order.  Chunks are looked up in a bounded cache and
-    only new ones are encoded.  Texts in which chunks are not independent
-    (special token strings; separators that only Python counts as space) are
-    encoded whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.clear()
-
-    def clear(self):
-        self.index: dict[str, int] = {}
-        self.lens = np.zeros(1024, np.int64)
-        self.starts = np.zeros(1024, np.int64)
-        self.ids = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def _add(self, chunk: str, ids) -> None:
-        i, n = len(self.index), len(ids)
-        if i >= len(self.lens):
-            self.lens, self.starts = np.resize(self.lens, 2 * i), np.resize(self.starts, 2 * i)
-        while self.used + n > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.lens[i], self.starts[i] = n, self.used
-        self.ids[self.used:self.used + n] = ids
-        self.used += n
-        self.index[chunk] = i
-
-    def _ids(self, chunk: str) -> np.ndarray:
-        i = self.index[chunk]
-        return self.ids[self.starts[i]:self.starts[i] + self.lens[i]]
-
-    def _learn(self, chunks: set[str]) -> None:
-        parts, ask = {}, set()
-        for x in chunks:
-            core = x.rstrip(TAIL)
-            tail = x[len(core):]
-            if core.isascii():
-                core = core.lower()
-            if tail and core and core.isalpha():
-                parts[x] = core, tail
-                ask.update(p for p in (core, tail) if p not in self.index)
-            elif core.isascii() and core.isalpha() and core != x:
-                parts[x] = (core,)
-                if core not in self.index:
-                    ask.add(core)
-            else:
-                ask.add(x)
-        ask = list(ask)
-        for i in range(0, len(ask), 10_000):
-            some = ask[i:i + 10_000]
-            for x, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                self._add(x, e.ids)
-        for x, p in parts.items():
-            if x not in self.index:
-                self._add(x, np.concatenate([self._ids(y) for y in p]))
-
-    def __call__(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special) or any("\x1c" <= ch <= "\x1f" for ch in set(text) if ch < " "):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        chunks = text.split()
-        index = self.index
-        at = list(map(index.get, chunks))
-        if None in at:
-            if len(index) > CACHED_WORDS:
-                self.clear()
-                index = self.index
-            self._learn({x for x in chunks if x not in index})
-            at = [index[x] for x in chunks]
-        at = np.array(at, np.int64)
-        n = self.lens[at]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.arange(total) + np.repeat(self.starts[at] - (ends - n), n)
-        return self.ids[where]
 
 
 def _tokenised(path: str, capacity: int, end_id: int, with_ids: bool):
@@ -121,12 +37,12 @@ def _tokenised(path: str, capacity: int, end_id: int, with_ids: bool):
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
 
     def run(batches):
-        ids_of = WordIds(path)
+        ids_of = TokenIds(path)
 
         def rows():
             for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = np.append(ids_of(text or ""), np.uint32(end_id)).astype("<u4")
+                for key, own in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist())):
+                    ids = np.append(own, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         piece = ids[start:start + capacity]
                         row = key, k, start, len(piece), zlib.crc32(piece.tobytes())
