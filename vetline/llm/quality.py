@@ -81,7 +81,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     """The model: inverse document frequencies, latent directions, labelled
     vectors, labels and prior, all of bounded size."""
     rows = v.labelled_sample(docs, labels, label, modulus, held_out, sample, id_col, text_col)
-    n, df = v.document_frequencies(docs, text_col, Counts, SIZE)
+
+    def presence():
+        count = Counts()
+        return lambda texts: sum((count(t) > 0).astype(np.int64) for t in texts.to_pylist()) + np.zeros(SIZE, np.int64)
+
+    n, df = v.document_frequencies(docs, text_col, presence, SIZE)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
     if not rows:
         return {"idf": idf, "basis": np.zeros((SIZE, 1), np.float32), "x": np.zeros((0, 1), np.float32),

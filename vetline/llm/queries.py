@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import minhash, packing, quality, substring
+from vetline.llm import minhash, packing, quality, substring, toxicity
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op9(spark, d):
 @register("op8_quality_knn")
 def op8(spark, d):
     return quality.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
+@register("op6_toxicity_blockmax")
+def op6(spark, d):
+    return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"), evidence=False)

@@ -29,13 +29,6 @@ def shape(word: str) -> str:
     return _SAME.sub(r"\1\1", _UPPER.sub("AA", s)) if len(s) > 1 else s
 
 
-def grams(word: str, sizes: Sequence[int] = (4, 5)) -> set[str]:
-    """The word, lower-cased and without outer punctuation, and its character n-grams."""
-    w = word[:64].lower().strip("'\"()[]{}<>.,;:!?*#$%&|=+-_/\\")
-    edged = f"^{w}$"
-    return {w} | {edged[i:i + n] for n in sizes for i in range(len(edged) - n + 1)}
-
-
 class WordFeatures:
     """Feature numbers of words, in flat arrays behind a bounded index."""
 
@@ -80,6 +73,53 @@ class WordFeatures:
         return np.bincount(self.flat[where], minlength=size).astype(np.float32)
 
 
+GRAM = 5                    # bytes; at most 8
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
+
+
+def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ``GRAM``-byte grams of texts (A-Z lower-cased; ASCII signs and white
+    space are one kind of edge, which is also before and after a text), packed
+    into integers, and the text of each."""
+    gap = b" " * (GRAM - 1)
+    raw = gap + b"".join(t.translate(_FOLD) + gap for t in texts)
+    buf = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    n = len(buf) - GRAM + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    for i in range(GRAM):
+        out <<= np.uint64(8)
+        out |= buf[i:i + n]
+    ends = np.cumsum([len(t) + GRAM - 1 for t in texts])
+    return out, np.repeat(np.arange(len(texts)), np.diff(np.append(0, ends)))
+
+
+class GramTerms:
+    """Counts of known grams in texts."""
+
+    def __init__(self, terms: np.ndarray):
+        self.order = np.argsort(terms)
+        self.sorted = terms[self.order]
+        self.maybe = np.zeros(1 << 16, bool)        # most grams are told apart by 16 bits
+        self.maybe[self._short(self.sorted)] = True
+
+    @staticmethod
+    def _short(g: np.ndarray) -> np.ndarray:
+        return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+    def found(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and count of each term in each text, by text and term."""
+        none = np.empty(0, np.int64)
+        if not len(self.sorted) or not texts:
+            return none, none, none
+        g, of = byte_grams(texts)
+        at = np.flatnonzero(self.maybe[self._short(g)])
+        g, of = g[at], of[at]
+        row = np.minimum(np.searchsorted(self.sorted, g), len(self.sorted) - 1)
+        sure = self.sorted[row] == g
+        both, n = np.unique(of[sure] * len(self.sorted) + self.order[row[sure]], return_counts=True)
+        return both // len(self.sorted), both % len(self.sorted), n
+
+
 @lru_cache(20_000)
 def hashed(feature: str, size: int) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % size
@@ -92,16 +132,17 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
-def document_frequencies(docs: DataFrame, text_col: str, vectoriser, size: int) -> tuple[int, np.ndarray]:
+def document_frequencies(docs: DataFrame, text_col: str, presence: Callable[[], Callable[[list], np.ndarray]],
+                         size: int) -> tuple[int, np.ndarray]:
     """Documents, and documents with each feature, over the whole corpus: each
-    task adds up its own rows, and ``size`` sums reach the driver."""
+    task adds up its own rows, and ``size`` sums reach the driver.  ``presence``
+    makes, in a task, a function from texts to the sums over them."""
     def run(batches):
-        count, n = vectoriser(), 0
+        count, n = presence(), 0
         df = np.zeros(size, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                df += count(text) > 0
-                n += 1
+            df += count(batch.column(0))
+            n += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(np.append(df, n))], names=["f", "n"])
 
     sums = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n"))
