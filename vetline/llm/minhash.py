@@ -24,6 +24,7 @@ from vetline.llm import common as c
 SUB_KEYS = 9
 SUB_SIZE = 2
 SKETCH_BITS = 128
+BLOCK = 1024            # documents of a bucket compared in one task with as many others
 SKETCH_DIFFER = 28      # at similarity 0.85 a pair differs in 9.6 +- 3 of the 128 bits
 
 
@@ -106,6 +107,75 @@ def _confirm(shingle: int, percent: int):
     return run
 
 
+def _grams(shingle: int):
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t.lower().split(), shingle) for t in c.byte_texts(batch.column(1))]
+            for i in range(0, len(sets), 200):
+                some = sets[i:i + 200]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(some).view(np.int64)),
+                     pa.array(np.repeat(batch.column(0).to_numpy()[i:i + 200], [len(x) for x in some]))], names=["gram", "node"])
+    return run
+
+
+def _mixed_buckets(met: DataFrame, comp: DataFrame) -> DataFrame:
+    """``(key, node, comp)`` of the buckets with nodes of several components."""
+    labelled = met.select("key", "node").join(comp, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("comp"))
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    return labelled.join(mixed, "key")
+
+
+def _possible(percent: int):
+    """Whether shingles of their own leave a pair room for the threshold:
+    |a & b| <= min(n - u) and <= (n_a + n_b - u_a - u_b) / 2."""
+    n = F.col("a_n") + F.col("b_n")
+    most = F.least(2 * (F.col("a_n") - F.col("a_u")), 2 * (F.col("b_n") - F.col("b_u")), n - F.col("a_u") - F.col("b_u"))
+    return most * (100 + percent) >= 2 * percent * n
+
+
+def _sets(shingle: int):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingle_set(t.lower().split(), shingle).tobytes() for t in c.byte_texts(batch.column(1))])],
+                names=["node", "grams"])
+    return run
+
+
+def _met(percent: int):
+    """Links that join different components, between the two blocks of a
+    bucket of the i-th sub-key; pairs that share an earlier one met there."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        i, _, p, q = (k.as_py() for k in key)
+        own, node, comp, n, u = (table.column(x).to_numpy() for x in ("own", "node", "comp", "n", "u"))
+        order = np.argsort(node, kind="stable")
+        sketch = np.stack([table.column(x).to_numpy().view(np.uint64) for x in ("s1", "s2")], axis=1)
+        earlier = np.array(table.column("sub").to_pylist(), np.int64)[:, :i]
+        grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        left, right = order[own[order] == p], order[own[order] == q]
+        comp, links = comp.copy(), []
+        for at, x in enumerate(left):
+            ys = right[at + 1:] if p == q else right
+            ys = ys[(comp[ys] != comp[x]) & (100 * np.minimum(n[x], n[ys]) >= percent * np.maximum(n[x], n[ys]))]
+            total = n[x] + n[ys]
+            most = np.minimum(np.minimum(2 * (n[x] - u[x]), 2 * (n[ys] - u[ys])), total - u[x] - u[ys])
+            ys = ys[most * (100 + percent) >= 2 * percent * total]
+            ys = ys[np.bitwise_count(sketch[ys] ^ sketch[x]).sum(axis=1) <= SKETCH_DIFFER]
+            ys = ys[~(earlier[ys] == earlier[x]).any(axis=1)]
+            for y in ys:
+                if comp[y] == comp[x]:
+                    continue
+                both = len(np.intersect1d(grams[x], grams[y], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    links.append((node[x], node[y]))
+                    comp[comp == comp[y]] = comp[x]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     percent: int = 85, sub_keys: int = SUB_KEYS, sub_size: int = SUB_SIZE) -> DataFrame:
     """One row per input row: its id, ``n_shingles``, ``component_id`` (smallest
@@ -119,11 +189,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null when there is none, and it is not ``kept``.  Other columns of
     ``docs`` are not read.
 
-    Two rounds find the links that components need.  First every member of a
-    table's bucket is compared with the bucket's smallest member; then members
-    of different components of that graph are compared with each other, all of
-    them, so that a group of copies is never expanded into its pairs but no
-    pair of a shared bucket that could join two components is left out.
+    Three rounds find the links that components need.  Every member of a
+    table's bucket is compared with the bucket's smallest member; where several
+    components remain, with the member closest to all; then members of
+    different components with each other, unless set sizes, sketches or
+    shingles that only one document has rule the pair out.  So a group of copies
+    is not expanded into its pairs, and no pair of a shared bucket that could
+    join two components is left out.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).select(
         "id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2"), "text")
@@ -163,17 +235,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = c.stored(stars.join(side(about, "a"), "a").join(side(about, "b"), "b").where(likely()).select("a", "b"), "stars")
     links = confirmed(stars, "links")
     first = c.components(links)
-    # buckets that still hold several components
-    labelled = met.select("key", "node").join(first, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    left = c.stored(labelled.join(mixed, "key").join(about, "node"), "left")
-    cross = side(left.withColumnRenamed("key", "k"), "a").join(
-        side(left.withColumnRenamed("key", "k"), "b"),
-        (F.col("a_k") == F.col("b_k")) & (F.col("a") < F.col("b")) & (F.col("a_comp") != F.col("b_comp")) & likely())
-    cross = c.stored(cross.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "cross")
-    more = confirmed(cross, "more_links")
-    comp = c.components(links.unionByName(more))
+    # Second round, in buckets that still hold several components.  Shingles that no other document there has
+    # count towards the difference of any pair, so the member with the fewest of its own is the one closest to
+    # whatever the others copy, and a pair with too many between them cannot be linked.
+    left = c.stored(_mixed_buckets(met, first).join(about, "node"), "left")
+    own = texts.join(left.select("node").distinct(), "node").mapInArrow(_grams(shingle), "gram long, node long").groupBy(
+        "gram").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1").groupBy("node").agg(
+        F.count("*").alias("u"))
+    left = left.join(own, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    left = c.stored(left.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "left_own")
+    center = left.groupBy("key").agg(F.min(F.struct("u", "node")).alias("c")).select("key", F.col("c.node").alias("c"))
+    again = left.join(center, "key").select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).where(
+        "a < b").distinct().join(stars, ["a", "b"], "left_anti")
+    facts = left.select("node", "n", "s1", "s2", "u").distinct()
+    again = c.stored(again.join(side(facts, "a"), "a").join(side(facts, "b"), "b").where(likely() & _possible(percent))
+                     .select("a", "b"), "again")
+    links = links.unionByName(confirmed(again, "again_links"))
+    second = c.components(links)
+    # Last, all pairs of different components that share a sub-key of A (so all that share a table): blocks of
+    # such a bucket meet in tasks of bounded size, which return one link for each two components they join.
+    rest = _mixed_buckets(left.select("key", "node"), second).select("node", "comp").distinct().join(facts, "node")
+    rest = c.stored(rest.join(nodes.select("node", "sub"), "node").join(
+        texts.mapInArrow(_sets(shingle), "node long, grams binary"), "node"), "rest")
+    spread = rest.select("*", F.posexplode(F.slice("sub", 1, m)).alias("i", "a"))
+    sizes = spread.groupBy("i", "a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"),
+                                         F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").drop("x", "y")
+    dealt = spread.join(sizes, ["i", "a"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "i", "a", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "comp", "n", "u",
+        "s1", "s2", "sub", "grams")
+    cross = c.stored(dealt.groupBy("i", "a", "p", "q").applyInArrow(_met(percent), "a long, b long"), "cross_links")
+    comp = c.components(links.unionByName(cross))
     reached = nodes.join(comp, "node", "left").select(
         "set_id", "low_id", F.coalesce("component", "node").alias("component"))
     lowest = reached.groupBy("component").agg(F.min("low_id").alias("component_id"))
