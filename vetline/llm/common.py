@@ -61,6 +61,54 @@ def gram_hashes(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return out
 
 
+_R = np.random.default_rng(11)
+_VALUES = _R.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2**64, at least n."""
+    size = 1 << max(n - 1, 1).bit_length()
+    if size not in _POWERS:
+        if len(_POWERS) > 8:
+            _POWERS.clear()
+        _POWERS[size] = tuple(np.append(np.uint64(1), np.cumprod(np.full(size - 1, b, np.uint64), dtype=np.uint64))
+                              for b in (_BASE, pow(_BASE, -1, 2**64)))
+    return _POWERS[size]
+
+
+def byte_values(buf: np.ndarray) -> np.ndarray:
+    return _VALUES[buf]
+
+
+class Spans:
+    """Hashes of any spans of a sequence of hashes, by sums of their powers."""
+
+    def __init__(self, h: np.ndarray):
+        up, self.down = powers(len(h) + 1)
+        self.sums = np.append(np.uint64(0), np.cumsum(h * up[:len(h)], dtype=np.uint64))
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[ord(x) for x in ASCII_SPACE]] = True
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, in order, and how many each has."""
+    raw = b" ".join(texts) + b" "
+    buf = np.frombuffer(raw, np.uint8)
+    space = _IS_SPACE[buf]
+    edge = np.flatnonzero(np.append(~space[0], space[1:] != space[:-1]))
+    starts, ends = edge[0::2], edge[1::2]           # the last sign is a space, so every word ends
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    n = np.diff(np.append(0, np.searchsorted(starts, text_ends)))
+    return Spans(byte_values(buf))(starts, ends), n
+
+
 def id128(parts: bytes) -> bytes:
     return xxhash.xxh3_128_digest(parts)
 

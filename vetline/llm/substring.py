@@ -29,88 +29,107 @@ from vetline.llm import common as c
 
 WINDOW = 35
 SEED = 10
-BLOCK = 8192
-
-
-def runs_of(h: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, its position, first and last window of each run."""
-    n = len(h) - window + 1
-    if n <= 0:
-        none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, none
-    g = c.gram_hashes(h, seed)
-    wide = window - seed + 1
-    at = np.empty(n, np.int64)
-    for i in range(0, n, BLOCK):
-        view = np.lib.stride_tricks.sliding_window_view(g[i:min(i + BLOCK, n) + wide - 1], wide)
-        at[i:i + len(view)] = np.arange(i, i + len(view)) + wide - 1 - view[:, ::-1].argmin(axis=1)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    last = np.append(first[1:], n) - 1
-    return g[at[first]], at[first], first, last
-
-
-def content_hashes(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """Hash of each run's words and of the anchor's place in it."""
-    ends = hi + window
-    length = ends - lo
-    out = c.mixed((length * 4096 + (at - lo)).astype(np.uint64))
-    for i in range(int(length.max()) if len(length) else 0):
-        some = i < length
-        out[some] = c.mixed(out[some] * np.uint64(0x100000001B3) + h[lo[some] + i])
-    return out
+BLOCK = 1 << 15         # positions whose least grams are found at once
+BYTES = 1 << 20         # of text handled at once
+
+
+class Runs:
+    """The runs of some texts: text, anchor hash and position, first and last
+    window, all positions counted from the first word of the text."""
+
+    def __init__(self, texts: list[bytes], window: int, seed: int):
+        h, n = c.hashed_words(texts)
+        ends = np.cumsum(n)
+        self.begin = ends - n
+        self.spans = c.Spans(h)
+        at = np.arange(len(h))
+        self.of = np.repeat(np.arange(len(texts)), n)
+        first = at[:max(len(h) - window + 1, 0)]
+        first = first[first + window <= np.repeat(ends, n)[first]]       # windows within one text
+        grams = self.spans(at[:max(len(h) - seed + 1, 0)], at[:max(len(h) - seed + 1, 0)] + seed)
+        anchor = self._least(grams, window - seed + 1)[first] if len(first) else first
+        cut = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (self.of[first[1:]] != self.of[first[:-1]]))) if len(first) else first
+        self.lo = first[cut]
+        self.hi = np.append(first[cut[1:] - 1], first[-1:]) if len(first) else first
+        self.at = anchor[cut]
+        self.anchor = grams[self.at]
+
+    @staticmethod
+    def _least(g: np.ndarray, wide: int) -> np.ndarray:
+        """Position of the least of every ``wide`` values, the last of equals."""
+        out = np.empty(max(len(g) - wide + 1, 0), np.int64)
+        low = np.uint64(2 * BLOCK - 1)
+        for i in range(0, len(out), BLOCK):
+            x = g[i:i + BLOCK + wide - 1]
+            # leading bits, then the place in the block from the right
+            x = (x & ~low) | (low - np.arange(len(x), dtype=np.uint64))
+            done, step = 1, x
+            while done < wide:
+                more = min(done, wide - done)
+                step = np.minimum(step[:len(step) - more], step[more:])
+                done += more
+            out[i:i + BLOCK] = i + (low - (step & low)).astype(np.int64)
+        return out
+
+    def contents(self, window: int) -> np.ndarray:
+        """Hash of each run's words and of the anchor's place in it."""
+        return c.mixed(self.spans(self.lo, self.hi + window) + (self.at - self.lo).astype(np.uint64))
+
+
+def _some_at_a_time(texts: list[bytes]):
+    """Slices of about ``BYTES`` of text."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held > BYTES:
+            yield start, texts[start:i + 1]
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
+def _anchors(window: int, seed: int):
+    def run(batches):
+        for batch in batches:
+            for _, some in _some_at_a_time(c.byte_texts(batch.column(0))):
+                yield pa.RecordBatch.from_arrays([pa.array(Runs(some, window, seed).anchor.view(np.int64))], names=["anchor"])
+    return run
 
 
 def _seeds(window: int, seed: int):
-    names = ["t1", "t2", "anchor", "content", "lo", "hi"]
-
     def run(batches):
         for batch in batches:
             t1, t2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            parts, sizes, rows = [], 0, []
-            for i, text in enumerate(c.byte_texts(batch.column(2))):
-                words = text.split()
-                if len(words) < window:
-                    continue
-                h = c.word_hashes(words)
-                anchor, at, lo, hi = runs_of(h, window, seed)
-                parts.append((anchor.view(np.int64), content_hashes(h, lo, hi, at, window).view(np.int64),
-                              lo.astype(np.int32), hi.astype(np.int32)))
-                rows.append(np.full(len(lo), i))
-                sizes += len(lo)
-                if sizes > 200_000:
-                    yield _batch(names, t1, t2, rows, parts)
-                    parts, sizes, rows = [], 0, []
-            if parts:
-                yield _batch(names, t1, t2, rows, parts)
+            for start, some in _some_at_a_time(c.byte_texts(batch.column(2))):
+                r = Runs(some, window, seed)
+                of = r.of[r.lo]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (t1[start + of], t2[start + of], r.anchor.view(np.int64), r.contents(window).view(np.int64),
+                                           (r.lo - r.begin[of]).astype(np.int32), (r.hi - r.begin[of]).astype(np.int32))],
+                    names=["t1", "t2", "anchor", "content", "lo", "hi"])
     return run
 
 
-def _batch(names, t1, t2, rows, parts):
-    i = np.concatenate(rows)
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[i], t2[i], *(np.concatenate(p) for p in zip(*parts)))], names=names)
-
-
 def _windows(window: int):
     names = ["t1", "t2", "anchor", "weight", "open", "at", "hash"]
 
     def run(batches):
         for batch in batches:
-            t1, t2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            rows, parts = [], []
-            for i, (text, work) in enumerate(zip(c.byte_texts(batch.column(2)), batch.column(3).to_pylist())):
-                h = c.word_hashes(text.split())
-                lo = np.array([x["lo"] for x in work], np.int64)
-                n = np.array([x["hi"] for x in work], np.int64) - lo + 1
-                at = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-                out = np.full(len(at), np.uint64(0x51ED270B))
-                for k in range(window):
-                    out = c.mixed(out * np.uint64(0x100000001B3) + h[at + k])
+            t1, t2, jobs = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).to_pylist()
+            for start, some in _some_at_a_time(c.byte_texts(batch.column(2))):
+                h, words = c.hashed_words(some)
+                spans, begin = c.Spans(h), np.cumsum(words) - words
+                work = [(i, w) for i in range(len(some)) for w in jobs[start + i]]
+                text = np.array([i for i, _ in work], np.int64)
+                lo = np.array([w["lo"] for _, w in work], np.int64)
+                n = np.array([w["hi"] for _, w in work], np.int64) - lo + 1
                 of = np.repeat(np.arange(len(work)), n)
-                parts.append((np.array([x["anchor"] for x in work], np.int64)[of], np.array([x["total"] for x in work], np.int64)[of],
-                              np.array([x["open"] for x in work], bool)[of], at.astype(np.int32), out.view(np.int64)))
-                rows.append(np.full(len(at), i))
-            if rows:
-                yield _batch(names, t1, t2, rows, parts)
+                at = lo[of] + np.arange(len(of)) - (np.cumsum(n) - n)[of]
+                where = begin[text[of]] + at
+                columns = [t1[start + text[of]], t2[start + text[of]], np.array([w["anchor"] for _, w in work], np.int64)[of],
+                           np.array([w["total"] for _, w in work], np.int64)[of], np.array([w["open"] for _, w in work], bool)[of],
+                           at.astype(np.int32), spans(where, where + window).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
     return run
 
 
@@ -174,7 +193,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seeds = base.select("t1", "t2", "text").mapInArrow(
         _seeds(window, seed), "t1 long, t2 long, anchor long, content long, lo int, hi int")
     # anchors that occur more than once, and their runs: one row for each text (t1, t2) that has it, with its copies
-    often = seeds.groupBy("anchor").count().where("count > 1").select("anchor")
+    anchors = base.select("text").mapInArrow(_anchors(window, seed), "anchor long")
+    often = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
     met = c.stored(seeds.join(often, "anchor").groupBy("anchor", "content", "t1", "t2", "lo", "hi").agg(
         F.count("*").alias("copies")), "met")
     wanted = met.select(*content).distinct()

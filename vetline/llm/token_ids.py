@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from vetline.llm import common as c
+
 BLOCK_BYTES = 4 << 20       # text handled at once
 CACHED_RUNS = 2_000_000     # per Python worker, in arrays
 CACHED_CHUNKS = 100_000
@@ -38,21 +40,6 @@ def _classes() -> np.ndarray:
 
 CLASSES = _classes()
 LOWER = bytes(ord(x) if len(x := chr(b).lower()) == 1 and ord(x) < 256 else b for b in range(256))
-_R = np.random.default_rng(11)
-_VALUES = _R.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n of them."""
-    size = 1 << max(n - 1, 1).bit_length()
-    if size not in _POWERS:
-        _POWERS.clear()
-        _POWERS[size] = tuple(np.append(np.uint64(1), np.cumprod(np.full(size - 1, b, np.uint64), dtype=np.uint64))
-                              for b in (_BASE, pow(_BASE, -1, 2**64)))
-    return _POWERS[size]
-
 
 class TokenIds:
     def __init__(self, path: str):
@@ -123,11 +110,7 @@ class TokenIds:
         ends = np.append(starts[1:], len(buf))
         some = kind[starts] != _SPACE
         starts, ends = starts[some], ends[some]
-        up, down = _powers(len(buf) + 1)
-        sums = np.append(np.uint64(0), np.cumsum(_VALUES[buf] * up[:len(buf)], dtype=np.uint64))
-        h = (sums[ends] - sums[starts]) * down[starts]
-        h ^= (ends - starts).astype(np.uint64) << np.uint64(56)
-        h ^= h >> np.uint64(29)
+        h = c.Spans(c.byte_values(buf))(starts, ends)
         long = np.flatnonzero(ends - starts > LONGEST)
         h[long] = np.uint64(0)
         different, first, number = np.unique(h, return_index=True, return_inverse=True)
