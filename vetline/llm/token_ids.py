@@ -18,8 +18,8 @@ import numpy as np
 
 from vetline.llm import common as c
 
-BLOCK_BYTES = 4 << 20       # text handled at once
-CACHED_RUNS = 2_000_000     # per Python worker, in arrays
+BLOCK_BYTES = 2 << 20       # text handled at once
+CACHED_RUNS = 1_000_000     # per Python worker, in arrays
 CACHED_CHUNKS = 100_000
 LONGEST = 64                # bytes of a run that is looked up by its hash
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)
