@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import minhash, packing, quality, substring, toxicity
+from vetline.llm import decontaminate, minhash, packing, quality, substring, toxicity
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,31 @@ def op8(spark, d):
 @register("op6_toxicity_blockmax")
 def op6(spark, d):
     return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"), evidence=False)
+
+
+@register("op1_decontamination")
+def op1(spark, d):
+    return decontaminate.leaks(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
+# Three words in a row that are equal lie in every leaking stretch, so they find all diagonals.
+ORACLE["op1_decontamination"] = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+d AS (SELECT doc_id, k, w[k + 1] AS a, w[k + 2] AS b, w[k + 3] AS c FROM (SELECT doc_id, w, unnest(range(len(w))) AS k FROM dw)),
+i AS (SELECT item_id, k, len(w) AS n, w[k + 1] AS a, w[k + 2] AS b, w[k + 3] AS c
+      FROM (SELECT item_id, w, unnest(range(len(w))) AS k FROM iw WHERE len(w) >= 8)),
+diagonals AS (SELECT DISTINCT doc_id, item_id, d.k - i.k AS diagonal FROM d JOIN i USING (a, b, c)),
+flags AS (SELECT g.doc_id, g.item_id, diagonal, i.n, i.k, CASE WHEN d.a = i.a THEN 1 ELSE 0 END AS same
+          FROM diagonals g JOIN i USING (item_id) LEFT JOIN d ON d.doc_id = g.doc_id AND d.k = i.k + diagonal),
+sums AS (SELECT doc_id, item_id, diagonal, n, k, least(n, 16) AS stretch, sum(same) OVER whole AS matched,
+                CASE WHEN n >= 16 THEN sum(same) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY k ROWS 15 PRECEDING)
+                     ELSE sum(same) OVER whole END AS here
+         FROM flags WINDOW whole AS (PARTITION BY doc_id, item_id, diagonal)),
+best AS (SELECT doc_id, item_id, diagonal, n, stretch, any_value(matched) AS matched, max(here) AS best
+         FROM sums GROUP BY doc_id, item_id, diagonal, n, stretch)
+SELECT doc_id, item_id, n::BIGINT AS item_words, matched::BIGINT AS matched_words, best::BIGINT AS best_stretch,
+       stretch::BIGINT AS stretch, diagonal::BIGINT AS start
+FROM best WHERE best >= stretch - stretch // 5
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, matched DESC, diagonal) = 1
+"""
