@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import decontaminate, minhash, packing, quality, substring, toxicity
+from vetline.llm import decontaminate, lines, minhash, packing, quality, substring, toxicity
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,25 @@ SELECT doc_id, item_id, n::BIGINT AS item_words, matched::BIGINT AS matched_word
 FROM best WHERE best >= stretch - stretch // 5
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY best DESC, matched DESC, diagonal) = 1
 """
+
+
+@register("op3_line_dedup")
+def op3(spark, d):
+    return lines.report(read_table(spark, d, "documents"))
+
+
+# All pairs of distinct lines of like length, by plain edit distance of their code points.
+ORACLE["op3_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, k, trim(x[k + 1], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
+           FROM (SELECT doc_id, x, unnest(range(len(x))) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))),
+t AS (SELECT * FROM l WHERE length(line) >= 8),
+distinct_lines AS (SELECT line, length(line) AS n, min((doc_id, k)) AS first FROM t GROUP BY line),
+near AS (SELECT DISTINCT b.line FROM distinct_lines a JOIN distinct_lines b
+         ON abs(a.n - b.n) <= 2 AND a.n >= 30 AND b.n >= 30 AND a.first < b.first AND levenshtein(a.line, b.line) <= 2),
+gone AS (SELECT t.doc_id, t.k, (t.doc_id, t.k) = c.first AS near FROM t JOIN distinct_lines c USING (line)
+         WHERE (t.doc_id, t.k) <> c.first OR line IN (SELECT line FROM near))
+SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_lines, coalesce(g.n, 0)::BIGINT AS n_removed,
+       coalesce(g.near, 0)::BIGINT AS n_near, coalesce(g.removed, '') AS removed
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) FILTER (near) AS near,
+                                   string_agg(k::VARCHAR, ',' ORDER BY k) AS removed FROM gone GROUP BY doc_id) g USING (doc_id)
+"""
