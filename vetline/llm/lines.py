@@ -67,8 +67,21 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
                             down.bitwiseAND(x["hp"]).alias("vn"), (s["score"] + step).alias("score"), (j + 1).alias("j"))
         return _let(equal, diagonal)
 
+    # the score is that of the band's lowest diagonal; it can fall by no more than ``edits`` later
+    lost = 2 * edits + F.size(b) - last
     start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("score"), F.lit(1).alias("j"))
-    return F.aggregate(b, start, column, lambda s: s["score"])
+    return F.aggregate(b, start, lambda s, ch: F.when(s["score"] > lost, s).otherwise(column(s, ch)), lambda s: s["score"])
+
+
+def _alike(x: Column, y: Column, most: Column, end) -> Column:
+    """How many characters two strings share at one end, ``most`` at most, by
+    halving; ``end(string, k)`` is the k characters there."""
+    def more(k, power):
+        wider = k + power
+        return F.when((wider <= most) & (end(x, wider) == end(y, wider)), wider).otherwise(k)
+    powers = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(most + 1)).cast("int")),
+                         lambda i: F.call_function("shiftleft", F.lit(1), F.ceil(F.log2(most + 1)).cast("int") - i))
+    return F.aggregate(powers, F.lit(0), more)
 
 
 def segment_keys(line: Column, n: Column, edits: int) -> Column:
@@ -138,11 +151,20 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
                    & (F.col("a_node") != F.col("b_node")) & ((F.col("b_role") == 1) | (F.col("a_node") < F.col("b_node")))
                    & (F.abs(F.col("a_n") - F.col("b_n")) <= edits) & (differ <= 2 * edits))
     pairs = c.stored(pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct(), "pairs")
-    ends = texts.select("node", "line", "first", *h)
+    ends = texts.select("node", "line", "n", "first", *h)
     both = pairs.join(ends.select([F.col(x).alias("a" if x == "node" else f"a_{x}") for x in ends.columns]), "a").join(
         ends.select([F.col(x).alias("b" if x == "node" else f"b_{x}") for x in ends.columns]), "b")
-    both = both.withColumns({"x": F.split("a_line", ""), "y": F.split("b_line", "")}).withColumn(
-        "distance", banded_distance(F.col("x"), F.col("y"), edits)).where(F.col("distance") <= edits)
+    # what is equal at both ends needs no comparison, but for ``edits`` characters that the band starts from
+    left = F.greatest(_alike(F.col("a_line"), F.col("b_line"), F.least("a_n", "b_n"), F.left) - edits, F.lit(0))
+    both = c.stored(both.withColumn("skip", left), "both")
+    cut = {f"{s}_line": F.substring(f"{s}_line", F.col("skip") + 1, F.col(f"{s}_n") - F.col("skip")) for s in "ab"}
+    both = both.withColumns(cut).withColumns({f"{s}_n": F.char_length(f"{s}_line") for s in "ab"})
+    right = F.greatest(_alike(F.col("a_line"), F.col("b_line"), F.least("a_n", "b_n"), F.right) - edits, F.lit(0))
+    both = c.stored(both.withColumn("skip", right), "both")
+    chars = {x: F.split(F.left(f"{s}_line", F.col(f"{s}_n") - F.col("skip")), "") for x, s in (("x", "a"), ("y", "b"))}
+    both = c.stored(both.withColumns(chars).drop("a_line", "b_line"), "both")
+    both = both.where(banded_distance(F.col("x"), F.col("y"), edits) <= edits)
+
     def hashes(s: str) -> Column:
         return F.struct(F.col(f"{s}_h1").alias("h1"), F.col(f"{s}_h2").alias("h2"))
 
