@@ -84,22 +84,26 @@ def _alike(x: Column, y: Column, most: Column, end) -> Column:
     return F.aggregate(powers, F.lit(0), more)
 
 
-def segment_keys(line: Column, n: Column, edits: int) -> Column:
-    """Structs of key and role: 0 for the line's own segments, 1 for
-    substrings that may be segments of another line."""
-    parts, out = edits + 1, []
-    for shorter in range(edits + 1):
-        length = n - shorter
-        for i in range(parts):
-            lo, hi = F.floor(length * i / parts), F.floor(length * (i + 1) / parts)
-            before, after = i, edits - i
-            for shift in range(-before, before + 1):
-                if abs(shift - shorter) > after:
-                    continue
-                at = lo + shift
-                key = F.when((at >= 0) & (at + hi - lo <= n), F.xxhash64(length, F.lit(i), F.substring(line, at + 1, hi - lo)))
-                out.append(F.struct(key.alias("key"), F.lit(int(shorter + abs(shift) > 0)).alias("role")))
-    return F.array(*out)
+def _probes(edits: int) -> list[tuple[int, int, int]]:
+    """``(shorter, segment, shift)``: where a substring of a line may be a
+    segment of a line that much shorter; (0, i, 0) are the line's own."""
+    return [(shorter, i, shift) for shorter in range(edits + 1) for i in range(edits + 1)
+            for shift in range(-i, i + 1) if abs(shift - shorter) <= edits - i]
+
+
+def segment_keys(found: DataFrame, edits: int) -> DataFrame:
+    """``(key, role, h1, h2)`` of the lines: role 0 for their own segments, 1
+    for substrings that may be segments of another line."""
+    parts = edits + 1
+    # characters of one width, so that a substring is found at once
+    wide = found.select("h1", "h2", "n", F.encode("line", "UTF-32").alias("w"))
+    probes = F.array(*(F.struct(*(F.lit(x) for x in p)) for p in _probes(edits)))
+    spots = wide.select("*", F.inline(probes).alias("shorter", "i", "shift"))
+    at = spots.select("h1", "h2", "n", "w", "shorter", "i", "shift", F.expr(f"cast((n - shorter) * i div {parts} as int)").alias("lo"),
+                      F.expr(f"cast((n - shorter) * (i + 1) div {parts} as int)").alias("hi"))
+    at = at.where("lo + shift >= 0 and hi + shift <= n")
+    return at.select(F.xxhash64(F.col("n") - F.col("shorter"), "i", F.expr("substring(w, 4 * (lo + shift) + 1, 4 * (hi - lo))")).alias("key"),
+                     F.expr("if(shorter = 0 and shift = 0, 0, 1)").alias("role"), "h1", "h2")
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
@@ -135,8 +139,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     found = _occurrences(docs, id_col, text_col, least)
     h = ["h1", "h2"]
     classes = c.stored(found.groupBy(*h).agg(F.min("place").alias("first"), F.count("*").alias("copies")), "classes")
-    keys = found.where(F.col("n") >= least_fuzzy).select(
-        *h, F.inline(segment_keys(F.col("line"), F.col("n"), edits))).where("key is not null")
+    keys = segment_keys(found.where(F.col("n") >= least_fuzzy), edits)
     shared = keys.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.min("role").alias("role")).where(
         "x < y and role = 0").select("key")
     met = c.stored(keys.join(shared, "key").distinct(), "met")
