@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import decontaminate, lines, minhash, packing, quality, substring, toxicity
+from vetline.llm import decontaminate, lines, minhash, packing, pii, quality, substring, toxicity
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_l
 FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) FILTER (near) AS near,
                                    string_agg(k::VARCHAR, ',' ORDER BY k) AS removed FROM gone GROUP BY doc_id) g USING (doc_id)
 """
+
+
+@register("op2_pii")
+def op2(spark, d):
+    return pii.report(read_table(spark, d, "documents"))
