@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import decontaminate, lines, minhash, packing, pii, quality, substring, toxicity
+from vetline.llm import decontaminate, embeddings, lines, minhash, packing, pii, quality, substring, toxicity
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,22 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, count(*) FILTER (near)
 @register("op2_pii")
 def op2(spark, d):
     return pii.report(read_table(spark, d, "documents"))
+
+
+@register("op4_embedding_tiles")
+def op4(spark, d):
+    return embeddings.near_duplicates(read_table(spark, d, "embeddings"))
+
+
+# Dot products of all pairs; components by walking the links.
+ORACLE["op4_embedding_tiles"] = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+walk AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT w.a, l.b FROM walk w JOIN links l ON w.b = l.a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+low AS (SELECT a, min(b) AS low FROM walk GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, low.low AS component_id, e.vec_id = low.low AS kept
+FROM embeddings e JOIN low ON low.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
