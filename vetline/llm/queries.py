@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vetline import session
-from vetline.llm import decontaminate, embeddings, lines, minhash, packing, pii, quality, substring, toxicity
+from vetline.llm import decontaminate, embeddings, lines, minhash, packing, pii, quality, substring, toxicity, wrappers
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ low AS (SELECT a, min(b) AS low FROM walk GROUP BY a)
 SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, low.low AS component_id, e.vec_id = low.low AS kept
 FROM embeddings e JOIN low ON low.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
+
+
+@register("op7_html_wrappers")
+def op7(spark, d):
+    return wrappers.extract(read_table(spark, d, "pages"))
