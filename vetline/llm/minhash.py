@@ -176,18 +176,9 @@ def _met(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    percent: int = 85, sub_keys: int = SUB_KEYS, sub_size: int = SUB_SIZE) -> DataFrame:
-    """One row per input row: its id, ``n_shingles``, ``component_id`` (smallest
-    id reachable over links) and ``kept`` (id = component_id).
-
-    Two documents are linked when 100 * |intersection| >= percent * |union| of
-    their sets of ``shingle``-word shingles (A-Z lower-cased).  A document with
-    fewer words is one shingle; without words or text it is linked with
-    nothing.  Repeated rows are documents with equal sets.  A row with a null
-    id links others as any row does; its component is the smallest id linked,
-    null when there is none, and it is not ``kept``.  Other columns of
-    ``docs`` are not read.
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, sub_keys: int, sub_size: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (``row_id``, hashes ``t1`` and ``t2`` of the text, ``n``
+    shingles, ``set_id``) and the component (a number) of each ``set_id``.
 
     Three rounds find the links that components need.  Every member of a
     table's bucket is compared with the bucket's smallest member; where several
@@ -266,11 +257,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "s1", "s2", "sub", "grams")
     cross = c.stored(dealt.groupBy("i", "a", "p", "q").applyInArrow(_met(percent), "a long, b long"), "cross_links")
     comp = c.components(links.unionByName(cross))
-    reached = nodes.join(comp, "node", "left").select(
-        "set_id", "low_id", F.coalesce("component", "node").alias("component"))
+    return signed, nodes.join(comp, "node", "left").select("set_id", "low_id", F.coalesce("component", "node").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    percent: int = 85, sub_keys: int = SUB_KEYS, sub_size: int = SUB_SIZE) -> DataFrame:
+    """One row per input row: its id, ``n_shingles``, ``component_id`` (smallest
+    id reachable over links) and ``kept`` (id = component_id).
+
+    Two documents are linked when 100 * |intersection| >= percent * |union| of
+    their sets of ``shingle``-word shingles (A-Z lower-cased).  A document with
+    fewer words is one shingle; without words or text it is linked with
+    nothing.  Repeated rows are documents with equal sets.  A row with a null
+    id links others as any row does; its component is the smallest id linked,
+    null when there is none, and it is not ``kept``.  Other columns of
+    ``docs`` are not read.
+    """
+    signed, reached = _linked(docs, id_col, text_col, shingle, percent, sub_keys, sub_size)
     lowest = reached.groupBy("component").agg(F.min("low_id").alias("component_id"))
     final = reached.join(lowest, "component").select("set_id", "component_id")
     out = signed.select("row_id", "n", "set_id").join(final, "set_id", "left")
     component = F.when(F.col("n") == 0, F.col("row_id")).otherwise(F.col("component_id"))
     return out.select(F.col("row_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("row_id") == component, F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                percent: int = 85, sub_keys: int = SUB_KEYS, sub_size: int = SUB_SIZE) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that of the
+    smallest id (null last; of one id, the text with the smallest hash).
+    Rows without words stay."""
+    text = F.col(text_col).cast("string")
+    signed, reached = _linked(docs, id_col, text_col, shingle, percent, sub_keys, sub_size)
+    last = F.lit(2**63 - 1)
+    who = F.struct(F.coalesce("row_id", last).alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"))
+    winners = signed.where("n > 0").join(reached.select("set_id", "component"), "set_id").groupBy("component").agg(
+        F.min(who).alias("w")).select("w.*")
+    bare = signed.where("n = 0").select(*(F.col(x).alias(f"__{x}") for x in ("t1", "t2"))).distinct()
+    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), last), "__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(7), text)})
+    key = ["__id", "__t1", "__t2"]
+    one = keyed.join(winners, key, "left_semi").dropDuplicates(key)
+    return one.unionByName(keyed.join(bare, key[1:], "left_semi")).select(*docs.columns)

@@ -113,26 +113,34 @@ def scorer(model: dict):
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-             modulus: int = 5, held_out: int = 0, sample: int = SAMPLE, threshold: float = THRESHOLD, keep: tuple = ()) -> DataFrame:
-    """Each row's id (and the columns in ``keep``) with ``held_out`` (its fold
-    gave no labels), ``score`` (0 to 1, higher: label 1 likelier) and
-    ``predicted``.  A null text scores as an empty one; without usable labels
-    every score is 0.5.  A null id is not held out.  Repeated rows score alike.
+             modulus: int = 5, held_out: int = 0, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """Each row's id with ``held_out`` (its fold gave no labels), ``score`` (0 to
+    1, higher: label 1 likelier) and ``predicted``.  A null text scores as an
+    empty one; without usable labels every score is 0.5.  A null id is not
+    held out.  Repeated rows score alike; other columns are not read.
     """
     sc = docs.sparkSession.sparkContext
     model = sc.broadcast(fit(docs, labels, label, id_col, text_col, modulus, held_out, sample))
-    kept = [f.name for f in docs.schema.fields if f.name in keep]
+    def run(batches):
+        score = scorer(model.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1).to_pylist()), pa.float64())], names=["id", "score"])
+
+    told = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        run, "id long, score double")
+    fold = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(modulus)) == held_out, F.lit(False))
+    return told.select(F.col("id").alias(id_col), fold.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
+             modulus: int = 5, held_out: int = 0, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``classify`` predicts as label 1."""
+    sc = docs.sparkSession.sparkContext
+    model = sc.broadcast(fit(docs, labels, label, id_col, text_col, modulus, held_out, sample))
+    at = docs.columns.index(text_col)
 
     def run(batches):
         score = scorer(model.value)
         for b in batches:
-            s = score(b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(s, pa.float64())],
-                                             names=[*b.schema.names[:-1], "__score"])
-
-    told = docs.select(F.col(id_col).cast("long").alias("__id"), *kept, F.col(text_col).cast("string").alias("__text"))
-    schema = told.drop("__text").withColumn("__score", F.lit(0.0)).schema
-    fold = F.coalesce(F.pmod(F.crc32(F.col("__id").cast("string")), F.lit(modulus)) == held_out, F.lit(False))
-    return told.mapInArrow(run, schema).select(
-        F.col("__id").alias(id_col), *[F.col(x) for x in kept if x != id_col], fold.alias("held_out"),
-        F.col("__score").alias("score"), (F.col("__score") >= threshold).cast("int").alias("predicted"))
+            yield b.filter(pa.array(score(b.column(at).to_pylist()) >= threshold, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
