@@ -92,18 +92,18 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
 
 
 def segment_keys(found: DataFrame, edits: int) -> DataFrame:
-    """``(key, role, h1, h2)`` of the lines: role 0 for their own segments, 1
+    """``(key, role, h1)`` of the lines: role 0 for their own segments, 1
     for substrings that may be segments of another line."""
     parts = edits + 1
     # characters of one width, so that a substring is found at once
-    wide = found.select("h1", "h2", "n", F.encode("line", "UTF-32").alias("w"))
+    wide = found.select("h1", "n", F.encode("line", "UTF-32").alias("w"))
     probes = F.array(*(F.struct(*(F.lit(x) for x in p)) for p in _probes(edits)))
     spots = wide.select("*", F.inline(probes).alias("shorter", "i", "shift"))
-    at = spots.select("h1", "h2", "n", "w", "shorter", "i", "shift", F.expr(f"cast((n - shorter) * i div {parts} as int)").alias("lo"),
+    at = spots.select("h1", "n", "w", "shorter", "i", "shift", F.expr(f"cast((n - shorter) * i div {parts} as int)").alias("lo"),
                       F.expr(f"cast((n - shorter) * (i + 1) div {parts} as int)").alias("hi"))
     at = at.where("lo + shift >= 0 and hi + shift <= n")
     return at.select(F.xxhash64(F.col("n") - F.col("shorter"), "i", F.expr("substring(w, 4 * (lo + shift) + 1, 4 * (hi - lo))")).alias("key"),
-                     F.expr("if(shorter = 0 and shift = 0, 0, 1)").alias("role"), "h1", "h2")
+                     F.expr("if(shorter = 0 and shift = 0, 0, 1)").alias("role"), "h1")
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
@@ -140,13 +140,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     h = ["h1", "h2"]
     classes = c.stored(found.groupBy(*h).agg(F.min("place").alias("first"), F.count("*").alias("copies")), "classes")
     keys = segment_keys(found.where(F.col("n") >= least_fuzzy), edits)
-    shared = keys.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.min("role").alias("role")).where(
-        "x < y and role = 0").select("key")
-    met = c.stored(keys.join(shared, "key").distinct(), "met")
-    wanted = met.select(*h).distinct().join(classes, h).select(*h, "first")
+    # half of a line's hash is enough here: lines that share it are all looked at
+    shared = keys.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x < y").select("key")
+    met = c.stored(keys.join(shared.hint("shuffle_hash"), "key").distinct(), "met")
+    wanted = met.select("h1").distinct().join(classes, "h1").select(*h, "first")
     texts = found.select(*h, "line", "n").join(wanted, h).groupBy(*h).agg(F.first(F.struct("first", "line", "n")).alias("x"))
     texts = c.stored(texts.select(F.monotonically_increasing_id().alias("node"), *h, "x.*", _spoken(F.col("x.line")).alias("p")), "lines")
-    side = met.join(texts.select(*h, "node", "p.p1", "p.p2", "n"), h).select("key", "role", "node", "p1", "p2", "n")
+    side = met.join(texts.select("h1", "node", "p.p1", "p.p2", "n"), "h1").select("key", "role", "node", "p1", "p2", "n")
     side = c.stored(side, "sides")
     a, b = (side.select([F.col(x).alias(f"{s}_{x}") for x in side.columns]) for s in "ab")
     differ = F.bit_count(F.col("a_p1").bitwiseXOR(F.col("b_p1"))) + F.bit_count(F.col("a_p2").bitwiseXOR(F.col("b_p2")))
