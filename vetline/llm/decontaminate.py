@@ -23,7 +23,8 @@ SPAN = 8
 STRETCH = 16            # words that must stand together
 REPLACED = 5            # one in so many of them may be another
 LEAST_WORDS = 8         # shorter items are no evidence
-BROADCAST_SEEDS = 2_000_000     # test seeds sent to every task at most (24 bytes each); beyond, both sides are shuffled
+BROADCAST_SEEDS = 2_000_000     # test seeds, or hashes of texts, sent to every task at most; beyond, both sides are shuffled
+NO_ID = -2**63          # stands for a null id in keys
 
 
 def words(text: Column) -> Column:
@@ -31,18 +32,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, position and hash of every mask at every position of ``h``
-    (hashes of words); the end of a text has positions for the shorter masks."""
-    n = F.size("h") - 4
-    spots = F.when(n > 0, F.sequence(F.lit(0), n * len(MASKS) - 1)).otherwise(F.array().cast("array<int>"))
-    at = df.select(*keys, "h", F.explode(spots).alias("spot")).withColumn("at", F.expr(f"spot div {len(MASKS)}").cast("int")).withColumn(
-        "mask", F.col("spot") % len(MASKS))
-    hashed = F.lit(None).cast("long")
-    for k, mask in enumerate(MASKS):
-        hashed = F.when((F.col("mask") == k) & (F.col("at") + mask[-1] < F.size("h")),
-                        F.xxhash64(F.lit(k), *(F.get("h", F.col("at") + o) for o in mask))).otherwise(hashed)
-    return at.select(*keys, "at", hashed.alias("seed"))
+def _seeds(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep``, position and hash of every mask at every position of ``w`` (words)."""
+    n = F.size("w")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    masks = F.array(*(F.struct(F.lit(k), *(F.lit(o) for o in m)) for k, m in enumerate(MASKS)))
+    offsets = [f"o{i}" for i in range(len(MASKS[0]))]
+    at = df.select("*", F.explode(places).alias("at")).select("*", F.inline(masks).alias("mask", *offsets))
+    fits = at.where(F.col("at") + F.col(offsets[-1]) < F.size("w"))
+    return fits.select(*keep, "at", F.xxhash64("mask", *(F.get("w", F.col("at") + F.col(o)) for o in offsets)).alias("seed"))
 
 
 def _text_key(text: Column) -> list[Column]:
@@ -50,29 +48,34 @@ def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit(7), text).alias("__t2")]
 
 
-def _leaking_texts(texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, broadcast_seeds: int) -> DataFrame:
-    """``(__t1, __t2, item, best, all, start, item_words, stretch)`` of the
-    best diagonal of each item that leaks into a text of ``(__t1, __t2, text)``."""
-    key = ["__t1", "__t2"]
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), words(F.col(item_text_col).cast("string")).alias("iw")).where(
+def _cut(w: str, size: Column) -> Column:
+    """The words of ``w`` that stand beside an item's ``size`` words on a diagonal."""
+    lo = F.greatest("diagonal", F.lit(0))
+    return F.slice(w, lo + 1, F.greatest(F.col("diagonal") + size - lo, F.lit(0)))
+
+
+def _leaking(texts: DataFrame, key: list[str], benchmark: DataFrame, item_col: str, item_text_col: str, broadcast_seeds: int) -> DataFrame:
+    """``(key, item, best, all, start, item_words, stretch)`` of the best
+    diagonal of each item that leaks into a text of ``(key, text)``."""
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(NO_ID)).alias("item"), words(F.col(item_text_col).cast("string")).alias("iw")).where(
         F.size("iw") >= LEAST_WORDS).distinct()
     items = c.stored(items.withColumn("ik", F.monotonically_increasing_id()), "items")
-    test = _seeds(items.select("ik", F.transform("iw", lambda w: F.xxhash64(w)).alias("h")), ["ik"]).where("seed is not null")
-    test = test.select("ik", F.col("at").alias("item_at"), "seed")
+    test = _seeds(items.select("ik", F.size("iw").alias("size"), F.col("iw").alias("w")), ["ik", "size"])
+    test = test.select("ik", "size", F.col("at").alias("item_at"), "seed")
+    split = texts.select(*key, words(F.col("text")).alias("w"))
+    diagonal = (F.col("at") - F.col("item_at")).alias("diagonal")
     if test.count() <= broadcast_seeds:     # a benchmark is small, but its size is not taken on trust
-        test, items = F.broadcast(test), F.broadcast(items)
-    hashed = texts.select(*key, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    hits = _seeds(hashed, key).join(test, "seed").select(*key, "ik", (F.col("at") - F.col("item_at")).alias("diagonal"))
-    hits = c.stored(hits.distinct(), "hits")
-    per_text = hits.groupBy(*key).agg(F.collect_list(F.struct("ik", "diagonal")).alias("hits"))     # of one text
-    found = texts.join(per_text, key).groupBy(*key).agg(F.first(F.struct("text", "hits")).alias("x"))
-    along = found.select(*key, words(F.col("x.text")).alias("w"), "x.hits").select(*key, "w", F.explode("hits").alias("hit"))
-    lo = F.greatest("hit.diagonal", F.lit(0))
-    # the words that stand beside the item's, and which of them are equal
-    beside = along.join(items, F.col("hit.ik") == F.col("ik")).select(
-        *key, "item", F.col("hit.diagonal").alias("diagonal"), F.size("iw").alias("item_words"), "iw",
-        F.slice("w", lo + 1, F.greatest(F.col("hit.diagonal") + F.size("iw") - lo, F.lit(0))).alias("dw"),
-        F.least(F.lit(STRETCH), F.size("iw")).alias("stretch"))
+        items = F.broadcast(items)
+        hits = _seeds(split, [*key, "w"]).join(F.broadcast(test), "seed").select(*key, "ik", "size", diagonal, "w").select(
+            *key, "ik", "diagonal", _cut("w", F.col("size")).alias("dw"))
+        beside = hits.distinct()
+    else:       # seeds are shuffled without the words, which are fetched for the texts with hits
+        hits = c.stored(_seeds(split, key).join(test, "seed").select(*key, "ik", "size", diagonal).distinct(), "hits")
+        per_text = hits.groupBy(*key).agg(F.collect_list(F.struct("ik", "size", "diagonal")).alias("hits"))     # of one text
+        found = split.join(per_text, key).dropDuplicates(key).select(*key, "w", F.explode("hits").alias("hit"))
+        beside = found.select(*key, "w", "hit.*").select(*key, "ik", "diagonal", _cut("w", F.col("size")).alias("dw"))
+    beside = beside.join(items, "ik").select(*key, "item", "diagonal", F.size("iw").alias("item_words"), "iw", "dw",
+                                             F.least(F.lit(STRETCH), F.size("iw")).alias("stretch"))
     same = F.transform("iw", lambda x, k: F.when(
         F.get("dw", (k + F.least(F.col("diagonal"), F.lit(0))).cast("int")) == x, 1).otherwise(0))
     flags = c.stored(beside.select(*key, "item", "diagonal", "item_words", "stretch", same.alias("same")), "beside")
@@ -105,18 +108,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     columns are not read.
     """
     text = F.col(text_col).cast("string")
-    texts = docs.select(*_text_key(text), text.alias("text"))
-    best = _leaking_texts(texts, benchmark, item_col, item_text_col, broadcast_seeds)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), *_text_key(text)).join(best, ["__t1", "__t2"])
-    return rows.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("item_words").cast("long").alias("item_words"),
-                       F.col("all").cast("long").alias("matched_words"), F.col("best").cast("long").alias("best_stretch"),
-                       F.col("stretch").cast("long").alias("stretch"), F.col("start").cast("long").alias("start")).distinct()
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), *_text_key(text), text.alias("text"))
+    best = _leaking(texts, ["doc", "__t1", "__t2"], benchmark, item_col, item_text_col, broadcast_seeds)
+    return best.select(F.expr(f"nullif(doc, {NO_ID})").alias(id_col), F.expr(f"nullif(item, {NO_ID})").alias(item_col),
+                       F.col("item_words").cast("long").alias("item_words"), F.col("all").cast("long").alias("matched_words"),
+                       F.col("best").cast("long").alias("best_stretch"), F.col("stretch").cast("long").alias("stretch"),
+                       F.col("start").cast("long").alias("start")).distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
           broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """``docs``, all columns, without the rows into whose text an item leaks."""
     text = F.col(text_col).cast("string")
-    found = _leaking_texts(docs.select(*_text_key(text), text.alias("text")), benchmark, item_col, item_text_col, broadcast_seeds)
-    return docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(7), text)}).join(
-        found.select("__t1", "__t2").distinct(), ["__t1", "__t2"], "left_anti").select(*docs.columns)
+    key = ["__t1", "__t2"]
+    found = c.stored(_leaking(docs.select(*_text_key(text), text.alias("text")), key, benchmark, item_col, item_text_col, broadcast_seeds)
+                     .select(*key).distinct(), "leaking")
+    if found.count() <= broadcast_seeds:
+        found = F.broadcast(found)
+    return docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(7), text)}).join(found, key, "left_anti").select(*docs.columns)
