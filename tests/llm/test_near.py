@@ -229,18 +229,19 @@ def test_segments_find_every_like_line():
 
     def keys(line, edits, own):
         out, parts, n = set(), edits + 1, len(line)
-        for shorter, i, shift in lines._probes(edits):
-            if own and (shorter or shift):
+        for i, right, shift, lower in lines._probes(edits):
+            if (own and (lower or shift)) or (lower and n % lines.CLASS >= edits):
                 continue
-            lo, hi = (n - shorter) * i // parts, (n - shorter) * (i + 1) // parts
-            if lo + shift >= 0 and hi + shift <= n:
-                out.add((n - shorter, i, line[lo + shift:hi + shift]))
+            size = (n // lines.CLASS - lower) * lines.CLASS // parts
+            lo = (n - (parts - i) * size if right else i * size) + shift
+            if size and lo >= 0 and lo + size <= n:
+                out.add((size, i, line[lo:lo + size]))
         return out
     for edits in (1, 2, 3):
         for _ in range(3000):
-            a = "".join(rng.choice("ab") for _ in range(rng.randint(6, 16)))
+            a = "".join(rng.choice("ab") for _ in range(rng.randint(12, 36)))
             b = varied(rng, a, edits)
-            if edit_distance(a, b) <= edits and min(len(a), len(b)) > edits:
+            if edit_distance(a, b) <= edits and min(len(a), len(b)) >= lines.CLASS + edits + 1:
                 long, short = (a, b) if len(a) >= len(b) else (b, a)
                 assert keys(long, edits, False) & keys(short, edits, True)
 

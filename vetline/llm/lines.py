@@ -6,8 +6,9 @@ other.  A line is removed when an equal or a like line stands earlier.
 
 Of ``edits + 1`` segments of a line at least one stands unchanged in every like
 line, shifted by no more than the edits before and after it allow.  Each line
-puts its segments into an index by length, place and content, and probes the
-indexes of lines up to ``edits`` shorter with the substrings that may be one.
+puts its segments into an index by class of lengths, place and content, and
+probes the index of its own class, and of the next smaller one where lines up
+to ``edits`` shorter may be in it, with the substrings that may be a segment.
 Keys that only one line has go first, as counts; what is left is joined, pairs
 whose characters differ too much go within the join, and each further pair is
 compared by a banded bit-parallel edit distance: the band's 2 * edits + 1 cells
@@ -27,6 +28,7 @@ from vetline.llm import common as c
 EDITS = 2
 LEAST = 8               # code points of a line that takes part
 LEAST_FUZZY = 30        # and of one compared by edit distance
+CLASS = 8               # lengths whose lines are cut alike
 
 
 def _let(value: Column, body) -> Column:
@@ -84,26 +86,41 @@ def _alike(x: Column, y: Column, most: Column, end) -> Column:
     return F.aggregate(powers, F.lit(0), more)
 
 
-def _probes(edits: int) -> list[tuple[int, int, int]]:
-    """``(shorter, segment, shift)``: where a substring of a line may be a
-    segment of a line that much shorter; (0, i, 0) are the line's own."""
-    return [(shorter, i, shift) for shorter in range(edits + 1) for i in range(edits + 1)
-            for shift in range(-i, i + 1) if abs(shift - shorter) <= edits - i]
+def _probes(edits: int) -> list[tuple[int, int, int, int]]:
+    """``(segment, from_right, shift, lower)``: where a line may hold a segment
+    of a like line that is no longer.  Segments in the left half are counted
+    from the left end, the others from the right; ``lower`` is 1 for the
+    boundaries of the next smaller class of lengths.  (i, _, 0, 0) are the
+    line's own segments."""
+    out = []
+    for i in range(edits + 1):
+        right = 2 * i > edits
+        near = edits - i if right else i        # edits there may be between the end and the segment
+        other = i if right else edits - i
+        lo, hi = (-near, min(near, other)) if right else (-min(near, other), near)
+        out += [(i, int(right), s, lower) for s in range(lo, hi + 1) for lower in (0, 1)]
+    return out
 
 
 def segment_keys(found: DataFrame, edits: int) -> DataFrame:
-    """``(key, role, h1)`` of the lines: role 0 for their own segments, 1
-    for substrings that may be segments of another line."""
+    """``(key, role, h1)`` of the lines: role 0 for their own segments, 1 for
+    substrings that may be segments of another line.
+
+    Lines of a class of lengths (``CLASS`` apart) have segments of one length,
+    so one substring probes the index for all lengths of the class; a line
+    whose length is the start of its class probes the class before too.
+    """
     parts = edits + 1
     # characters of one width, so that a substring is found at once
     wide = found.select("h1", "n", F.encode("line", "UTF-32").alias("w"))
     probes = F.array(*(F.struct(*(F.lit(x) for x in p)) for p in _probes(edits)))
-    spots = wide.select("*", F.inline(probes).alias("shorter", "i", "shift"))
-    at = spots.select("h1", "n", "w", "shorter", "i", "shift", F.expr(f"cast((n - shorter) * i div {parts} as int)").alias("lo"),
-                      F.expr(f"cast((n - shorter) * (i + 1) div {parts} as int)").alias("hi"))
-    at = at.where("lo + shift >= 0 and hi + shift <= n")
-    return at.select(F.xxhash64(F.col("n") - F.col("shorter"), "i", F.expr("substring(w, 4 * (lo + shift) + 1, 4 * (hi - lo))")).alias("key"),
-                     F.expr("if(shorter = 0 and shift = 0, 0, 1)").alias("role"), "h1")
+    spots = wide.select("*", F.inline(probes).alias("i", "from_right", "shift", "lower")).where(f"lower = 0 or n % {CLASS} < {edits}")
+    size = f"cast((n div {CLASS} - lower) * {CLASS} div {parts} as int)"
+    at = spots.withColumn("size", F.expr(size)).withColumn(
+        "lo", F.expr(f"if(from_right = 1, n - ({parts} - i) * size, i * size) + shift"))
+    at = at.where("size > 0 and lo >= 0 and lo + size <= n")
+    return at.select(F.xxhash64("size", "i", F.expr("substring(w, 4 * lo + 1, 4 * size)")).alias("key"),
+                     F.expr("if(lower = 0 and shift = 0, 0, 1)").alias("role"), "h1")
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
@@ -134,8 +151,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
              least_fuzzy: int = LEAST_FUZZY) -> DataFrame:
     """``(id, t1, t2, removed, n_near)``: for each document that loses lines
     their numbers from 0, and how many of them are no plain repeats."""
-    if edits < 0 or least_fuzzy < edits + 1:
-        raise ValueError("fuzzy lines need more code points than edits")
+    if not 0 <= edits < CLASS or least_fuzzy < CLASS + edits + 1:
+        raise ValueError("fuzzy lines must be longer than the edits allowed and a class of lengths")
     found = _occurrences(docs, id_col, text_col, least)
     h = ["h1", "h2"]
     classes = c.stored(found.groupBy(*h).agg(F.min("place").alias("first"), F.count("*").alias("copies")), "classes")
@@ -144,7 +161,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     shared = keys.groupBy("key").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x < y").select("key")
     met = c.stored(keys.join(shared.hint("shuffle_hash"), "key").distinct(), "met")
     wanted = met.select("h1").distinct().join(classes, "h1").select(*h, "first")
-    texts = found.select(*h, "line", "n").join(wanted, h).groupBy(*h).agg(F.first(F.struct("first", "line", "n")).alias("x"))
+    texts = found.where(F.col("n") >= least_fuzzy).select(*h, "line", "n").join(wanted, h).groupBy(*h).agg(F.first(F.struct("first", "line", "n")).alias("x"))
     texts = c.stored(texts.select(F.monotonically_increasing_id().alias("node"), *h, "x.*", _spoken(F.col("x.line")).alias("p")), "lines")
     side = met.join(texts.select("h1", "node", "p.p1", "p.p2", "n"), "h1").select("key", "role", "node", "p1", "p2", "n")
     side = c.stored(side, "sides")
