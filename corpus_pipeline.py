@@ -12,7 +12,6 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetline import session
 from vetline.llm import common, decontaminate, lines, minhash, packing, quality
 from vetline.llm.queries import tokenizer_path
 from vetline.sources.tables import read_table
@@ -26,7 +25,7 @@ ORACLE_SQL = None
 def _stage(fn):
     @wraps(fn)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        session.configure(spark)
+        common.configure(spark)
         return fn(spark, docs, sf_dir)
     return run
 
@@ -72,7 +71,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session.configure(spark)
+    common.configure(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = common.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -18,6 +18,18 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 ASCII_SPACE = " \t\n\x0b\f\r"
 
 
+# Rows of an Arrow batch at most: texts can be long, and a batch is held by the executor and its Python worker at once.
+ARROW_ROWS = 1000
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """The package's session settings, and bounded Arrow batches."""
+    session.configure(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh table in the cluster's shared folder and read it
     back: cuts the lineage, and a lost executor loses nothing of it."""

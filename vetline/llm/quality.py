@@ -22,7 +22,7 @@ from vetline.llm import vectors as v
 SAMPLE = 6000       # labelled documents at most
 RANK = 48           # latent dimensions
 NEIGHBOURS = 40
-BLOCK = 512         # documents per product
+BLOCK = 128         # documents per product
 SHAPES, WORDS, SIGNS = 2048, 1024, 24
 SIZE = SHAPES + WORDS + SIGNS
 THRESHOLD = 0.3
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
         return {"idf": idf, "basis": np.zeros((SIZE, 1), np.float32), "x": np.zeros((0, 1), np.float32),
                 "y": np.zeros(0, np.float32), "prior": 0.5}
     count = Counts()
-    x = v.tf_idf(np.stack([count(t) for _, t, _ in rows]), idf)
+    x = np.concatenate([v.tf_idf(np.stack([count(t) for _, t, _ in rows[i:i + BLOCK]]), idf) for i in range(0, len(rows), BLOCK)])
     basis = latent(x, RANK)
     y = np.array([y for _, _, y in rows], np.float32)
     return {"idf": idf, "basis": basis, "x": unit(x @ basis), "y": y, "prior": float((y.sum() + 1) / (len(y) + 2))}
@@ -142,5 +142,6 @@ def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
     def run(batches):
         score = scorer(model.value)
         for b in batches:
-            yield b.filter(pa.array(score(b.column(at).to_pylist()) >= threshold, pa.bool_()))
+            keep = [score(b.column(at).slice(i, BLOCK).to_pylist()) >= threshold for i in range(0, b.num_rows, BLOCK)]
+            yield b.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

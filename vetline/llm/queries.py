@@ -7,8 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vetline import session
-from vetline.llm import decontaminate, embeddings, lines, minhash, packing, pii, quality, substring, toxicity, wrappers
+from vetline.llm import common, decontaminate, embeddings, lines, minhash, packing, pii, quality, substring, toxicity, wrappers
 from vetline.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +17,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            session.configure(spark)
+            common.configure(spark)
             return fn(spark, sf_dir)
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 300_000      # per Python worker
+CACHED_WORDS = 120_000      # per Python worker
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2,}"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
 _SAME = re.compile(r"(.)\1+")
 
