@@ -272,9 +272,11 @@ SELECT user_id AS chat_id, event_id AS msg_id,
     WHEN 3 THEN '{"is_vacancy": true, "match_score": ' || k || '.5}'
     WHEN 4 THEN '{"is_vacancy": true, "match_score": ' || k3 || '}'
     WHEN 5 THEN '{"is_vacancy": true, "match_score": -' || k || '}'
-    WHEN 6 THEN '{"match_score": ' || k || '}'
+    WHEN 6 THEN '{"match_score": ' || k || ', "title": 7, "company": null, "grade": "wizard", "remote": "moon", "should_apply": true}'
     WHEN 7 THEN '[{"match_score": ' || k || '}]'
-    WHEN 8 THEN '{"is_vacancy": true, "match_score": ' || k || ', "stack": ["Go", null, "", "Kafka"]}'
+    WHEN 8 THEN '{"is_vacancy": true, "match_score": ' || k || ', "title": "Dev ' || k || '", "company": "Acme", "stack": ["Go", null, "", "Kafka"], '
+      || '"grade": "senior", "salary": "' || k3 || ' EUR", "remote": "full", "reasoning": " One. Two! Three? Four. ", '
+      || '"red_flags": ["late ' || k || '", ""], "should_apply": "false"}'
     ELSE '{"is_vacancy": false, "match_score": 0}' END AS raw
 FROM (SELECT *, CAST(CAST(regexp_extract(props, '-?[0-9]+') AS BIGINT) AS VARCHAR) AS k,
              CAST(CAST(regexp_extract(props, '-?[0-9]+') AS BIGINT) * 3 AS VARCHAR) AS k3 FROM events) e"""
@@ -607,7 +609,7 @@ WITH conv AS (SELECT conv_id AS chat_id, turn AS msg_id, trim(coalesce(text, '')
   scored AS (SELECT chat_id, msg_id, n_signals > 0 AS is_vac, {_CAPPED} AS match_score
              FROM ({_rule_score_sql('chat_id, msg_id', 'fresh')}) x),
   routed AS (SELECT f.chat_id, f.msg_id, 'live' AS source, '' AS title, s.match_score,
-               {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
+               {_dispo('f.text', "CASE WHEN f.chat_id % 50 = 7 THEN 'transient' ELSE 'ok' END", "'ok'", 's.is_vac', 's.match_score')} AS disposition
              FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
 SELECT chat_id, msg_id, source, disposition, {_OUT} FROM routed"""
 
@@ -653,3 +655,43 @@ SELECT chat_id, msg_id,
   CAST(CASE WHEN ok_at > 0 AND (crash_at = 0 OR ok_at < crash_at) THEN pow(2, ok_at - 1) - 1
             WHEN crash_at > 0 THEN pow(2, crash_at - 1) - 1 ELSE 7 END AS INTEGER) AS backoff_s
 FROM b"""
+
+# ---- logs, sources and the assembled jobs ------------------------------------------
+# of the replayed log the later run counts: only clicks recorded again changed
+Q["seen_latest"] = _with(["fx_seen"], """
+SELECT chat_id, msg_id, is_vacancy, CASE WHEN msg_id % 4 = 1 THEN CAST(msg_id % 100 AS INTEGER) ELSE score END AS score,
+  posted, title, ts FROM fx_seen""")
+Q["overall_stats_log"] = Q["overall_stats"]
+Q["seen_since"] = _with(["fx_seen"], "SELECT * FROM fx_seen WHERE ts >= 1705276800")
+Q["channel_scan"] = _with(["fx_channels"], "SELECT chat_id, username, title, last_msg_ts FROM fx_channels")
+Q["allowlist_file"] = _with(["fx_sources"], """
+SELECT CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS pos, kind, username, chat_id FROM fx_sources WHERE kind <> 'invalid'""")
+Q["channel_arguments"] = _with(["fx_directory"], f"""
+, a AS (SELECT DISTINCT unnest([CAST(chat_id AS VARCHAR), handle, ' @' || handle || ' ', '+' || CAST(abs(chat_id) AS VARCHAR)]) AS argument
+        FROM fx_directory),
+  b AS (SELECT argument, trim(argument, {WS}) AS s FROM a),
+  c AS (SELECT *, s LIKE '-%' OR regexp_full_match(s, '[0-9]+') AS numeric FROM b)
+SELECT argument, CASE WHEN numeric THEN TRY_CAST(s AS BIGINT) END AS chat_id, CASE WHEN NOT numeric THEN s END AS username,
+  NOT numeric OR TRY_CAST(s AS BIGINT) IS NOT NULL AS valid FROM c""")
+Q["list_unknown_type"] = Q["list_messages"]
+Q["union_arrivals"] = _with(["fx_messages"], """
+SELECT chat_id, source, count(*) AS n, min(msg_id) AS first, max(msg_id) AS last FROM fx_messages GROUP BY chat_id, source""")
+Q["empty_answers"] = """
+SELECT user_id AS chat_id, event_id AS msg_id, 'ok' AS parse_status, false AS is_vacancy, 'unknown' AS grade, 'unknown' AS remote,
+  0 AS match_score, 0 AS n_stack FROM events WHERE event_id % 10 >= 5"""
+# the scan reads on while no message so far, from the newest, was older than the cutoff
+Q["backfill_job"] = _with(["fx_first", "fx_messages", "fx_resolved"], f"""
+, history AS (SELECT * FROM (SELECT DISTINCT chat_id, msg_id, date_s FROM fx_messages WHERE source = 'backfill') m
+              WHERE chat_id IN (SELECT chat_id FROM fx_resolved)),
+  scan AS (SELECT *, row_number() OVER newest AS rn,
+                  max(CASE WHEN date_s < 1704067200 THEN 1 ELSE 0 END) OVER newest AS stopped
+           FROM history WINDOW newest AS (PARTITION BY chat_id ORDER BY msg_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  keys AS (SELECT chat_id, msg_id FROM scan WHERE rn <= 20 AND stopped = 0
+           UNION SELECT chat_id, msg_id FROM fx_messages WHERE source = 'live' AND chat_id IN (SELECT chat_id FROM fx_resolved)),
+  fresh AS (SELECT f.* FROM fx_first f JOIN keys USING (chat_id, msg_id)),
+  scored AS (SELECT chat_id, msg_id, n_signals > 0 AS is_vac, {_CAPPED} AS match_score
+             FROM ({_rule_score_sql('chat_id, msg_id', 'fresh')}) x),
+  routed AS (SELECT f.chat_id, f.msg_id, '' AS title, s.match_score,
+               {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
+             FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
+SELECT chat_id, msg_id, {_OUT}, CAST(1704067200 AS BIGINT) AS ts FROM routed""")

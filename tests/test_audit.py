@@ -6,16 +6,16 @@ import pytest
 from conftest import SF001
 from tools.plan_audit import audit
 
-import __spark_entry__ as se
+from vetline.plans.catalog import QUERIES
 
 # windows over bounded groups that are not fed by a group limit (README, Audit)
 BOUNDED_WINDOWS = {"channel_ranking", "channel_table", "backfill_scan", "backfill_scan_default",
                    "backfill_counts", "disposition_funnel"}
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_unscalable_operators(spark, name):
-    df = se.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     df.write.format("noop").mode("overwrite").save()
     a = audit(df._jdf.queryExecution().executedPlan().toString())
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):

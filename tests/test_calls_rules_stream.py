@@ -81,7 +81,7 @@ def test_stream_with_pruned_seen_equals_full_seen(spark):
     seen_path = d + "/seen"
     # half of the messages were recorded by an earlier run (after they were posted)
     half = msgs.read_messages(spark, d + "/in").filter(F.col("msg_id") % 2 == 0)
-    jobs.run_triage(spark, half, seen_path, d + "/matches", run_ts=1735689600)
+    jobs.run_triage(spark, half, seen_path, d + "/matches", run_ts=1735689600, first_run=True)
     since = jobs.seen_horizon(msgs.read_messages(spark, d + "/in"))
     outs = []
     for name, seen in (("full", read_seen(spark, seen_path)), ("pruned", read_seen(spark, seen_path, since))):

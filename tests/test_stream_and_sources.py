@@ -107,3 +107,59 @@ def test_record_stream_through_triage(spark):
     out = ts.run_available_now(spark, ts.triage_stream(stream, seen), "t_records")
     got = spark.read.parquet(out)
     assert got.count() == m.select("chat_id", "msg_id").distinct().count()
+
+
+def test_stream_into_tables_resumes_and_scores_transient_again(spark):
+    """A second run reads only new files; what was transient is scored again; a
+    table of part files and one of a single file give equal rows."""
+    from pyspark.sql import functions as F
+
+    from vetline.operators import evaluate
+    from vetline.sources.tables import read_seen
+    conv = spark.read.parquet(f"{SF001}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    one, many = (tempfile.mkdtemp(prefix="vetline-live-") for _ in "ab")
+    conv.coalesce(1).write.parquet(f"{one}/in")
+    conv.repartition(3).write.parquet(f"{many}/in")
+    down = {"n": 0}
+
+    def evaluator(df, mask):
+        down["n"] += 1
+        e = evaluate.evaluate_with_rules(df, mask=mask)
+        if down["n"] > 2:
+            return e
+        return e.withColumn("call_status", F.when(F.col("chat_id") % 5 == 0, F.when(mask, F.lit("transient"))).otherwise(F.col("call_status")))
+
+    def run(d, first, ev=None):
+        ts.stream_to_tables(spark, ts.conversation_stream(spark, f"{d}/in", 2), f"{d}/q", f"{d}/seen", f"{d}/matches", ev,
+                            first_run=first).awaitTermination()
+    run(one, True)
+    run(many, True, evaluator)
+    told = ts.read_dispositions(spark, f"{many}/q")
+    n = told.count()
+    waiting = told.filter("disposition = 'transient'").select("chat_id", "msg_id").distinct().count()
+    assert waiting > 0 and read_seen(spark, f"{many}/seen").count() == conv.count() - waiting
+    run(many, False, evaluator)     # nothing new: no micro-batch, nothing read again
+    assert ts.read_dispositions(spark, f"{many}/q").count() == n
+    conv.limit(3).write.mode("append").parquet(f"{many}/in")
+    run(many, False, evaluator)     # three repeats, and what was waiting
+    last = ts.read_dispositions(spark, f"{many}/q")
+    top = last.agg(F.max("batch")).first()[0]
+    last = last.filter(F.col("batch") == top)
+    assert last.count() <= waiting + 3 and last.filter("disposition = 'transient'").count() == 0
+    values = ["chat_id", "msg_id", "is_vacancy", "score", "posted", "title"]
+    assert sorted(map(str, rows(read_seen(spark, f"{many}/seen").select(*values)))) == sorted(
+        map(str, rows(read_seen(spark, f"{one}/seen").select(*values))))
+
+
+def test_records_and_outcomes_without_a_key_are_rejected_with_a_reason(spark):
+    from vetline.operators import state
+    from vetline.sources import messages as msgs
+    recs = spark.createDataFrame([('{"chat_id": 1, "msg_id": 2, "text": "x"}',), ("nonsense",), ('{"chat_id": 1}',), ('{"msg_id": 1}',), (None,)],
+                                 "value string")
+    assert msgs.messages_from_records(recs).count() == 1
+    assert sorted(r["reason"] for r in rows(msgs.rejected_records(recs))) == [
+        "chat_id is missing", "msg_id is missing", "not a message", "not a message"]
+    outs = spark.createDataFrame([(1, 2, True, 5, False, "t", 1), (None, 2, True, 5, False, "t", 1), (1, None, True, 5, False, "t", 1)],
+                                 "chat_id long, msg_id long, is_vacancy boolean, score int, posted boolean, title string, ts long")
+    assert state.seen_rows(outs).count() == 1
+    assert sorted(r["reason"] for r in rows(state.rejected_outcomes(outs))) == ["chat_id is null", "msg_id is null"]

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
 from vetline.schemas import SEEN_KEY
 
 # ---- fixed values ------------------------------------------------------------
@@ -83,29 +82,19 @@ def already_seen(messages: DataFrame, seen: DataFrame) -> DataFrame:
     return messages.join(seen_keys(seen), SEEN_KEY, "left_semi")
 
 
-def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame | None = None,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def flag_seen(messages: DataFrame, seen: DataFrame, candidate_keys: DataFrame | None = None) -> DataFrame:
     """Add ``in_seen``: whether the key is already in the outcome table.
 
     One keyed left join instead of an anti plus a semi join.  The outcome
-    table is the largest input and grows with every run, while a run's batch
-    is small: when the batch's keys (``candidate_keys``, e.g. the key columns
-    of the raw arrivals scan) are proven small, they are broadcast and the
-    outcome table's key columns stream through a semi join -- no shuffle of
-    the outcome table; only the hits (at most the batch size) join back.
-    Otherwise the distinct outcome keys are shuffle-joined (the aggregate
-    leaves them hash-partitioned on the key, which the join reuses).
+    table is the largest input and grows with every run.  ``candidate_keys``
+    (e.g. the key columns of the raw arrivals scan) lets it go through a semi
+    join first, so that only keys of this batch are made distinct and joined
+    back; the planner broadcasts the candidates, or shuffles, by their bytes
+    (from the scan's statistics, or at run time).
     """
-    outcome_keys = seen.select(*SEEN_KEY)
-    bounded = False
+    keys = seen.select(*SEEN_KEY)
     if candidate_keys is not None:
-        raw = candidate_keys.select(*SEEN_KEY)
-        # the raw row count bounds the keys; checking it needs no shuffle, and
-        # the semi join needs no distinct build side (no shuffle either)
-        bounded = row_count_at_most(raw, max_broadcast_rows)
-        if bounded:
-            outcome_keys = outcome_keys.join(F.broadcast(raw), SEEN_KEY, "left_semi")
-    keys = outcome_keys.distinct().withColumn("in_seen", F.lit(True))
-    # the hits are a subset of the checked batch keys: bounded as well
-    return (messages.join(F.broadcast(keys) if bounded else keys, SEEN_KEY, "left")
+        keys = keys.join(candidate_keys.select(*SEEN_KEY), SEEN_KEY, "left_semi")
+    keys = keys.distinct().withColumn("in_seen", F.lit(True))
+    return (messages.join(keys, SEEN_KEY, "left")
             .withColumn("in_seen", F.coalesce(F.col("in_seen"), F.lit(False))))

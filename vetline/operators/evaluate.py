@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vetline.functions.answers import FIELDS as PARSED_FIELDS, parse_answers
-from vetline.operators.joins import spread
 
 # ---- fixed values -------------------------------------------------------------
 # Call outcome classes: 2xx ok; 429, >= 500 or no status (connection error)
@@ -82,7 +81,7 @@ def _hit_structs(rules: Sequence[Rule], text: Column) -> Column:
 def rule_hits(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
               keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
     """One row per (message, matching rule)."""
-    return (spread(df).select(*keys, F.explode(_hit_structs(rules, F.col(text_col))).alias("h"))
+    return (df.select(*keys, F.explode(_hit_structs(rules, F.col(text_col))).alias("h"))
             .select(*keys, "h.rule_id", "h.kind", "h.pattern", "h.weight"))
 
 
@@ -122,7 +121,7 @@ def rule_score_columns(rules: Sequence[Rule] = FX_RULES, text_col: str = "text")
 def rule_scores(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
                 keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
     cols = rule_score_columns(rules, text_col)
-    return spread(df).select(*keys, *[c.alias(k) for k, c in cols.items()])
+    return df.select(*keys, *[c.alias(k) for k, c in cols.items()])
 
 
 def evaluate_with_rules(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
@@ -208,7 +207,7 @@ def _retryable(status) -> bool:
 
 
 def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_base_s: float = BACKOFF_BASE_S,
-                    sleep: Callable[[float], None] | None = None) -> Callable[[Iterator], Iterator]:
+                    sleep: Callable[[float], None] | None = None, parallel: int = 1) -> Callable[[Iterator], Iterator]:
     """Batch scorer (for ``evaluate_with``) from a per-message client call,
     with the service's retry policy.
 
@@ -222,38 +221,45 @@ def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_ba
     after each attempt, the last one included, up to ``max_attempts``; any
     other status ends the call.  Every attempt's status is kept in
     ``attempt_statuses``, so outcome, attempts and back-off follow from them.
-    Runs inside the tasks (one client per partition; the partition count
-    bounds the parallel calls).
+    Runs inside the tasks; at most ``parallel`` calls of a partition overlap
+    (``call`` must then be safe to use from threads), so one message that
+    waits for its retry does not hold up the others.
     """
     def run(batches):
         import time
+        from concurrent.futures import ThreadPoolExecutor
 
         import pandas as pd
         wait = sleep or time.sleep
-        for pdf in batches:
-            out = []
-            for cid, mid, request in zip(pdf["chat_id"], pdf["msg_id"], pdf["request"]):
-                statuses, raw, usage, error = [], None, None, None
-                for attempt in range(max_attempts):
-                    try:
-                        status, answer, used = call(request)
-                    except OSError as e:
-                        status, answer, used, error = None, None, None, type(e).__name__
-                    except Exception as e:  # noqa: BLE001 -- recorded as a crashed call
-                        statuses.append(0)
-                        error = type(e).__name__
-                        break
-                    statuses.append(None if status is None else int(status))
-                    if status is not None and 200 <= status <= 299:
-                        raw, usage, error = answer, used, None
-                        break
-                    if not _retryable(status):
-                        break
-                    wait(backoff_base_s * 2 ** attempt)
-                u = usage or {}
-                out.append((cid, mid, raw, statuses[-1], error, u.get("input_tokens"), u.get("output_tokens"),
-                            u.get("cache_read_tokens"), u.get("cache_create_tokens"), statuses))
-            yield pd.DataFrame(out, columns=[f.name for f in ANSWER_SCHEMA.fields])
+
+        def one(message):
+            cid, mid, request = message
+            statuses, raw, usage, error = [], None, None, None
+            for attempt in range(max_attempts):
+                try:
+                    status, answer, used = call(request)
+                except OSError as e:
+                    status, answer, used, error = None, None, None, type(e).__name__
+                except Exception as e:  # noqa: BLE001 -- recorded as a crashed call
+                    statuses.append(0)
+                    error = type(e).__name__
+                    break
+                statuses.append(None if status is None else int(status))
+                if status is not None and 200 <= status <= 299:
+                    raw, usage, error = answer, used, None
+                    break
+                if not _retryable(status):
+                    break
+                wait(backoff_base_s * 2 ** attempt)
+            u = usage or {}
+            return (cid, mid, raw, statuses[-1], error, u.get("input_tokens"), u.get("output_tokens"),
+                    u.get("cache_read_tokens"), u.get("cache_create_tokens"), statuses)
+
+        with ThreadPoolExecutor(max_workers=max(1, int(parallel))) as pool:
+            for pdf in batches:
+                messages = zip(pdf["chat_id"], pdf["msg_id"], pdf["request"])
+                out = list(pool.map(one, messages) if parallel > 1 else map(one, messages))
+                yield pd.DataFrame(out, columns=[f.name for f in ANSWER_SCHEMA.fields])
     return run
 
 
@@ -281,9 +287,11 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
     ``batch_fn`` receives an iterator of pandas frames with the input columns
     (at least ``chat_id, msg_id, chat_title, text``) plus ``request`` and
     yields frames with the columns of ``ANSWER_SCHEMA`` (missing ones are
-    NULL).  Only rows inside ``mask`` are handed to it; the others pass with
-    NULL answers.  Each answer is matched back to its message inside the same
-    batch, so the input columns (all but ``text``) travel on without a join.  ``concurrency``
+    NULL).  It is called once per partition, with the iterator of all its
+    batches, so a client is set up once; it may read ahead.  Only rows inside
+    ``mask`` are handed to it; the others pass with NULL answers.  Answers
+    are matched back to their messages in the task, so the input columns (all
+    but ``text``) travel on without a join.  ``concurrency``
     partitions bound the parallel clients.  Persist the output (checkpoint or
     write) before it feeds more than one sink, so the scorer runs once per
     message.
@@ -305,10 +313,23 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
 
     def run(batches):
         import pandas as pd
-        for pdf in batches:
-            keep = pdf[key + [f.name for f in carried]]
-            todo = pdf[pdf["_evaluate"].fillna(False).astype(bool)]
-            outs = [o.reindex(columns=names) for o in batch_fn(iter([todo]))] if len(todo) else []
+        pending: dict[int, tuple] = {}      # batch: rows to carry, keys not answered yet, answers so far
+        batch_of: dict[tuple, int] = {}
+        ready: list = []
+
+        def feed():
+            for n, pdf in enumerate(batches):
+                keep = pdf[key + [f.name for f in carried]]
+                todo = pdf[pdf["_evaluate"].fillna(False).astype(bool)]
+                if not len(todo):
+                    ready.append(joined(keep, []))
+                    continue
+                keys = set(zip(todo["chat_id"], todo["msg_id"]))
+                batch_of.update(dict.fromkeys(keys, n))
+                pending[n] = keep, keys, []
+                yield todo
+
+        def joined(keep, outs):
             ans = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=names)
             # one answer per message (the last one a scorer gives), so a row is never duplicated
             ans = ans.drop_duplicates(subset=key, keep="last")
@@ -325,7 +346,28 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
                                            for v in merged[c]], index=merged.index, dtype=object)
                 else:
                     merged[c] = merged[c].astype(object).where(merged[c].notna(), None)
-            yield merged.reindex(columns=out_names)
+            return merged.reindex(columns=out_names)
+
+        # the scorer is started once for the partition and may read ahead; a batch goes on when it is answered
+        for out in batch_fn(feed()):
+            out = out.reindex(columns=names)
+            of = [batch_of.get(k) for k in zip(out["chat_id"], out["msg_id"])]
+            for n in dict.fromkeys(x for x in of if x in pending):
+                part = out[[x == n for x in of]]
+                keep, keys, outs = pending[n]
+                outs.append(part)
+                keys.difference_update(zip(part["chat_id"], part["msg_id"]))
+                if not keys:
+                    ready.append(joined(keep, outs))
+                    del pending[n]
+            batch_of = {k: n for k, n in batch_of.items() if n in pending}
+            while ready:
+                yield ready.pop(0)
+        for _ in feed():        # what the scorer did not ask for
+            pass
+        for keep, _, outs in pending.values():      # messages the scorer gave no answer for
+            ready.append(joined(keep, outs))
+        yield from ready
 
     answers = req.mapInPandas(run, schema)
     answers = call_outcomes(answers, mask=F.col("_evaluate"))
@@ -335,7 +377,7 @@ def evaluate_with(df: DataFrame, batch_fn: Callable[[Iterator], Iterator], concu
     answers = answers.withColumns({"call_status": F.when(has, a_out).otherwise(F.col("call_status")),
                                    "attempts": F.when(has, a_att).otherwise(F.col("attempts")),
                                    "backoff_s": F.when(has, a_back).otherwise(F.col("backoff_s"))})
-    parsed = parse_answers(answers, "raw", spread_input=False)
+    parsed = parse_answers(answers, "raw")
     strs = F.array().cast("array<string>")
     return parsed.select(
         *[c for c in parsed.columns if c not in ("_evaluate",) + PARSED_FIELDS + ("parse_status",)],

@@ -1,9 +1,8 @@
 """Outcome and channel tables with upsert semantics, as aggregate plans.
 
 Parquet has no in-place update; the outcome table is an append log read
-latest-wins (compaction rewrites it).  Small inputs (a batch of new outcome
-rows, registrations, touches) are reduced per key first; the large table
-then streams through one join with them, never sorted or aggregated whole.
+latest-wins (compaction rewrites it).  A batch of new outcome rows,
+registrations or touches is reduced per key first, then joined once.
 """
 
 from __future__ import annotations
@@ -11,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetline import schemas, session
-from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from vetline import schemas
 from vetline.schemas import SEEN_KEY
 from vetline.sources.tables import conform
 
@@ -38,19 +36,20 @@ def seen_rows(outcomes: DataFrame, ts_col: str = "ts") -> DataFrame:
     )
 
 
-def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                materialize: bool = True) -> DataFrame:
+def rejected_outcomes(outcomes: DataFrame) -> DataFrame:
+    """Outcome rows that cannot be recorded, with the ``reason``: the key
+    columns of the outcome table may not be NULL."""
+    return outcomes.filter(F.col("chat_id").isNull() | F.col("msg_id").isNull()).withColumn(
+        "reason", F.when(F.col("chat_id").isNull(), F.lit("chat_id is null")).otherwise(F.lit("msg_id is null")))
+
+
+def upsert_seen(current: DataFrame, *batches: DataFrame) -> DataFrame:
     """Insert-or-replace by ``(chat_id, msg_id)``: the latest write replaces all
     columns.  Later batches win over earlier ones at equal ``ts``; a batch
     row wins over the current row at equal ``ts``.
 
-    The batches (small) are reduced to their latest row per key first; the
-    outcome table (large) then streams once through a left join with them --
-    a broadcast hash join when the batch side is proven small, so the big
-    table is neither shuffled nor sorted -- plus a key-only anti join for the
-    keys that are new.  With ``materialize`` the reduced batch is
-    checkpointed once to the shared folder, so the size check and its three
-    uses read it instead of recomputing the batch plans.
+    The batches are reduced to their latest row per key, then one full outer
+    join reads the outcome table once.
     """
     cur = conform(current, schemas.SEEN)
     log = None
@@ -59,25 +58,20 @@ def upsert_seen(current: DataFrame, *batches: DataFrame, max_broadcast_rows: int
         log = part if log is None else log.unionByName(part)
     if log is None:
         return cur
-    latest = latest_per_key(log, keep_order=True)
-    if materialize:
-        session.checkpoint_root(latest.sparkSession)
-        latest = latest.checkpoint(eager=True)
-    side = broadcast_if_bounded(latest.select(
-        *SEEN_KEY, *[F.col(c).alias(f"_b_{c}") for c in SEEN_VALUE_COLS + ["ts", "_batch"]]), max_broadcast_rows)
-    j = cur.join(side, SEEN_KEY, "left")
-    take = F.col("_b__batch").isNotNull() & (F.coalesce(F.col("_b_ts") >= F.col("ts"), F.col("ts").isNull()))
-    replaced = j.select(*SEEN_KEY, *[F.when(take, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c)
-                                     for c in SEEN_VALUE_COLS + ["ts"]])
-    # keys of the batch already present: the big table's keys stream through
-    # the (broadcast) batch keys; the result is at most the batch size
-    present = cur.select(*SEEN_KEY).join(side.select(*SEEN_KEY), SEEN_KEY, "left_semi")
-    new = latest.join(present, SEEN_KEY, "left_anti").select(*SEEN_KEY, *SEEN_VALUE_COLS, "ts")
-    return replaced.unionByName(new)
-
-
-def latest_per_key(log: DataFrame, order_cols=("ts", "_batch"), keep_order: bool = False) -> DataFrame:
-    """Latest row per key of an append log (max over an ordering struct)."""
+    values = SEEN_VALUE_COLS + ["ts"]
+    side = latest_per_key(log, keep_order=True).select(
+        *SEEN_KEY, *[F.col(c).alias(f"_b_{c}") for c in values + ["_batch"]])
+    here = cur.withColumn("_here", F.lit(True))
+    j = here.join(side, SEEN_KEY, "full")
+    take = F.col("_b__batch").isNotNull() & (F.col("_here").isNull() | F.col("ts").isNull()
+                                             | F.coalesce(F.col("_b_ts") >= F.col("ts"), F.lit(False)))
+    return j.select(*SEEN_KEY, *[F.when(take, F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) for c in values])
+
+
+def latest_per_key(log: DataFrame, order_cols=("run", "ts", "_batch"), keep_order: bool = False) -> DataFrame:
+    """Latest row per key of an append log (max over an ordering struct).  The
+    row of the latest ``run`` wins; values decide only among rows of one key,
+    run and time, which one run never writes."""
     order = [c for c in order_cols if c in log.columns]
     w = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in SEEN_VALUE_COLS])).alias("w")
     extra = [F.col(f"w.{c}").alias(c) for c in order if c != "ts"] if keep_order else []

@@ -18,7 +18,7 @@ from vetline.plans import reports
 from vetline.sources import allowlist
 from vetline.sources import fixtures as fx
 from vetline.sources import messages as msgs
-from vetline.sources.tables import evolve, read_table
+from vetline.sources.tables import evolve, read_channels, read_seen, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -411,10 +411,135 @@ def q_scorer_hook(spark, d):
     return routed.select("chat_id", "msg_id", "disposition", *_outcome_cols())
 
 
+# ---- logs, sources and the assembled jobs ------------------------------------------
+def _replayed_log(spark, d):
+    """An outcome log in which clicks were recorded by run 1, again by run 2 with another
+    score, and view events by run 2 and (a late replay) by run 1 once more."""
+    s = fx.fx_seen(spark, d)
+    one, two = s.withColumn("run", F.lit(1).cast("bigint")), s.withColumn("run", F.lit(2).cast("bigint"))
+    again = two.filter(F.col("msg_id") % 4 == 1).withColumn("score", (F.col("msg_id") % 100).cast("int"))
+    late = one.filter(F.col("msg_id") % 4 == 2).withColumn("score", F.lit(1)).withColumn("posted", F.lit(1))
+    return one.unionByName(again).unionByName(two.filter(F.col("msg_id") % 4 == 2)).unionByName(late)
+
+
+@register("seen_latest")
+def q_seen_latest(spark, d):
+    """The outcome table behind a log with replayed rows, written to and read from the log."""
+    path = session.scratch_path(spark, "seen-log")
+    _replayed_log(spark, d).write.parquet(path)
+    return read_seen(spark, path)
+
+
+@register("overall_stats_log")
+def q_overall_stats_log(spark, d):
+    path = session.scratch_path(spark, "seen-log")
+    _replayed_log(spark, d).write.parquet(path)
+    return reports.overall_stats(read_seen(spark, path))
+
+
+@register("seen_since")
+def q_seen_since(spark, d):
+    """Rows recorded since a day, from the day-partitioned log (older days are not read)."""
+    path = session.scratch_path(spark, "seen-days")
+    (fx.fx_seen(spark, d).select("*", F.lit(1).cast("bigint").alias("run"), F.to_date(tx.from_epoch("ts")).alias("dt"))
+     .hint("rebalance", "dt").write.partitionBy("dt").parquet(path))
+    return read_seen(spark, path, since_epoch=MIGRATION_EPOCH)
+
+
+@register("channel_scan")
+def q_channel_scan(spark, d):
+    """The channel table written and read back with its fixed schema."""
+    path = session.scratch_path(spark, "channels")
+    fx.fx_channels(spark, d).write.parquet(path)
+    return read_channels(spark, path)
+
+
+@register("allowlist_file")
+def q_allowlist_file(spark, d):
+    """The allow-list as its JSON file, read and checked."""
+    path = session.scratch_path(spark, "allowlist")
+    entries = fx.fx_allowlist_entries(spark, d).filter(~F.col("entry").isin('"  "') & ~F.col("entry").endswith(".5"))
+    one = entries.agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("e"))     # a file of one array
+    one.select(F.concat(F.lit('{"chats": ['), F.array_join(F.transform("e", lambda x: x["entry"]), ", "), F.lit("]}"))) \
+        .coalesce(1).write.text(path)
+    return allowlist.load_sources(spark, path)
+
+
+@register("channel_arguments")
+def q_channel_arguments(spark, d):
+    """A command's channel argument as an id or a handle."""
+    a = fx.fx_directory(spark, d).select(F.explode(F.array(
+        F.col("chat_id").cast("string"), F.col("handle"), F.concat(F.lit(" @"), F.col("handle"), F.lit(" ")),
+        F.concat(F.lit("+"), F.abs("chat_id").cast("string")))).alias("argument")).distinct()
+    return a.select("argument", tx.parse_channel("argument").alias("p")).select("argument", "p.*")
+
+
+@register("list_unknown_type")
+def q_list_unknown_type(spark, d):
+    """An unknown listing filter shows everything."""
+    return reports.list_messages(fx.fx_seen(spark, d), fx.fx_channels(spark, d), filter_type="no such filter")
+
+
+@register("union_arrivals")
+def q_union_arrivals(spark, d):
+    """Live and backfilled messages as one frame tagged by where they came from."""
+    m = fx.fx_messages(spark, d)
+    both = dedup.union_arrivals(m.filter(F.col("source") == "live").drop("source"),
+                                m.filter(F.col("source") == "backfill").drop("source", "chat_first_name"))
+    return both.groupBy("chat_id", "source").agg(F.count(F.lit(1)).alias("n"), F.min("msg_id").alias("first"), F.max("msg_id").alias("last"))
+
+
+@register("empty_answers")
+def q_empty_answers(spark, d):
+    """Answers without content are read as empty objects."""
+    a = fx.fx_answers(spark, d).withColumn("raw", F.when(F.col("msg_id") % 10 < 5, F.col("raw")))
+    return parse_answers(a.filter(F.col("raw").isNull())).select(
+        "chat_id", "msg_id", "parse_status", "is_vacancy", "grade", "remote", "match_score", F.size("stack").alias("n_stack"))
+
+
+@register("backfill_job")
+def q_backfill_job(spark, d):
+    """The start of the service: resolve, register, backfill, join with live messages, triage; its outcome table."""
+    from vetline.plans import jobs
+    out = session.scratch_path(spark, "backfill-job")
+    m = fx.fx_messages(spark, d)
+    jobs.run_backfill(
+        spark, allowlist.normalize_entries(fx.fx_allowlist_entries(spark, d)), fx.fx_directory(spark, d),
+        dedup.first_arrivals(m.filter(F.col("source") == "backfill")).drop("source"), BACKFILL_CUTOFF, f"{out}/seen", f"{out}/matches",
+        live=m.filter(F.col("source") == "live").drop("source"), cap=BACKFILL_TEST_CAP, run_ts=BACKFILL_CUTOFF, first_run=True,
+        channels_out=f"{out}/channels")
+    return read_seen(spark, f"{out}/seen")
+
+
 # ---- streaming -------------------------------------------------------------------
+STREAM_DOWN = 50        # conversations with this remainder of 50 find the scorer unavailable
+
+
+def _stream_evaluator(df, mask):
+    e = evaluate.evaluate_with_rules(df, mask=mask)
+    return e.withColumn("call_status", F.when(F.col("chat_id") % STREAM_DOWN == 7, F.when(mask, F.lit("transient")))
+                        .otherwise(F.col("call_status")))
+
+
 @register("stream_triage")
 def q_stream_triage(spark, d):
+    """The live service over the conversations as several files, 20 messages of which arrive twice; opening
+    turns are in the outcome log, and for some conversations the scorer is unavailable.  What was decided last
+    for each message that was not skipped."""
     from vetline.streaming import triage_stream as ts
-    plan = ts.triage_stream(ts.conversation_stream(spark, d), ts.first_turns_seen(spark, d))
-    out = ts.run_available_now(spark, plan, "stream_triage")
-    return spark.read.parquet(out).select(*ts.OUTPUT_COLS)
+    base = session.scratch_path(spark, "stream")
+    conv = read_table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    conv.repartition(4).write.parquet(f"{base}/in")
+    (ts.first_turns_seen(spark, d).select("*", F.lit(0).cast("bigint").alias("ts"), F.lit(0).cast("bigint").alias("run"),
+                                          F.lit("1970-01-01").cast("date").alias("dt")).write.partitionBy("dt").parquet(f"{base}/seen"))
+    query = ts.stream_to_tables(spark, ts.conversation_stream(spark, f"{base}/in", max_files_per_trigger=3), f"{base}/query",
+                                f"{base}/seen", f"{base}/matches", _stream_evaluator)
+    query.awaitTermination()
+    # the fixture's repeats: 20 messages arrive once more, in a file of their own; the query goes on where it was
+    conv.filter(F.col("turn") > 0).orderBy("conv_id", "turn").limit(20).write.mode("append").parquet(f"{base}/in")
+    ts.stream_to_tables(spark, ts.conversation_stream(spark, f"{base}/in", max_files_per_trigger=3), f"{base}/query",
+                        f"{base}/seen", f"{base}/matches", _stream_evaluator).awaitTermination()
+    told = ts.read_dispositions(spark, f"{base}/query").filter(F.col("disposition") != "dedup_skip")
+    values = [c for c in ts.OUTPUT_COLS if c not in ("chat_id", "msg_id")]
+    last = F.max(F.struct("batch", *values)).alias("w")
+    return told.groupBy("chat_id", "msg_id").agg(last).select("chat_id", "msg_id", *(F.col(f"w.{c}").alias(c) for c in values))

@@ -6,9 +6,11 @@ Stages (cheap before costly):
 The routed rows are written once to the shared checkpoint folder (the
 scorer must not run again per sink, and the lineage is cut there, so a lost
 executor only recomputes from that table); then the sinks are projections:
-  seen      append-only log of outcome rows (latest-wins on read/compaction)
   matches   one card per posted message
   channels  new snapshot with last activity touched
+  retry     snapshot of what is still transient
+  seen      append-only log of outcome rows (latest-wins on read/compaction),
+            written last: it is the commit of the run
 Every sink is a plain Parquet write through Spark's output committer: a
 failed task is retried; a re-run after a failed job may append the same
 outcome rows again, which the latest-wins read and compaction absorb
@@ -17,6 +19,7 @@ outcome rows again, which the latest-wins read and compaction absorb
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,10 +31,9 @@ from vetline import schemas, session
 from vetline.schemas import SEEN_KEY
 from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
-from vetline.operators.joins import broadcast_if_bounded
 from vetline.sources import messages as msgs
-from vetline.sources.allowlist import allowlisted
-from vetline.sources.tables import read_channels, read_seen
+from vetline.sources.allowlist import allowlisted, resolve
+from vetline.sources.tables import latest_seen, read_channels, read_seen_log
 
 
 def rules_evaluator(rules=evaluate.FX_RULES, threshold: int = route.DEFAULT_THRESHOLD):
@@ -71,16 +73,24 @@ class TriageResult:
 
 
 def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches_path: str,
-               evaluator: Callable[[DataFrame, object], DataFrame] | None = None, run_ts: int = 0,
+               evaluator: Callable[[DataFrame, object], DataFrame] | None = None, *, run_ts: int,
                channels_path: str | None = None, channels_out: str | None = None,
                threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
                retry_in: str | None = None, retry_out: str | None = None,
-               registrations: DataFrame | None = None, seen_since: int | None = None) -> TriageResult:
+               registrations: DataFrame | None = None, seen_since: int | None = None,
+               first_run: bool = False, run_id: int | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
     ``channels_out`` receives the channel snapshot: the table at
-    ``channels_path`` (empty on the first run), with ``registrations``
-    (``chat_id, username, title``, e.g. the resolved sources) upserted, then
-    touched by this run's recorded messages.
+    ``channels_path``, with ``registrations`` (``chat_id, username, title``,
+    e.g. the resolved sources) upserted, then touched by this run's recorded
+    messages.  ``run_ts`` is the processing time (epoch seconds) that the rows
+    carry; ``run_id`` orders the runs (default: the clock, in nanoseconds).
+    Tables that are not there are an error unless this is the ``first_run``.
+
+    The outcome append is the commit: cards, channels and the retry
+    snapshot are written before it.  A run that fails at any sink has recorded
+    nothing, so the next run does all of it again; its cards collapse with
+    those already written (``read_matches``), and snapshots are overwritten.
 
     A ``transient`` message is not recorded, so it is evaluated again when
     it arrives again.  For sources that do not deliver a message twice (a
@@ -95,13 +105,15 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     are pruned, not read.  Only pass it when records are written after the
     messages are posted (processing time), so no older record can match."""
     session.configure(spark)
+    run_id = time.time_ns() if run_id is None else int(run_id)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
-    seen = _read_or_empty(spark, seen_path, seen_since)
+    seen = _there(spark, seen_path, first_run, schemas.SEEN_LOG, lambda: read_seen_log(spark, seen_path, seen_since))
     if retry_in:
         pending = spark.read.schema(schemas.MESSAGES).parquet(retry_in)
         arrivals = arrivals.unionByName(pending, allowMissingColumns=True)
     routed_path = session.scratch_path(spark, "routed")
-    triage_plan(arrivals, seen, evaluator, threshold, allowed=allowed).write.parquet(routed_path)
+    # no sink uses the message text
+    triage_plan(arrivals, seen, evaluator, threshold, allowed=allowed).drop("text").write.parquet(routed_path)
     routed = spark.read.parquet(routed_path)
 
     new_seen = state.seen_rows(routed.filter("recorded").select(
@@ -110,23 +122,39 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     day = _day()
     # both logs are partitioned by day of the processing time: readers of
     # recent rows prune old days, and compaction can rewrite day by day
-    new_seen.select("*", day).write.mode("append").partitionBy("dt").parquet(seen_path)
     cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")).select("*", day) \
         .write.mode("append").partitionBy("dt").parquet(matches_path)
     if channels_out:
-        channels = _read_channels_or_empty(spark, channels_path)
+        channels = spark.createDataFrame([], schemas.CHANNELS)
+        if channels_path:
+            channels = _there(spark, channels_path, first_run, schemas.CHANNELS, lambda: read_channels(spark, channels_path))
         if registrations is not None:
             channels = state.upsert_channels(channels, registrations)
-        state.touch_channels(channels, new_seen).write.parquet(channels_out)
+        state.touch_channels(channels, new_seen).write.mode("overwrite").parquet(channels_out)
     if retry_out:
-        # transient keys are at most the batch: size-checked, then the
-        # arrivals stream through them (no shuffle of the arrivals)
-        keys = broadcast_if_bounded(routed.filter(F.col("disposition") == "transient").select(*SEEN_KEY))
+        keys = routed.filter(F.col("disposition") == "transient").select(*SEEN_KEY)
         msg_cols = [f.name for f in schemas.MESSAGES.fields]
-        arrivals.join(keys, SEEN_KEY, "left_semi").select(*msg_cols).write.parquet(retry_out)
+        arrivals.join(keys, SEEN_KEY, "left_semi").select(*msg_cols).write.mode("overwrite").parquet(retry_out)
+    new_seen.select("*", F.lit(run_id).cast("bigint").alias("run"), day).write.mode("append").partitionBy("dt").parquet(seen_path)
     return TriageResult(routed_path, seen_path, matches_path, channels_out, retry_out)
 
 
+def run_backfill(spark: SparkSession, sources: DataFrame, directory: DataFrame, history: DataFrame, cutoff_epoch: int,
+                 seen_path: str, matches_path: str, live: DataFrame | None = None, cap: int = msgs.BACKFILL_CAP,
+                 date_col: str = "date_s", **triage) -> TriageResult:
+    """The start of the service as one job: resolve the allow-list against the
+    directory (an allow-list of which nothing resolves is an error), register
+    what resolves, read the history of those chats back to the cutoff, join it
+    with the ``live`` messages and triage all of it.  ``triage`` goes to
+    ``run_triage``."""
+    resolved, _ = resolve(sources, directory, require_any=True)
+    history = msgs.backfill(allowlisted(history, resolved), cutoff_epoch, cap, date_col)
+    arrivals = dedup.union_arrivals(history.limit(0) if live is None else live, history)
+    registrations = resolved.select("chat_id", F.col("handle").alias("username"), F.col("handle").alias("title")).distinct()
+    return run_triage(spark, arrivals, seen_path, matches_path, registrations=registrations,
+                      allowed=resolved.select("chat_id"), **triage)
+
+
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
     """Latest row per key of the append log, written as a new table with the
     log's layout (partitioned by day of ``ts``), so later runs append to it.
@@ -135,7 +163,9 @@ def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
     day and write a file per day; ``REBALANCE`` on the day groups each day's
     rows before the write, and AQE splits a large day over several tasks
     (no single task for a hot day), so the file count follows the data."""
-    latest = state.latest_per_key(read_seen(spark, seen_path).withColumn("_batch", F.lit(0)))
+    log = read_seen_log(spark, seen_path)
+    top = log.agg(F.max("run")).first()[0]
+    latest = latest_seen(log).withColumn("run", F.lit(top).cast("bigint"))
     latest.select("*", _day()).hint("rebalance", "dt").write.partitionBy("dt").parquet(out_path)
     return out_path
 
@@ -144,17 +174,6 @@ def _day():
     return F.to_date(tx.from_epoch("ts")).alias("dt")
 
 
-def _read_channels_or_empty(spark: SparkSession, path: str | None) -> DataFrame:
-    """The channel table at ``path``; empty when there is none yet."""
-    if path:
-        try:
-            return read_channels(spark, path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-    return spark.createDataFrame([], schemas.CHANNELS)
-
-
 def seen_horizon(arrivals: DataFrame, margin_s: int = 86400) -> int | None:
     """Earliest record time an outcome row of these messages can have: the
     oldest message date less ``margin_s`` (clock skew), as one aggregate
@@ -167,11 +186,13 @@ def seen_horizon(arrivals: DataFrame, margin_s: int = 86400) -> int | None:
     return int(r["lo"]) - int(margin_s)
 
 
-def _read_or_empty(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
-    """The outcome table at ``path``; empty on the first run."""
+def _there(spark: SparkSession, path: str, first_run: bool, schema, read: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``; only on the first run may there be none."""
     try:
-        return read_seen(spark, path, since_epoch)
+        return read()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schemas.SEEN)
-        raise
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        if not first_run:
+            raise FileNotFoundError(f"no table at {path}; pass first_run=True for the run that makes it") from e
+    return spark.createDataFrame([], schema)

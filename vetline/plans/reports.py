@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from vetline.functions import text as tx
 from vetline import session
-from vetline.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
 
 # ---- fixed values ---------------------------------------------------------
 FILTER_TYPES = ("all", "vacancies", "not_vacancies", "posted")
@@ -140,21 +139,18 @@ def _newest_first(df: DataFrame, limit: int) -> DataFrame:
                       F.col("msg_id").desc_nulls_last()).limit(int(limit))
 
 
-def _with_channel(top: DataFrame, channels: DataFrame, cols,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Label the top-k rows with their channel.  A channel dimension within
-    the bound is broadcast.  A larger one is never shuffled for k rows: the k
-    rows are fixed once (a checkpoint of k rows, so the top-k is not computed
-    twice), the dimension streams through a broadcast of their keys, and the
-    two tiny sides are joined."""
+def _with_channel(top: DataFrame, channels: DataFrame, cols) -> DataFrame:
+    """Label the top-k rows with their channel.  The channel dimension is
+    never shuffled for k rows: the k rows are fixed once (a checkpoint of k
+    rows, so the top-k is not computed twice), the dimension streams through
+    a broadcast of their keys (k at most, by the limit), and the two tiny
+    sides are joined."""
     ch = channels.select("chat_id", F.col("username").alias("channel_username"),
                          F.col("title").alias("channel_title"))
-    if row_count_at_most(ch, max_broadcast_rows):
-        return top.join(F.broadcast(ch), "chat_id", "left").select(*cols)
     session.checkpoint_root(top.sparkSession)
     fixed = top.checkpoint(eager=True)
     labels = ch.join(F.broadcast(fixed.select("chat_id").distinct()), "chat_id", "left_semi")
-    return fixed.join(labels, "chat_id", "left").select(*cols)
+    return fixed.join(F.broadcast(labels), "chat_id", "left").select(*cols)
 
 
 LIST_COLS = ["ts", "chat_id", "channel_username", "channel_title", "title", "score",
@@ -163,22 +159,20 @@ RECENT_COLS = ["ts", "chat_id", "channel_username", "channel_title", "title", "s
 
 
 def list_messages(seen: DataFrame, channels: DataFrame, filter_type: str = "all",
-                  channel_id: int | None = None, limit: int = LIST_LIMIT,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  channel_id: int | None = None, limit: int = LIST_LIMIT) -> DataFrame:
     """Newest outcome rows matching the listing filter, with channel names."""
     top = _newest_first(_listing_filter(seen, filter_type, channel_id)
                         .select("ts", "chat_id", "msg_id", "title", "score", "is_vacancy", "posted"), limit)
     top = top.select("ts", "chat_id", "msg_id", "title", "score",
                      F.col("is_vacancy").cast("boolean").alias("is_vacancy"),
                      (F.col("posted") != 0).alias("posted"))
-    return _with_channel(top, channels, LIST_COLS, max_broadcast_rows)
+    return _with_channel(top, channels, LIST_COLS)
 
 
-def recent_matches(seen: DataFrame, channels: DataFrame, limit: int = RECENT_LIMIT,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def recent_matches(seen: DataFrame, channels: DataFrame, limit: int = RECENT_LIMIT) -> DataFrame:
     top = _newest_first(seen.filter(F.col("posted") == 1)
                         .select("ts", "chat_id", "msg_id", "title", "score"), limit)
-    return _with_channel(top, channels, RECENT_COLS, max_broadcast_rows)
+    return _with_channel(top, channels, RECENT_COLS)
 
 
 def render_listing(rows: DataFrame) -> DataFrame:

@@ -23,6 +23,9 @@ EVALUATIONS = _st(("chat_id", L), ("msg_id", L), ("status", S), ("is_vacancy", B
 SEEN = _st(("chat_id", L), ("msg_id", L), ("is_vacancy", I), ("score", I), ("posted", I),
            ("title", S), ("ts", L))
 
+# the append log behind it: ``run`` grows with every run, so that the row written last is known
+SEEN_LOG = T.StructType([*SEEN.fields, T.StructField("run", L, True)])
+
 # seen before the additive migration (is_vacancy and title added later)
 SEEN_V1 = _st(("chat_id", L), ("msg_id", L), ("score", I), ("posted", I), ("ts", L))
 

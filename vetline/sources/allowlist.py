@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetline.functions.text import PY_WHITESPACE
-from vetline.operators.joins import broadcast_if_bounded
-
-MAX_SOURCES = 100_000
 
 
 def _handle_key(c: Column) -> Column:
@@ -59,17 +56,15 @@ def resolve(sources: DataFrame, directory: DataFrame, require_any: bool = False)
     """Match valid allow-list entries to the chat directory (chat_id, handle):
     handles by case-folded name, ids by chat id.  Returns (resolved, unresolved).
 
-    The allow-list is small configuration; it is broadcast only after its size
-    is checked, else the join shuffles.  With ``require_any`` an allow-list
+    The planner chooses the joins by the sides' bytes.  With ``require_any`` an allow-list
     of which nothing resolves is an error.
     """
     valid = sources.filter(F.col("kind") != "invalid")
-    small = broadcast_if_bounded(valid, MAX_SOURCES)
     d = directory.select("chat_id", "handle", _handle_key(F.col("handle")).alias("hkey"))
-    by_handle = (d.join(small.filter(F.col("kind") == "handle")
+    by_handle = (d.join(valid.filter(F.col("kind") == "handle")
                         .select("pos", _handle_key(F.col("username")).alias("hkey")), "hkey")
                  .select("pos", "chat_id", "handle"))
-    by_id = (d.join(small.filter(F.col("kind") == "id").select("pos", "chat_id"), "chat_id")
+    by_id = (d.join(valid.filter(F.col("kind") == "id").select("pos", "chat_id"), "chat_id")
              .select("pos", "chat_id", "handle"))
     resolved = by_handle.unionByName(by_id)
     unresolved = valid.join(resolved.select("pos"), "pos", "left_anti")
@@ -81,4 +76,4 @@ def resolve(sources: DataFrame, directory: DataFrame, require_any: bool = False)
 def allowlisted(messages: DataFrame, resolved: DataFrame) -> DataFrame:
     """Messages of resolved sources only (left semi on chat_id)."""
     ids = resolved.select("chat_id").distinct()
-    return messages.join(broadcast_if_bounded(ids, MAX_SOURCES), "chat_id", "left_semi")
+    return messages.join(ids, "chat_id", "left_semi")

@@ -162,9 +162,12 @@ def fx_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(m == 3, F.concat(head, k, F.lit(".5}")))
            .when(m == 4, F.concat(head, k3, F.lit("}")))
            .when(m == 5, F.concat(head, F.lit("-"), k, F.lit("}")))
-           .when(m == 6, F.concat(F.lit('{"match_score": '), k, F.lit("}")))
+           .when(m == 6, F.concat(F.lit('{"match_score": '), k, F.lit(', "title": 7, "company": null, "grade": "wizard", '
+                                                                       '"remote": "moon", "should_apply": true}')))
            .when(m == 7, F.concat(F.lit('[{"match_score": '), k, F.lit("}]")))
-           .when(m == 8, F.concat(head, k, F.lit(', "stack": ["Go", null, "", "Kafka"]}')))
+           .when(m == 8, F.concat(head, k, F.lit(', "title": "Dev '), k, F.lit('", "company": "Acme", "stack": ["Go", null, "", "Kafka"], '
+                                                 '"grade": "senior", "salary": "'), k3, F.lit(' EUR", "remote": "full", "reasoning": " One. Two! Three? Four. ", '
+                                                 '"red_flags": ["late '), k, F.lit('", ""], "should_apply": "false"}')))
            .otherwise(F.lit('{"is_vacancy": false, "match_score": 0}')))
     return ev.select(F.col("user_id").alias("chat_id"), F.col("event_id").alias("msg_id"), raw.alias("raw"))
 

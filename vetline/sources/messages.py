@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vetline import schemas
 from vetline.functions import text as tx
-from vetline.operators.joins import spread
 
 # ---- fixed values ------------------------------------------------------------
 BACKFILL_CAP = 200        # newest messages read per source
@@ -38,8 +37,8 @@ def messages_from_records(records: DataFrame, value_col: str = "value", time_col
     Parsed with the fixed schema (no inference); a record without a message
     date takes the record time; ``source`` defaults to ``live``.  A record
     that is not a message (malformed JSON, or no ``chat_id``/``msg_id``) has
-    no key to dedup or record by and is left out -- kept, those rows would
-    all meet in one NULL-key group.  Works on a stream or a batch alike."""
+    no key to dedup or record by: ``rejected_records`` returns those, with
+    the reason.  Works on a stream or a batch alike."""
     body = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGES).alias("m")
     has_time = time_col is not None and time_col in records.columns
     out = records.select(body, *([F.col(time_col).alias("_rec_ts")] if has_time else [])).select("m.*", *(
@@ -51,9 +50,20 @@ def messages_from_records(records: DataFrame, value_col: str = "value", time_col
             .withColumns(cols).select(*[f.name for f in schemas.MESSAGES.fields]))
 
 
+def rejected_records(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """The records ``messages_from_records`` cannot use: the columns of
+    ``records`` and the ``reason``, for a rejects table."""
+    body = F.from_json(F.col(value_col).cast("string"), schemas.MESSAGES)
+    m = records.withColumn("_m", body)
+    reason = (F.when(F.col("_m").isNull() | (F.col("_m.chat_id").isNull() & F.col("_m.msg_id").isNull()), F.lit("not a message"))
+              .when(F.col("_m.chat_id").isNull(), F.lit("chat_id is missing"))
+              .when(F.col("_m.msg_id").isNull(), F.lit("msg_id is missing")))
+    return m.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_m")
+
+
 def normalize(messages: DataFrame) -> DataFrame:
     """Stripped text (NULL -> ''), display title, and text length."""
-    return spread(messages).withColumns({
+    return messages.withColumns({
         "text": tx.strip_ws("text"),
         # live messages title their chat by title/username/first name; the
         # backfill scan by the source entity's title/username/id

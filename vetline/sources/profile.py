@@ -1,6 +1,6 @@
 """The candidate profile document (S4).
 
-The profile is configuration: one bounded markdown file.  Its text is read
+The profile is configuration: one markdown file.  Its text is read
 whole and must not be blank; scoring uses the rule table derived from its
 checklist (``vetline.operators.evaluate.Rule``), passed as job parameters.
 """
@@ -12,16 +12,12 @@ from pyspark.sql import functions as F
 
 from vetline.functions.text import PY_WHITESPACE
 
-MAX_PROFILE_CHARS = 1_000_000
-
 
 def load_profile(spark: SparkSession, path: str) -> str:
     """Stripped profile text; fails when the file is empty or blank."""
     df = spark.read.text(path, wholetext=True).select(F.btrim("value", F.lit(PY_WHITESPACE)).alias("t"))
-    row = df.select(F.substring("t", 1, MAX_PROFILE_CHARS + 1).alias("t")).first()
+    row = df.first()
     text = row["t"] if row else ""
     if not text:
         raise RuntimeError(f"Profile file is empty: {path}")
-    if len(text) > MAX_PROFILE_CHARS:
-        raise RuntimeError(f"Profile file is larger than {MAX_PROFILE_CHARS} characters: {path}")
     return text

@@ -36,21 +36,39 @@ def evolve(*frames: DataFrame, schema: T.StructType = schemas.SEEN) -> DataFrame
     return out
 
 
-def read_seen(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
-    """Outcome table at ``path`` read with its fixed schema: files written
-    before ``is_vacancy``/``title`` existed read back NULL there.  No schema
+def _since(df: DataFrame, since_epoch: int | None) -> DataFrame:
+    if since_epoch is None:
+        return df
+    cond = F.col("ts") >= F.lit(int(since_epoch))
+    if "dt" in df.columns:
+        cond = (F.col("dt") >= F.to_date(from_epoch(F.lit(int(since_epoch))))) & cond
+    return df.filter(cond)
+
+
+def read_seen_log(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
+    """The append log at ``path`` as written, replayed rows included, with
+    its fixed schema: columns that older files lack read back NULL.  No schema
     inference or footer merge over the (many) files of the log.
 
     With ``since_epoch`` only rows recorded at or after it are read; on the
     day-partitioned log that is a partition filter (older days are not
     listed or opened), else a pushed ``ts`` filter."""
-    df = spark.read.schema(schemas.SEEN).parquet(path)
-    if since_epoch is not None:
-        cond = F.col("ts") >= F.lit(int(since_epoch))
-        if "dt" in df.columns:
-            cond = (F.col("dt") >= F.to_date(from_epoch(F.lit(int(since_epoch))))) & cond
-        df = df.filter(cond)
-    return conform(df, schemas.SEEN)
+    return conform(_since(spark.read.schema(schemas.SEEN_LOG).parquet(path), since_epoch), schemas.SEEN_LOG)
+
+
+def read_seen(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
+    """The outcome table: the latest row of each key of the log (what reports
+    read).  A seen check needs keys only and can read the log itself."""
+    return latest_seen(read_seen_log(spark, path, since_epoch))
+
+
+def latest_seen(log: DataFrame) -> DataFrame:
+    """The row written last for each key: of the latest run, then time.  The
+    aggregate is partial per partition, so copies collapse before the shuffle."""
+    values = [f.name for f in schemas.SEEN.fields if f.name not in (*schemas.SEEN_KEY, "ts")]
+    order = [F.coalesce(F.col("run"), F.lit(0)).alias("run"), F.col("ts")]
+    return (log.groupBy(*schemas.SEEN_KEY).agg(F.max(F.struct(*order, *values)).alias("w"))
+            .select(*schemas.SEEN_KEY, *[F.col(f"w.{c}").alias(c) for c in [*values, "ts"]]))
 
 
 def read_matches(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
@@ -59,12 +77,7 @@ def read_matches(spark: SparkSession, path: str, since_epoch: int | None = None)
     the same cards again); the latest card per key is kept by an aggregate
     (partial per partition, so copies collapse before the shuffle).  With
     ``since_epoch`` only days since then are read (partition filter)."""
-    df = spark.read.schema(schemas.MATCHES).parquet(path)
-    if since_epoch is not None:
-        cond = F.col("ts") >= F.lit(int(since_epoch))
-        if "dt" in df.columns:
-            cond = (F.col("dt") >= F.to_date(from_epoch(F.lit(int(since_epoch))))) & cond
-        df = df.filter(cond)
+    df = _since(spark.read.schema(schemas.MATCHES).parquet(path), since_epoch)
     cols = [f.name for f in schemas.MATCHES.fields if f.name not in schemas.SEEN_KEY]
     latest = F.max(F.struct(F.col("ts"), *[F.col(c) for c in cols if c != "ts"])).alias("w")
     return (df.groupBy(*schemas.SEEN_KEY).agg(latest)

@@ -1,24 +1,26 @@
 """Triage as a Structured Streaming query.
 
-Source: a file (or Kafka) stream of messages.  Per micro-batch: normalise,
-drop keys already seen in this query (streaming dedup state), drop keys in the
-outcome table (stream-static left anti join), junk filter, score, route, and
-append outcome rows to a Parquet sink.  ``availableNow`` drains what is there
-and stops, which is how scheduled runs and tests use it; a long-lived query
-uses ``processingTime``.  The outcome table is listed when the query starts, so
-each scheduled run sees the previous run's writes.
-
-No ``foreachBatch``: the sink is a plain file sink with a checkpoint, so a
-restarted query resumes exactly where it stopped (executor loss is retried by
-the engine, the sink commits each batch once).
+``stream_to_tables`` is the live service: each micro-batch of messages goes
+through the batch job (``plans.jobs.run_triage``), which appends the outcome
+log and the cards, touches the channels and keeps what is still transient for
+the next batch.  The outcome log is the dedup state, so it survives restarts,
+a transient message is scored again when it arrives again or with the next
+batch, and nothing grows in a state store.  The checkpoint is named by the
+caller: a restarted query goes on where it stopped, and a micro-batch that
+failed at any sink is done again (its outcome append is its last write).
+
+``triage_stream`` is the plan alone, without sinks: dispositions of a stream
+whose messages arrive once or whose first arrival decides.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from vetline import session
 from vetline.functions import text as tx
@@ -70,15 +72,17 @@ ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBSta
 # -------------------------------------------------------------------------------
 
 
-def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_state: bool = True) -> str:
-    """Drain the stream once into a fresh Parquet folder under the checkpoint
-    root; returns the folder.
+def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_state: bool = True, out: str | None = None) -> str:
+    """Drain the stream once into a Parquet folder; returns the folder.
+    ``out`` names the run's folder (data and checkpoint): a later run with
+    the same one reads only what is new.  Without it the folder is a fresh one
+    under the checkpoint root.
 
     The dedup state of the run lives in the RocksDB state store (off-heap,
     spills to local disk, snapshots to the checkpoint folder), chosen for
     this query only: the session's setting is restored when it ends.
     """
-    out = session.scratch_path(spark, name)
+    out = out or session.scratch_path(spark, name)
     old = spark.conf.get(STATE_STORE_KEY, None)
     if rocksdb_state:
         spark.conf.set(STATE_STORE_KEY, ROCKSDB_STATE_STORE)
@@ -101,12 +105,56 @@ def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_s
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
 
-def conversation_stream(spark: SparkSession, sf_dir: str, table: str = "conversations") -> DataFrame:
-    """The conversations table read as a file stream, shaped as messages:
-    ``chat_id = conv_id``, ``msg_id = turn``."""
-    s = (spark.readStream.schema(CONVERSATION_SCHEMA).option("pathGlobFilter", f"{table}.parquet")
-         .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    return as_messages(s)
+def stream_to_tables(spark: SparkSession, stream: DataFrame, checkpoint: str, seen_path: str, matches_path: str,
+                     evaluator: Callable[[DataFrame, Column], DataFrame] | None = None,
+                     threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
+                     channels_path: str | None = None, first_run: bool = False, clock: Callable[[], float] = time.time,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Start the live triage of a message stream into the outcome log, the
+    card log and (with ``channels_path``, a folder) channel snapshots.
+
+    ``checkpoint`` holds offsets and, below it, each micro-batch's retry
+    snapshot (``retry/<batch>``), dispositions (``dispositions/batch=<n>``)
+    and channel snapshot; all are overwritten when a micro-batch is done
+    again.  ``first_run`` allows for tables that are not there yet.
+    Without ``processing_time`` what is there is drained and the query ends.
+    """
+    from vetline.plans import jobs
+
+    def channels_of(n: int) -> str:
+        return f"{channels_path}/batch={n}"
+
+    def one(batch: DataFrame, n: int) -> None:
+        sp = batch.sparkSession
+        before = n > 0
+        result = jobs.run_triage(
+            sp, batch, seen_path, matches_path, evaluator, run_ts=int(clock()), threshold=threshold, allowed=allowed,
+            retry_in=f"{checkpoint}/retry/{n - 1}" if before else None, retry_out=f"{checkpoint}/retry/{n}",
+            channels_path=(channels_of(n - 1) if before else f"{channels_path}/start") if channels_path else None,
+            channels_out=channels_of(n) if channels_path else None, first_run=first_run and not before)
+        sp.read.parquet(result.routed_path).select(
+            "chat_id", "msg_id", "source", "disposition", F.col("out_is_vacancy").alias("is_vacancy"),
+            F.col("out_score").alias("score"), F.col("out_posted").alias("posted"), F.col("out_title").alias("title")
+        ).write.mode("overwrite").parquet(f"{checkpoint}/dispositions/batch={n}")
+
+    session.configure(spark)
+    writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", f"{checkpoint}/offsets")
+    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
+def read_dispositions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a stream into tables decided, by micro-batch (column ``batch``)."""
+    return spark.read.schema("chat_id long, msg_id long, source string, disposition string, is_vacancy int, score int, "
+                             "posted int, title string, batch long").parquet(f"{checkpoint}/dispositions")
+
+
+def conversation_stream(spark: SparkSession, path: str, max_files_per_trigger: int = msgs.MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """The conversations table at ``path`` (a file, or a folder of part files)
+    read as a file stream, shaped as messages: ``chat_id = conv_id``, ``msg_id
+    = turn``.  A micro-batch reads ``max_files_per_trigger`` new files at most."""
+    return as_messages(spark.readStream.schema(CONVERSATION_SCHEMA)
+                       .option("maxFilesPerTrigger", int(max_files_per_trigger)).parquet(path))
 
 
 def as_messages(conv: DataFrame) -> DataFrame:
