@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
 
-Terms are short byte grams that a bounded labelled sample ties to the label
+Terms are words and short byte grams that a bounded labelled sample ties to the label
 (chi-square); document frequencies come from the whole corpus.  The
 labelled vectors form an inverted index whose postings are cut into blocks of
 examples, with the largest weight of each term in each block.  A query visits
@@ -25,7 +25,7 @@ from vetline.llm import vectors as v
 
 SAMPLE = 10_000         # labelled documents at most
 TERMS = 768             # terms at most
-LEAST_CHI2 = 40.0       # of a term's tie to the label
+LEAST_CHI2 = 25.0       # of a term's tie to the label
 LEAST_EXAMPLES = 5      # with label 1 that hold a term
 NEIGHBOURS = 25
 BLOCK = 64              # examples in a block
@@ -35,18 +35,18 @@ THRESHOLD = 0.3
 
 
 def chosen_terms(texts: list[bytes], y: np.ndarray) -> np.ndarray:
-    """Grams that speak for label 1, strongest first."""
+    """Words and grams that speak for label 1, strongest first."""
     def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         grams, n = np.empty(0, np.uint64), np.empty(0, np.int64)
         for i in range(0, len(some), 500):
-            own = np.concatenate([np.unique(v.byte_grams([t])[0]) for t in some[i:i + 500]])
+            own = np.concatenate([np.unique(v.terms_in([t])[0]) for t in some[i:i + 500]])
             got, m = np.unique(own, return_counts=True)
             both, at = np.unique(np.concatenate([grams, got]), return_inverse=True)
             grams, n = both, np.bincount(at, np.concatenate([n, m]), len(both)).astype(np.int64)
         return grams, n
 
     ones, a = counted([t for t, label in zip(texts, y) if label])
-    within = np.all([(ones >> np.uint64(8 * i)) & np.uint64(255) != 32 for i in range(1, v.GRAM - 1)], axis=0)     # one word
+    within = (ones >= v.WORD) | np.all([(ones >> np.uint64(8 * i)) & np.uint64(255) != 32 for i in range(1, v.GRAM - 1)], axis=0)    # one word
     ones, a = ones[within & (a >= LEAST_EXAMPLES)], a[within & (a >= LEAST_EXAMPLES)].astype(float)
     zeros, m = counted([t for t, label in zip(texts, y) if not label])
     at = np.minimum(np.searchsorted(zeros, ones), max(len(zeros) - 1, 0))

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vetline.llm import common as c
+
 CACHED_WORDS = 120_000      # per Python worker
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2,}"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
 _SAME = re.compile(r"(.)\1+")
@@ -89,12 +91,22 @@ def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for i in range(GRAM):
         out <<= np.uint64(8)
         out |= buf[i:i + n]
-    ends = np.cumsum([len(t) + GRAM - 1 for t in texts])
-    return out, np.repeat(np.arange(len(texts)), np.diff(np.append(0, ends)))
+    of = np.repeat(np.arange(len(texts)), [len(t) + GRAM - 1 for t in texts])
+    return out, of
+
+
+WORD = np.uint64(1 << 63)   # marks the hash of a whole word
+
+
+def terms_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte grams and whole words of texts, and the text of each."""
+    grams, of = byte_grams(texts)
+    words, n = c.hashed_words([t.translate(_FOLD) for t in texts])
+    return np.concatenate([grams, words | WORD]), np.concatenate([of, np.repeat(np.arange(len(texts)), n)])
 
 
 class GramTerms:
-    """Counts of known grams in texts."""
+    """Counts of known grams and words in texts."""
 
     def __init__(self, terms: np.ndarray):
         self.order = np.argsort(terms)
@@ -111,7 +123,7 @@ class GramTerms:
         none = np.empty(0, np.int64)
         if not len(self.sorted) or not texts:
             return none, none, none
-        g, of = byte_grams(texts)
+        g, of = terms_in(texts)
         at = np.flatnonzero(self.maybe[self._short(g)])
         g, of = g[at], of[at]
         row = np.minimum(np.searchsorted(self.sorted, g), len(self.sorted) - 1)
