@@ -532,14 +532,14 @@ def q_stream_triage(spark, d):
     conv.repartition(4).write.parquet(f"{base}/in")
     (ts.first_turns_seen(spark, d).select("*", F.lit(0).cast("bigint").alias("ts"), F.lit(0).cast("bigint").alias("run"),
                                           F.lit("1970-01-01").cast("date").alias("dt")).write.partitionBy("dt").parquet(f"{base}/seen"))
-    query = ts.stream_to_tables(spark, ts.conversation_stream(spark, f"{base}/in", max_files_per_trigger=3), f"{base}/query",
-                                f"{base}/seen", f"{base}/matches", _stream_evaluator)
-    query.awaitTermination()
-    # the fixture's repeats: 20 messages arrive once more, in a file of their own; the query goes on where it was
+    def drain():
+        ts.drain_to_tables(spark, ts.conversation_stream(spark, f"{base}/in", max_files_per_trigger=3), f"{base}/live",
+                           f"{base}/seen", f"{base}/matches", _stream_evaluator)
+    drain()
+    # the fixture's repeats: 20 messages arrive once more, in a file of their own; the next run goes on where the first was
     conv.filter(F.col("turn") > 0).orderBy("conv_id", "turn").limit(20).write.mode("append").parquet(f"{base}/in")
-    ts.stream_to_tables(spark, ts.conversation_stream(spark, f"{base}/in", max_files_per_trigger=3), f"{base}/query",
-                        f"{base}/seen", f"{base}/matches", _stream_evaluator).awaitTermination()
-    told = ts.read_dispositions(spark, f"{base}/query").filter(F.col("disposition") != "dedup_skip")
+    drain()
+    told = ts.read_dispositions(spark, f"{base}/live").filter(F.col("disposition") != "dedup_skip")
     values = [c for c in ts.OUTPUT_COLS if c not in ("chat_id", "msg_id")]
-    last = F.max(F.struct("batch", *values)).alias("w")
+    last = F.max(F.struct("run", *values)).alias("w")
     return told.groupBy("chat_id", "msg_id").agg(last).select("chat_id", "msg_id", *(F.col(f"w.{c}").alias(c) for c in values))

@@ -1,16 +1,18 @@
 """Triage as a Structured Streaming query.
 
-``stream_to_tables`` is the live service: each micro-batch of messages goes
-through the batch job (``plans.jobs.run_triage``), which appends the outcome
-log and the cards, touches the channels and keeps what is still transient for
-the next batch.  The outcome log is the dedup state, so it survives restarts,
-a transient message is scored again when it arrives again or with the next
-batch, and nothing grows in a state store.  The checkpoint is named by the
-caller: a restarted query goes on where it stopped, and a micro-batch that
-failed at any sink is done again (its outcome append is its last write).
-
-``triage_stream`` is the plan alone, without sinks: dispositions of a stream
-whose messages arrive once or whose first arrival decides.
+``drain_to_tables`` is one scheduled run of the live service.  A file-sink
+query with a named checkpoint takes the new messages into an inbox (exactly
+once), then the batch job (``plans.jobs.run_triage``) handles what is new in
+it: it appends the outcome log and the cards, touches the channels and keeps
+what is still transient for the next run.  The outcome log is the dedup
+state, so it survives restarts, a transient message is scored again when it
+arrives again or with the next run, and nothing grows in a state store.  A
+run that failed anywhere is made up by the next one.
+
+``triage_stream`` is the plan alone, without those sinks: dispositions of a
+stream whose messages arrive once or whose first arrival decides.
+
+No ``foreachBatch``: it would open a callback server in the driver.
 """
 
 from __future__ import annotations
@@ -18,11 +20,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.query import StreamingQuery
 
-from vetline import session
+from vetline import schemas, session
 from vetline.functions import text as tx
 from vetline.operators import dedup, evaluate, route
 from vetline.schemas import SEEN_KEY
@@ -105,48 +107,72 @@ def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_s
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
 
-def stream_to_tables(spark: SparkSession, stream: DataFrame, checkpoint: str, seen_path: str, matches_path: str,
-                     evaluator: Callable[[DataFrame, Column], DataFrame] | None = None,
-                     threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
-                     channels_path: str | None = None, first_run: bool = False, clock: Callable[[], float] = time.time,
-                     processing_time: str | None = None) -> StreamingQuery:
-    """Start the live triage of a message stream into the outcome log, the
-    card log and (with ``channels_path``, a folder) channel snapshots.
+INBOX = schemas.T.StructType([*schemas.MESSAGES.fields, schemas.T.StructField("ingested", schemas.T.TimestampType())])
+DISPOSITIONS = ("chat_id long, msg_id long, source string, disposition string, is_vacancy int, score int, posted int, "
+                "title string, run long")
+PROGRESS = "run long, upto timestamp"
 
-    ``checkpoint`` holds offsets and, below it, each micro-batch's retry
-    snapshot (``retry/<batch>``), dispositions (``dispositions/batch=<n>``)
-    and channel snapshot; all are overwritten when a micro-batch is done
-    again.  ``first_run`` allows for tables that are not there yet.
-    Without ``processing_time`` what is there is drained and the query ends.
+
+def _table(spark: SparkSession, schema, path: str) -> DataFrame:
+    """A table of the run's own folder; empty before anything was written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def drain_to_tables(spark: SparkSession, stream: DataFrame, base: str, seen_path: str, matches_path: str,
+                    evaluator: Callable[[DataFrame, Column], DataFrame] | None = None,
+                    threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
+                    channels_path: str | None = None, first_run: bool = False, run_ts: int | None = None) -> int | None:
+    """Take what is new in a message stream and triage it into the outcome
+    log, the card log and (with ``channels_path``, a folder) channel snapshots;
+    returns the run's number, None when there was nothing to do.
+
+    ``base`` belongs to this stream: offsets, the inbox, and each run's
+    retry snapshot, dispositions and progress.  Progress is written last, so a
+    run that failed is done again from its inbox rows; what it had recorded
+    is skipped then, and its snapshots are overwritten.  ``run_ts`` is the
+    processing time (now).  ``first_run`` allows for tables not there yet.
     """
     from vetline.plans import jobs
-
-    def channels_of(n: int) -> str:
-        return f"{channels_path}/batch={n}"
-
-    def one(batch: DataFrame, n: int) -> None:
-        sp = batch.sparkSession
-        before = n > 0
-        result = jobs.run_triage(
-            sp, batch, seen_path, matches_path, evaluator, run_ts=int(clock()), threshold=threshold, allowed=allowed,
-            retry_in=f"{checkpoint}/retry/{n - 1}" if before else None, retry_out=f"{checkpoint}/retry/{n}",
-            channels_path=(channels_of(n - 1) if before else f"{channels_path}/start") if channels_path else None,
-            channels_out=channels_of(n) if channels_path else None, first_run=first_run and not before)
-        sp.read.parquet(result.routed_path).select(
-            "chat_id", "msg_id", "source", "disposition", F.col("out_is_vacancy").alias("is_vacancy"),
-            F.col("out_score").alias("score"), F.col("out_posted").alias("posted"), F.col("out_title").alias("title")
-        ).write.mode("overwrite").parquet(f"{checkpoint}/dispositions/batch={n}")
-
     session.configure(spark)
-    writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", f"{checkpoint}/offsets")
-    trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    return writer.trigger(**trigger).start()
-
-
-def read_dispositions(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """What a stream into tables decided, by micro-batch (column ``batch``)."""
-    return spark.read.schema("chat_id long, msg_id long, source string, disposition string, is_vacancy int, score int, "
-                             "posted int, title string, batch long").parquet(f"{checkpoint}/dispositions")
+    query = (stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MESSAGES.fields],
+                           F.current_timestamp().alias("ingested"))
+             .writeStream.format("parquet").option("path", f"{base}/inbox").option("checkpointLocation", f"{base}/offsets")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    last = _table(spark, PROGRESS, f"{base}/progress").agg(F.max("run"), F.max("upto")).first()
+    run = 0 if last[0] is None else last[0] + 1
+    new = _table(spark, INBOX, f"{base}/inbox")
+    if last[1] is not None:
+        new = new.filter(F.col("ingested") > F.lit(last[1]))
+    upto = new.agg(F.max("ingested")).first()[0]
+    retry_in = f"{base}/retry/{run - 1}" if run else None
+    if upto is None and (retry_in is None or not spark.read.schema(schemas.MESSAGES).parquet(retry_in).limit(1).count()):
+        return None
+    new = new.drop("ingested") if upto is None else new.filter(F.col("ingested") <= F.lit(upto)).drop("ingested")
+    snapshot = f"{channels_path}/run={run}" if channels_path else None
+    result = jobs.run_triage(
+        spark, new, seen_path, matches_path, evaluator, run_ts=int(time.time()) if run_ts is None else run_ts, threshold=threshold,
+        allowed=allowed, retry_in=retry_in, retry_out=f"{base}/retry/{run}", first_run=first_run and not run,
+        channels_path=(f"{channels_path}/run={run - 1}" if run else f"{channels_path}/start") if channels_path else None,
+        channels_out=snapshot)
+    spark.read.parquet(result.routed_path).select(
+        "chat_id", "msg_id", "source", "disposition", F.col("out_is_vacancy").alias("is_vacancy"),
+        F.col("out_score").alias("score"), F.col("out_posted").alias("posted"), F.col("out_title").alias("title")
+    ).write.mode("overwrite").parquet(f"{base}/dispositions/run={run}")
+    spark.createDataFrame([(run, last[1] if upto is None else upto)], PROGRESS).write.mode("append").parquet(f"{base}/progress")
+    return run
+
+
+def read_dispositions(spark: SparkSession, base: str) -> DataFrame:
+    """What the runs of a drained stream decided (column ``run``)."""
+    return spark.read.schema(DISPOSITIONS).parquet(f"{base}/dispositions")
 
 
 def conversation_stream(spark: SparkSession, path: str, max_files_per_trigger: int = msgs.MAX_FILES_PER_TRIGGER) -> DataFrame:
