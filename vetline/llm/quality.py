@@ -88,6 +88,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
 
     n, df = v.document_frequencies(docs, text_col, presence, SIZE)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + 1
+    return v.fitted(rows, lambda some: train(some, idf))
+
+
+def train(rows: list[tuple[int, str, int]], idf: np.ndarray) -> dict:
     if not rows:
         return {"idf": idf, "basis": np.zeros((SIZE, 1), np.float32), "x": np.zeros((0, 1), np.float32),
                 "y": np.zeros(0, np.float32), "prior": 0.5}

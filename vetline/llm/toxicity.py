@@ -184,10 +184,13 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
         modulus: int = 4, held_out: int = 2, sample: int = SAMPLE) -> Model:
-    rows = [(i, t.encode(), y) for i, t, y in
-            v.labelled_sample(docs, labels, label, modulus, held_out, sample, id_col, text_col)]
-    y = np.array([r[2] for r in rows])
-    terms = chosen_terms([r[1] for r in rows], y) if len(y) and 0 < y.sum() < len(y) else np.empty(0, np.uint64)
+    rows = v.labelled_sample(docs, labels, label, modulus, held_out, sample, id_col, text_col)
+
+    def speaking(some: list[tuple[int, str, int]]) -> np.ndarray:
+        y = np.array([r[2] for r in some])
+        return chosen_terms([t.encode() for _, t, _ in some], y) if len(y) and 0 < y.sum() < len(y) else np.empty(0, np.uint64)
+
+    terms = v.fitted(rows, speaking)
 
     def presence():
         known = v.GramTerms(terms)
@@ -200,7 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         return count
 
     n, df = v.document_frequencies(docs, text_col, presence, max(1, len(terms)))
-    return Model(terms, (np.log((1 + n) / (1 + df)) + 1).astype(np.float32), rows)
+    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    return v.fitted(rows, lambda some: Model(terms, idf, [(i, t.encode(), y) for i, t, y in some]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",

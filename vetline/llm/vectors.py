@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Callable, Sequence
@@ -165,10 +166,11 @@ def document_frequencies(docs: DataFrame, text_col: str, presence: Callable[[],
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, limit: int,
-                    id_col: str, text_col: str) -> list[tuple[int, str, int]]:
+                    id_col: str, text_col: str) -> DataFrame:
     """At most ``limit`` labelled documents outside the held-out fold, in hash
-    order of their ids, as (id, text, label).  Repeated label rows of one id
-    count once, by the larger label; repeated documents by one of their texts."""
+    order of their ids, as a stored table (k, t, y): id, text, label.  Repeated
+    label rows of one id count once, by the larger label; repeated documents
+    by one of their texts."""
     sure = labels.select(F.col(id_col).cast("long").alias("k"), F.col(label).cast("int").alias("y")).where(
         "k is not null and y in (0, 1)").where(F.pmod(F.crc32(F.col("k").cast("string")), F.lit(modulus)) != held_out)
     chosen = sure.groupBy("k").agg(F.max("y").alias("y"))
@@ -176,5 +178,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     # labels may name rows that the documents lack, so the sample is of ids that are there
     there = texts.select("k").distinct().join(chosen, "k").orderBy(F.xxhash64("k"), "k").limit(limit)
     # the sample is bounded by ``limit`` ids: small enough to send to every task
-    rows = texts.join(F.broadcast(there), "k").groupBy("k", "y").agg(F.max("t").alias("t")).collect()
-    return sorted((r["k"], r["t"], r["y"]) for r in rows)
+    rows = texts.join(F.broadcast(there), "k").groupBy("k", "y").agg(F.max("t").alias("t"))
+    return c.stored(rows.select("k", "t", "y"), "sample")
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple[int, str, int]]], object]) -> object:
+    """What ``fit`` makes of the bounded sample (rows in order of their ids),
+    in one task; only the result reaches the driver."""
+    def run(batches):
+        rows = sorted(r for b in batches for r in zip(*(col.to_pylist() for col in b.columns)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"])
