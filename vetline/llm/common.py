@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from vetline import session
 
-# the ASCII white space that separates words, as a Java regular expression class
-SPACE_CLASS = r"[\x20\x09-\x0D]"
+# the white space that separates words
 ASCII_SPACE = " \t\n\x0b\f\r"
 
 
@@ -39,12 +38,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words_column(text):
-    """Words (maximal runs without ASCII white space); null text: no words."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(ASCII_SPACE))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS + "+"))
-
-
 def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null: empty."""
     return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -190,8 +183,3 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
-
-
-def files_partitions(spark: SparkSession) -> int:
-    """Shuffle width the session asks for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

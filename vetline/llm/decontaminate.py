@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from vetline.llm import common as c
 
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 4, 6, 7), (0, 1, 2, 3, 4))
-SPAN = 8
 STRETCH = 16            # words that must stand together
 REPLACED = 5            # one in so many of them may be another
 LEAST_WORDS = 8         # shorter items are no evidence

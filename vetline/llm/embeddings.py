@@ -76,7 +76,7 @@ def _leading(axes: dict[int, np.ndarray]):
 
     def run(batches):
         for b in batches:
-            dims = b.schema.field("d") and b.column(b.schema.get_field_index("d")).to_numpy()
+            dims = b.column(b.schema.get_field_index("d")).to_numpy()
             v = b.column(b.schema.get_field_index("v"))
             y = np.zeros((b.num_rows, AXES))
             for d in np.unique(dims):
@@ -196,7 +196,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     pairs = other.join(partner, ["d", *(f"n{k}" for k in range(AXES))]).where("own <= other").select("d", F.col("own").alias("p"), F.col("other").alias("q"))
     ends = pairs.select("d", "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("own"))
     dealt = told.select("d", "own", "node", "copies", "v").join(ends, ["d", "own"])
-    text = {x: F.col(x).cast("string") for x in ("p", "q", "own")}
+    text = {x: F.col(x).cast("string") for x in ("p", "q", "own")}      # tiles as keys
     found = c.stored(dealt.select("d", *(e.alias(x) for x, e in text.items()), "node", "copies", "v").groupBy("d", "p", "q").applyInArrow(
         _meet(axes, threshold), "a long, b long, links long"), "links")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

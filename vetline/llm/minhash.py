@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vetline import session
 from vetline.llm import common as c
 
 SUB_KEYS = 9
