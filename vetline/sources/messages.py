@@ -12,6 +12,7 @@ from vetline.functions import text as tx
 BACKFILL_CAP = 200        # newest messages read per source
 # -------------------------------------------------------------------------------
 MAX_FILES_PER_TRIGGER = 1000
+BACKFILL_SALTS = 32       # tasks over which the newest messages of one chat are first looked for
 
 
 def read_messages(spark: SparkSession, path: str, streaming: bool = False,
@@ -79,16 +80,22 @@ def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_
     the cutoff (a prefix, not a filter: an old message hides everything older
     in id order), reading at most ``cap`` messages.  NULL dates pass.
 
-    Plan: ``row_number() <= cap`` per chat is planned with a per-partition
-    group limit before the shuffle, so even a chat holding a third of all rows
-    sends at most ``cap`` rows per map partition.  The stop point (newest old
-    message among those ``cap``) is then a window over at most ``cap`` rows on
-    the same partitioning: one shuffle, no join back to the input.
+    Plan: ``row_number() <= cap`` is planned with a per-partition group limit
+    before the shuffle, so even a chat holding a third of all rows sends at
+    most ``cap`` rows per map partition.  It is taken in two steps, first per
+    chat and salt, so that those rows of a hot chat meet in ``BACKFILL_SALTS``
+    tasks and only ``cap`` rows of each in one.  The stop point (newest old
+    message among the ``cap`` newest) is then a window over at most ``cap``
+    rows on the same partitioning, with no join back to the input.
     """
     if cutoff_epoch is None:
         return messages.limit(0)
-    newest = Window.partitionBy("chat_id").orderBy(F.col("msg_id").desc())
-    head = messages.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= int(cap))
+    salt = F.pmod(F.xxhash64("msg_id"), F.lit(BACKFILL_SALTS))
+    salted = messages.withColumn("_salt", salt)
+    newest = F.col("msg_id").desc()
+    some = salted.withColumn("_rn", F.row_number().over(Window.partitionBy("chat_id", "_salt").orderBy(newest))).filter(
+        F.col("_rn") <= int(cap)).drop("_rn", "_salt")
+    head = some.withColumn("_rn", F.row_number().over(Window.partitionBy("chat_id").orderBy(newest))).filter(F.col("_rn") <= int(cap))
     old = F.col(date_col) < F.lit(int(cutoff_epoch))
     stop = F.max(F.when(old, F.col("msg_id"))).over(Window.partitionBy("chat_id"))
     return (head.withColumn("_stop", stop)
