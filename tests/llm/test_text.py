@@ -185,6 +185,24 @@ def test_merged_wrappers_match_both_sides():
         assert w.n == 2
 
 
+def site(spark, pages, **places):
+    """Main texts of pages of one host, in order."""
+    df = spark.createDataFrame([(i, places.get("url", f"http://s.example/{i}"), p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in sorted(wrappers.extract(df.repartition(3)).collect(), key=lambda r: r.page_id)]
+
+
+def test_one_off_texts_and_copies_are_no_template(spark):
+    """A text goes where several different pages hold it: not with one page, and not with copies of one."""
+    def page(i, more=""):
+        return f"<body><div>Welcome to us</div><h2>Title {i}</h2>{more}<div>Body {i} of so many words</div></body>"
+    got = site(spark, [page(i, "<section>Only here</section>" if i == 7 else "") for i in range(20)])
+    assert got == [f"Title {i} " + ("Only here " if i == 7 else "") + f"Body {i} of so many words" for i in range(20)]
+    assert site(spark, [page(1)] * 6, url=None) == ["Welcome to us Title 1 Body 1 of so many words"] * 6
+    # copies with another menu are the same page; near copies are no template either
+    assert site(spark, [f"<nav>{i}</nav>" + page(1) for i in range(6)]) == ["Welcome to us Title 1 Body 1 of so many words"] * 6
+    assert site(spark, [page(1) + f"<p>{i}" for i in range(6)]) == [f"Welcome to us Title 1 Body 1 of so many words {i}" for i in range(6)]
+
+
 # ---- classifiers -----------------------------------------------------------------------
 def auc(scores, y):
     one, two = [s for s, v in zip(scores, y) if v], [s for s, v in zip(scores, y) if not v]

@@ -5,7 +5,10 @@ stretches fold into repeated groups; then the streams of one host are aligned
 one after the other, and every mismatch is resolved by making the stretch that
 only one side has optional, or a text that differs a slot.  The outcome is a
 regular expression without alternatives, the host's wrapper: fixed tags,
-``( )+``, ``( )?`` and text slots.
+``( )+``, ``( )?`` and text slots.  Each slot and each repeated group carries
+its texts (as hashes) with how many pages, and how many different ones, held
+them; a text of the template is one that several different pages and nearly all
+pages of the host hold there.
 
 Wrappers are made per task from the pages it reads (a page that the wrapper
 matches already costs one match), and wrappers of one host are merged by the
@@ -22,6 +25,7 @@ import json
 import re
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +48,11 @@ LANDMARKS = ("article", "main")
 LONGEST_SQUARE = 12         # tags of a repeated stretch at most
 MERGED = 64                 # wrappers merged in one group
 HELD = 20_000               # hosts whose wrappers a task holds
+HELD_TEXTS = 300_000        # and texts of their slots
+SEVERAL = 3                 # different pages that must hold a text of the template
+NEARLY_ALL = 0.9            # and share of the host's pages
+NEAR_COPIES = 0.75          # share of a host's text: beyond, its pages are copies of one another, not of a template
+SLOT_TEXTS, GROUP_TEXTS = 8, 512    # texts that a slot and a repeated group carry, those of the most pages first, then the latest
 BROADCAST_BYTES = 16 << 20  # of wrappers sent to every task; beyond, pages and wrappers are joined by host
 TEXT = "#"
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -132,7 +141,7 @@ def outside(labels: list[str]) -> list[bool]:
     return out
 
 
-# ---- wrappers: lists of labels, [TEXT, fixed text or None], ["+", list], ["?", list] ----
+# ---- wrappers: lists of labels, [TEXT, texts], ["+", list, texts], ["?", list]; texts: {hash: [pages, length, some different pages]} ----
 def _key(item) -> str:
     return item if isinstance(item, str) else TEXT if item[0] == TEXT else item[0] + json.dumps([_key(x) for x in item[1]])
 
@@ -142,9 +151,27 @@ def _flat(item):
     return item[1] if not isinstance(item, str) and item[0] == "?" else [item]
 
 
-def _slots(items: list) -> list:
-    """The same with all texts open."""
-    return [x if isinstance(x, str) else [TEXT, None] if x[0] == TEXT else [x[0], _slots(x[1])] for x in items]
+def _hash(text: str) -> str:
+    return xxhash.xxh64_hexdigest(text.encode("utf-8", "surrogatepass"))
+
+
+def _seen(texts: list[str | None], ident: str) -> dict:
+    """The texts of one page at one place; None is a text that counts nowhere."""
+    return {_hash(t): [1, len(t), [ident]] for t in texts if t is not None}
+
+
+def _joined(x: dict, y: dict, most: int, same_pages: bool = False) -> dict:
+    """Texts of two sets of pages, or of two places on the same pages."""
+    out = dict(x)
+    for h, (pages, length, some) in y.items():
+        if h in out:
+            old = out.pop(h)        # the latest stand last
+            pages = max(old[0], pages) if same_pages else old[0] + pages
+            some = sorted({*old[2], *some})[:SEVERAL]
+        out[h] = [pages, length, some]
+    if len(out) > 2 * most:
+        out = dict(sorted(reversed(out.items()), key=lambda e: -e[1][0])[most - 1::-1])
+    return out
 
 
 _CHARS: dict[str, str] = {TEXT: TEXT}
@@ -160,14 +187,22 @@ def encoded(labels: list[str]) -> str:
     return "".join(map(_char, labels))
 
 
-def folded(page: list[tuple[str, str]]) -> list:
-    """The wrapper of one page: stretches that follow themselves become repeated groups."""
+def folded(page: list[tuple[str, str]], told: list[bool] | None = None, ident: str = "") -> list:
+    """The wrapper of one page: stretches that follow themselves become repeated
+    groups.  ``told`` is for each token whether it counts as a text of the page
+    ``ident``."""
     labels, out, at = [x for x, _ in page], [], 0
+    texts = [t if x == TEXT and (told is None or told[i]) else None for i, (x, t) in enumerate(page)]
+
+    def single(start: int, end: int) -> list:
+        return [[TEXT, _seen([texts[i]], ident)] if labels[i] == TEXT else labels[i] for i in range(start, end)]
+
     for m in _SQUARE.finditer(encoded(labels)):
-        out += [[TEXT, t] if x == TEXT else x for x, t in page[at:m.start()]]
-        out.append(["+", [[TEXT, None] if x == TEXT else x for x in labels[m.start():m.start() + len(m.group(1))]]])
+        out += single(at, m.start())
+        turn = labels[m.start():m.start() + len(m.group(1))]
+        out.append(["+", [[TEXT, {}] if x == TEXT else x for x in turn], _seen(texts[m.start():m.end()], ident)])
         at = m.end()
-    return out + [[TEXT, t] if x == TEXT else x for x, t in page[at:]]
+    return out + single(at, len(page))
 
 
 def _grouped(items: list, groups: list) -> list:
@@ -175,11 +210,15 @@ def _grouped(items: list, groups: list) -> list:
     for g in groups:
         want, out, i = [_key(x) for x in g[1]], [], 0
         while i < len(items):
-            if [_key(x) for x in items[i:i + len(want)]] == want:
-                out.append(g)
+            texts: dict = {}
+            start = i
+            while [_key(x) for x in items[i:i + len(want)]] == want:
+                for x in items[i:i + len(want)]:
+                    if not isinstance(x, str):
+                        texts = _joined(texts, x[1], GROUP_TEXTS, same_pages=True)
                 i += len(want)
-                while [_key(x) for x in items[i:i + len(want)]] == want:
-                    i += len(want)
+            if i > start:
+                out.append(["+", g[1], texts])
             else:
                 out.append(items[i])
                 i += 1
@@ -201,7 +240,8 @@ def merged(a: list, b: list) -> list:
     while i < n or j < m:
         if i < n and j < m and ka[i] == kb[j]:
             x, y = _flat(a[i]), _flat(b[j])
-            both = [[TEXT, p[1] if p[1] == q[1] else None] if not isinstance(p, str) and p[0] == TEXT else p for p, q in zip(x, y)]
+            both = [p if isinstance(p, str) else [TEXT, _joined(p[1], q[1], SLOT_TEXTS)] if p[0] == TEXT
+                    else [*p[:2], _joined(p[2], q[2], GROUP_TEXTS)] for p, q in zip(x, y)]
             out += [["?", both]] if "?" in (a[i][0], b[j][0]) and not (isinstance(a[i], str) and isinstance(b[j], str)) else both
             i, j = i + 1, j + 1
             continue
@@ -240,58 +280,84 @@ def _optional(run: list) -> list:
 
 
 class Matcher:
-    """A wrapper as a regular expression over encoded tokens; each fixed text is a group of its own."""
+    """A wrapper as a regular expression over encoded tokens; each slot and each
+    repeated group outside of groups is a group of its own."""
 
     def __init__(self, items: list):
-        self.fixed: list[list] = []
+        self.places: list[list] = []
         self.items = items
-        self.regex = re.compile(self._pattern(items, True) + r"\Z", re.S)
+        self.regex = re.compile(self._pattern(items) + r"\Z", re.S)
 
-    def _pattern(self, items: list, top: bool) -> str:
+    def _pattern(self, items: list) -> str:
         out = []
         for x in items:
             if isinstance(x, str):
                 out.append(re.escape(_char(x)))
-            elif x[0] == TEXT:
-                if x[1] is not None and top:
-                    self.fixed.append(x)
-                    out.append(f"(?P<t{len(self.fixed) - 1}>#)")
-                else:
-                    out.append(TEXT)
-            else:       # never given back: matching takes linear time
-                out.append(f"(?:{self._pattern(x[1], top and x[0] == '?')}){x[0]}+")
+            elif x[0] == "?":       # never given back: matching takes linear time
+                out.append(f"(?:{self._pattern(x[1])})?+")
+            else:
+                self.places.append(x)
+                turn = "".join(re.escape(_char(_key(y))) for y in x[1]) if x[0] == "+" else ""
+                out.append(f"(?P<t{len(self.places) - 1}>" + (f"(?:{turn})++)" if turn else f"{TEXT})"))
         return "".join(out)
 
     def match(self, labels: list[str]):
         return self.regex.match(encoded(labels))
 
+    def spans(self, m):
+        """``(place, from, to)`` of the slots and groups that a match went through."""
+        return ((x, *m.span(f"t{k}")) for k, x in enumerate(self.places) if m.start(f"t{k}") >= 0)
+
 
 class Learner:
-    """The wrapper of pages and of wrappers seen so far."""
+    """The wrapper of pages and of wrappers seen so far: ``n`` pages, ``chars``
+    code points of texts that count, ``size`` texts carried."""
 
     def __init__(self):
-        self.items, self.n, self.matcher = None, 0, None
+        self.items, self.n, self.chars, self.size, self.matcher = None, 0, 0, 0, None
 
     def page(self, page: list[tuple[str, str]]) -> None:
+        labels = [x for x, _ in page]
+        told = [x == TEXT and not out for x, out in zip(labels, outside(labels))]
+        texts = [t for (_, t), k in zip(page, told) if k]
+        ident = _hash("\n".join(texts))       # copies that differ in boilerplate elements only are one page
         self.n += 1
+        self.chars += sum(map(len, texts))
         if self.items is None:
-            self.items = folded(page)
-            return
-        if self.matcher is None:
-            self.matcher = Matcher(self.items)
-        m = self.matcher.match([x for x, _ in page])
-        if m is None:
-            self.items, self.matcher = merged(self.items, folded(page)), None
-            return
-        for k, x in enumerate(self.matcher.fixed):
-            at = m.start(f"t{k}")
-            if at >= 0 and page[at][1] != x[1]:     # a text that differs is a slot
-                x[1] = None
-                self.matcher = None
-
-    def wrapper(self, items: list, n: int) -> None:
+            self.items = folded(page, told, ident)
+        else:
+            if self.matcher is None:
+                self.matcher = Matcher(self.items)
+            m = self.matcher.match(labels)
+            if m is None:
+                self.items, self.matcher = merged(self.items, folded(page, told, ident)), None
+            else:
+                for x, start, end in self.matcher.spans(m):
+                    x[-1] = _joined(x[-1], _seen([page[i][1] if told[i] else None for i in range(start, end)], ident),
+                                    SLOT_TEXTS if x[0] == TEXT else GROUP_TEXTS)
+        self.size = sum(len(x[-1]) for x in _places(self.items))
+
+    def wrapper(self, items: list, n: int, chars: int) -> None:
         self.items = items if self.items is None else merged(self.items, items)
-        self.n, self.matcher = self.n + n, None
+        self.n, self.chars, self.matcher = self.n + n, self.chars + chars, None
+
+
+def _places(items: list) -> list:
+    """The slots and repeated groups."""
+    return [y for x in items if not isinstance(x, str) for y in (_places(x[1]) if x[0] == "?" else [x])]
+
+
+def judged(items: list, n: int, chars: int) -> list:
+    """The wrapper with only the texts of the template left: those that several
+    different pages and nearly all pages hold.  Where they are most of all text,
+    the pages are near copies of one another and no text is the template's."""
+    places = _places(items)
+    for x in places:
+        x[-1] = {h: e for h, e in x[-1].items() if len(e[2]) >= SEVERAL and e[0] >= NEARLY_ALL * n}
+    if sum(e[0] * e[1] for x in places for e in x[-1].values()) > NEAR_COPIES * chars:
+        for x in places:
+            x[-1] = {}
+    return items
 
 
 def host_of(url: str | None) -> str:
@@ -299,13 +365,13 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def main_text(page: list[tuple[str, str]], matcher: Matcher | None, n_pages: int) -> str:
+def main_text(page: list[tuple[str, str]], matcher: Matcher | None) -> str:
     """The article's blocks, joined by one space.
 
     The main region is what the landmarks (article, main) enclose, or else the
     whole body.  In it texts of boilerplate elements are left out; where no
-    landmark is, also the texts that the wrapper found to be the same on
-    every page (of three at least)."""
+    landmark is, also the texts that the host's judged wrapper has at their
+    place."""
     labels = [x for x, _ in page]
     skip = outside(labels)
     depth, region, marked = 0, [], any(tag_of(x) in LANDMARKS and x[1] != "/" for x in labels if x != TEXT)
@@ -314,58 +380,70 @@ def main_text(page: list[tuple[str, str]], matcher: Matcher | None, n_pages: int
             depth = max(0, depth + (1 if x[1] != "/" else -1))
         region.append(depth > 0 or not marked)
     same: set[int] = set()
-    if not marked and matcher is not None and n_pages >= 3 and (m := matcher.match(labels)):
-        same = {m.start(f"t{k}") for k in range(len(matcher.fixed))}
+    if not marked and matcher is not None and (m := matcher.match(labels)):
+        same = {i for x, start, end in matcher.spans(m) if x[-1] for i in range(start, end) if labels[i] == TEXT and _hash(page[i][1]) in x[-1]}
     return " ".join(t for i, (x, t) in enumerate(page) if x == TEXT and region[i] and not skip[i] and i not in same)
 
 
 # ---- Spark ---------------------------------------------------------------------
 def _learn(batches):
     held: dict[str, Learner] = {}
+    texts = 0
 
     def batch():
-        rows = [(h, w.n, json.dumps(w.items)) for h, w in held.items() if w.items is not None]
+        rows = [(h, w.n, w.chars, json.dumps(w.items)) for h, w in held.items() if w.items is not None]
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))],
-                                          names=["host", "n", "wrapper"])
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                                          names=["host", "n", "chars", "wrapper"])
     for b in batches:
         for url, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if text:
-                held.setdefault(host_of(url), Learner()).page(tokens(text))
-            if len(held) > HELD:
+                w = held.setdefault(host_of(url), Learner())
+                texts -= w.size
+                w.page(tokens(text))
+                texts += w.size
+            if len(held) > HELD or texts > HELD_TEXTS:
                 yield batch()
+                texts = 0
     yield batch()
 
 
 def _merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     w = Learner()
-    for text, n in sorted(zip(table.column("wrapper").to_pylist(), table.column("n").to_pylist())):
-        w.wrapper(json.loads(text), n)
-    return pa.table({"host": [key[0].as_py()], "n": pa.array([w.n], pa.int64()), "wrapper": [json.dumps(w.items)]})
+    for text, n, chars in sorted(zip(*(table.column(x).to_pylist() for x in ("wrapper", "n", "chars")))):
+        w.wrapper(json.loads(text), n, chars)
+    return pa.table({"host": [key[0].as_py()], "n": pa.array([w.n], pa.int64()), "chars": pa.array([w.chars], pa.int64()), "wrapper": [json.dumps(w.items)]})
+
+
+def _judge(batches):
+    for b in batches:
+        texts = [json.dumps(judged(json.loads(w), n, chars)) for n, chars, w in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(texts, pa.string())], names=["host", "n", "chars", "wrapper"])
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, n, wrapper)``: one wrapper (JSON) for each host, and its pages."""
-    schema = "host string, n long, wrapper string"
+    """``(host, n, chars, wrapper)``: one judged wrapper (JSON) for each host, its pages and their text's length."""
+    schema = "host string, n long, chars long, wrapper string"
     now = c.stored(pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(_learn, schema), "wrappers")
     while (most := now.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > 1:
         groups = -(-most // MERGED)
         now = c.stored(now.groupBy("host", F.pmod(F.xxhash64("wrapper", "n"), F.lit(groups)).alias("part")).applyInArrow(_merge, schema), "wrappers")
         if groups > 1 and now.groupBy("host").count().agg(F.max("count")).first()[0] >= most:
             break       # equal wrappers all in one part: any of them will do
-    return now.groupBy("host").agg(F.max("n").alias("n"), F.max_by("wrapper", "n").alias("wrapper"))
+    one = now.groupBy("host").agg(F.max_by(F.struct("n", "chars", "wrapper"), "n").alias("x")).select("host", "x.*")
+    return one.mapInArrow(_judge, schema)
 
 
 def _extract(batches):
     known: dict[str, Matcher] = {}
     for b in batches:
         out = []
-        for text, wrapper, n in zip(*(b.column(k).to_pylist() for k in (2, 3, 4))):
+        for text, wrapper in zip(*(b.column(k).to_pylist() for k in (2, 3))):
             if wrapper is not None and wrapper not in known:
                 if len(known) > 2000:
                     known.clear()
                 known[wrapper] = Matcher(json.loads(wrapper))
-            out.append(main_text(tokens(text or ""), known.get(wrapper), n or 0))
+            out.append(main_text(tokens(text or ""), known.get(wrapper)))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()), pa.array(list(map(len, out)), pa.int64())],
                                          names=["id", "url", "text", "n_chars"])
 
@@ -385,5 +463,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host.alias("host"))
     joined = rows.join(F.broadcast(told) if size <= BROADCAST_BYTES else told, "host", "left")
-    out = joined.select("id", "url", "html", "wrapper", "n").mapInArrow(_extract, "id long, url string, text string, n_chars long")
+    out = joined.select("id", "url", "html", "wrapper").mapInArrow(_extract, "id long, url string, text string, n_chars long")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
