@@ -203,6 +203,17 @@ def test_one_off_texts_and_copies_are_no_template(spark):
     assert site(spark, [page(1) + f"<p>{i}" for i in range(6)]) == [f"Welcome to us Title 1 Body 1 of so many words {i}" for i in range(6)]
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_wrapper_decides_pages_with_landmarks(spark, tag):
+    """Template texts inside a landmark go, single ones and ones of a list; paragraphs, a folded group too, stay."""
+    def page(i):
+        paragraphs = "".join(f"<p>Paragraph {j} of text {i}</p>" for j in range(1 + i % 4))
+        return (f"<html><body><{tag}><h1>Title {i}</h1><div>Send this to a friend</div>{paragraphs}"
+                f"<ul><li>Post it</li><li>Mail it</li><li>Print it</li></ul><div>Licence CC BY 4.0</div></{tag}></body></html>")
+    want = [" ".join([f"Title {i}", *(f"Paragraph {j} of text {i}" for j in range(1 + i % 4))]) for i in range(24)]
+    assert site(spark, [page(i) for i in range(24)]) == want
+
+
 # ---- classifiers -----------------------------------------------------------------------
 def auc(scores, y):
     one, two = [s for s, v in zip(scores, y) if v], [s for s, v in zip(scores, y) if not v]

@@ -13,9 +13,9 @@ pages of the host hold there.
 Wrappers are made per task from the pages it reads (a page that the wrapper
 matches already costs one match), and wrappers of one host are merged by the
 same alignment in groups of bounded size, so a host of any size is no one task's
-work.  A page is then matched against its host's wrapper, whose main region
-and fixed texts say which slots are the article; a page that its wrapper does not
-match is judged by the same rules on its own tags.
+work.  A page is then matched against its host's wrapper, and the texts of the
+template go from it, whether it has landmarks or not; a page that its wrapper
+does not match is judged by its own tags and names alone.
 """
 
 from __future__ import annotations
@@ -369,9 +369,10 @@ def main_text(page: list[tuple[str, str]], matcher: Matcher | None) -> str:
     """The article's blocks, joined by one space.
 
     The main region is what the landmarks (article, main) enclose, or else the
-    whole body.  In it texts of boilerplate elements are left out; where no
-    landmark is, also the texts that the host's judged wrapper has at their
-    place."""
+    whole body.  In it the texts that the host's judged wrapper has at their
+    place are left out, with landmarks and without; tags and names are the hint
+    that leaves out boilerplate elements whose texts differ from page to page, and
+    all there is on a page that the wrapper does not match."""
     labels = [x for x, _ in page]
     skip = outside(labels)
     depth, region, marked = 0, [], any(tag_of(x) in LANDMARKS and x[1] != "/" for x in labels if x != TEXT)
@@ -380,7 +381,7 @@ def main_text(page: list[tuple[str, str]], matcher: Matcher | None) -> str:
             depth = max(0, depth + (1 if x[1] != "/" else -1))
         region.append(depth > 0 or not marked)
     same: set[int] = set()
-    if not marked and matcher is not None and (m := matcher.match(labels)):
+    if matcher is not None and (m := matcher.match(labels)):
         same = {i for x, start, end in matcher.spans(m) if x[-1] for i in range(start, end) if labels[i] == TEXT and _hash(page[i][1]) in x[-1]}
     return " ".join(t for i, (x, t) in enumerate(page) if x == TEXT and region[i] and not skip[i] and i not in same)
 
