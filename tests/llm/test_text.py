@@ -214,6 +214,28 @@ def test_wrapper_decides_pages_with_landmarks(spark, tag):
     assert site(spark, [page(i) for i in range(24)]) == want
 
 
+def test_main_region_is_not_any_landmark():
+    """Landmarks in boilerplate elements, teasers and comments are not the main text; a landmark about a topic is."""
+    def text(page):
+        return wrappers.main_text(wrappers.tokens(f"<html><body>{page}</body></html>"), None)
+    body = "<h1>Head</h1><p>The first paragraph of the text</p><p>The second paragraph</p>"
+    want = "Head The first paragraph of the text The second paragraph"
+    aside = "<aside><article class=teaser><h2>Other</h2><p>Read on</p></article></aside>"
+    related = "<div class=related><ul><li><article><p>More of it</p></article></ul></div>"
+    comments = "<section><article class=comment-body><p>I like it</p></article><article class=comment-body><p>So do I</p></article></section>"
+    teasers = "<div id=grid><article class=teaser>Next one</article><article class=teaser>Last one</article></div>"
+    for more in (aside, related, comments, teasers, aside + related + comments + teasers):
+        assert text(f"<div id=content>{body}</div>{more}") == want
+        assert text(f"<article class='post category-social'>{body}</article>{more}") == want
+        assert text(f"<article class='post category-social'>{body}{more}</article>") == want
+        assert text(f"<main>{more}{body}</main>") == want
+    assert text("<div id=content>" + body + "</div><article>Short</article>") == want + " Short"
+    # landmarks by name that are all there is, and boilerplate elements that are never closed
+    assert text("<h1>All</h1>" + teasers) == "Next one Last one"
+    assert text(f"<div><div class=ad>Buy<article>{body}</article></div>") == want
+    assert text(f"<nav><ul><li>Menu<article>{body}</article>") == want
+
+
 # ---- classifiers -----------------------------------------------------------------------
 def auc(scores, y):
     one, two = [s for s, v in zip(scores, y) if v], [s for s, v in zip(scores, y) if not v]

@@ -44,6 +44,8 @@ BOILERPLATE_NAMES = re.compile(
     r"skip|social|sponsor|sponsored|subscribe|toolbar|topbar|widget)(?:$|[\s_-])", re.I)
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|masthead|branding|logo)(?:$|[\s_-])", re.I)
 LANDMARKS = ("article", "main")
+LANDMARK_NAMES = re.compile(r"(?:^|[\s_-])(?:teaser|teasers|preview)(?:$|[\s_-])", re.I)      # besides BOILERPLATE_NAMES
+TOPIC_NAMES = re.compile(r"(?<!\S)(?:category|tag|has|with|no)-\S+", re.I)       # say what a landmark is about, not what it is
 # ---------------------------------------------------------------------------------
 LONGEST_SQUARE = 12         # tags of a repeated stretch at most
 MERGED = 64                 # wrappers merged in one group
@@ -119,25 +121,59 @@ def is_boilerplate(label: str, in_article: bool) -> bool:
     return not in_article and (tag == "header" or bool(names and tag not in LANDMARKS and HEADER_NAMES.search(names)))
 
 
-def outside(labels: list[str]) -> list[bool]:
+def _ends(labels: list[str]) -> tuple[list[int], list[bool]]:
+    """For each start tag where its element ends, and whether it surely is
+    closed: by an end tag, on a page with as many end tags as start tags of the name."""
+    ends, closed, stack = [len(labels)] * len(labels), [False] * len(labels), []
+    more: dict[str, int] = {}
+    for i, x in enumerate(labels):
+        if x == TEXT or (t := tag_of(x)) in OPEN_END:
+            continue
+        more[t] = more.get(t, 0) + (1 if x[1] != "/" else -1)
+        if x[1] != "/":
+            stack.append((t, i))
+        elif any(y == t for y, _ in stack):
+            while True:
+                y, k = stack.pop()
+                ends[k] = i
+                if y == t:
+                    closed[k] = True
+                    break
+    return ends, [c and not more[tag_of(x)] for c, x in zip(closed, labels)]
+
+
+def outside(page: list[tuple[str, str]]) -> list[bool]:
     """For each token whether it is in a boilerplate element.  An element that
-    is never closed ends with one around it, or where an article begins."""
-    out, stack, skip = [], [], 0        # skip: place in the stack of the outermost boilerplate element, from 1
-    for x in labels:
+    is never closed ends with one around it, or where an article begins.  A
+    landmark may be one by its names (a teaser, a reader's comment), if the
+    text beside all such landmarks is no less than the longest of them has."""
+    labels = [x for x, _ in page]
+    ends, closed = _ends(labels)
+    out, stack, skip, at, named = [], [], 0, 0, []      # skip: place in the stack of the outermost boilerplate element, from 1; at: its token
+    for i, x in enumerate(labels):
         if x != TEXT and x[1] != "/":
-            if tag_of(x) in LANDMARKS and skip:
-                del stack[skip - 1:]
-                skip = 0
+            if tag_of(x) in LANDMARKS:
+                if skip and not closed[at]:
+                    del stack[skip - 1:]
+                    skip = 0
+                names = TOPIC_NAMES.sub("", x.strip("<>").partition(" ")[2])
+                if not skip and (BOILERPLATE_NAMES.search(names) or LANDMARK_NAMES.search(names)):
+                    named.append(i)
             if tag_of(x) not in OPEN_END:
                 stack.append(tag_of(x))
                 if not skip and is_boilerplate(x, "article" in stack):
-                    skip = len(stack)
+                    skip, at = len(stack), i
         elif x != TEXT and (t := tag_of(x)) in stack:
             while stack.pop() != t:
                 pass
             if len(stack) < skip:
                 skip = 0
         out.append(bool(skip))
+    if named:
+        length = [len(t) if x == TEXT and not o else 0 for (x, t), o in zip(page, out)]
+        within = {i for k in named for i in range(k, ends[k])}
+        if sum(length) - sum(length[i] for i in within) >= max(sum(length[k:ends[k]]) for k in named):
+            out = [o or i in within for i, o in enumerate(out)]
     return out
 
 
@@ -318,7 +354,7 @@ class Learner:
 
     def page(self, page: list[tuple[str, str]]) -> None:
         labels = [x for x, _ in page]
-        told = [x == TEXT and not out for x, out in zip(labels, outside(labels))]
+        told = [x == TEXT and not out for x, out in zip(labels, outside(page))]
         texts = [t for (_, t), k in zip(page, told) if k]
         ident = _hash("\n".join(texts))       # copies that differ in boilerplate elements only are one page
         self.n += 1
@@ -368,22 +404,28 @@ def host_of(url: str | None) -> str:
 def main_text(page: list[tuple[str, str]], matcher: Matcher | None) -> str:
     """The article's blocks, joined by one space.
 
-    The main region is what the landmarks (article, main) enclose, or else the
-    whole body.  In it the texts that the host's judged wrapper has at their
-    place are left out, with landmarks and without; tags and names are the hint
-    that leaves out boilerplate elements whose texts differ from page to page, and
-    all there is on a page that the wrapper does not match."""
+    Left out are the texts that the host's judged wrapper has at their place,
+    on any page; tags and names are the hint that leaves out boilerplate
+    elements whose texts differ from page to page, and all there is on a page
+    that the wrapper does not match.  What the landmarks (article, main)
+    enclose is the main region if it is at least half of the text that is then
+    left, or else the whole body is."""
     labels = [x for x, _ in page]
-    skip = outside(labels)
-    depth, region, marked = 0, [], any(tag_of(x) in LANDMARKS and x[1] != "/" for x in labels if x != TEXT)
+    left = [x == TEXT and not out for x, out in zip(labels, outside(page))]
+    if matcher is not None and (m := matcher.match(labels)):
+        for x, start, end in matcher.spans(m):
+            for i in range(start, end):
+                if left[i] and x[-1] and _hash(page[i][1]) in x[-1]:
+                    left[i] = False
+    depth, region = 0, []
     for x in labels:
         if x != TEXT and tag_of(x) in LANDMARKS:
             depth = max(0, depth + (1 if x[1] != "/" else -1))
-        region.append(depth > 0 or not marked)
-    same: set[int] = set()
-    if matcher is not None and (m := matcher.match(labels)):
-        same = {i for x, start, end in matcher.spans(m) if x[-1] for i in range(start, end) if labels[i] == TEXT and _hash(page[i][1]) in x[-1]}
-    return " ".join(t for i, (x, t) in enumerate(page) if x == TEXT and region[i] and not skip[i] and i not in same)
+        region.append(depth > 0)
+    length = [len(t) if k else 0 for (_, t), k in zip(page, left)]
+    if 2 * sum(n for n, k in zip(length, region) if k) >= sum(length):
+        left = [a and b for a, b in zip(left, region)]
+    return " ".join(t for (_, t), k in zip(page, left) if k)
 
 
 # ---- Spark ---------------------------------------------------------------------
