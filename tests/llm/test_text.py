@@ -123,6 +123,14 @@ def test_pii_against_plain_patterns(spark, docs, texts, none):
     assert pii.report(none).count() == 0
 
 
+def test_secrets_of_any_length_are_proposed(spark):
+    """The first digit or letter of a key may come late; a run without one of them is no key."""
+    keys = ["k" * n + "1" for n in (64, 65, 300, 20000)] + ["7" * n + "-_x" for n in (62, 63, 300, 20000)]
+    rows = [(i, i, f"token {x} end 1") for i, x in enumerate([*keys, "k" * 300, "7" * 300])]
+    found = pii.candidates(spark.createDataFrame(rows, "t1 long, t2 long, text string")).where("kind = 'secret'").collect()
+    assert {r.t1: r.match for r in found} == dict(enumerate(keys))
+
+
 def test_labelers_are_told_apart():
     """A labeler that follows the truth gets more weight than one that guesses."""
     rng = random.Random(1)

@@ -30,7 +30,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,64}[0-9])(?=[0-9_-]{0,64}[A-Za-z])[A-Za-z0-9_-]{12,}+",
+    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{12,}+",
     "local": r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{3,4}(?![0-9])",
 }
 OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
