@@ -7,9 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,7 +15,3 @@ def spark():
     s = session.build(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
     yield s
     s.stop()
-
-
-def rows(df):
-    return [r.asDict(recursive=True) for r in df.collect()]

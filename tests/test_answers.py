@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from vetline.functions.answers import parse_answers
 
 CASES = [

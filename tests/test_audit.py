@@ -3,7 +3,7 @@ scale: Cartesian products, nested-loop joins, row-at-a-time Python."""
 
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 from tools.plan_audit import audit
 
 from vetline.plans.catalog import QUERIES

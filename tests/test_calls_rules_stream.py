@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from vetline.operators import evaluate
 from vetline.plans import jobs
 from vetline.sources import fixtures as fx

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from vetline import schemas
 from vetline.operators import dedup
 from vetline.plans import reports

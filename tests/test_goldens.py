@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01, rows
+from helpers import SF001, SF01, rows
 from vetline.functions import text as tx
 from vetline.plans import reports
 from vetline.plans.catalog import QUERIES

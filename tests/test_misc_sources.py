@@ -4,7 +4,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from vetline.functions import text as tx
 from vetline.plans import reports
 from vetline.sources import allowlist, fixtures as fx

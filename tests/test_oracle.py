@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from conftest import SF001
+from helpers import SF001
 from tools.oracle_check import TABLES, digest
 from vetline.plans.catalog import QUERIES
 

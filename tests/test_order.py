@@ -4,7 +4,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from conftest import SF01, rows
+from helpers import SF01, rows
 from vetline.operators.order import ranked
 from vetline.plans import reports
 from vetline.sources import fixtures as fx

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF01
+from helpers import SF01
 
 
 def plan(df):

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from vetline.functions import text as tx
 
 # letters, digits, marks and symbols from several scripts, all whitespace the

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from vetline.operators import evaluate
 from vetline.plans import jobs
 

@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from vetline.operators import dedup
 
 
@@ -109,7 +109,7 @@ def test_channel_stats_with_a_hot_channel_equals_brute_force(spark):
 
 def test_seen_flag_paths_agree(spark):
     from vetline.sources import fixtures as fx
-    from conftest import SF001
+    from helpers import SF001
     msgs_ = dedup.first_arrivals(fx.fx_messages(spark, SF001))
     seen = fx.fx_messages(spark, SF001).filter(F.col("source") == "live").select("chat_id", "msg_id")
     small = dedup.flag_seen(msgs_, seen, candidate_keys=msgs_)
@@ -127,7 +127,7 @@ def test_seen_flag_paths_agree(spark):
 
 
 def test_upsert_reads_the_outcome_table_once(spark):
-    from conftest import SF001
+    from helpers import SF001
     from vetline.operators import state
     from vetline.plans.catalog import _seen_batches
     from vetline.sources import fixtures as fx

@@ -1,6 +1,6 @@
 """Upsert semantics of the outcome and channel tables."""
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from vetline import schemas
 from vetline.operators import state
 from vetline.sources import fixtures as fx

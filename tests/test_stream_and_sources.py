@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 from vetline.sources import allowlist
 from vetline.streaming import triage_stream as ts
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from vetline.functions import text as tx
 from vetline.operators import cards, route
 
