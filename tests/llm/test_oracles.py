@@ -24,7 +24,7 @@ def test_matches_oracle(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(se.queries())
 
 
@@ -36,6 +36,11 @@ CONTRACTS = {
     "op7": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op8": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
+    "op11": {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    "op12": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint",
+             "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op13": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string",
+             "formatted_chars": "bigint", "in_order": "boolean", "broken_turn": "bigint"},
     "op10": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
 }
 
