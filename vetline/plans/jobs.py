@@ -8,7 +8,9 @@ scorer must not run again per sink, and the lineage is cut there, so a lost
 executor only recomputes from that table); then the sinks are projections:
   matches   one card per posted message
   channels  new snapshot with last activity touched
-  retry     snapshot of what is still transient
+  retry     ledger of what is still transient: tries made, next try due
+  dead      messages given up after their last try
+  dispositions  what the run decided, one row per message
   seen      append-only log of outcome rows (latest-wins on read/compaction),
             written last: it is the commit of the run
 Every sink is a plain Parquet write through Spark's output committer: a
@@ -19,7 +21,6 @@ outcome rows again, which the latest-wins read and compaction absorb
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
 from vetline.sources import messages as msgs
 from vetline.sources.allowlist import allowlisted, resolve
-from vetline.sources.tables import latest_seen, read_channels, read_seen_log
+from vetline.sources.tables import claim_run, latest_seen, read_channels, read_seen_log, table_or_empty
 
 
 def rules_evaluator(rules=evaluate.FX_RULES, threshold: int = route.DEFAULT_THRESHOLD):
@@ -70,6 +71,7 @@ class TriageResult:
     matches_path: str
     channels_path: str | None
     retry_path: str | None = None
+    run: int | None = None
 
 
 def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches_path: str,
@@ -78,13 +80,15 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
                threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
                retry_in: str | None = None, retry_out: str | None = None,
                registrations: DataFrame | None = None, seen_since: int | None = None,
-               first_run: bool = False, run_id: int | None = None) -> TriageResult:
+               first_run: bool = False, run_id: int | None = None, max_tries: int | None = None, retry_wait_s: int = 0,
+               dead_out: str | None = None, dispositions_out: str | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
     ``channels_out`` receives the channel snapshot: the table at
     ``channels_path``, with ``registrations`` (``chat_id, username, title``,
     e.g. the resolved sources) upserted, then touched by this run's recorded
     messages.  ``run_ts`` is the processing time (epoch seconds) that the rows
-    carry; ``run_id`` orders the runs (default: the clock, in nanoseconds).
+    carry; ``run_id`` orders the runs (default: the next number of the outcome log,
+    ``claim_run``, so a driver whose clock is behind does not lose latest-wins).
     Tables that are not there are an error unless this is the ``first_run``.
 
     The outcome append is the commit: cards, channels and the retry
@@ -98,24 +102,37 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     transient after this run, and the next run passes that folder as
     ``retry_in``: its messages join the arrivals.  ``retry_out`` is a new
     folder per run (a snapshot, not a log), so the retry set never grows with
-    messages that have since been recorded.
+    messages that have since been recorded.  The ledger carries the tries made
+    and when the next is due: ``retry_wait_s`` after the first, doubled each
+    time up to a day; what is not due waits there, unless it arrives again.
+    A message that is transient for the ``max_tries``-th time moves to the log at
+    ``dead_out`` instead (``read_dead``); if it arrives again later, it starts anew.
+
+    ``dispositions_out`` receives what was decided, before the commit, so a run
+    that is done again after its commit need not (and must not) write it.
 
     ``seen_since`` (epoch seconds, e.g. from ``seen_horizon``) limits the
     seen check to outcome rows recorded since then -- older days of the log
     are pruned, not read.  Only pass it when records are written after the
     messages are posted (processing time), so no older record can match."""
     session.configure(spark)
-    run_id = time.time_ns() if run_id is None else int(run_id)
+    if max_tries is not None and not dead_out:
+        raise ValueError("max_tries needs a table for the messages given up (dead_out)")
+    run_id = claim_run(spark, seen_path) if run_id is None else int(run_id)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
     seen = _there(spark, seen_path, first_run, schemas.SEEN_LOG, lambda: read_seen_log(spark, seen_path, seen_since))
     if retry_in:
-        pending = spark.read.schema(schemas.MESSAGES).parquet(retry_in)
-        arrivals = arrivals.unionByName(pending, allowMissingColumns=True)
+        pending = spark.read.schema(schemas.RETRY).parquet(retry_in)
+        arrivals = arrivals.unionByName(pending.filter(is_due(run_ts)).drop("tries", "due"), allowMissingColumns=True)
     routed_path = session.scratch_path(spark, "routed")
     # no sink uses the message text
     triage_plan(arrivals, seen, evaluator, threshold, allowed=allowed).drop("text").write.parquet(routed_path)
     routed = spark.read.parquet(routed_path)
 
+    if dispositions_out:
+        routed.select(
+            "chat_id", "msg_id", "source", "disposition", F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
+            F.col("out_posted").alias("posted"), F.col("out_title").alias("title")).write.mode("overwrite").parquet(dispositions_out)
     new_seen = state.seen_rows(routed.filter("recorded").select(
         "chat_id", "msg_id", F.col("out_is_vacancy").alias("is_vacancy"), F.col("out_score").alias("score"),
         F.col("out_posted").alias("posted"), F.col("out_title").alias("title"), F.lit(int(run_ts)).alias("ts")))
@@ -132,27 +149,68 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
             channels = state.upsert_channels(channels, registrations)
         state.touch_channels(channels, new_seen).write.mode("overwrite").parquet(channels_out)
     if retry_out:
-        keys = routed.filter(F.col("disposition") == "transient").select(*SEEN_KEY)
-        msg_cols = [f.name for f in schemas.MESSAGES.fields]
-        arrivals.join(keys, SEEN_KEY, "left_semi").select(*msg_cols).write.mode("overwrite").parquet(retry_out)
+        ledger = retry_ledger(arrivals, routed, run_ts, retry_wait_s, pending if retry_in else None)
+        if max_tries is not None:
+            dead = F.col("tries") >= int(max_tries)
+            ledger.filter(dead).select("*", F.lit(run_id).cast("bigint").alias("run"), F.to_date(tx.from_epoch(F.lit(int(run_ts)))).alias("dt")) \
+                .write.mode("append").partitionBy("dt").parquet(dead_out)
+            ledger = ledger.filter(~dead)
+        ledger.write.mode("overwrite").parquet(retry_out)
     new_seen.select("*", F.lit(run_id).cast("bigint").alias("run"), day).write.mode("append").partitionBy("dt").parquet(seen_path)
-    return TriageResult(routed_path, seen_path, matches_path, channels_out, retry_out)
+    return TriageResult(routed_path, seen_path, matches_path, channels_out, retry_out, run_id)
+
+
+# ---- fixed values -------------------------------------------------------------
+LONGEST_WAIT_S = 86400      # between two tries of a message
+# -------------------------------------------------------------------------------
+
+
+def is_due(now: int):
+    return F.coalesce(F.col("due"), F.lit(0)) <= F.lit(int(now))
+
+
+def retry_ledger(arrivals: DataFrame, routed: DataFrame, run_ts: int, wait_s: int = 0, pending: DataFrame | None = None) -> DataFrame:
+    """What waits for another try after a run: its transient messages (first
+    arrivals, one row each) with one try more than in ``pending``, the ledger
+    before, and the rows of that ledger which were not due and did not arrive."""
+    msg_cols = [f.name for f in schemas.MESSAGES.fields]
+    transient = routed.filter(F.col("disposition") == "transient").select(*SEEN_KEY)
+    again = dedup.first_arrivals(arrivals.select(*msg_cols).join(transient, SEEN_KEY, "left_semi"))
+    if pending is None:
+        again = again.withColumn("before", F.lit(0))
+    else:
+        again = again.join(pending.groupBy(*SEEN_KEY).agg(F.max(F.coalesce("tries", F.lit(0))).alias("before")), SEEN_KEY, "left")
+    tries = F.coalesce("before", F.lit(0)) + 1
+    wait = F.least(F.lit(float(LONGEST_WAIT_S)), F.lit(float(wait_s)) * F.pow(F.lit(2.0), tries - 1)).cast("bigint")
+    ledger = again.select(*msg_cols, tries.cast("int").alias("tries"), (F.lit(int(run_ts)) + wait).alias("due"))
+    if pending is not None:
+        ledger = ledger.unionByName(pending.filter(~is_due(run_ts)).join(routed.select(*SEEN_KEY), SEEN_KEY, "left_anti"))
+    return ledger
 
 
 def run_backfill(spark: SparkSession, sources: DataFrame, directory: DataFrame, history: DataFrame, cutoff_epoch: int,
                  seen_path: str, matches_path: str, live: DataFrame | None = None, cap: int = msgs.BACKFILL_CAP,
-                 date_col: str = "date_s", **triage) -> TriageResult:
+                 date_col: str = "date_s", marks_in: str | None = None, marks_out: str | None = None, **triage) -> TriageResult:
     """The start of the service as one job: resolve the allow-list against the
     directory (an allow-list of which nothing resolves is an error), register
     what resolves, read the history of those chats back to the cutoff, join it
     with the ``live`` messages and triage all of it.  ``triage`` goes to
-    ``run_triage``."""
+    ``run_triage``.
+
+    ``marks_out`` receives how far each chat was read (``MARKS``); with that folder
+    as ``marks_in`` a later backfill reads only what is newer.  A mark stays
+    below the oldest message still transient, so what a full scan would
+    try again is read again."""
     resolved, _ = resolve(sources, directory, require_any=True)
-    history = msgs.backfill(allowlisted(history, resolved), cutoff_epoch, cap, date_col)
+    marks = table_or_empty(spark, schemas.MARKS, marks_in) if marks_in else None
+    history = msgs.backfill(allowlisted(history, resolved), cutoff_epoch, cap, date_col, marks)
     arrivals = dedup.union_arrivals(history.limit(0) if live is None else live, history)
     registrations = resolved.select("chat_id", F.col("handle").alias("username"), F.col("handle").alias("title")).distinct()
-    return run_triage(spark, arrivals, seen_path, matches_path, registrations=registrations,
-                      allowed=resolved.select("chat_id"), **triage)
+    result = run_triage(spark, arrivals, seen_path, matches_path, registrations=registrations,
+                        allowed=resolved.select("chat_id"), **triage)
+    if marks_out:
+        msgs.next_marks(history, spark.read.parquet(result.routed_path), cutoff_epoch, marks).write.mode("overwrite").parquet(marks_out)
+    return result
 
 
 def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:

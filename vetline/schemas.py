@@ -23,6 +23,12 @@ EVALUATIONS = _st(("chat_id", L), ("msg_id", L), ("status", S), ("is_vacancy", B
 SEEN = _st(("chat_id", L), ("msg_id", L), ("is_vacancy", I), ("score", I), ("posted", I),
            ("title", S), ("ts", L))
 
+# messages that wait for another try: tries made so far, and when (epoch seconds) the next one is due
+RETRY = T.StructType([*MESSAGES.fields, T.StructField("tries", I, True), T.StructField("due", L, True)])
+
+# how far the history of each chat has been read, and back to which cutoff
+MARKS = _st(("chat_id", L), ("msg_id", L), ("cutoff", L))
+
 # the append log behind it: ``run`` grows with every run, so that the row written last is known
 SEEN_LOG = T.StructType([*SEEN.fields, T.StructField("run", L, True)])
 

@@ -75,7 +75,7 @@ def normalize(messages: DataFrame) -> DataFrame:
 
 
 def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_CAP,
-             date_col: str = "date_s") -> DataFrame:
+             date_col: str = "date_s", marks: DataFrame | None = None) -> DataFrame:
     """Per chat, newest first: take messages *until* the first one older than
     the cutoff (a prefix, not a filter: an old message hides everything older
     in id order), reading at most ``cap`` messages.  NULL dates pass.
@@ -87,9 +87,18 @@ def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_
     tasks and only ``cap`` rows of each in one.  The stop point (newest old
     message among the ``cap`` newest) is then a window over at most ``cap``
     rows on the same partitioning, with no join back to the input.
+
+    ``marks`` (``MARKS``: how far each chat was read before) leaves out what is
+    not newer: the marks, one row per chat, join the scan, and their least message
+    id goes to it as a filter, which skips row groups of a history in order of
+    ids.  A mark made at a later cutoff than this one does not count.  What is
+    left of a chat gives the same new messages as the whole: those at or below
+    the mark among its ``cap`` newest were read before.
     """
     if cutoff_epoch is None:
         return messages.limit(0)
+    if marks is not None:
+        messages = _newer(messages, marks, int(cutoff_epoch))
     salt = F.pmod(F.xxhash64("msg_id"), F.lit(BACKFILL_SALTS))
     salted = messages.withColumn("_salt", salt)
     newest = F.col("msg_id").desc()
@@ -101,3 +110,28 @@ def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_
     return (head.withColumn("_stop", stop)
             .filter(F.col("_stop").isNull() | (F.col("msg_id") > F.col("_stop")))
             .drop("_rn", "_stop"))
+
+
+def _newer(messages: DataFrame, marks: DataFrame, cutoff_epoch: int) -> DataFrame:
+    valid = marks.filter(F.col("cutoff") <= cutoff_epoch).groupBy("chat_id").agg(F.max("msg_id").alias("_mark"))
+    low = valid.agg(F.min("_mark"), F.count("*")).first()
+    if not low[1]:
+        return messages
+    # chats without a mark are read whole, so the filter on the scan holds only where every chat has one
+    unread = messages.select("chat_id").distinct().join(valid, "chat_id", "left_anti").isEmpty()
+    if unread:
+        messages = messages.filter(F.col("msg_id") > F.lit(low[0]))
+    return messages.join(valid, "chat_id", "left").filter(F.col("_mark").isNull() | (F.col("msg_id") > F.col("_mark"))).drop("_mark")
+
+
+def next_marks(taken: DataFrame, routed: DataFrame, cutoff_epoch: int, before: DataFrame | None = None) -> DataFrame:
+    """How far each chat has been read after a backfill took ``taken``: its
+    newest message, or the one before its oldest transient message of ``routed``;
+    chats of which nothing was taken keep the mark ``before``."""
+    waiting = routed.filter(F.col("disposition") == "transient").groupBy("chat_id").agg((F.min("msg_id") - 1).alias("_below"))
+    top = taken.groupBy("chat_id").agg(F.max("msg_id").alias("_top"))
+    new = top.join(waiting, "chat_id", "left").select("chat_id", F.least("_top", "_below").alias("msg_id"), F.lit(int(cutoff_epoch)).alias("cutoff"))
+    if before is None:
+        return new
+    old = before.filter(F.col("cutoff") <= int(cutoff_epoch)).groupBy("chat_id").agg(F.max("msg_id").alias("msg_id"))
+    return new.unionByName(old.join(new.select("chat_id"), "chat_id", "left_anti").withColumn("cutoff", F.lit(int(cutoff_epoch))))

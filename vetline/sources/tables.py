@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
+    """A table with its fixed schema; empty before anything was written to ``path``."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to a target schema; columns the frame lacks become NULL.
 
@@ -71,6 +82,29 @@ def latest_seen(log: DataFrame) -> DataFrame:
             .select(*schemas.SEEN_KEY, *[F.col(f"w.{c}").alias(c) for c in [*values, "ts"]]))
 
 
+def claim_run(spark: SparkSession, seen_path: str) -> int:
+    """The next run number of the outcome log at ``seen_path``, claimed in the
+    folder beside it: one more than any run before, whatever the clock says.
+    Two drivers that claim at once do not get one number: the second write
+    fails."""
+    claims = f"{seen_path}_runs"
+    last = table_or_empty(spark, "claimed boolean, run long", claims).agg(F.max("run")).first()[0]
+    if last is None:        # a log from before there were claims
+        last = table_or_empty(spark, schemas.SEEN_LOG, seen_path).agg(F.max("run")).first()[0]
+    run = 1 if last is None else int(last) + 1
+    spark.range(1).select(F.lit(True).alias("claimed")).coalesce(1).write.mode("errorifexists").parquet(f"{claims}/run={run}")
+    return run
+
+
+def read_dead(spark: SparkSession, path: str) -> DataFrame:
+    """The messages given up after their last try, one row each (a run done
+    again may write a message twice)."""
+    cols = [f.name for f in schemas.RETRY.fields if f.name not in schemas.SEEN_KEY]
+    df = spark.read.schema(schemas.T.StructType([*schemas.RETRY.fields, schemas.T.StructField("run", schemas.L)])).parquet(path)
+    return (df.groupBy(*schemas.SEEN_KEY).agg(F.max(F.struct("run", "tries", "due", *[c for c in cols if c not in ("tries", "due")])).alias("w"))
+            .select(*schemas.SEEN_KEY, "w.*"))
+
+
 def read_matches(spark: SparkSession, path: str, since_epoch: int | None = None) -> DataFrame:
     """The match (card) sink for a consumer that delivers cards: one row per
     message.  The sink is at-least-once (a re-run after a failed job appends

@@ -2,7 +2,7 @@
 
 ``drain_to_tables`` is one scheduled run of the live service.  A file-sink
 query with a named checkpoint takes the new messages into an inbox (exactly
-once), then the batch job (``plans.jobs.run_triage``) handles what is new in
+once, partitioned by the number of the drain), then the batch job (``plans.jobs.run_triage``) handles what is new in
 it: it appends the outcome log and the cards, touches the channels and keeps
 what is still transient for the next run.  The outcome log is the dedup
 state, so it survives restarts, a transient message is scored again when it
@@ -20,7 +20,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +28,7 @@ from vetline.functions import text as tx
 from vetline.operators import dedup, evaluate, route
 from vetline.schemas import SEEN_KEY
 from vetline.sources import messages as msgs
+from vetline.sources.tables import claim_run, table_or_empty
 
 OUTPUT_COLS = ["chat_id", "msg_id", "source", "disposition", "is_vacancy", "score", "posted", "title"]
 
@@ -107,67 +107,84 @@ def run_available_now(spark: SparkSession, plan: DataFrame, name: str, rocksdb_s
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
 
-INBOX = schemas.T.StructType([*schemas.MESSAGES.fields, schemas.T.StructField("ingested", schemas.T.TimestampType())])
+INBOX = schemas.T.StructType([*schemas.MESSAGES.fields, schemas.T.StructField("drain", schemas.L)])
 DISPOSITIONS = ("chat_id long, msg_id long, source string, disposition string, is_vacancy int, score int, posted int, "
                 "title string, run long")
-PROGRESS = "run long, upto timestamp"
-
-
-def _table(spark: SparkSession, schema, path: str) -> DataFrame:
-    """A table of the run's own folder; empty before anything was written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+# a row when a drain begins, with its number in the outcome log, and another one when it is over
+PROGRESS = "drain long, run long, done boolean"
 
 
 def drain_to_tables(spark: SparkSession, stream: DataFrame, base: str, seen_path: str, matches_path: str,
                     evaluator: Callable[[DataFrame, Column], DataFrame] | None = None,
                     threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
-                    channels_path: str | None = None, first_run: bool = False, run_ts: int | None = None) -> int | None:
+                    channels_path: str | None = None, first_run: bool = False, run_ts: int | None = None,
+                    max_tries: int | None = None, retry_wait_s: int = 0) -> int | None:
     """Take what is new in a message stream and triage it into the outcome
     log, the card log and (with ``channels_path``, a folder) channel snapshots;
-    returns the run's number, None when there was nothing to do.
-
-    ``base`` belongs to this stream: offsets, the inbox, and each run's
-    retry snapshot, dispositions and progress.  Progress is written last, so a
-    run that failed is done again from its inbox rows; what it had recorded
-    is skipped then, and its snapshots are overwritten.  ``run_ts`` is the
-    processing time (now).  ``first_run`` allows for tables not there yet.
+    returns the drain's number, None when there was nothing to do.
+
+    ``base`` belongs to this stream: offsets, the inbox, and each drain's
+    retry ledger, dispositions and progress, and the messages given up after
+    ``max_tries`` (folder ``dead``).  ``run_ts`` is the processing time (now).
+    ``first_run`` allows for tables not there yet.
+
+    No clock decides what is new: the inbox is partitioned by the number of the
+    drain that took a message in, and that number grows only when a drain is over.
+    So what a failed drain had taken in, and what the next one adds, is
+    triaged together, and a drain reads its own partition only.  A drain that
+    failed before its commit (the outcome append) is done again under the same
+    run number; one that failed after it only ends: its dispositions, ledger
+    and snapshots were written before the commit.
     """
     from vetline.plans import jobs
     session.configure(spark)
+    now = int(time.time()) if run_ts is None else int(run_ts)
+    progress = f"{base}/progress"
+    last = table_or_empty(spark, PROGRESS, progress).agg(
+        F.max(F.when(F.col("done"), F.col("drain"))).alias("done"), F.max("drain").alias("begun"), F.max_by("run", "drain").alias("run")).first()
+    drain = 0 if last["done"] is None else last["done"] + 1
+    claimed = last["run"] if last["begun"] == drain else None
     query = (stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MESSAGES.fields],
-                           F.current_timestamp().alias("ingested"))
-             .writeStream.format("parquet").option("path", f"{base}/inbox").option("checkpointLocation", f"{base}/offsets")
+                           F.lit(drain).cast("bigint").alias("drain"))
+             .writeStream.format("parquet").partitionBy("drain").option("path", f"{base}/inbox").option("checkpointLocation", f"{base}/offsets")
              .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    last = _table(spark, PROGRESS, f"{base}/progress").agg(F.max("run"), F.max("upto")).first()
-    run = 0 if last[0] is None else last[0] + 1
-    new = _table(spark, INBOX, f"{base}/inbox")
-    if last[1] is not None:
-        new = new.filter(F.col("ingested") > F.lit(last[1]))
-    upto = new.agg(F.max("ingested")).first()[0]
-    retry_in = f"{base}/retry/{run - 1}" if run else None
-    if upto is None and (retry_in is None or not spark.read.schema(schemas.MESSAGES).parquet(retry_in).limit(1).count()):
-        return None
-    new = new.drop("ingested") if upto is None else new.filter(F.col("ingested") <= F.lit(upto)).drop("ingested")
-    snapshot = f"{channels_path}/run={run}" if channels_path else None
-    result = jobs.run_triage(
-        spark, new, seen_path, matches_path, evaluator, run_ts=int(time.time()) if run_ts is None else run_ts, threshold=threshold,
-        allowed=allowed, retry_in=retry_in, retry_out=f"{base}/retry/{run}", first_run=first_run and not run,
-        channels_path=(f"{channels_path}/run={run - 1}" if run else f"{channels_path}/start") if channels_path else None,
-        channels_out=snapshot)
-    spark.read.parquet(result.routed_path).select(
-        "chat_id", "msg_id", "source", "disposition", F.col("out_is_vacancy").alias("is_vacancy"),
-        F.col("out_score").alias("score"), F.col("out_posted").alias("posted"), F.col("out_title").alias("title")
-    ).write.mode("overwrite").parquet(f"{base}/dispositions/run={run}")
-    spark.createDataFrame([(run, last[1] if upto is None else upto)], PROGRESS).write.mode("append").parquet(f"{base}/progress")
-    return run
+    new = table_or_empty(spark, INBOX, f"{base}/inbox").filter(F.col("drain") == drain).drop("drain")
+    retry_in = f"{base}/retry/{drain - 1}" if drain else None
+    if claimed is None:
+        if new.isEmpty() and (retry_in is None or spark.read.schema(schemas.RETRY).parquet(retry_in).filter(jobs.is_due(now)).isEmpty()):
+            return None
+        run = claim_run(spark, seen_path)
+        spark.createDataFrame([(drain, run, False)], PROGRESS).write.mode("append").parquet(progress)
+    else:
+        run = claimed
+    if claimed is None or table_or_empty(spark, schemas.SEEN_LOG, seen_path).filter(F.col("run") == run).isEmpty():
+        jobs.run_triage(
+            spark, new, seen_path, matches_path, evaluator, run_ts=now, threshold=threshold, allowed=allowed, run_id=run,
+            retry_in=retry_in, retry_out=f"{base}/retry/{drain}", max_tries=max_tries, retry_wait_s=retry_wait_s,
+            dead_out=f"{base}/dead", dispositions_out=f"{base}/dispositions/run={drain}", first_run=first_run and not drain,
+            channels_path=(f"{channels_path}/run={drain - 1}" if drain else f"{channels_path}/start") if channels_path else None,
+            channels_out=f"{channels_path}/run={drain}" if channels_path else None)
+    spark.createDataFrame([(drain, run, True)], PROGRESS).write.mode("append").parquet(progress)
+    return drain
+
+
+def keep_draining(drain: Callable[[], int | None], every_s: float, stop: Callable[[], bool] = lambda: False,
+                  clock: Callable[[], float] = time.monotonic, wait: Callable[[float], None] = time.sleep) -> int:
+    """Live handling: ``drain`` (a call of ``drain_to_tables``) every ``every_s``
+    seconds until ``stop`` says so; returns how many drains had something to do.
+    A drain that takes longer is followed at once; one that fails ends the loop,
+    and the next start goes on where it was."""
+    done = 0
+    while not stop():
+        began = clock()
+        done += drain() is not None
+        rest = every_s - (clock() - began)
+        if rest > 0 and not stop():
+            wait(rest)
+    return done
 
 
 def read_dispositions(spark: SparkSession, base: str) -> DataFrame:
