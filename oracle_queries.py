@@ -695,3 +695,86 @@ Q["backfill_job"] = _with(["fx_first", "fx_messages", "fx_resolved"], f"""
                {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
              FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
 SELECT chat_id, msg_id, {_OUT}, CAST(1704067200 AS BIGINT) AS ts FROM routed""")
+
+# ---- rules, ledgers, marks, cells ----------------------------------------------------
+# profile texts of FIXTURES.md, line by line: section and heading are those of the last line that set them
+FX["fx_profiles"] = """
+SELECT p_partkey AS profile_id, '# Profile' || n || n || '## 1. Grade' || n || n || '**Middle**' || n || n || '- not a rule' || n || n || '## 5. Work Format' || n || n
+  || '| Option | Status |' || n || '|---|---|' || n || '| ' || p_name || ' | Priority |' || n || '| ' || p_type || ' | No - not considering |' || n
+  || '| ' || p_brand || ' only | Hard blocker |' || n || n || '## 8. Hard Blockers - not wanted' || n || n || '### Roles' || n
+  || '- Requires ' || p_name || ' / ' || p_type || ' as core skill' || n || '- x' || n || n || '## 10. Evaluation' || n || n
+  || '**Immediate disqualifiers (match_score < 30):**' || n || '- ' || p_brand || ' (licence), ' || p_type || ' or size ' || p_size || n || n
+  || '**Mismatch (match_score < 40):**' || n || '* ' || p_type || n || n || '**Strong signals (match_score 75+):**' || n
+  || '- Mentions of ' || p_name || ', ' || p_brand || ' or platform' || n || '- AI/ML product' || n AS text
+FROM part, (SELECT chr(10) AS n) c"""
+Q["profile_rules"] = _with(["fx_profiles"], r"""
+, lines AS (SELECT profile_id, k, x[k + 1] AS line FROM (SELECT profile_id, x, unnest(range(len(x))) AS k FROM (SELECT profile_id, string_split(text, chr(10)) AS x FROM fx_profiles))),
+  parts AS (SELECT *, CASE WHEN line LIKE '## %' THEN regexp_replace(line, '^## +(\d+\. *)?', '') END AS sec,
+              CASE WHEN line LIKE '## %' THEN '' WHEN line LIKE '### %' THEN substr(line, 5)
+                   WHEN line LIKE '**%' THEN rtrim(trim(line, '*'), ':') END AS head FROM lines),
+  held AS (SELECT *, last_value(sec IGNORE NULLS) OVER w AS section, last_value(head IGNORE NULLS) OVER w AS heading FROM parts
+           WINDOW w AS (PARTITION BY profile_id ORDER BY k)),
+  items AS (SELECT *, CASE WHEN line LIKE '|%' THEN trim(string_split(line, '|')[2]) ELSE regexp_extract(line, '^[-*] +(.*)$', 1) END AS item,
+              CASE WHEN line LIKE '|%' THEN lower(trim(string_split(line, '|')[3])) END AS status,
+              try_cast(regexp_extract(heading, 'match_score < (\d+)', 1) AS INTEGER) AS below, try_cast(regexp_extract(heading, 'match_score (\d+)\+', 1) AS INTEGER) AS above
+            FROM held WHERE line LIKE '|%' OR regexp_matches(line, '^[-*] +')),
+  told AS (SELECT *, CASE WHEN status IS NOT NULL THEN CASE WHEN contains(status, 'hard blocker') THEN 'blocker' WHEN regexp_matches(status, '^no\b') THEN 'hard' END
+                          WHEN below IS NOT NULL THEN CASE WHEN below <= 30 THEN 'blocker' ELSE 'hard' END WHEN above IS NOT NULL THEN 'signal'
+                          WHEN contains(lower(section), 'blocker') THEN 'blocker' END AS kind FROM items),
+  cut AS (SELECT *, regexp_split_to_array(regexp_replace(item, '\(.*$', ''), '\s*/\s*|\s*,\s*|\s+or\s+') AS alt FROM told WHERE kind IS NOT NULL),
+  each AS (SELECT *, trim(regexp_replace(alt[t + 1], '^(Requires|Mentions of|Roles that require)\s+', '')) AS term FROM (SELECT *, unnest(range(len(alt))) AS t FROM cut))
+SELECT profile_id, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY k, t) AS INTEGER) AS rule_id, section, heading, kind,
+  '(?i)' || CASE WHEN regexp_matches(term, '^\w') THEN '\b' ELSE '' END || regexp_replace(term, '([^\p{L}\p{N} ])', '\\\1', 'g')
+    || CASE WHEN regexp_matches(term, '\w$') THEN '\b' ELSE '' END AS pattern,
+  CAST(CASE kind WHEN 'signal' THEN ceil((above - 30) / 3.0) WHEN 'hard' THEN -20 ELSE -40 END AS INTEGER) AS weight
+FROM each WHERE length(term) >= 2""")
+
+Q["rule_hits_many"] = """
+WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]{6,}')) AS pattern FROM benchmark)
+SELECT pattern, count(*) AS n_docs, min(doc_id) AS first_doc FROM words JOIN documents ON contains(text, pattern) GROUP BY pattern"""
+
+# a message is evaluated in the run it arrives with, then in each later one until it is not transient
+Q["retry_ledger"] = _with(["fx_first"], f"""
+, m AS (SELECT chat_id, msg_id, msg_id % 5 = 4 AS late, {_worth('text')} AS worth FROM fx_first),
+  t AS (SELECT *, worth AND msg_id % 8 < 4 AS t0, worth AND (msg_id + 1) % 8 < 4 AS t1, worth AND (msg_id + 2) % 8 < 4 AS t2 FROM m)
+SELECT chat_id, msg_id,
+  CASE WHEN late THEN CASE WHEN t2 THEN 'waiting' ELSE 'recorded' END WHEN t0 AND t1 AND t2 THEN 'given up' ELSE 'recorded' END AS state,
+  CAST(CASE WHEN late AND t2 THEN 1 WHEN NOT late AND t0 AND t1 AND t2 THEN 3 END AS INTEGER) AS tries,
+  CAST(CASE WHEN late THEN CASE WHEN t2 THEN 1500 ELSE 1400 END WHEN NOT t0 THEN 1000 WHEN NOT t1 THEN 1150 WHEN NOT t2 THEN 1400 END AS BIGINT) AS at
+FROM t""")
+
+
+def _backfill_of(name: str, where: str) -> str:
+    return f"""
+  {name}_head AS (SELECT *, row_number() OVER (PARTITION BY chat_id ORDER BY msg_id DESC) AS rn FROM fx_first WHERE {where}),
+  {name}_stop AS (SELECT *, max(CASE WHEN date_s < 1704067200 THEN msg_id END) OVER (PARTITION BY chat_id) AS stop FROM {name}_head WHERE rn <= 20),
+  {name} AS (SELECT * EXCLUDE (rn, stop) FROM {name}_stop WHERE stop IS NULL OR msg_id > stop)"""
+
+
+# both backfills read everything; what the first one recorded the second one skips
+Q["backfill_marked"] = _with(["fx_first"], f"""
+, {_backfill_of('b1', 'msg_id <= (SELECT max(doc_id) * 6 // 10 FROM documents)')}, {_backfill_of('b2', 'true')},
+  fresh AS (SELECT *, 100 AS ts FROM b1 UNION ALL SELECT *, 200 FROM b2 WHERE (chat_id, msg_id) NOT IN (SELECT (chat_id, msg_id) FROM b1)),
+  scored AS (SELECT chat_id, msg_id, n_signals > 0 AS is_vac, {_CAPPED} AS match_score FROM ({_rule_score_sql('chat_id, msg_id', 'fresh')}) x),
+  routed AS (SELECT f.chat_id, f.msg_id, f.ts, '' AS title, s.match_score, {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
+             FROM fresh f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
+SELECT chat_id, msg_id, {_OUT}, CAST(ts AS BIGINT) AS ts FROM routed""")
+
+Q["triage_bucketed"] = Q["triage_end_to_end"]
+Q["overall_stats_cells"] = Q["overall_stats"]
+Q["channel_stats_cells"] = Q["channel_stats"].replace("LEFT JOIN fx_seen s", """LEFT JOIN (SELECT * REPLACE (
+  CASE WHEN msg_id % 4 = 1 THEN CAST(msg_id % 100 AS INTEGER) ELSE score END AS score) FROM fx_seen) s""")
+Q["seen_compacted_days"] = _with(["fx_seen"], """
+SELECT chat_id, msg_id, is_vacancy, CASE WHEN msg_id % 4 = 1 THEN CAST(msg_id % 100 AS INTEGER) ELSE score END AS score, posted, title,
+  ts + CASE WHEN msg_id % 4 IN (1, 2) THEN 86400 ELSE 0 END AS ts, CAST(CASE WHEN msg_id % 4 IN (1, 2) THEN 2 ELSE 1 END AS BIGINT) AS run FROM fx_seen""")
+
+Q["stream_cards"] = f"""
+WITH conv AS (SELECT DISTINCT conv_id AS chat_id, turn AS msg_id, trim(coalesce(text, ''), {WS}) AS text FROM conversations),
+  scored AS (SELECT chat_id, msg_id, n_signals > 0 AS is_vac, {_CAPPED} AS match_score FROM ({_rule_score_sql('chat_id, msg_id', 'conv')}) x),
+  routed AS (SELECT f.chat_id, f.msg_id, '' AS title, s.match_score, {_dispo('f.text', "'ok'", "'ok'", 's.is_vac', 's.match_score')} AS disposition
+             FROM conv f JOIN scored s ON s.chat_id = f.chat_id AND s.msg_id = f.msg_id)
+SELECT chat_id, msg_id, is_vacancy, score, posted, CAST(1704067200 AS BIGINT) AS ts, CASE WHEN posted = 1 THEN score END AS card_score,
+  CASE WHEN posted = 1 THEN '*Vacancy*' || chr(10) || 'Score: ' || score || '/100 · grade: unknown · remote: unknown' || chr(10) || 'Stack: —' || chr(10)
+    || 'Salary: —' || chr(10) || 'Red flags: —' || chr(10) || chr(10) || chr(10) || chr(10) || 'Source: ' || chat_id END AS card,
+  CAST(NULL AS VARCHAR) AS source_link
+FROM (SELECT chat_id, msg_id, {_OUT} FROM routed)"""

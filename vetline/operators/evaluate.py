@@ -1,9 +1,9 @@
 """Evaluation: the scorer hook (E1), call outcomes (E2), rule scoring (E3).
 
 The default scorer is a rule table matched against the whole text.  Rules are
-job parameters (the profile's checklist, a bounded list), so each rule is
-compiled into a column expression: one projection, no join, no shuffle, and
-the text is read once per row.  A user-supplied batch function (for example a
+job parameters (the profile's checklist), compiled into one column
+expression (``operators.rule_index``): one projection, no join, no shuffle, and the
+work per text follows the rules that may match it, not the count of rules.  A user-supplied batch function (for example a
 model client) runs through ``mapInPandas``: Arrow batches, one client per
 partition, the partition count acting as the concurrency limit.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vetline.functions.answers import FIELDS as PARSED_FIELDS, parse_answers
+from vetline.operators.rule_index import matched_rules
 
 # ---- fixed values -------------------------------------------------------------
 # Call outcome classes: 2xx ok; 429, >= 500 or no status (connection error)
@@ -34,7 +35,6 @@ BASE_SCORE = 30
 HARD_CAP = 39
 BLOCKER_CAP = 29
 RULE_KINDS = ("signal", "hard", "blocker")
-MAX_RULES = 1000
 # -------------------------------------------------------------------------------
 
 
@@ -66,77 +66,63 @@ def load_rules(path: str) -> tuple[Rule, ...]:
         items = json.load(f)
     if not isinstance(items, list) or not items:
         raise RuntimeError(f"{path} must contain a non-empty list of rules")
-    if len(items) > MAX_RULES:
-        raise RuntimeError(f"{path}: more than {MAX_RULES} rules")
     return tuple(Rule(int(r["rule_id"]), str(r["kind"]), str(r["pattern"]), int(r["weight"])) for r in items)
 
 
-def _hit_structs(rules: Sequence[Rule], text: Column) -> Column:
-    return F.array_compact(F.array(*[
-        F.when(text.rlike(r.pattern), F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.kind).alias("kind"),
-                                               F.lit(r.pattern).alias("pattern"), F.lit(r.weight).alias("weight")))
-        for r in rules]))
-
-
 def rule_hits(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
               keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
     """One row per (message, matching rule)."""
-    return (df.select(*keys, F.explode(_hit_structs(rules, F.col(text_col))).alias("h"))
+    return (df.select(*keys, F.explode(matched_rules(rules, F.col(text_col))).alias("h"))
             .select(*keys, "h.rule_id", "h.kind", "h.pattern", "h.weight"))
 
 
-def rule_score_columns(rules: Sequence[Rule] = FX_RULES, text_col: str = "text") -> dict[str, Column]:
-    """Score columns of the rule scorer for a text column.
+def _summed(hits: Column) -> Column:
+    """Weights, signals, hard rules and blockers among the rules that match, in one walk over them."""
+    start = F.struct(F.lit(BASE_SCORE).alias("total"), *[F.lit(0).alias(k) for k in RULE_KINDS])
+    return F.aggregate(hits, start, lambda s, h: F.struct(
+        (s["total"] + h["weight"]).alias("total"), *[(s[k] + F.when(h["kind"] == k, 1).otherwise(0)).alias(k) for k in RULE_KINDS]))
+
+
+def score_columns(hits: str = "_hits", sums: str = "_sums") -> dict[str, Column]:
+    """Score columns of the rule scorer from the rules that match and their
+    sums, which are columns of projections below (``_scored``), so that the
+    patterns are matched once for all of them.
 
     score = clamp(base + sum of matched weights), capped at 39 if any hard
     rule matched and at 29 if any blocker matched.
     """
-    text = F.col(text_col)
-    m = {r.rule_id: text.rlike(r.pattern) for r in rules}
-
-    def any_of(kind):
-        cs = [m[r.rule_id] for r in rules if r.kind == kind]
-        out = F.lit(False)
-        for c in cs:
-            out = out | c
-        return out
-
-    total = F.lit(BASE_SCORE)
-    for r in rules:
-        total = total + F.when(m[r.rule_id], F.lit(r.weight)).otherwise(F.lit(0))
-    n_signals = F.lit(0)
-    for r in rules:
-        if r.kind == "signal":
-            n_signals = n_signals + F.when(m[r.rule_id], 1).otherwise(0)
-    hard, blocker = any_of("hard"), any_of("blocker")
-    score = F.greatest(F.lit(0), F.least(F.lit(100), total))
-    score = F.when(hard, F.least(score, F.lit(HARD_CAP))).otherwise(score)
-    score = F.when(blocker, F.least(score, F.lit(BLOCKER_CAP))).otherwise(score)
-    flags = F.array_compact(F.array(*[
-        F.when(m[r.rule_id], F.lit(f"{r.kind}:{r.pattern}")) for r in rules if r.kind != "signal"]))
-    return {"n_signals": n_signals.cast("int"), "any_hard": hard, "any_blocker": blocker,
-            "raw_score": total.cast("int"), "rule_score": score.cast("int"), "rule_flags": flags}
+    total, signal, hard, blocker = (F.col(f"{sums}.{k}") for k in ("total", *RULE_KINDS))
+    score = F.greatest(F.lit(0), F.least(F.lit(100), total, F.when(hard > 0, F.lit(HARD_CAP)), F.when(blocker > 0, F.lit(BLOCKER_CAP))))
+    flags = F.transform(F.filter(F.col(hits), lambda h: h["kind"] != "signal"), lambda h: F.concat(h["kind"], F.lit(":"), h["pattern"]))
+    return {"n_signals": signal, "any_hard": hard > 0, "any_blocker": blocker > 0, "raw_score": total, "rule_score": score, "rule_flags": flags}
+
+
+def _scored(df: DataFrame, rules: Sequence[Rule], text: Column, on: Column | None = None) -> DataFrame:
+    hits = matched_rules(rules, text)
+    bound = df.withColumn("_hits", hits if on is None else F.when(on, hits))
+    return bound.withColumn("_sums", _summed(F.col("_hits")))
 
 
 def rule_scores(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
                 keys: Sequence[str] = ("chat_id", "msg_id")) -> DataFrame:
-    cols = rule_score_columns(rules, text_col)
-    return df.select(*keys, *[c.alias(k) for k, c in cols.items()])
+    return _scored(df.select(*keys, F.col(text_col).alias("_text")), rules, F.col("_text")).select(
+        *keys, *[c.alias(k) for k, c in score_columns().items()])
 
 
 def evaluate_with_rules(df: DataFrame, rules: Sequence[Rule] = FX_RULES, text_col: str = "text",
                         threshold: int = 70, mask: Column | None = None) -> DataFrame:
     """Rule scorer as an evaluation: a message matching any signal is a
     vacancy; flags are the matched hard/blocker rules.  Rows outside ``mask``
-    are not evaluated (NULL evaluation; the regexes do not run for them)."""
-    c = rule_score_columns(rules, text_col)
+    are not evaluated (NULL evaluation; the patterns do not run for them)."""
     on = mask if mask is not None else F.lit(True)
+    bound = _scored(df.withColumn("_on", on), rules, F.col(text_col), F.col("_on"))
+    c = score_columns()
 
     def m(col: Column) -> Column:
-        return F.when(on, col)
+        return F.when(F.col("_on"), col)
 
-    return df.select(
-        "*",
+    return bound.select(
+        *df.columns,
         m(F.lit("ok")).alias("call_status"),
         m(F.lit("ok")).alias("parse_status"),
         m(c["n_signals"] > 0).alias("is_vacancy"),
@@ -206,8 +192,53 @@ def _retryable(status) -> bool:
     return status is None or status == RATE_LIMITED or status >= 500
 
 
+class Rate:
+    """At most ``calls_per_s`` calls and ``tokens_per_s`` tokens on average, with a
+    burst of ``burst_s`` seconds' worth.  Two buckets that fill with time: a
+    call takes one from the first before it starts, and its tokens, known when it
+    is over, from the second, which may fall below zero; the next call waits
+    until neither is short.  Safe to use from threads."""
+
+    def __init__(self, calls_per_s: float | None = None, tokens_per_s: float | None = None, burst_s: float = 1.0,
+                 clock: Callable[[], float] | None = None, sleep: Callable[[float], None] | None = None):
+        import threading
+        import time
+        if any(r is not None and r <= 0 for r in (calls_per_s, tokens_per_s)) or burst_s <= 0:
+            raise ValueError("rates are positive")
+        self.clock, self.sleep, self.lock = clock or time.monotonic, sleep or time.sleep, threading.Lock()
+        self.rates = {"calls": calls_per_s, "tokens": tokens_per_s}
+        # a bucket holds one call at least, else none could start
+        self.most = {k: r and max(r * burst_s, 1.0) for k, r in self.rates.items()}
+        self.left, self.at = dict(self.most), self.clock()
+
+    def _fill(self) -> None:
+        now = self.clock()
+        for k, r in self.rates.items():
+            if r is not None:
+                self.left[k] = min(self.most[k], self.left[k] + r * max(0.0, now - self.at))
+        self.at = now
+
+    def start(self) -> None:
+        """Waits until a call may start, and takes it."""
+        while True:
+            with self.lock:
+                self._fill()
+                short = [(need - self.left[k]) / r for k, r, need in (("calls", self.rates["calls"], 1.0), ("tokens", self.rates["tokens"], 0.0))
+                         if r is not None and self.left[k] < need - 1e-9]
+                if not short:
+                    if self.rates["calls"] is not None:
+                        self.left["calls"] -= 1
+                    return
+            self.sleep(max(short))
+
+    def used(self, tokens: int) -> None:
+        if self.rates["tokens"] is not None:
+            with self.lock:
+                self.left["tokens"] -= tokens
+
+
 def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_base_s: float = BACKOFF_BASE_S,
-                    sleep: Callable[[float], None] | None = None, parallel: int = 1) -> Callable[[Iterator], Iterator]:
+                    sleep: Callable[[float], None] | None = None, parallel: int = 1, rate: Callable[[], Rate] | None = None) -> Callable[[Iterator], Iterator]:
     """Batch scorer (for ``evaluate_with``) from a per-message client call,
     with the service's retry policy.
 
@@ -223,7 +254,9 @@ def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_ba
     ``attempt_statuses``, so outcome, attempts and back-off follow from them.
     Runs inside the tasks; at most ``parallel`` calls of a partition overlap
     (``call`` must then be safe to use from threads), so one message that
-    waits for its retry does not hold up the others.
+    waits for its retry does not hold up the others.  ``rate`` makes the limit of a
+    partition (``Rate``): every attempt waits for it, and ``concurrency``
+    partitions together make at most so many times its calls and tokens.
     """
     def run(batches):
         import time
@@ -231,13 +264,18 @@ def retrying_scorer(call: Callable, max_attempts: int = MAX_ATTEMPTS, backoff_ba
 
         import pandas as pd
         wait = sleep or time.sleep
+        limit = rate() if rate else None
 
         def one(message):
             cid, mid, request = message
             statuses, raw, usage, error = [], None, None, None
             for attempt in range(max_attempts):
                 try:
+                    if limit:
+                        limit.start()
                     status, answer, used = call(request)
+                    if limit and used:
+                        limit.used((used.get("input_tokens") or 0) + (used.get("output_tokens") or 0))
                 except OSError as e:
                     status, answer, used, error = None, None, None, type(e).__name__
                 except Exception as e:  # noqa: BLE001 -- recorded as a crashed call

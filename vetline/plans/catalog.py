@@ -14,11 +14,13 @@ from vetline import schemas, session
 from vetline.functions import text as tx
 from vetline.functions.answers import parse_answers
 from vetline.operators import cards, dedup, evaluate, route, state
-from vetline.plans import reports
+from vetline.plans import report_cells, reports
 from vetline.sources import allowlist
 from vetline.sources import fixtures as fx
 from vetline.sources import messages as msgs
-from vetline.sources.tables import evolve, read_channels, read_seen, read_table
+from vetline.sources import seen_table
+from vetline.sources.profile import profile_rules
+from vetline.sources.tables import evolve, read_channels, read_dead, read_matches, read_seen, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -511,6 +513,109 @@ def q_backfill_job(spark, d):
     return read_seen(spark, f"{out}/seen")
 
 
+@register("profile_rules")
+def q_profile_rules(spark, d):
+    """S4: the scoring rules that profile texts state."""
+    return profile_rules(fx.fx_profiles(spark, d))
+
+
+@register("rule_hits_many")
+def q_rule_hits_many(spark, d):
+    """J8 with many rules: every longer word of the benchmark is one; the documents each is found in."""
+    words = read_table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{6,}"), F.lit(0))).alias("w"))
+    rules = [evaluate.Rule(k, "signal", r["w"], 1) for k, r in enumerate(words.distinct().orderBy("w").collect())]
+    hits = evaluate.rule_hits(read_table(spark, d, "documents"), rules, keys=("doc_id",))
+    return hits.groupBy("pattern").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+# run times of three runs, and when a try may follow
+LEDGER_RUNS, LEDGER_WAIT_S, LEDGER_TRIES = (1000, 1150, 1400), 100, 3
+
+
+@register("retry_ledger")
+def q_retry_ledger(spark, d):
+    """E2 over three runs: a call's status follows the message and the run, and four of eight are transient; a
+    fifth of the messages arrive with the last run.  What became of each message."""
+    from vetline.plans import jobs
+    out = session.scratch_path(spark, "ledger")
+    m = fx.fx_messages(spark, d)
+    late = F.col("msg_id") % 5 == 4
+    for k, now in enumerate(LEDGER_RUNS):
+        def scorer(df, mask, k=k):
+            e = evaluate.evaluate_with_rules(df, mask=mask)
+            return e.withColumn("call_status", F.when((F.col("msg_id") + k) % 8 < 4, F.when(mask, F.lit("transient"))).otherwise(F.col("call_status")))
+        arrivals = m.filter(~late) if k == 0 else m.filter(late) if k == 2 else m.limit(0)
+        jobs.run_triage(spark, arrivals, f"{out}/seen", f"{out}/matches", scorer, run_ts=now, first_run=not k, retry_in=f"{out}/retry/{k - 1}" if k else None,
+                        retry_out=f"{out}/retry/{k}", dead_out=f"{out}/dead", max_tries=LEDGER_TRIES, retry_wait_s=LEDGER_WAIT_S)
+    none = F.lit(None)
+    seen = read_seen(spark, f"{out}/seen").select("chat_id", "msg_id", F.lit("recorded").alias("state"), none.cast("int").alias("tries"), F.col("ts").alias("at"))
+    waiting = spark.read.schema(schemas.RETRY).parquet(f"{out}/retry/2").select("chat_id", "msg_id", F.lit("waiting").alias("state"), "tries", F.col("due").alias("at"))
+    dead = read_dead(spark, f"{out}/dead").select("chat_id", "msg_id", F.lit("given up").alias("state"), "tries", none.cast("bigint").alias("at"))
+    return seen.unionByName(waiting).unionByName(dead)
+
+
+@register("backfill_marked")
+def q_backfill_marked(spark, d):
+    """S2 twice: the second backfill, of a history that has grown, reads only what is newer than the marks of the first."""
+    from vetline.plans import jobs
+    out = session.scratch_path(spark, "backfill-marked")
+    m = dedup.first_arrivals(fx.fx_messages(spark, d)).drop("source")
+    directory = fx.fx_directory(spark, d)
+    sources = directory.select(F.col("chat_id").alias("pos"), F.lit("id").alias("kind"), F.lit(None).cast("string").alias("username"), "chat_id")
+    upto = m.agg(F.max("msg_id")).first()[0] * 6 // 10
+    for k, history in enumerate((m.filter(F.col("msg_id") <= upto), m)):
+        jobs.run_backfill(spark, sources, directory, history, BACKFILL_CUTOFF, f"{out}/seen", f"{out}/matches", cap=BACKFILL_TEST_CAP,
+                          marks_in=f"{out}/marks/{k - 1}", marks_out=f"{out}/marks/{k}", run_ts=100 * (k + 1), first_run=not k)
+    return read_seen(spark, f"{out}/seen")
+
+
+@register("triage_bucketed")
+def q_triage_bucketed(spark, d):
+    """J1 against an outcome log in buckets of its key: what a run decided."""
+    from vetline.plans import jobs
+    out = session.scratch_path(spark, "bucketed")
+    seen_table.rebucket(fx.fx_seen(spark, d).withColumn("run", F.lit(1).cast("bigint")), f"{out}/seen", 8)
+    jobs.run_triage(spark, fx.fx_messages(spark, d), f"{out}/seen", f"{out}/matches", run_ts=MIGRATION_EPOCH, seen_buckets=8,
+                    dispositions_out=f"{out}/told")
+    return spark.read.parquet(f"{out}/told")
+
+
+def _cells_of_replays(spark, d):
+    """The cells of a log that is written in three runs, with replaced rows and a late replay."""
+    path = session.scratch_path(spark, "cells")
+    s = fx.fx_seen(spark, d)
+    one, two = s.withColumn("run", F.lit(1).cast("bigint")), s.withColumn("run", F.lit(2).cast("bigint"))
+    again = two.filter(F.col("msg_id") % 4 == 1).withColumn("score", (F.col("msg_id") % 100).cast("int")).unionByName(two.filter(F.col("msg_id") % 4 == 2))
+    late = one.filter(F.col("msg_id") % 4 == 2).withColumn("score", F.lit(1)).withColumn("posted", F.lit(1))
+    report_cells.append_run(spark, path, one.limit(0), one, 1)
+    report_cells.append_run(spark, path, one, again, 2)
+    report_cells.append_run(spark, path, one.unionByName(again), late, 3)
+    return report_cells.read_cells(spark, path)
+
+
+@register("overall_stats_cells")
+def q_overall_stats_cells(spark, d):
+    """A1 kept up to date run by run."""
+    return report_cells.overall_stats(_cells_of_replays(spark, d))
+
+
+@register("channel_stats_cells")
+def q_channel_stats_cells(spark, d):
+    """A2 kept up to date run by run."""
+    return report_cells.channel_stats(fx.fx_channels(spark, d), _cells_of_replays(spark, d))
+
+
+@register("seen_compacted_days")
+def q_seen_compacted_days(spark, d):
+    """W2: the replayed log after its days with replaced rows were compacted in place; its rows as they lie."""
+    from vetline.plans import jobs
+    path = session.scratch_path(spark, "seen-days")
+    log = _replayed_log(spark, d).withColumn("ts", F.col("ts") + F.when(F.col("run") == 2, 86400).otherwise(0))
+    log.select("*", F.to_date(tx.from_epoch("ts")).alias("dt")).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    jobs.compact_days(spark, path)
+    return spark.read.schema(schemas.SEEN_LOG).parquet(path).select(*[f.name for f in schemas.SEEN_LOG.fields])
+
+
 # ---- streaming -------------------------------------------------------------------
 STREAM_DOWN = 50        # conversations with this remainder of 50 find the scorer unavailable
 
@@ -543,3 +648,15 @@ def q_stream_triage(spark, d):
     values = [c for c in ts.OUTPUT_COLS if c not in ("chat_id", "msg_id")]
     last = F.max(F.struct("run", *values)).alias("w")
     return told.groupBy("chat_id", "msg_id").agg(last).select("chat_id", "msg_id", *(F.col(f"w.{c}").alias(c) for c in values))
+
+
+@register("stream_cards")
+def q_stream_cards(spark, d):
+    """X2: the cards a drained stream leaves for the messages it posts, beside their rows of the outcome log."""
+    from vetline.streaming import triage_stream as ts
+    base = session.scratch_path(spark, "stream-cards")
+    read_table(spark, d, "conversations").select("conv_id", "turn", "role", "text").repartition(2).write.parquet(f"{base}/in")
+    ts.drain_to_tables(spark, ts.conversation_stream(spark, f"{base}/in"), f"{base}/live", f"{base}/seen", f"{base}/matches", first_run=True, run_ts=BACKFILL_CUTOFF)
+    cards_ = read_matches(spark, f"{base}/matches").select("chat_id", "msg_id", F.col("score").alias("card_score"), "card", "source_link")
+    return read_seen(spark, f"{base}/seen").join(cards_, schemas.SEEN_KEY, "left").select(
+        "chat_id", "msg_id", "is_vacancy", "score", "posted", "ts", "card_score", "card", "source_link")

@@ -32,7 +32,9 @@ from vetline import schemas, session
 from vetline.schemas import SEEN_KEY
 from vetline.functions import text as tx
 from vetline.operators import cards, dedup, evaluate, route, state
+from vetline.plans import report_cells
 from vetline.sources import messages as msgs
+from vetline.sources import seen_table
 from vetline.sources.allowlist import allowlisted, resolve
 from vetline.sources.tables import claim_run, latest_seen, read_channels, read_seen_log, table_or_empty
 
@@ -81,7 +83,8 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
                retry_in: str | None = None, retry_out: str | None = None,
                registrations: DataFrame | None = None, seen_since: int | None = None,
                first_run: bool = False, run_id: int | None = None, max_tries: int | None = None, retry_wait_s: int = 0,
-               dead_out: str | None = None, dispositions_out: str | None = None) -> TriageResult:
+               dead_out: str | None = None, dispositions_out: str | None = None, seen_buckets: int | None = None,
+               cells_out: str | None = None) -> TriageResult:
     """One triage run.  ``seen_path``/``matches_path`` are appended to;
     ``channels_out`` receives the channel snapshot: the table at
     ``channels_path``, with ``registrations`` (``chat_id, username, title``,
@@ -111,6 +114,11 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     ``dispositions_out`` receives what was decided, before the commit, so a run
     that is done again after its commit need not (and must not) write it.
 
+    ``seen_buckets`` keeps the outcome log in so many buckets of its key
+    (``sources.seen_table``), so that a batch too large to broadcast does not
+    shuffle the log.  ``cells_out`` receives the run's cells of the reports
+    (``plans.report_cells``).
+
     ``seen_since`` (epoch seconds, e.g. from ``seen_horizon``) limits the
     seen check to outcome rows recorded since then -- older days of the log
     are pruned, not read.  Only pass it when records are written after the
@@ -120,7 +128,10 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
         raise ValueError("max_tries needs a table for the messages given up (dead_out)")
     run_id = claim_run(spark, seen_path) if run_id is None else int(run_id)
     evaluator = evaluator or rules_evaluator(threshold=threshold)
-    seen = _there(spark, seen_path, first_run, schemas.SEEN_LOG, lambda: read_seen_log(spark, seen_path, seen_since))
+    if seen_buckets:
+        seen = seen_table.read_bucketed(spark, seen_path, seen_buckets, seen_since)
+    else:
+        seen = _there(spark, seen_path, first_run, schemas.SEEN_LOG, lambda: read_seen_log(spark, seen_path, seen_since))
     if retry_in:
         pending = spark.read.schema(schemas.RETRY).parquet(retry_in)
         arrivals = arrivals.unionByName(pending.filter(is_due(run_ts)).drop("tries", "due"), allowMissingColumns=True)
@@ -156,7 +167,14 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
                 .write.mode("append").partitionBy("dt").parquet(dead_out)
             ledger = ledger.filter(~dead)
         ledger.write.mode("overwrite").parquet(retry_out)
-    new_seen.select("*", F.lit(run_id).cast("bigint").alias("run"), day).write.mode("append").partitionBy("dt").parquet(seen_path)
+    recorded = new_seen.withColumn("run", F.lit(run_id).cast("bigint"))
+    if cells_out:       # against the whole log: an older row of a key may be out of the seen check's reach
+        whole = seen_table.read_bucketed(spark, seen_path, seen_buckets) if seen_buckets else table_or_empty(spark, schemas.SEEN_LOG, seen_path)
+        report_cells.append_run(spark, cells_out, whole.filter(F.col("run") != run_id), recorded, run_id)
+    if seen_buckets:
+        seen_table.append_bucketed(recorded.select("*", day), seen_path, seen_buckets)
+    else:
+        recorded.select("*", day).write.mode("append").partitionBy("dt").parquet(seen_path)
     return TriageResult(routed_path, seen_path, matches_path, channels_out, retry_out, run_id)
 
 
@@ -203,7 +221,7 @@ def run_backfill(spark: SparkSession, sources: DataFrame, directory: DataFrame,
     try again is read again."""
     resolved, _ = resolve(sources, directory, require_any=True)
     marks = table_or_empty(spark, schemas.MARKS, marks_in) if marks_in else None
-    history = msgs.backfill(allowlisted(history, resolved), cutoff_epoch, cap, date_col, marks)
+    history = msgs.backfill(allowlisted(history, resolved), cutoff_epoch, cap, date_col, marks, resolved)
     arrivals = dedup.union_arrivals(history.limit(0) if live is None else live, history)
     registrations = resolved.select("chat_id", F.col("handle").alias("username"), F.col("handle").alias("title")).distinct()
     result = run_triage(spark, arrivals, seen_path, matches_path, registrations=registrations,
@@ -228,6 +246,41 @@ def compact_seen(spark: SparkSession, seen_path: str, out_path: str) -> str:
     return out_path
 
 
+def compact_days(spark: SparkSession, seen_path: str) -> list[str]:
+    """Compact in place only the days of the plain log that hold rows replaced
+    since (or written twice); returns those days.  Files of the other days are
+    not touched.
+
+    The rows that stay are first written to the shared scratch folder, then they
+    replace their days (dynamic partition overwrite), then days of which no row
+    stays are removed.  A run that fails between loses nothing that
+    is not in that folder, whose name the error carries.  No other run may append
+    meanwhile.
+    """
+    log = spark.read.schema(schemas.T.StructType([*schemas.SEEN_LOG.fields, schemas.T.StructField("dt", schemas.T.DateType())])).parquet(seen_path)
+    values = [f.name for f in schemas.SEEN.fields if f.name not in (*SEEN_KEY, "ts")]
+    rows = log.groupBy(*SEEN_KEY).agg(F.max(F.struct(F.coalesce("run", F.lit(0)).alias("_order"), "ts", *values, "run", "dt")).alias("w"),
+                                      F.count(F.lit(1)).alias("n"), F.collect_set("dt").alias("days"))
+    rows = rows.select("*", "w.dt")
+    # one row per day that holds a row too many
+    dirty = [r["d"] for r in rows.filter("n > 1").select(F.explode("days").alias("d")).distinct().collect()]
+    if not dirty:
+        return []
+    kept = session.scratch_path(spark, "compacted-days")
+    rows.filter(F.col("dt").isin(dirty)).select(*SEEN_KEY, *[F.col(f"w.{c}").alias(c) for c in [*values, "ts", "run"]], "dt").hint(
+        "rebalance", "dt").write.partitionBy("dt").parquet(kept)
+    stay = spark.read.schema(log.schema).parquet(kept)
+    try:
+        stay.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(seen_path)
+        gone = set(dirty) - {r["dt"] for r in stay.select("dt").distinct().collect()}
+        for day in gone:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{seen_path}/dt={day}")
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception as e:
+        raise RuntimeError(f"compaction stopped; the rows of the days {sorted(map(str, dirty))} are in {kept}") from e
+    return sorted(map(str, dirty))
+
+
 def _day():
     return F.to_date(tx.from_epoch("ts")).alias("dt")
 

@@ -241,3 +241,17 @@ def fx_call_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
     return ev.select(F.col("user_id").alias("chat_id"), e.alias("msg_id"),
                      F.array(_status_code(e), _status_code(e + 1), _status_code(e + 2)).alias("attempt_statuses"))
+
+
+def fx_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One profile text per part: sections, checklists and a table whose items
+    name the part, its type, brand and size."""
+    p = read_table(spark, sf_dir, "part")
+    text = F.format_string(
+        "# Profile\n\n## 1. Grade\n\n**Middle**\n\n- not a rule\n\n## 5. Work Format\n\n| Option | Status |\n|---|---|\n| %s | Priority |\n"
+        "| %s | No - not considering |\n| %s only | Hard blocker |\n\n## 8. Hard Blockers - not wanted\n\n### Roles\n"
+        "- Requires %s / %s as core skill\n- x\n\n## 10. Evaluation\n\n**Immediate disqualifiers (match_score < 30):**\n"
+        "- %s (licence), %s or size %s\n\n**Mismatch (match_score < 40):**\n* %s\n\n**Strong signals (match_score 75+):**\n"
+        "- Mentions of %s, %s or platform\n- AI/ML product\n",
+        "p_name", "p_type", "p_brand", "p_name", "p_type", "p_brand", "p_type", F.col("p_size").cast("string"), "p_type", "p_name", "p_brand")
+    return p.select(F.col("p_partkey").alias("profile_id"), text.alias("text"))

@@ -75,7 +75,7 @@ def normalize(messages: DataFrame) -> DataFrame:
 
 
 def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_CAP,
-             date_col: str = "date_s", marks: DataFrame | None = None) -> DataFrame:
+             date_col: str = "date_s", marks: DataFrame | None = None, chats: DataFrame | None = None) -> DataFrame:
     """Per chat, newest first: take messages *until* the first one older than
     the cutoff (a prefix, not a filter: an old message hides everything older
     in id order), reading at most ``cap`` messages.  NULL dates pass.
@@ -93,12 +93,13 @@ def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_
     id goes to it as a filter, which skips row groups of a history in order of
     ids.  A mark made at a later cutoff than this one does not count.  What is
     left of a chat gives the same new messages as the whole: those at or below
-    the mark among its ``cap`` newest were read before.
+    the mark among its ``cap`` newest were read before.  ``chats`` are the chats
+    that ``messages`` may hold (default: looked up in them).
     """
     if cutoff_epoch is None:
         return messages.limit(0)
     if marks is not None:
-        messages = _newer(messages, marks, int(cutoff_epoch))
+        messages = _newer(messages, marks, int(cutoff_epoch), chats)
     salt = F.pmod(F.xxhash64("msg_id"), F.lit(BACKFILL_SALTS))
     salted = messages.withColumn("_salt", salt)
     newest = F.col("msg_id").desc()
@@ -112,14 +113,14 @@ def backfill(messages: DataFrame, cutoff_epoch: int | None, cap: int = BACKFILL_
             .drop("_rn", "_stop"))
 
 
-def _newer(messages: DataFrame, marks: DataFrame, cutoff_epoch: int) -> DataFrame:
+def _newer(messages: DataFrame, marks: DataFrame, cutoff_epoch: int, chats: DataFrame | None) -> DataFrame:
     valid = marks.filter(F.col("cutoff") <= cutoff_epoch).groupBy("chat_id").agg(F.max("msg_id").alias("_mark"))
     low = valid.agg(F.min("_mark"), F.count("*")).first()
     if not low[1]:
         return messages
     # chats without a mark are read whole, so the filter on the scan holds only where every chat has one
-    unread = messages.select("chat_id").distinct().join(valid, "chat_id", "left_anti").isEmpty()
-    if unread:
+    here = (messages if chats is None else chats).select("chat_id").distinct()
+    if here.join(valid, "chat_id", "left_anti").isEmpty():
         messages = messages.filter(F.col("msg_id") > F.lit(low[0]))
     return messages.join(valid, "chat_id", "left").filter(F.col("_mark").isNull() | (F.col("msg_id") > F.col("_mark"))).drop("_mark")
 
