@@ -34,60 +34,58 @@ _SENTINEL_JSON = '"\\u0001end"'
 _SENTINEL_VALUE = "\u0001end"
 # -----------------------------------------------------------------------------
 
-_INT_TYPES = ("'BIGINT'", "'INT'", "'SMALLINT'", "'TINYINT'")
+# The kind of a VARIANT, told by its JSON text ``j`` (NULL: the key is absent):
+# n null, t true, f false, s string, a array, o object, # number.  A number that is
+# not finite is written as a string, so only such a text asks for the stored type.
+_NOT_FINITE = """('"Infinity"', '"-Infinity"', '"NaN"')"""
 
 
-def _numeric(t: str) -> str:
-    return f"({t} IN ({', '.join(_INT_TYPES)}, 'DOUBLE', 'FLOAT') OR {t} LIKE 'DECIMAL%')"
+def _kind_sql(v: str, j: str) -> str:
+    return (f"(CASE substring({j}, 1, 1) WHEN 'n' THEN 'n' WHEN 't' THEN 't' WHEN 'f' THEN 'f' WHEN '[' THEN 'a' WHEN '{{' THEN 'o' "
+            f"WHEN '\"' THEN IF({j} IN {_NOT_FINITE} AND schema_of_variant({v}) <> 'STRING', '#', 's') WHEN '' THEN 'n' ELSE IF({j} IS NULL, 'n', '#') END)")
 
 
-def _truthy_sql(v: str, t: str | None = None) -> str:
-    """Python truthiness of a VARIANT ``v`` whose type name is ``t``
-    (``schema_of_variant``; SQL NULL means the key is absent)."""
-    t = t or f"schema_of_variant({v})"
-    return (f"(CASE WHEN {v} IS NULL OR {t} = 'VOID' THEN false "
-            f"WHEN {t} = 'BOOLEAN' THEN variant_get({v}, '$', 'boolean') "
-            f"WHEN {_numeric(t)} THEN try_variant_get({v}, '$', 'double') <> 0 "
-            f"WHEN {t} = 'STRING' THEN length(variant_get({v}, '$', 'string')) > 0 "
-            f"WHEN {t} LIKE 'ARRAY%' THEN array_size(variant_get({v}, '$', 'array<variant>')) > 0 "
-            f"WHEN {t} LIKE 'OBJECT%' THEN {t} <> 'OBJECT<>' "
-            f"ELSE true END)")
+def _truthy_sql(v: str, j: str, k: str) -> str:
+    """Python truthiness of a VARIANT ``v`` of kind ``k``."""
+    return (f"(CASE {k} WHEN 't' THEN true WHEN 's' THEN {j} <> '\"\"' WHEN '#' THEN try_variant_get({v}, '$', 'double') <> 0 "
+            f"WHEN 'a' THEN {j} <> '[]' WHEN 'o' THEN {j} <> '{{}}' ELSE false END)")
 
 
-def _pystr_sql(v: str, t: str | None = None) -> str:
+def _pystr_sql(v: str, j: str, k: str) -> str:
     """``str(x)`` of a VARIANT: strings as is, booleans True/False, numbers
     as numbers, containers as JSON text."""
-    t = t or f"schema_of_variant({v})"
-    return (f"(CASE WHEN {t} = 'BOOLEAN' THEN IF(variant_get({v}, '$', 'boolean'), 'True', 'False') "
-            f"WHEN {t} = 'STRING' THEN variant_get({v}, '$', 'string') "
-            f"WHEN {t} LIKE 'ARRAY%' OR {t} LIKE 'OBJECT%' THEN to_json({v}) "
+    return (f"(CASE {k} WHEN 't' THEN 'True' WHEN 'f' THEN 'False' WHEN 'a' THEN {j} WHEN 'o' THEN {j} "
             f"ELSE try_variant_get({v}, '$', 'string') END)")
 
 
-def _list_sql(v: str, t: str, truthy: str) -> str:
-    """``[str(x) for x in (v or []) if x]`` for a field with type ``t`` and
+def _told_sql(values: str) -> str:
+    """An array of VARIANTs as structs: value, JSON text, kind."""
+    return (f"transform(transform({values}, x -> named_struct('v', x, 'j', to_json(x))), "
+            f"e -> named_struct('v', e.v, 'j', e.j, 'k', {_kind_sql('e.v', 'e.j')}))")
+
+
+def _list_sql(v: str, k: str, truthy: str) -> str:
+    """``[str(x) for x in (v or []) if x]`` for a field of kind ``k`` and
     truthiness column ``truthy``."""
+    values = f"variant_get({v}, '$', 'array<variant>')"
     return (f"(CASE WHEN NOT {truthy} THEN CAST(array() AS array<string>) "
-            f"WHEN {t} LIKE 'ARRAY%' THEN transform(filter(variant_get({v}, '$', 'array<variant>'), "
-            f"x -> {_truthy_sql('x')}), x -> {_pystr_sql('x')}) "
-            f"WHEN {t} = 'STRING' THEN filter(split(variant_get({v}, '$', 'string'), ''), c -> c <> '') "
-            f"WHEN {t} LIKE 'OBJECT%' THEN filter(map_keys(variant_get({v}, '$', 'map<string,variant>')), k -> k <> '') "
+            f"WHEN {k} = 'a' THEN transform(filter({_told_sql(values)}, e -> {_truthy_sql('e.v', 'e.j', 'e.k')}), e -> {_pystr_sql('e.v', 'e.j', 'e.k')}) "
+            f"WHEN {k} = 's' THEN filter(split(variant_get({v}, '$', 'string'), ''), c -> c <> '') "
+            f"WHEN {k} = 'o' THEN filter(map_keys(variant_get({v}, '$', 'map<string,variant>')), k -> k <> '') "
             f"END)")
 
 
-def _list_crashes_sql(t: str, truthy: str) -> str:
+def _list_crashes_sql(k: str, truthy: str) -> str:
     """A truthy list field that is not iterable (number, boolean) raises."""
-    return f"({truthy} AND ({t} = 'BOOLEAN' OR {_numeric(t)}))"
+    return f"({truthy} AND {k} IN ('t', '#'))"
 
 
-def _score_sql(v: str, t: str) -> str:
+def _score_sql(v: str, k: str) -> str:
     """``max(0, min(100, int(x)))``; bad values give 0 (NULL: raises)."""
     num = f"try_variant_get({v}, '$', 'double')"
-    return (f"(CASE WHEN {v} IS NULL OR {t} = 'VOID' THEN 0 "
-            f"WHEN {t} = 'BOOLEAN' THEN IF(variant_get({v}, '$', 'boolean'), 1, 0) "
-            f"WHEN {_numeric(t)} THEN IF(isnan({num}) OR abs({num}) = double('inf'), NULL, "
+    return (f"(CASE {k} WHEN 't' THEN 1 WHEN '#' THEN IF(isnan({num}) OR abs({num}) = double('inf'), NULL, "
             f"CAST(greatest(0D, least(100D, {num})) AS INT)) "
-            f"WHEN {t} = 'STRING' THEN CAST(greatest(0L, least(100L, "
+            f"WHEN 's' THEN CAST(greatest(0L, least(100L, "
             f"coalesce(try_cast(variant_get({v}, '$', 'string') AS BIGINT), 0L))) AS INT) "
             f"ELSE 0 END)")
 
@@ -114,12 +112,10 @@ def parse_answers(df: DataFrame, raw_col: str = "raw") -> DataFrame:
                             F.lit(False)).alias("_wrap_ok"),
                  F.expr("try_variant_get(_v, '$[0]', 'variant')").alias("_d")).drop("_v")
     fields = ", ".join(f"try_variant_get(_d, '$.{f}', 'variant')" for f in FIELDS)
-    p = p.select("*", F.expr("try_variant_get(_d, '$', 'struct<>') IS NOT NULL").alias("_is_obj"),
-                 F.expr(f"transform(array({fields}), x -> named_struct("
-                        f"'v', x, 't', schema_of_variant(x)))").alias("_f")).drop("_d")
-    p = p.select("*", F.expr(
-        "transform(_f, e -> named_struct('v', e.v, 't', e.t, "
-        f"'b', {_truthy_sql('e.v', 'e.t')}, 's', {_pystr_sql('e.v', 'e.t')}))").alias("_g")).drop("_f")
+    told = _told_sql(f"array({fields})")
+    p = p.select("*", F.expr("try_variant_get(_d, '$', 'struct<>') IS NOT NULL").alias("_is_obj"), F.expr(
+        f"transform({told}, e -> named_struct('v', e.v, 't', e.k, 'b', {_truthy_sql('e.v', 'e.j', 'e.k')}, "
+        f"'s', {_pystr_sql('e.v', 'e.j', 'e.k')}))").alias("_g")).drop("_d")
 
     def g(f: str, part: str) -> str:
         return f"_g[{idx[f]}].{part}"

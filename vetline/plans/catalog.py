@@ -284,7 +284,7 @@ def q_score_clamp(spark, d):
 
 
 def _parsed(spark, d):
-    return parse_answers(fx.fx_answers(spark, d))
+    return parse_answers(session.spread(fx.fx_answers(spark, d)))
 
 
 @register("parsed_answers")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans depend on for correct results (not for speed).
 REQUIRED_CONF = {
@@ -108,3 +108,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for written tables."""
     root = checkpoint_root(spark)
     return os.path.join(root, "vetline", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores (a small file of one row
+    group), dealt over the cores before costly work on each row; a scan of
+    more splits is left as it is, so nothing large is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
