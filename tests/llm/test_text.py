@@ -181,16 +181,57 @@ def test_wrapper_of_a_site_without_landmarks(spark):
         assert r.text == f"Title {i} " + (f"Note {i} " if i % 3 == 0 else "") + f"Body {i} one Body {i} two bold"
 
 
+def test_alignment_is_common_and_rising():
+    """Any alignment gives a wrapper; small ones are longest common subsequences."""
+    def lcs(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+    rng = random.Random(4)
+    long = 0
+    for _ in range(1500):
+        a, b = ([rng.choice("pqrst"[:rng.randint(1, 5)]) for _ in range(rng.randint(0, 14))] for _ in "ab")
+        got = wrappers.aligned(a, b)
+        assert all(a[i] == b[j] for i, j in got)
+        assert all(p < r and q < t for (p, q), (r, t) in zip(got, got[1:]))
+        long += len(got) == lcs(a, b)
+    assert long > 1300
+
+
 def test_merged_wrappers_match_both_sides():
+    """A wrapper of two pages matches both; the few streams on which matching without going back fails are
+    told by their own tags."""
     rng = random.Random(2)
-    for _ in range(300):
+    missed = 0
+    for _ in range(2000):
         a, b = ([("#", rng.choice("xy")) if rng.random() < 0.4 else (f"<{rng.choice('pqrst')}>", "") for _ in range(rng.randint(1, 12))] for _ in "ab")
-        m = wrappers.Matcher(wrappers.merged(wrappers.folded(a), wrappers.folded(a)))
-        assert m.match([x for x, _ in a])
+        m = wrappers.Matcher(wrappers.merged(wrappers.folded(a), wrappers.folded(b)))
+        missed += sum(m.match([x for x, _ in side]) is None for side in (a, b))
         w = wrappers.Learner()
         w.page(a)
         w.page(b)
         assert w.n == 2
+    assert missed <= 0.02 * 4000
+
+
+def test_long_unlike_pages_are_merged_in_bounded_time():
+    """Pages of a megabyte, hundreds of unlike ones of a host, and ids of their own on every page."""
+    import time
+    rng = random.Random(3)
+
+    def page(n):
+        return wrappers.folded([("#", f"{rng.random()}") if rng.random() < 0.5 else (f"<{rng.choice(['div', 'p', 'section', 'li'])} c{rng.randint(0, 40)}>", "") for _ in range(n)])
+    began = time.time()
+    wrappers.merged(page(20_000), page(20_000))
+    w = wrappers.Learner()
+    for i in range(200):
+        w.page(wrappers.tokens("<body>" + "".join(f"<{rng.choice(['div', 'section', 'p'])} id=x{rng.random()}>text {i} {j}" for j in range(rng.randint(20, 60)))))
+    assert w.n == 200 and time.time() - began < 60
+    same = [wrappers.tokens(f"<div id=post-{i} class=c><h2 id=t{i}>T{i}</h2></div>") for i in range(2)]
+    assert [x for x, _ in same[0]] == [x for x, _ in same[1]]
+    assert wrappers.main_text(wrappers.tokens("<p>Text</p><div id=sidebar>Menu</div>"), None) == "Text"
 
 
 def site(spark, pages, **places):
@@ -211,17 +252,26 @@ def test_one_off_texts_and_copies_are_no_template(spark):
     assert site(spark, [page(1) + f"<p>{i}" for i in range(6)]) == [f"Welcome to us Title 1 Body 1 of so many words {i}" for i in range(6)]
 
 
-@pytest.mark.parametrize("tag", ["article", "main"])
-def test_wrapper_decides_pages_with_landmarks(spark, tag):
-    """Template texts inside a landmark go, single ones and ones of a list; paragraphs, a folded group too, stay."""
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_fixed_blocks_of_the_main_region_stay(spark, tag):
+    """Headings that all pages of a host share are main text inside of the region, with landmarks or without; what the
+    template has around it goes."""
     def page(i):
         paragraphs = "".join(f"<p>Paragraph {j} of text {i}</p>" for j in range(1 + i % 4))
-        return (f"<html><body><{tag}><h1>Title {i}</h1><div>Send this to a friend</div>{paragraphs}"
-                f"<ul><li>Post it</li><li>Mail it</li><li>Print it</li></ul><div>Licence CC BY 4.0</div></{tag}></body></html>")
-    want = [" ".join([f"Title {i}", *(f"Paragraph {j} of text {i}" for j in range(1 + i % 4))]) for i in range(24)]
+        around = ("<div>Welcome to our kitchen</div>", "<div>Licence CC BY 4.0</div>")
+        return (f"<html><body>{around[0]}<{tag}><h1>Dish {i}</h1><h2>Ingredients</h2><ul><li>{i} eggs</li><li>{i + 1} spoons</li></ul>"
+                f"<h2>Method</h2>{paragraphs}</{tag}>{around[1]}</body></html>")
+    want = [" ".join([f"Dish {i}", "Ingredients", f"{i} eggs {i + 1} spoons", "Method", *(f"Paragraph {j} of text {i}" for j in range(1 + i % 4))])
+            for i in range(24)]
     assert site(spark, [page(i) for i in range(24)]) == want
 
 
+def test_headings_between_slots_stay_without_a_region(spark):
+    pages = [f"<body><div>Welcome</div><h1>Dish {i}</h1><h2>Ingredients</h2><p>{i} eggs and {i + 2} spoons</p><h2>Method</h2><p>Stir {i} times and wait</p><div>Imprint</div></body>"
+             for i in range(12)]
+    assert site(spark, pages) == [f"Dish {i} Ingredients {i} eggs and {i + 2} spoons Method Stir {i} times and wait" for i in range(12)]
+
+
 def test_main_region_is_not_any_landmark():
     """Landmarks in boilerplate elements, teasers and comments are not the main text; a landmark about a topic is."""
     def text(page):

@@ -13,9 +13,10 @@ pages of the host hold there.
 Wrappers are made per task from the pages it reads (a page that the wrapper
 matches already costs one match), and wrappers of one host are merged by the
 same alignment in groups of bounded size, so a host of any size is no one task's
-work.  A page is then matched against its host's wrapper, and the texts of the
-template go from it, whether it has landmarks or not; a page that its wrapper
-does not match is judged by its own tags and names alone.
+work.  A page is then matched against its host's wrapper, whose slots show where
+the main region is: texts of the template outside of it go, blocks inside of it
+stay, fixed ones (the headings of a recipe) too.  A page that its wrapper does not
+match is judged by its own tags and names alone.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -58,13 +61,16 @@ SLOT_TEXTS, GROUP_TEXTS = 8, 512    # texts that a slot and a repeated group car
 BROADCAST_BYTES = 16 << 20  # of wrappers sent to every task; beyond, pages and wrappers are joined by host
 TEXT = "#"
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+REGION = 0.9                # share of the slots' text that the main region holds at least
+SQUARE_CELLS = 1 << 16      # of a stretch without anchors that is still aligned cell by cell
+_NAMES = re.compile(r"(?:(class|role)|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SQUARE = re.compile(rf"(.{{1,{LONGEST_SQUARE}}}?)\1+", re.S)
 
 
 def tokens(page: str) -> list[tuple[str, str]]:
-    """``(label, text)``: block tags (``<tag names>``, ``</tag>``) and texts
-    (label ``#``, references decoded).  Raw elements, comments and inline tags
+    """``(label, text)``: block tags (``<tag names>``, ``</tag>``; ids, which differ
+    from page to page, stand as the text of a start tag) and texts (label ``#``, references decoded).  Raw elements, comments and inline tags
     leave nothing; a line break is white space."""
     out: list[tuple[str, str]] = []
     held: list[str] = []
@@ -103,8 +109,10 @@ def tokens(page: str) -> list[tuple[str, str]]:
             if name not in OPEN_END:
                 out.append((f"</{name}>", ""))
         else:
-            names = " ".join(x for t in _NAMES.findall(m.group(3) or "") for x in t if x)
-            out.append((f"<{name} {names}>" if names and name not in ("html", "body") else f"<{name}>", ""))
+            found = [(kind, next((x for x in t if x), "")) for kind, *t in _NAMES.findall(m.group(3) or "")]
+            names, ids = (" ".join(x for kind, x in found if x and bool(kind) == k) for k in (True, False))
+            whole = name in ("html", "body")
+            out.append((f"<{name} {names}>" if names and not whole else f"<{name}>", "" if whole else ids))
     flush()
     return out
 
@@ -113,9 +121,10 @@ def tag_of(label: str) -> str:
     return label.strip("</>").split(" ", 1)[0]
 
 
-def is_boilerplate(label: str, in_article: bool) -> bool:
+def is_boilerplate(label: str, in_article: bool, ids: str = "") -> bool:
     """Whether an element holds no main text; an article's own header holds its title."""
     tag, _, names = label.strip("<>").partition(" ")
+    names = f"{names} {ids}".strip()
     if tag in BOILERPLATE_TAGS or (names and tag not in LANDMARKS and BOILERPLATE_NAMES.search(names)):
         return True
     return not in_article and (tag == "header" or bool(names and tag not in LANDMARKS and HEADER_NAMES.search(names)))
@@ -156,12 +165,12 @@ def outside(page: list[tuple[str, str]]) -> list[bool]:
                 if skip and not closed[at]:
                     del stack[skip - 1:]
                     skip = 0
-                names = TOPIC_NAMES.sub("", x.strip("<>").partition(" ")[2])
+                names = TOPIC_NAMES.sub("", f"{x.strip('<>').partition(' ')[2]} {page[i][1]}")
                 if not skip and (BOILERPLATE_NAMES.search(names) or LANDMARK_NAMES.search(names)):
                     named.append(i)
             if tag_of(x) not in OPEN_END:
                 stack.append(tag_of(x))
-                if not skip and is_boilerplate(x, "article" in stack):
+                if not skip and is_boilerplate(x, "article" in stack, page[i][1]):
                     skip, at = len(stack), i
         elif x != TEXT and (t := tag_of(x)) in stack:
             while stack.pop() != t:
@@ -215,7 +224,7 @@ _CHARS: dict[str, str] = {TEXT: TEXT}
 
 def _char(label: str) -> str:
     if label not in _CHARS:
-        _CHARS[label] = chr(0xF0000 + len(_CHARS) % 65_000)
+        _CHARS[label] = chr(0x40000 + len(_CHARS) % 0xCFFFE)       # planes without characters of texts; more labels than any site has
     return _CHARS[label]
 
 
@@ -243,60 +252,108 @@ def folded(page: list[tuple[str, str]], told: list[bool] | None = None, ident: s
 
 def _grouped(items: list, groups: list) -> list:
     """Stretches that are one turn of a repeated group of the other side, as such a group."""
-    for g in groups:
-        want, out, i = [_key(x) for x in g[1]], [], 0
-        while i < len(items):
+    signs: dict[str, str] = {}
+
+    def coded(keys) -> str:
+        return "".join([signs.setdefault(k, chr(0x40000 + len(signs))) for k in keys])
+
+    text = coded(map(_key, items))
+    for want, g in {coded([_key(x) for x in g[1]]): g for g in groups}.items():
+        if want not in text:
+            continue
+        out, at = [], 0
+        while (start := text.find(want, at)) >= 0:
+            out += items[at:start]
             texts: dict = {}
-            start = i
-            while [_key(x) for x in items[i:i + len(want)]] == want:
-                for x in items[i:i + len(want)]:
+            at = start
+            while text.startswith(want, at):
+                for x in items[at:at + len(want)]:
                     if not isinstance(x, str):
-                        texts = _joined(texts, x[1], GROUP_TEXTS, same_pages=True)
-                i += len(want)
-            if i > start:
-                out.append(["+", g[1], texts])
-            else:
-                out.append(items[i])
-                i += 1
-        items = out
+                        texts = _joined(texts, x[-1] if x[0] != "?" else {}, GROUP_TEXTS, same_pages=True)
+                at += len(want)
+            out.append(["+", g[1], texts])
+        items = out + items[at:]
+        text = coded(map(_key, items))
     return items
 
 
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs, in order of the first, whose seconds rise."""
+    tops, at, back = [], [], []
+    for k, (_, j) in enumerate(pairs):
+        t = bisect_left(tops, j)
+        back.append(at[t - 1] if t else -1)
+        tops[t:t + 1], at[t:t + 1] = [j], [k]
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
+def aligned(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of common items of two sequences, rising on both sides: equal
+    ends first, then items that each side has once, then between those
+    the same again.  A stretch without such items is aligned cell by cell if
+    it is small; in a larger one only its equal ends are, so memory and time stay
+    in proportion to the pages."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, n, j, m = todo.pop()
+        while i < n and j < m and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        while i < n and j < m and a[n - 1] == b[m - 1]:
+            n, m = n - 1, m - 1
+            out.append((n, m))
+        if i == n or j == m:
+            continue
+        once = []
+        for side, lo, hi in ((a, i, n), (b, j, m)):
+            count: dict = {}
+            for k in range(lo, hi):
+                count[side[k]] = -1 if side[k] in count else k
+            once.append({x: k for x, k in count.items() if k >= 0})
+        anchors = _rising([(k, once[1][x]) for x, k in once[0].items() if x in once[1]])
+        if anchors:
+            for (p, q), (r, t) in zip([(i - 1, j - 1), *anchors], [*anchors, (n, m)]):
+                todo.append((p + 1, r, q + 1, t))
+            out += anchors
+        elif (n - i) * (m - j) <= SQUARE_CELLS:
+            best = [[0] * (m - j + 1) for _ in range(n - i + 1)]        # longest common subsequence from p, q on
+            for p in range(n - i - 1, -1, -1):
+                for q in range(m - j - 1, -1, -1):
+                    best[p][q] = best[p + 1][q + 1] + 1 if a[i + p] == b[j + q] else max(best[p + 1][q], best[p][q + 1])
+            p = q = 0
+            while p < n - i and q < m - j:
+                if a[i + p] == b[j + q]:
+                    out.append((i + p, j + q))
+                    p, q = p + 1, q + 1
+                elif best[p + 1][q] >= best[p][q + 1]:
+                    p += 1
+                else:
+                    q += 1
+    return sorted(out)
+
+
 def merged(a: list, b: list) -> list:
-    """A wrapper of everything that either wrapper matches."""
-    repeats = [[x for x in side for x in _flat(x) if not isinstance(x, str) and x[0] == "+"] for side in (a, b)]
+    """A wrapper of what either wrapper matches: common items, and between
+    them each side's stretch as an optional."""
+    repeats = [[x for side_x in side for x in _flat(side_x) if not isinstance(x, str) and x[0] == "+"] for side in (a, b)]
     a, b = _grouped(a, repeats[1]), _grouped(b, repeats[0])
-    n, m = len(a), len(b)
-    ka, kb = [[_key(y) for y in _flat(x)] for x in a], [[_key(y) for y in _flat(x)] for x in b]
-    best = [[0] * (m + 1) for _ in range(n + 1)]        # longest common subsequence from i, j on
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if ka[i] == kb[j] else max(best[i + 1][j], best[i][j + 1])
+    ka, kb = ([json.dumps([_key(y) for y in _flat(x)]) for x in side] for side in (a, b))
     out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and ka[i] == kb[j]:
-            x, y = _flat(a[i]), _flat(b[j])
-            both = [p if isinstance(p, str) else [TEXT, _joined(p[1], q[1], SLOT_TEXTS)] if p[0] == TEXT
-                    else [*p[:2], _joined(p[2], q[2], GROUP_TEXTS)] for p, q in zip(x, y)]
-            out += [["?", both]] if "?" in (a[i][0], b[j][0]) and not (isinstance(a[i], str) and isinstance(b[j], str)) else both
-            i, j = i + 1, j + 1
-            continue
-        # each side's stretch until the next common item is optional
-        run = []
-        while i < n and (j >= m or (ka[i] != kb[j] and best[i + 1][j] >= best[i][j + 1])):
-            run.append(a[i])
-            i += 1
-            if i < n and j < m and ka[i] == kb[j]:
-                break
-        if run:
-            out += _optional(run)
-            continue
-        while j < m and (i >= n or (ka[i] != kb[j] and best[i][j + 1] > best[i + 1][j])):
-            run.append(b[j])
-            j += 1
-            if i < n and j < m and ka[i] == kb[j]:
-                break
-        out += _optional(run)
+    for p, q in [*aligned(ka, kb), (len(a), len(b))]:
+        for run in (a[i:p], b[j:q]):
+            if run:
+                out += _optional(run)
+        if p < len(a):
+            x, y = _flat(a[p]), _flat(b[q])
+            both = [u if isinstance(u, str) else [TEXT, _joined(u[1], v[1], SLOT_TEXTS)] if u[0] == TEXT
+                    else [*u[:2], _joined(u[2], v[2], GROUP_TEXTS)] for u, v in zip(x, y)]
+            out += [["?", both]] if "?" in (a[p][0], b[q][0]) and not (isinstance(a[p], str) and isinstance(b[q], str)) else both
+        i, j = p + 1, q + 1
     return out
 
 
@@ -401,30 +458,54 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
+def _landmarks(labels: list[str]) -> list[bool]:
+    """For each token whether a landmark (article, main) encloses it."""
+    depth, out = 0, []
+    for x in labels:
+        if x != TEXT and tag_of(x) in LANDMARKS:
+            depth = max(0, depth + (1 if x[1] != "/" else -1))
+        out.append(depth > 0)
+    return out
+
+
+def _region(labels: list[str], length: list[int]) -> range | None:
+    """The smallest element that holds nearly all of the given lengths."""
+    ends, _ = _ends(labels)
+    sums = [0, *accumulate(length)]
+    found = [range(i, ends[i]) for i, x in enumerate(labels) if x != TEXT and x[1] != "/" and tag_of(x) not in (*OPEN_END, *HEADINGS, "html", "body")
+             and sums[ends[i]] - sums[i] >= REGION * sums[-1]]
+    return min(found, key=len, default=None) if sums[-1] else None
+
+
 def main_text(page: list[tuple[str, str]], matcher: Matcher | None) -> str:
     """The article's blocks, joined by one space.
 
-    Left out are the texts that the host's judged wrapper has at their place,
-    on any page; tags and names are the hint that leaves out boilerplate
-    elements whose texts differ from page to page, and all there is on a page
-    that the wrapper does not match.  What the landmarks (article, main)
-    enclose is the main region if it is at least half of the text that is then
-    left, or else the whole body is."""
+    Texts of boilerplate elements, told by their tags and names, are out.  What
+    is left by the host's judged wrapper, the texts of the template at their places,
+    shows where the main region is: what the landmarks (article, main)
+    enclose, if that is at least half of the slots' text, or else the smallest
+    element with nearly all of it.  Inside the region every text stays, the
+    template's too: a contract of main text drops no heading of a
+    recipe.  Outside of it the template's texts go; slots stay, but
+    where there are landmarks.  Without a region headings between slots stay."""
     labels = [x for x, _ in page]
-    left = [x == TEXT and not out for x, out in zip(labels, outside(page))]
+    inner = [x == TEXT and not out for x, out in zip(labels, outside(page))]
+    left = list(inner)
     if matcher is not None and (m := matcher.match(labels)):
         for x, start, end in matcher.spans(m):
             for i in range(start, end):
                 if left[i] and x[-1] and _hash(page[i][1]) in x[-1]:
                     left[i] = False
-    depth, region = 0, []
-    for x in labels:
-        if x != TEXT and tag_of(x) in LANDMARKS:
-            depth = max(0, depth + (1 if x[1] != "/" else -1))
-        region.append(depth > 0)
     length = [len(t) if k else 0 for (_, t), k in zip(page, left)]
-    if 2 * sum(n for n, k in zip(length, region) if k) >= sum(length):
-        left = [a and b for a, b in zip(left, region)]
+    marked = _landmarks(labels)
+    if 2 * sum(n for n, k in zip(length, marked) if k) >= sum(length):
+        left = [a and b for a, b in zip(inner, marked)]
+    elif left != inner:
+        region = _region(labels, length)
+        slots = [i for i, k in enumerate(left) if k]
+        for i, k in enumerate(inner):
+            if k and not left[i]:
+                left[i] = i in region if region is not None else slots[0] < i < slots[-1] and tag_of(labels[i - 1]) in HEADINGS
     return " ".join(t for (_, t), k in zip(page, left) if k)
 
 
@@ -440,8 +521,8 @@ def _learn(batches):
                                           names=["host", "n", "chars", "wrapper"])
     for b in batches:
         for url, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if text:
-                w = held.setdefault(host_of(url), Learner())
+            if text and (host := host_of(url)):     # pages of no host have no template in common
+                w = held.setdefault(host, Learner())
                 texts -= w.size
                 w.page(tokens(text))
                 texts += w.size
@@ -494,7 +575,8 @@ def _extract(batches):
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, ``text`` (empty if none) and ``n_chars``.
 
-    A null html is empty; pages with a null or odd url share one host.
+    A null html is empty; pages with a null or odd url have no host, so no
+    wrapper, and their own tags and names decide.
     Repeated rows are pages of their own; a null id is kept; other columns
     are not read.  White space within a block (what block tags and line
     breaks part) becomes one space.
