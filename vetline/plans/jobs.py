@@ -36,7 +36,7 @@ from vetline.plans import report_cells
 from vetline.sources import messages as msgs
 from vetline.sources import seen_table
 from vetline.sources.allowlist import allowlisted, resolve
-from vetline.sources.tables import claim_run, latest_seen, read_channels, read_seen_log, table_or_empty
+from vetline.sources.tables import claim_run, latest_seen, no_rows, read_channels, read_seen_log, table_or_empty
 
 
 def rules_evaluator(rules=evaluate.FX_RULES, threshold: int = route.DEFAULT_THRESHOLD):
@@ -153,7 +153,7 @@ def run_triage(spark: SparkSession, arrivals: DataFrame, seen_path: str, matches
     cards.match_cards(routed).withColumn("ts", F.lit(int(run_ts)).cast("bigint")).select("*", day) \
         .write.mode("append").partitionBy("dt").parquet(matches_path)
     if channels_out:
-        channels = spark.createDataFrame([], schemas.CHANNELS)
+        channels = no_rows(spark, schemas.CHANNELS)
         if channels_path:
             channels = _there(spark, channels_path, first_run, schemas.CHANNELS, lambda: read_channels(spark, channels_path))
         if registrations is not None:
@@ -306,4 +306,4 @@ def _there(spark: SparkSession, path: str, first_run: bool, schema, read: Callab
             raise
         if not first_run:
             raise FileNotFoundError(f"no table at {path}; pass first_run=True for the run that makes it") from e
-    return spark.createDataFrame([], schema)
+    return no_rows(spark, schema)

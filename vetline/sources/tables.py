@@ -22,7 +22,13 @@ def table_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so nothing runs for it."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(1).select([F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where("false")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

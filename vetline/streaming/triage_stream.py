@@ -114,6 +114,11 @@ DISPOSITIONS = ("chat_id long, msg_id long, source string, disposition string, i
 PROGRESS = "drain long, run long, done boolean"
 
 
+def _mark(spark: SparkSession, path: str, drain: int, run: int, done: bool) -> None:
+    row = spark.range(1).select(F.lit(drain).cast("bigint").alias("drain"), F.lit(run).cast("bigint").alias("run"), F.lit(done).alias("done"))
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
 def drain_to_tables(spark: SparkSession, stream: DataFrame, base: str, seen_path: str, matches_path: str,
                     evaluator: Callable[[DataFrame, Column], DataFrame] | None = None,
                     threshold: int = route.DEFAULT_THRESHOLD, allowed: DataFrame | None = None,
@@ -157,7 +162,7 @@ def drain_to_tables(spark: SparkSession, stream: DataFrame, base: str, seen_path
         if new.isEmpty() and (retry_in is None or spark.read.schema(schemas.RETRY).parquet(retry_in).filter(jobs.is_due(now)).isEmpty()):
             return None
         run = claim_run(spark, seen_path)
-        spark.createDataFrame([(drain, run, False)], PROGRESS).write.mode("append").parquet(progress)
+        _mark(spark, progress, drain, run, False)
     else:
         run = claimed
     if claimed is None or table_or_empty(spark, schemas.SEEN_LOG, seen_path).filter(F.col("run") == run).isEmpty():
@@ -167,7 +172,7 @@ def drain_to_tables(spark: SparkSession, stream: DataFrame, base: str, seen_path
             dead_out=f"{base}/dead", dispositions_out=f"{base}/dispositions/run={drain}", first_run=first_run and not drain,
             channels_path=(f"{channels_path}/run={drain - 1}" if drain else f"{channels_path}/start") if channels_path else None,
             channels_out=f"{channels_path}/run={drain}" if channels_path else None)
-    spark.createDataFrame([(drain, run, True)], PROGRESS).write.mode("append").parquet(progress)
+    _mark(spark, progress, drain, run, True)
     return drain
 
 
