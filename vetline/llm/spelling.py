@@ -192,16 +192,18 @@ def near_words(vocab: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     counts.pop(0, None)
     letters = vocab.select(F.explode(F.array_distinct(F.split("word", ""))).alias("x")).distinct().collect()
     alphabet = "".join(sorted(r["x"] for r in letters if r["x"]))
-    positives = None
+    exact = None
     for shards in _passes(counts, filter_bytes):
         lengths = sorted({n for x in shards for n in (x, x + 1)})
         probing = vocab.where(F.char_length("word").isin(lengths))
         filters = spark.sparkContext.broadcast(_filter(vocab.where(F.char_length("word").isin(sorted(shards))), shards))
-        found = probing.select("word", "n").mapInArrow(_probe(filters, shards, alphabet), "word string, n long, edit string")
-        positives = found if positives is None else positives.unionByName(found)
-    if positives is None:
+        positives = probing.select("word", "n").mapInArrow(_probe(filters, shards, alphabet), "word string, n long, edit string")
+        # written before the next pass, so that one pass's filters are held at a time
+        found = c.stored(positives.join(vocab.select(F.col("word").alias("edit"), F.col("n").alias("edit_n")), "edit"), "near-words")
+        filters.destroy()
+        exact = found if exact is None else exact.unionByName(found)
+    if exact is None:
         return vocab.select("word", F.col("word").alias("near"), F.col("n").alias("near_n")).where("false")
-    exact = c.stored(positives.join(vocab.select(F.col("word").alias("edit"), F.col("n").alias("edit_n")), "edit"), "near-words")
     return exact.select("word", F.col("edit").alias("near"), F.col("edit_n").alias("near_n")).unionByName(
         exact.select(F.col("edit").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n")))
 
