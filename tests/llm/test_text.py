@@ -340,14 +340,49 @@ def test_block_max_search_is_exact():
     rng = np.random.default_rng(5)
     x = np.where(rng.random((700, 40)) < 0.08, rng.random((700, 40)), 0).astype(np.float32)
     x[300:330] = x[3]
-    x = vectors.tf_idf(x * 9, np.ones(40, np.float32))
-    index = toxicity.Index(x, block=16)
-    for q in x[:120].astype(np.float64):
+    x = vectors.tf_idf(x * 9, np.exp(rng.normal(size=40)).astype(np.float32))
+    example, term = np.nonzero(x)
+    index = toxicity.Index(*x.shape, example, term, x[example, term], block=16)
+    dense = np.zeros(40)
+    for q in x[:400].astype(np.float64):
         at = np.flatnonzero(q)
         full = x.astype(np.float64) @ q
         want = [i for i in np.lexsort((np.arange(len(full)), -np.round(full, 9)))[:7] if full[i] > 0]
-        near, cos = index.nearest(at, q[at], 7)
-        assert np.allclose(full[want], cos) and len(near) == len(want)
+        near, cos = index.nearest(at, q[at], 7, dense)
+        assert np.allclose(full[want], cos) and list(near) == want and not dense.any()
+
+
+def test_toxicity_against_a_full_comparison(spark):
+    """Neighbours, cosines and votes by a plain loop over all labelled texts and all of their words."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.classify(docs, labels).collect()}
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    y = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in texts and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    assert sorted(model.ids) == sorted(y)
+    fold = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
+    sets = {i: set(t.translate(fold).split()) for i, t in texts.items()}
+    assert len(model.terms.words) == len(set().union(*(sets[i] for i in y)))        # no word of the sample is left out
+
+    def vector(t):
+        _, term, n = model.terms.found([t])
+        x = {int(k): (1 + np.log(m)) * float(model.term_weight[k]) for k, m in zip(term, n) if model.term_weight[k] > 0}
+        norm = sum(w * w for w in x.values()) ** 0.5
+        return {k: w / norm for k, w in x.items()}
+
+    known = {i: vector(texts[i]) for i in y}
+    for i, t in texts.items():
+        q = vector(t)
+        cosines = {j: sum(w * x.get(k, 0.0) for k, w in q.items()) for j, x in known.items()}
+        best = sorted((s for s in cosines.values() if s > 1e-7), reverse=True)[:toxicity.NEIGHBOURS]
+        assert np.allclose(best, got[i].cosines[:len(best)], atol=2e-6) and all(s < 2e-6 for s in got[i].cosines[len(best):])
+        assert np.allclose([cosines[j] for j in got[i].neighbours], got[i].cosines, atol=2e-6)
+        if not q:
+            assert got[i].score == model.bare
+            continue
+        w = [1 / (1.05 - min(s, 1.0)) for s in got[i].cosines]
+        vote = (sum(a * y[j] for a, j in zip(w, got[i].neighbours)) + model.prior) / (sum(w) + 1)
+        assert abs(got[i].score - min(max(float(np.interp(vote, *model.curve)), 0), 1)) < 1e-6
 
 
 def test_quality_gate_keeps_columns(spark, docs, none):

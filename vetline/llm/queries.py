@@ -53,7 +53,7 @@ def op8(spark, d):
 
 @register("op6_toxicity_blockmax")
 def op6(spark, d):
-    return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"), evidence=False)
+    return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
 @register("op1_decontamination")

@@ -1,12 +1,15 @@
 """Toxicity by nearest labelled examples, exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and short byte grams that a bounded labelled sample ties to the label
-(chi-square); document frequencies come from the whole corpus.  The
+Terms are all words of a bounded labelled sample and those short byte grams that the sample
+ties to the label (chi-square); document frequencies come from the whole corpus.  Words
+and grams that speak for label 1 weigh ``EMPHASIS`` times their idf, so one coded
+word in a long text is not drowned by what else the text is about.  The
 labelled vectors form an inverted index whose postings are cut into blocks of
-examples, with the largest weight of each term in each block.  A query visits
-blocks from the highest bound down and stops when no block left can reach its
-k-th neighbour: the neighbours are exactly those of a full comparison.  The
-index (``SAMPLE`` examples, ``TERMS`` terms) is bounded and sent to every task.
+like examples, with the largest weight of each term in each block.  A query visits the
+blocks of the highest bounds first; elsewhere it adds up its telling terms only, and
+compares in whole each example that the bounds of the rest leave: the neighbours
+are exactly those of a full comparison.  The index is bounded by the sample
+(``SAMPLE`` examples) and sent to every task.
 
 The neighbours vote, weighted by cosine; a monotone map from votes to shares of
 label 1 among the examples themselves (each without its own vote, nor
@@ -24,12 +27,14 @@ from vetline.llm import common as c
 from vetline.llm import vectors as v
 
 SAMPLE = 10_000         # labelled documents at most
-TERMS = 768             # terms at most
-LEAST_CHI2 = 25.0       # of a term's tie to the label
-LEAST_EXAMPLES = 5      # with label 1 that hold a term
+EMPHASIS = 100.0        # weight of a term that speaks for label 1
+LEAST_CHI2 = 25.0       # of such a term's tie to the label
+LEAST_EXAMPLES = 5      # with label 1 that hold it
 NEIGHBOURS = 25
 BLOCK = 64              # examples in a block
-MEMORY = 4096           # different queries remembered per task
+FIRST = 16              # blocks searched before the others
+SLACK = 0.3             # of the k-th cosine found there: bound of the terms left out at first
+MEMORY = 1024           # different queries remembered per task
 BYTES = 1 << 20         # of text searched for terms at once
 THRESHOLD = 0.3
 
@@ -56,46 +61,134 @@ def chosen_terms(texts: list[bytes], y: np.ndarray) -> np.ndarray:
         chi2 = np.nan_to_num((n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * (n1 + n0 - a - b)))
     chi2[a * n0 <= b * n1] = 0
     order = np.lexsort((ones, -chi2))
-    return ones[order[chi2[order] >= LEAST_CHI2]][:TERMS]
+    return ones[order[chi2[order] >= LEAST_CHI2]]
+
+
+class Terms:
+    """Numbers of known words (as hashed) and, after them, of known byte grams."""
+
+    def __init__(self, words: np.ndarray, grams: np.ndarray):
+        self.words, self.grams, self.size = np.sort(words), np.sort(grams), max(1, len(words) + len(grams))
+        self.maybe = np.zeros(1 << 16, bool)        # most grams are told apart by 16 bits
+        self.maybe[self._short(self.grams)] = True
+
+    @staticmethod
+    def _short(g: np.ndarray) -> np.ndarray:
+        return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+
+    @staticmethod
+    def _rows(known: np.ndarray, of: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return of[:0], of[:0]
+        row = np.minimum(np.searchsorted(known, seen), len(known) - 1)
+        sure = known[row] == seen
+        return of[sure], row[sure]
+
+    def found(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and count of each term in each text, by text and term."""
+        if not texts:
+            return (np.empty(0, np.int64),) * 3
+        words, n = c.hashed_words([t.translate(v._FOLD) for t in texts])
+        of, term = self._rows(self.words, np.repeat(np.arange(len(texts)), n), words)
+        if len(self.grams):
+            g, at = v.byte_grams(texts)
+            few = np.flatnonzero(self.maybe[self._short(g)])
+            more, gram = self._rows(self.grams, at[few], g[few])
+            of, term = np.append(of, more), np.append(term, gram + len(self.words))
+        both, n = np.unique(of * self.size + term, return_counts=True)
+        return both // self.size, both % self.size, n
+
+
+def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """All numbers from lo[i], n[i] of them, for each i in order."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(lo - (ends - n), n)
 
 
 class Index:
-    """Block-max inverted index over unit vectors (rows of ``x``)."""
-
-    def __init__(self, x: np.ndarray, block: int = BLOCK):
-        self.n, self.size = x.shape
-        self.block, self.blocks = block, max(1, -(-len(x) // block))
-        term, self.example = np.nonzero(x.T)                        # by term, then by example
-        self.weight = x.T[term, self.example].astype(np.float64)
-        # postings of a term within a block: self.cut[term, block] to self.cut[term, block + 1]
-        of = term * self.blocks + self.example // block
-        self.cut = np.searchsorted(of, np.arange(self.size * self.blocks + 1))
-        self.most = np.zeros((self.size, self.blocks))
-        np.maximum.at(self.most, (term, self.example // block), self.weight)
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Block-max inverted index over ``n`` sparse unit vectors, given as example,
+    term and weight by example and term."""
+
+    def __init__(self, n: int, size: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray, block: int = BLOCK):
+        self.n, self.size, self.block, self.blocks = n, size, block, max(1, -(-n // block))
+        # examples that share common words lie in one block, so that its bounds are tight
+        common = np.argsort(-np.bincount(term, minlength=size), kind="stable")[:48]
+        near = np.zeros((n, len(common)), bool)
+        rank = np.full(size, -1)
+        rank[common] = np.arange(len(common))
+        near[example[rank[term] >= 0], rank[term[rank[term] >= 0]]] = True
+        self.order = np.lexsort(near.T[::-1])
+        place = np.empty(n, np.int64)
+        place[self.order] = np.arange(n)
+        # forward: terms of each place; inverted: places of each term
+        by_place = np.lexsort((term, place[example]))
+        self.own_term, self.own_weight = term[by_place].astype(np.int32), weight[by_place].astype(np.float32)
+        self.own = np.searchsorted(place[example][by_place], np.arange(n + 1))
+        by_term = np.lexsort((place[example], term))
+        self.place, self.weight = place[example][by_term].astype(np.int32), weight[by_term].astype(np.float32)
+        self.from_term = np.searchsorted(term[by_term], np.arange(size + 1))
+        # cells: the postings of one term in one block, and their largest weight
+        of = term[by_term] * self.blocks + self.place // block
+        self.cell = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
+        self.cell_block = (of[self.cell] % self.blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, self.cell) if len(of) else np.empty(0, np.float32)
+        self.from_cell = np.searchsorted(of[self.cell] // self.blocks, np.arange(size + 1))
+        self.cell = np.append(self.cell, len(of))
+        self.peak = np.zeros(size, np.float32)
+        np.maximum.at(self.peak, term, weight.astype(np.float32))
+
+    def _whole(self, places: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        """Cosines of the query with whole examples."""
+        lo, n = self.own[places], self.own[places + 1] - self.own[places]
+        where = _ranges(lo, n)
+        return np.bincount(np.repeat(np.arange(len(places)), n), dense[self.own_term[where]] * self.own_weight[where], len(places))
+
+    def _sums(self, cell: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Products of cells' postings with their terms' part of the query, added up by block and place."""
+        lo = self.cell[cell]
+        n = self.cell[cell + 1] - lo
+        where = _ranges(lo, n)
+        return np.bincount(self.place[where], np.repeat(q, n) * self.weight[where], self.blocks * self.block).reshape(self.blocks, self.block)
+
+    def _best(self, places: np.ndarray, cosines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        best = np.lexsort((self.order[places], -np.round(cosines, 9)))
+        best = best[cosines[best] > 0][:k]
+        return places[best], cosines[best]
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, dense: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The examples with the k highest positive cosines (ties: lower
-        number) and these cosines."""
-        bound = q @ self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        found, cosines, kth, at, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
-        while at < len(order) and bound[order[at]] > 0 and bound[order[at]] >= kth - 1e-12:
-            some = order[at:at + step]
-            some = some[bound[some] > 0]
-            at, step = at + step, step * 2
-            cell = (terms[:, None] * self.blocks + some[None, :]).ravel()
-            lo, n = self.cut[cell], self.cut[cell + 1] - self.cut[cell]
-            ends = np.cumsum(n)
-            where = np.arange(ends[-1]) + np.repeat(lo - (ends - n), n)
-            slot = np.repeat(np.tile(np.arange(len(some)) * self.block, len(terms)), n) + self.example[where] % self.block
-            dots = np.bincount(slot, np.repeat(np.repeat(q, len(some)), n) * self.weight[where], len(some) * self.block)
-            hit = np.flatnonzero(dots > 0)
-            found = np.append(found, some[hit // self.block] * self.block + hit % self.block)
-            cosines = np.append(cosines, dots[hit])
-            best = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-            kth = cosines[-1] if len(cosines) == k else 0.0
-        return found, cosines
+        number) and these cosines.  ``dense`` is all zeros, one for each term, and
+        is left so."""
+        dense = np.zeros(self.size) if dense is None else dense
+        dense[terms] = q
+        n = self.from_cell[terms + 1] - self.from_cell[terms]
+        cell, of = _ranges(self.from_cell[terms], n), np.repeat(np.arange(len(terms)), n)
+        most, block = q[of] * self.most[cell], self.cell_block[cell]
+        bound = np.bincount(block, most, self.blocks)
+        near = np.zeros(self.blocks, bool)
+        near[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        some = near[block]
+        sums = self._sums(cell[some], q[of[some]]).ravel()
+        places = np.flatnonzero(sums)
+        places, cosines = self._best(places, sums[places], k)
+        kth = cosines[-1] if len(cosines) == k else 0.0
+        # terms of the lowest bounds are left out while these add up to less than ``SLACK`` of the k-th cosine
+        peaks = q * self.peak[terms]
+        low = np.argsort(peaks, kind="stable")
+        told = np.ones(len(terms), bool)
+        told[low[np.cumsum(peaks[low]) < kth * SLACK]] = False
+        left = (bound >= kth - 1e-6) & (bound > 0) & ~near
+        if left.any():
+            some = told[of] & left[block]
+            sums = self._sums(cell[some], q[of[some]])
+            rest = np.bincount(block[~told[of]], most[~told[of]], self.blocks)[:, None]
+            if left.sum() * self.block > k:         # a k-th sum of telling terms alone bounds the k-th cosine too
+                kth = max(kth, np.partition(sums[left].ravel(), -k)[-k])
+            more = np.flatnonzero(((sums + rest >= kth - 1e-6) & (sums + rest > 0) & left[:, None]).ravel())
+            more = more[more < self.n]
+            places, cosines = self._best(np.append(places, more), np.append(cosines, self._whole(more, dense)), k)
+        dense[terms] = 0
+        return self.order[places], cosines
 
 
 def voted(y: np.ndarray, cosines: np.ndarray, prior: float) -> float:
@@ -122,39 +215,59 @@ def calibration(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return x, share
 
 
+def weighed(of: np.ndarray, term: np.ndarray, n: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of terms in unit vectors: (1 + log count) times the term's own."""
+    x = (1 + np.log(n)) * weight[term]
+    norm = np.sqrt(np.bincount(of, x * x, rows))
+    return x / np.where(norm > 0, norm, 1)[of]
+
+
 class Model:
-    """Terms, weights, index, labels and calibration; all of bounded size."""
+    """Terms, weights, labelled vectors and calibration; bounded by the sample.
+    The index is built anew where it is used."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, rows: list[tuple[int, bytes, int]]):
-        self.terms, self.idf, self.size = v.GramTerms(terms), idf, max(1, len(terms))
+    def __init__(self, terms: Terms, weight: np.ndarray, rows: list[tuple[int, bytes, int]]):
+        self.terms, self.term_weight = terms, weight
         self.ids = [r[0] for r in rows]
         self.y = np.array([r[2] for r in rows], np.float64)
-        x = np.zeros((len(rows), self.size), np.float32)
-        for i in range(0, len(rows), 200):
-            of, term, n = self.terms.found([t for _, t, _ in rows[i:i + 200]])
-            x[i + of, term] = n
-        x = v.tf_idf(x, idf)
-        self.index = Index(x)
-        bare = ~x.any(axis=1)
+        parts = [terms.found([t for _, t, _ in rows[i:i + 200]]) for i in range(0, len(rows), 200)]
+        of = np.concatenate([p[0] + 200 * i for i, p in enumerate(parts)] or [np.empty(0, np.int64)])
+        term, n = (np.concatenate([p[j] for p in parts] or [np.empty(0, np.int64)]) for j in (1, 2))
+        x = weighed(of, term, n, weight, len(rows))
+        self.entries = of[x > 0].astype(np.int32), term[x > 0].astype(np.int32), x[x > 0].astype(np.float32)
+        of, term, x = self.entries
+        starts = np.searchsorted(of, np.arange(len(rows) + 1))
+        bare = starts[1:] == starts[:-1]
         self.prior = float((self.y.sum() + 0.5) / (len(self.y) + 1))
         # a text without any term scores as the examples without any
         self.bare = float((self.y[bare].sum() + 20 * min(self.prior, 0.02)) / (bare.sum() + 20))
         votes, labels, same = [], [], {}
         for i in np.flatnonzero(~bare):
-            same.setdefault(x[i].tobytes(), []).append(i)
+            lo, hi = starts[i], starts[i + 1]
+            same.setdefault(c.id128(term[lo:hi].tobytes() + x[lo:hi].tobytes()), []).append(i)
         for copies in same.values():            # each without its own copies
-            i = copies[0]
-            at = np.flatnonzero(x[i])
-            near, cos = self.index.nearest(at, x[i][at].astype(np.float64), NEIGHBOURS + len(copies))
+            lo, hi = starts[copies[0]], starts[copies[0] + 1]
+            near, cos = self.nearest(term[lo:hi].astype(np.int64), x[lo:hi].astype(np.float64), NEIGHBOURS + len(copies))
             other = ~np.isin(near, copies)
             votes.append(voted(self.y[near[other][:NEIGHBOURS]], cos[other][:NEIGHBOURS], self.prior))
             labels.append(self.y[copies].mean())
         self.curve = calibration(np.array(votes), np.array(labels)) if votes else None
 
+    def __getstate__(self):
+        return {k: x for k, x in self.__dict__.items() if k not in ("index", "dense")}
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if "index" not in self.__dict__:
+            of, term, x = self.entries
+            self.index = Index(len(self.y), self.terms.size, of.astype(np.int64), term.astype(np.int64), x)
+            self.dense = np.zeros(self.terms.size)
+        return self.index.nearest(terms, q, k, self.dense)
+
     def one(self, terms: np.ndarray, n: np.ndarray) -> tuple[float, list[int], list[float]]:
-        q = (1 + np.log(n)) * self.idf[terms]
-        q /= np.linalg.norm(q)
-        near, cos = self.index.nearest(terms, q, NEIGHBOURS)
+        q = weighed(np.zeros(len(terms), np.int64), terms, n, self.term_weight, 1)
+        near, cos = self.nearest(terms, q, NEIGHBOURS)
+        if not len(near):
+            return self.bare, [], []
         vote = voted(self.y[near], cos, self.prior)
         p = float(np.interp(vote, *self.curve)) if self.curve is not None else vote
         return min(max(p, 0.0), 1.0), [self.ids[i] for i in near], [float(s) for s in cos]
@@ -172,7 +285,7 @@ class Model:
             of, term, n = self.terms.found(texts[at:end])
             cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else ()
             for lo, hi in zip(cuts, np.append(cuts[1:], len(of)) if len(of) else ()):
-                key = term[lo:hi].tobytes() + n[lo:hi].tobytes()
+                key = c.id128(term[lo:hi].tobytes() + n[lo:hi].tobytes())
                 if key not in memory:
                     if len(memory) >= MEMORY:
                         memory.clear()
@@ -182,29 +295,55 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-        modulus: int = 4, held_out: int = 2, sample: int = SAMPLE) -> Model:
-    rows = v.labelled_sample(docs, labels, label, modulus, held_out, sample, id_col, text_col)
+def _frequencies(docs: DataFrame, text_col: str, terms: Terms) -> tuple[int, np.ndarray]:
+    """Documents, and documents with each term, over the whole corpus: each task
+    adds up its own rows, and one sum for each term reaches the driver."""
+    known = docs.sparkSession.sparkContext.broadcast(terms)
 
-    def speaking(some: list[tuple[int, str, int]]) -> np.ndarray:
-        y = np.array([r[2] for r in some])
-        return chosen_terms([t.encode() for _, t, _ in some], y) if len(y) and 0 < y.sum() < len(y) else np.empty(0, np.uint64)
-
-    terms = v.fitted(rows, speaking)
+    def run(batches):
+        n, df = 0, np.zeros(terms_size + 1, np.int64)
+        for batch in batches:
+            texts, at = c.byte_texts(batch.column(0)), 0
+            while at < len(texts):
+                end, held = at, 0
+                while end < len(texts) and (end == at or held + len(texts[end]) < BYTES):
+                    held += len(texts[end])
+                    end += 1
+                df += np.bincount(known.value.found(texts[at:end])[1], minlength=terms_size + 1)
+                at = end
+            n += batch.num_rows
+        df[terms_size] = n
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["f", "n"])
+
+    terms_size = terms.size
+    sums = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(terms_size + 1, np.int64)
+    out[sums.column("f").to_numpy()] = sums.column("n").to_numpy()
+    return int(out[terms_size]), out[:terms_size]
 
-    def presence():
-        known = v.GramTerms(terms)
 
-        def count(texts):
-            out, texts = np.zeros(max(1, len(terms)), np.int64), c.byte_texts(texts)
-            for i in range(0, len(texts), 200):
-                out += np.bincount(known.found(texts[i:i + 200])[1], minlength=len(out))
-            return out
-        return count
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
+        modulus: int = 4, held_out: int = 2, sample: int = SAMPLE) -> Model:
+    rows = v.labelled_sample(docs, labels, label, modulus, held_out, sample, id_col, text_col)
 
-    n, df = v.document_frequencies(docs, text_col, presence, max(1, len(terms)))
-    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    return v.fitted(rows, lambda some: Model(terms, idf, [(i, t.encode(), y) for i, t, y in some]))
+    def known(some: list[tuple[int, str, int]]) -> tuple[Terms, np.ndarray]:
+        """All words of the sample, the grams that speak for label 1, and the
+        numbers of the words and grams that do."""
+        y, texts = np.array([r[2] for r in some]), [t.encode() for _, t, _ in some]
+        speaking = chosen_terms(texts, y) if len(y) and 0 < y.sum() < len(y) else np.empty(0, np.uint64)
+        words = np.empty(0, np.uint64)
+        for i in range(0, len(texts), 500):
+            words = np.union1d(words, c.hashed_words([t.translate(v._FOLD) for t in texts[i:i + 500]])[0])
+        terms = Terms(words, speaking[speaking < v.WORD])
+        marked = np.isin(words | v.WORD, speaking[speaking >= v.WORD])
+        return terms, np.append(np.flatnonzero(marked), np.arange(len(words), len(words) + len(terms.grams)))
+
+    terms, speaking = v.fitted(rows, known)
+    n, df = _frequencies(docs, text_col, terms)
+    weight = np.log((1 + n) / (1 + df)).astype(np.float32)
+    weight[speaking] = (weight[speaking] + 1) * EMPHASIS
+    return v.fitted(rows, lambda some: Model(terms, weight, [(i, t.encode(), y) for i, t, y in some]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -212,8 +351,8 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: s
              evidence: bool = True) -> DataFrame:
     """Each row's id with ``held_out`` (its fold gave no labels), ``score`` (0 to
     1, higher: label 1 likelier), ``predicted`` and, as ``evidence``, the ids and
-    cosines of the neighbours.  A text without any known term (an empty or
-    null one too) scores as such examples do.  Without usable labels
+    cosines of the neighbours.  A text without any known term that tells texts
+    apart (an empty or null one too) scores as such examples do and has no neighbours.  Without usable labels
     every score is the prior.  A null id is not held out; repeated rows
     score alike; other columns are not read.
     """
