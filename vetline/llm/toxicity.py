@@ -31,9 +31,9 @@ EMPHASIS = 100.0        # weight of a term that speaks for label 1
 LEAST_CHI2 = 25.0       # of such a term's tie to the label
 LEAST_EXAMPLES = 5      # with label 1 that hold it
 NEIGHBOURS = 25
-BLOCK = 64              # examples in a block
-FIRST = 16              # blocks searched before the others
-SLACK = 0.3             # of the k-th cosine found there: bound of the terms left out at first
+BLOCK = 256             # examples in a block
+FIRST = 2               # blocks searched before the others
+SLACK = 0.25            # of the k-th cosine found there: bound of the terms left out at first
 MEMORY = 1024           # different queries remembered per task
 BYTES = 1 << 20         # of text searched for terms at once
 THRESHOLD = 0.3
@@ -68,33 +68,46 @@ class Terms:
     """Numbers of known words (as hashed) and, after them, of known byte grams."""
 
     def __init__(self, words: np.ndarray, grams: np.ndarray):
-        self.words, self.grams, self.size = np.sort(words), np.sort(grams), max(1, len(words) + len(grams))
+        self.__setstate__((np.sort(words), np.sort(grams)))
+
+    def __getstate__(self):
+        return self.words, self.grams
+
+    def __setstate__(self, known: tuple[np.ndarray, np.ndarray]):
+        self.words, self.grams = known
+        self.size = max(1, len(self.words) + len(self.grams))
         self.maybe = np.zeros(1 << 16, bool)        # most grams are told apart by 16 bits
         self.maybe[self._short(self.grams)] = True
+        self.starts = np.minimum(np.searchsorted(self.words, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)), max(len(self.words) - 1, 0))
 
     @staticmethod
     def _short(g: np.ndarray) -> np.ndarray:
         return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
-    @staticmethod
-    def _rows(known: np.ndarray, of: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(known):
-            return of[:0], of[:0]
-        row = np.minimum(np.searchsorted(known, seen), len(known) - 1)
-        sure = known[row] == seen
-        return of[sure], row[sure]
+    def _word_rows(self, seen: np.ndarray) -> np.ndarray:
+        """Where words stand or would stand: from the first with their 20 highest bits, step by step."""
+        row = self.starts.take((seen >> np.uint64(44)).view(np.int64))
+        todo, last = np.arange(len(seen)), len(self.words) - 1
+        while len(todo := todo[(row[todo] < last) & (self.words.take(row[todo]) < seen[todo])]):
+            row[todo] += 1
+        return row
 
     def found(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, term and count of each term in each text, by text and term."""
         if not texts:
             return (np.empty(0, np.int64),) * 3
-        words, n = c.hashed_words([t.translate(v._FOLD) for t in texts])
-        of, term = self._rows(self.words, np.repeat(np.arange(len(texts)), n), words)
+        seen, n = c.hashed_words([t.translate(v._FOLD) for t in texts])
+        of, term = np.empty(0, np.int64), np.empty(0, np.int64)
+        if len(self.words):
+            row = self._word_rows(seen)
+            sure = self.words.take(row) == seen
+            of, term = np.repeat(np.arange(len(texts)), n)[sure], row[sure]
         if len(self.grams):
-            g, at = v.byte_grams(texts)
-            few = np.flatnonzero(self.maybe[self._short(g)])
-            more, gram = self._rows(self.grams, at[few], g[few])
-            of, term = np.append(of, more), np.append(term, gram + len(self.words))
+            g, ends = v.packed_grams(texts)
+            few = np.flatnonzero(self.maybe.take(self._short(g).view(np.int64)))
+            row = np.minimum(np.searchsorted(self.grams, g[few]), len(self.grams) - 1)
+            sure = self.grams[row] == g[few]
+            of, term = np.append(of, np.searchsorted(ends, few[sure], "right")), np.append(term, row[sure] + len(self.words))
         both, n = np.unique(of * self.size + term, return_counts=True)
         return both // self.size, both % self.size, n
 
@@ -111,26 +124,27 @@ class Index:
 
     def __init__(self, n: int, size: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray, block: int = BLOCK):
         self.n, self.size, self.block, self.blocks = n, size, block, max(1, -(-n // block))
+        # terms are numbered anew, the commonest first, so that lookups stay close together
+        self.renumbered = np.empty(size, np.int64)
+        self.renumbered[np.argsort(-np.bincount(term, minlength=size), kind="stable")] = np.arange(size)
+        term = self.renumbered[term]
         # examples that share common words lie in one block, so that its bounds are tight
-        common = np.argsort(-np.bincount(term, minlength=size), kind="stable")[:48]
-        near = np.zeros((n, len(common)), bool)
-        rank = np.full(size, -1)
-        rank[common] = np.arange(len(common))
-        near[example[rank[term] >= 0], rank[term[rank[term] >= 0]]] = True
+        near = np.zeros((n, min(size, 48)), bool)
+        near[example[term < 48], term[term < 48]] = True
         self.order = np.lexsort(near.T[::-1])
         place = np.empty(n, np.int64)
         place[self.order] = np.arange(n)
         # forward: terms of each place; inverted: places of each term
         by_place = np.lexsort((term, place[example]))
-        self.own_term, self.own_weight = term[by_place].astype(np.int32), weight[by_place].astype(np.float32)
+        self.own_term, self.own_weight = term[by_place], weight[by_place].astype(np.float32)
         self.own = np.searchsorted(place[example][by_place], np.arange(n + 1))
         by_term = np.lexsort((place[example], term))
-        self.place, self.weight = place[example][by_term].astype(np.int32), weight[by_term].astype(np.float32)
+        self.place, self.weight = place[example][by_term], weight[by_term].astype(np.float32)
         self.from_term = np.searchsorted(term[by_term], np.arange(size + 1))
         # cells: the postings of one term in one block, and their largest weight
         of = term[by_term] * self.blocks + self.place // block
         self.cell = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
-        self.cell_block = (of[self.cell] % self.blocks).astype(np.int32)
+        self.cell_block = of[self.cell] % self.blocks
         self.most = np.maximum.reduceat(self.weight, self.cell) if len(of) else np.empty(0, np.float32)
         self.from_cell = np.searchsorted(of[self.cell] // self.blocks, np.arange(size + 1))
         self.cell = np.append(self.cell, len(of))
@@ -141,14 +155,14 @@ class Index:
         """Cosines of the query with whole examples."""
         lo, n = self.own[places], self.own[places + 1] - self.own[places]
         where = _ranges(lo, n)
-        return np.bincount(np.repeat(np.arange(len(places)), n), dense[self.own_term[where]] * self.own_weight[where], len(places))
+        return np.bincount(np.repeat(np.arange(len(places)), n), dense.take(self.own_term.take(where)) * self.own_weight.take(where), len(places))
 
     def _sums(self, cell: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Products of cells' postings with their terms' part of the query, added up by block and place."""
         lo = self.cell[cell]
         n = self.cell[cell + 1] - lo
         where = _ranges(lo, n)
-        return np.bincount(self.place[where], np.repeat(q, n) * self.weight[where], self.blocks * self.block).reshape(self.blocks, self.block)
+        return np.bincount(self.place.take(where), np.repeat(q, n) * self.weight.take(where), self.blocks * self.block).reshape(self.blocks, self.block)
 
     def _best(self, places: np.ndarray, cosines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         best = np.lexsort((self.order[places], -np.round(cosines, 9)))
@@ -159,11 +173,12 @@ class Index:
         """The examples with the k highest positive cosines (ties: lower
         number) and these cosines.  ``dense`` is all zeros, one for each term, and
         is left so."""
+        terms = self.renumbered[terms]
         dense = np.zeros(self.size) if dense is None else dense
         dense[terms] = q
         n = self.from_cell[terms + 1] - self.from_cell[terms]
         cell, of = _ranges(self.from_cell[terms], n), np.repeat(np.arange(len(terms)), n)
-        most, block = q[of] * self.most[cell], self.cell_block[cell]
+        most, block = q.take(of) * self.most.take(cell), self.cell_block.take(cell)
         bound = np.bincount(block, most, self.blocks)
         near = np.zeros(self.blocks, bool)
         near[np.argsort(-bound, kind="stable")[:FIRST]] = True

@@ -80,20 +80,20 @@ GRAM = 5                    # bytes; at most 8
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
 
 
-def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def packed_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The ``GRAM``-byte grams of texts (A-Z lower-cased; ASCII signs and white
     space are one kind of edge, which is also before and after a text), packed
-    into integers, and the text of each."""
+    into integers, and where those of each text end."""
     gap = b" " * (GRAM - 1)
-    raw = gap + b"".join(t.translate(_FOLD) + gap for t in texts)
-    buf = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    n = len(buf) - GRAM + 1
-    out = np.zeros(max(n, 0), np.uint64)
-    for i in range(GRAM):
-        out <<= np.uint64(8)
-        out |= buf[i:i + n]
-    of = np.repeat(np.arange(len(texts)), [len(t) + GRAM - 1 for t in texts])
-    return out, of
+    raw = gap + b"".join(t.translate(_FOLD) + gap for t in texts) + b" " * (8 - GRAM)
+    eights = np.ndarray(len(raw) - 7, ">u8", raw, strides=(1,))
+    return eights.astype(np.uint64) >> np.uint64(64 - 8 * GRAM), np.cumsum(np.array([len(t) + GRAM - 1 for t in texts], np.int64))
+
+
+def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of texts, and the text of each."""
+    grams, ends = packed_grams(texts)
+    return grams, np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
 
 
 WORD = np.uint64(1 << 63)   # marks the hash of a whole word
@@ -106,33 +106,6 @@ def terms_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([grams, words | WORD]), np.concatenate([of, np.repeat(np.arange(len(texts)), n)])
 
 
-class GramTerms:
-    """Counts of known grams and words in texts."""
-
-    def __init__(self, terms: np.ndarray):
-        self.order = np.argsort(terms)
-        self.sorted = terms[self.order]
-        self.maybe = np.zeros(1 << 16, bool)        # most grams are told apart by 16 bits
-        self.maybe[self._short(self.sorted)] = True
-
-    @staticmethod
-    def _short(g: np.ndarray) -> np.ndarray:
-        return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
-
-    def found(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, term and count of each term in each text, by text and term."""
-        none = np.empty(0, np.int64)
-        if not len(self.sorted) or not texts:
-            return none, none, none
-        g, of = terms_in(texts)
-        at = np.flatnonzero(self.maybe[self._short(g)])
-        g, of = g[at], of[at]
-        row = np.minimum(np.searchsorted(self.sorted, g), len(self.sorted) - 1)
-        sure = self.sorted[row] == g
-        both, n = np.unique(of[sure] * len(self.sorted) + self.order[row[sure]], return_counts=True)
-        return both // len(self.sorted), both % len(self.sorted), n
-
-
 @lru_cache(20_000)
 def hashed(feature: str, size: int) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % size
