@@ -41,10 +41,17 @@ THRESHOLD = 0.3
 
 def chosen_terms(texts: list[bytes], y: np.ndarray) -> np.ndarray:
     """Words and grams that speak for label 1, strongest first."""
-    def counted(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def short(x: np.ndarray) -> np.ndarray:
+        return (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def counted(some: list[bytes], of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         grams, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if of is not None:
+            maybe = np.zeros(1 << 20, bool)         # only terms of ``of`` are wanted; most others are told apart by 20 bits
+            maybe[short(of)] = True
         for i in range(0, len(some), 500):
-            own = np.concatenate([np.unique(v.terms_in([t])[0]) for t in some[i:i + 500]])
+            all_ = (v.terms_in([t])[0] for t in some[i:i + 500])
+            own = np.concatenate([np.unique(x if of is None else x[maybe.take(short(x).view(np.int64))]) for x in all_])
             got, m = np.unique(own, return_counts=True)
             both, at = np.unique(np.concatenate([grams, got]), return_inverse=True)
             grams, n = both, np.bincount(at, np.concatenate([n, m]), len(both)).astype(np.int64)
@@ -53,7 +60,7 @@ def chosen_terms(texts: list[bytes], y: np.ndarray) -> np.ndarray:
     ones, a = counted([t for t, label in zip(texts, y) if label])
     within = (ones >= v.WORD) | np.all([(ones >> np.uint64(8 * i)) & np.uint64(255) != 32 for i in range(1, v.GRAM - 1)], axis=0)    # one word
     ones, a = ones[within & (a >= LEAST_EXAMPLES)], a[within & (a >= LEAST_EXAMPLES)].astype(float)
-    zeros, m = counted([t for t, label in zip(texts, y) if not label])
+    zeros, m = counted([t for t, label in zip(texts, y) if not label], ones)
     at = np.minimum(np.searchsorted(zeros, ones), max(len(zeros) - 1, 0))
     b = np.where(zeros[at] == ones, m[at], 0).astype(float) if len(zeros) else np.zeros(len(ones))
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
@@ -136,15 +143,15 @@ class Index:
         place[self.order] = np.arange(n)
         # forward: terms of each place; inverted: places of each term
         by_place = np.lexsort((term, place[example]))
-        self.own_term, self.own_weight = term[by_place], weight[by_place].astype(np.float32)
+        self.own_term, self.own_weight = term[by_place].astype(np.int32), weight[by_place].astype(np.float32)
         self.own = np.searchsorted(place[example][by_place], np.arange(n + 1))
         by_term = np.lexsort((place[example], term))
-        self.place, self.weight = place[example][by_term], weight[by_term].astype(np.float32)
+        self.place, self.weight = place[example][by_term].astype(np.int32), weight[by_term].astype(np.float32)
         self.from_term = np.searchsorted(term[by_term], np.arange(size + 1))
         # cells: the postings of one term in one block, and their largest weight
         of = term[by_term] * self.blocks + self.place // block
         self.cell = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
-        self.cell_block = of[self.cell] % self.blocks
+        self.cell_block = (of[self.cell] % self.blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, self.cell) if len(of) else np.empty(0, np.float32)
         self.from_cell = np.searchsorted(of[self.cell] // self.blocks, np.arange(size + 1))
         self.cell = np.append(self.cell, len(of))
@@ -176,27 +183,30 @@ class Index:
         terms = self.renumbered[terms]
         dense = np.zeros(self.size) if dense is None else dense
         dense[terms] = q
-        n = self.from_cell[terms + 1] - self.from_cell[terms]
-        cell, of = _ranges(self.from_cell[terms], n), np.repeat(np.arange(len(terms)), n)
-        most, block = q.take(of) * self.most.take(cell), self.cell_block.take(cell)
+        lo = self.from_cell[terms]
+        n = self.from_cell[terms + 1] - lo
+        cell, part = _ranges(lo, n), np.repeat(q, n)
+        most, block = part * self.most.take(cell), self.cell_block.take(cell)
         bound = np.bincount(block, most, self.blocks)
         near = np.zeros(self.blocks, bool)
         near[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        some = near[block]
-        sums = self._sums(cell[some], q[of[some]]).ravel()
+        some = np.flatnonzero(near.take(block))
+        sums = self._sums(cell.take(some), part.take(some)).ravel()
         places = np.flatnonzero(sums)
         places, cosines = self._best(places, sums[places], k)
         kth = cosines[-1] if len(cosines) == k else 0.0
         # terms of the lowest bounds are left out while these add up to less than ``SLACK`` of the k-th cosine
         peaks = q * self.peak[terms]
-        low = np.argsort(peaks, kind="stable")
+        low = np.argsort(peaks)
         told = np.ones(len(terms), bool)
-        told[low[np.cumsum(peaks[low]) < kth * SLACK]] = False
+        told[low[:np.searchsorted(np.cumsum(peaks[low]), kth * SLACK)]] = False
         left = (bound >= kth - 1e-6) & (bound > 0) & ~near
         if left.any():
-            some = told[of] & left[block]
-            sums = self._sums(cell[some], q[of[some]])
-            rest = np.bincount(block[~told[of]], most[~told[of]], self.blocks)[:, None]
+            told = np.repeat(told, n)
+            some = np.flatnonzero(told & left.take(block))
+            sums = self._sums(cell.take(some), part.take(some))
+            some = np.flatnonzero(~told)
+            rest = np.bincount(block.take(some), most.take(some), self.blocks)[:, None]
             if left.sum() * self.block > k:         # a k-th sum of telling terms alone bounds the k-th cosine too
                 kth = max(kth, np.partition(sums[left].ravel(), -k)[-k])
             more = np.flatnonzero(((sums + rest >= kth - 1e-6) & (sums + rest > 0) & left[:, None]).ravel())
