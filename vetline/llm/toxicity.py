@@ -5,10 +5,11 @@ ties to the label (chi-square); document frequencies come from the whole corpus.
 and grams that speak for label 1 weigh ``EMPHASIS`` times their idf, so one coded
 word in a long text is not drowned by what else the text is about.  The
 labelled vectors form an inverted index whose postings are cut into blocks of
-like examples, with the largest weight of each term in each block.  A query visits the
-blocks of the highest bounds first; elsewhere it adds up its telling terms only, and
-compares in whole each example that the bounds of the rest leave: the neighbours
-are exactly those of a full comparison.  The index is bounded by the sample
+like examples, with the largest weight of each term in each block.  A query first
+compares the examples that share its most telling terms; then, in the blocks whose bounds
+can reach the k-th of these, it adds up all but its least telling terms and compares in
+whole each example that the bounds of the rest leave: the neighbours are exactly those of
+a full comparison.  The index is bounded by the sample
 (``SAMPLE`` examples) and sent to every task.
 
 The neighbours vote, weighted by cosine; a monotone map from votes to shares of
@@ -32,8 +33,8 @@ LEAST_CHI2 = 25.0       # of such a term's tie to the label
 LEAST_EXAMPLES = 5      # with label 1 that hold it
 NEIGHBOURS = 25
 BLOCK = 256             # examples in a block
-FIRST = 2               # blocks searched before the others
-SLACK = 0.25            # of the k-th cosine found there: bound of the terms left out at first
+FIRST = 4096            # postings of the most telling terms, whose best examples are compared first
+SLACK = 0.4             # of the k-th cosine found there: bound of the terms left out at first
 MEMORY = 1024           # different queries remembered per task
 BYTES = 1 << 20         # of text searched for terms at once
 THRESHOLD = 0.3
@@ -188,19 +189,21 @@ class Index:
         cell, part = _ranges(lo, n), np.repeat(q, n)
         most, block = part * self.most.take(cell), self.cell_block.take(cell)
         bound = np.bincount(block, most, self.blocks)
-        near = np.zeros(self.blocks, bool)
-        near[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        some = np.flatnonzero(near.take(block))
-        sums = self._sums(cell.take(some), part.take(some)).ravel()
-        places = np.flatnonzero(sums)
-        places, cosines = self._best(places, sums[places], k)
-        kth = cosines[-1] if len(cosines) == k else 0.0
-        # terms of the lowest bounds are left out while these add up to less than ``SLACK`` of the k-th cosine
+        # a first k-th cosine: the whole of those that share most with the rarest telling terms
         peaks = q * self.peak[terms]
         low = np.argsort(peaks)
+        lo, n_all = self.from_term[terms[low[::-1]]], self.from_term[terms[low[::-1]] + 1] - self.from_term[terms[low[::-1]]]
+        some = max(1, int(np.searchsorted(np.cumsum(n_all), FIRST)))
+        where = _ranges(lo[:some], n_all[:some])
+        sums = np.bincount(self.place.take(where), np.repeat(q[low[::-1][:some]], n_all[:some]) * self.weight.take(where), self.n)
+        places = np.argpartition(-sums, k)[:k] if self.n > k else np.arange(self.n)
+        seeds = places = places[sums[places] > 0]
+        places, cosines = self._best(places, self._whole(places, dense), k)
+        kth = cosines[-1] if len(cosines) == k else 0.0
+        # terms of the lowest bounds are left out while these add up to less than ``SLACK`` of the k-th cosine
         told = np.ones(len(terms), bool)
         told[low[:np.searchsorted(np.cumsum(peaks[low]), kth * SLACK)]] = False
-        left = (bound >= kth - 1e-6) & (bound > 0) & ~near
+        left = (bound >= kth - 1e-6) & (bound > 0)
         if left.any():
             told = np.repeat(told, n)
             some = np.flatnonzero(told & left.take(block))
@@ -209,8 +212,9 @@ class Index:
             rest = np.bincount(block.take(some), most.take(some), self.blocks)[:, None]
             if left.sum() * self.block > k:         # a k-th sum of telling terms alone bounds the k-th cosine too
                 kth = max(kth, np.partition(sums[left].ravel(), -k)[-k])
-            more = np.flatnonzero(((sums + rest >= kth - 1e-6) & (sums + rest > 0) & left[:, None]).ravel())
-            more = more[more < self.n]
+            open_ = ((sums + rest >= kth - 1e-6) & (sums + rest > 0) & left[:, None]).ravel()
+            open_[seeds] = False
+            more = np.flatnonzero(open_[:self.n])
             places, cosines = self._best(np.append(places, more), np.append(cosines, self._whole(more, dense)), k)
         dense[terms] = 0
         return self.order[places], cosines
