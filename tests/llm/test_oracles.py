@@ -32,7 +32,7 @@ CONTRACTS = {
     "op2": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op4": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op5": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
-    "op6": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op6": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int", "neighbours": "array<bigint>", "cosines": "array<double>"},
     "op7": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op8": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
