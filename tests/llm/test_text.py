@@ -131,6 +131,46 @@ def test_secrets_of_any_length_are_proposed(spark):
     assert {r.t1: r.match for r in found} == dict(enumerate(keys))
 
 
+PEOPLE = ["Anna Weber", "Dr. Lovelace", "Jean Dubois", "Mrs Carmen Ortega", "Juan P\u00e9rez", "Klaus M\u00fcller"]
+HOUSES = ["12 Baker Street", "221b Long Lane", "Lindenstra\u00dfe 7", "14 rue de Lille"]
+NOBODY = ["Apache License", "Thorn Bank", "Green Ministry", "Quill Institute", "Paris Company"]
+
+
+def proposals(spark, rows, words=None):
+    got = pii.spans(spark.createDataFrame(rows, "doc_id long, text string"), words=words).where(F.col("kind").isin("name", "address")).collect()
+    return Counter((r.kind, r.match) for r in got)
+
+
+def test_gazetteer_votes_for_names_and_addresses(spark):
+    """Names and street addresses are added where the word table and the words before them speak for it."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(240):
+        some = [f"my name is {rng.choice(PEOPLE)} and", f"then {rng.choice(PEOPLE)} said", f"who lives at {rng.choice(HOUSES)} since",
+                f"under the {rng.choice(NOBODY)} of", "while Quirk Zebber ran", "on \u65e5\u672c 12 Things", f"mail a{i}@b.com now"]
+        rows.append((i, " ".join(rng.sample(some, len(some)))))
+    rows += [(900, None), (901, ""), (902, "Anna"), (903, "A " * 5000), (0, rows[0][1])]
+    got = proposals(spark, rows)
+    text = " ".join(t or "" for t in {t for _, t in rows})       # equal texts give their spans once
+    said = Counter({("name", m): text.count(m) for m in PEOPLE}) + Counter({("address", m): text.count(m) for m in HOUSES})
+    assert sum(got.values()) > 0.9 * 240 * 3 and all(got[x] >= 0.9 * (n - 3) for x, n in said.items())
+    assert not {m for _, m in got} & {*NOBODY, "Quirk Zebber", "12 Things"}
+    # a table of the caller's own, with repeated and null rows, in place of the fixed one
+    more = spark.createDataFrame([("QUIRK", "given"), ("quirk", "given"), ("zebber", "family"), (None, "given"), ("thorn", None)], "word string, what string")
+    own = pii.gazetteer(spark).unionByName(more)
+    names = proposals(spark, rows, own)
+    assert names["name", "Quirk Zebber"] >= 240 and not {m for _, m in names} & set(NOBODY)
+    assert not {m for _, m in proposals(spark, rows, own.where("false"))} & {*NOBODY, "Quirk Zebber"}      # no labeler speaks for them
+
+
+def test_gazetteer_says_what_its_words_say(spark):
+    found = spark.createDataFrame([("name", "Anna Weber"), ("name", "Anna Weber"), ("name", "Paris Company"), ("name", "Anna Bank"), ("name", "Qo Qa"),
+                                   ("address", "12 Baker Street"), ("address", "9 Bank Gate"), ("email", "anna@weber.de")], "kind string, match string")
+    got = {(r["kind"], r["match"]): r["gazetteer"] for r in pii._heard(found, pii.gazetteer(spark)).collect()}
+    assert got == {("name", "Anna Weber"): 1, ("name", "Paris Company"): -1, ("name", "Anna Bank"): 0, ("address", "12 Baker Street"): 1,
+                   ("address", "9 Bank Gate"): -1}
+
+
 def test_labelers_are_told_apart():
     """A labeler that follows the truth gets more weight than one that guesses."""
     rng = random.Random(1)
