@@ -33,7 +33,7 @@ LEAST_EXAMPLES = 5      # with label 1 that hold it
 NEIGHBOURS = 25
 BLOCK = 256             # examples in a block
 FIRST = 2               # blocks searched before the others
-SLACK = 0.25            # of the k-th cosine found there: bound of the terms left out at first
+SLACK = 0.1             # of the k-th cosine found there: bound of the terms left out at first (the neighbours do not depend on it)
 MEMORY = 1024           # different queries remembered per task
 BYTES = 1 << 20         # of text searched for terms at once
 THRESHOLD = 0.3
