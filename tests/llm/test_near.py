@@ -115,6 +115,18 @@ def test_components_of_paths_stars_and_loops(spark):
     assert common.components(df.where("false")).count() == 0
 
 
+def test_components_stop_once_they_are_stars(spark, monkeypatch):
+    """Found components are not gone over again: each round's tasks stay in the driver's memory."""
+    stored, names = common.stored, []
+    monkeypatch.setattr(common, "stored", lambda df, name: names.append(name) or stored(df, name))
+    stars = spark.createDataFrame([(100 * i, 100 * i + j) for i in range(20) for j in range(1, 9)], "a long, b long").repartition(5)
+    assert {(r.node, r.component) for r in common.components(stars).collect()} == {(100 * i + j, 100 * i) for i in range(20) for j in range(9)}
+    assert len(names) == 1
+    joined = stars.unionByName(spark.createDataFrame([(108, 205), (301, 100)], "a long, b long"))
+    got = {r.node: r.component for r in common.components(joined).collect()}
+    assert got == {100 * i + j: 100 if i in (1, 2, 3) else 100 * i for i in range(20) for j in range(9)}
+
+
 def test_substring_against_counted_windows(docs, texts, none):
     for window, seed in ((35, 10), (6, 2)):
         words = [(t or "").encode().split() for _, t in texts]

@@ -151,10 +151,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)`` (long ids):
     the smallest node reachable.
 
-    Alternating large-star and small-star rounds.  Edges are contracted per
+    Alternating large-star and small-star rounds, until every edge leads from the
+    smallest node of its component.  Edges are contracted per
     Arrow batch first, minima are pre-aggregated before their shuffle, and
     the joins on a node are ordinary sort-merge joins that AQE splits when
-    one node holds many edges.  Each round is written to the shared folder.
+    one node holds many edges.  Each star is written to the shared folder, so that
+    no plan holds another's: the driver keeps something of every task and plan.
     """
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
@@ -165,20 +167,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         else:
             moved = both.where("v < u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(
                 low.where("m < u").select(F.col("m").alias("a"), F.col("u").alias("b")))
-        return moved.where("a <> b").distinct()
+        return stored(moved.where("a <> b").distinct(), "edges")
+
+    def settled(e: DataFrame) -> bool:
+        """Whether no node ends two edges, or ends one and begins another (edges are distinct, a < b)."""
+        ends = e.select(F.col("b").alias("u"), F.lit(1).alias("end")).unionByName(e.select(F.col("a").alias("u"), F.lit(0).alias("end")))
+        return not ends.groupBy("u").agg(F.sum("end").alias("n"), F.min("end").alias("low")).select(
+            F.count_if(F.expr("n > 1 or n = 1 and low = 0"))).first()[0]
 
-    schema = "a long, b long"
     now = stored(edges.select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b"))
-                 .where("a <> b").mapInArrow(_contract, schema).distinct(), "edges")
-    done = now.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+                 .where("a <> b").mapInArrow(_contract, "a long, b long").distinct(), "edges")
     for _ in range(max_rounds):
-        if not done[0]:
-            break
-        now = stored(star(star(now, True), False), "edges")
-        state = now.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == done:
+        if settled(now):
             break
-        done = state
+        now = star(star(now, True), False)
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(

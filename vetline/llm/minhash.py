@@ -221,10 +221,13 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
                         .select("a", "b", "a_text", "b_text")
                         .mapInArrow(_confirm(shingle, percent), "a long, b long"), name)
 
+    def joined(comp: DataFrame) -> DataFrame:
+        """Components found so far, as links to their smallest nodes: later rounds go on from there."""
+        return comp.select(F.col("component").alias("a"), F.col("node").alias("b"))
+
     stars = met.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     stars = c.stored(stars.join(side(about, "a"), "a").join(side(about, "b"), "b").where(likely()).select("a", "b"), "stars")
-    links = confirmed(stars, "links")
-    first = c.components(links)
+    first = c.components(confirmed(stars, "links"))
     # Second round, in buckets that still hold several components.  Shingles that no other document there has
     # count towards the difference of any pair, so the member with the fewest of its own is the one closest to
     # whatever the others copy, and a pair with too many between them cannot be linked.
@@ -240,8 +243,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     facts = left.select("node", "n", "s1", "s2", "u").distinct()
     again = c.stored(again.join(side(facts, "a"), "a").join(side(facts, "b"), "b").where(likely() & _possible(percent))
                      .select("a", "b"), "again")
-    links = links.unionByName(confirmed(again, "again_links"))
-    second = c.components(links)
+    second = c.components(joined(first).unionByName(confirmed(again, "again_links")))
     # Last, all pairs of different components that share a sub-key of A (so all that share a table): blocks of
     # such a bucket meet in tasks of bounded size, which return one link for each two components they join.
     rest = _mixed_buckets(left.select("key", "node"), second).select("node", "comp").distinct().join(facts, "node")
@@ -255,7 +257,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         "i", "a", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "comp", "n", "u",
         "s1", "s2", "sub", "grams")
     cross = c.stored(dealt.groupBy("i", "a", "p", "q").applyInArrow(_met(percent), "a long, b long"), "cross_links")
-    comp = c.components(links.unionByName(cross))
+    comp = c.components(joined(second).unionByName(cross))
     return signed, nodes.join(comp, "node", "left").select("set_id", "low_id", F.coalesce("component", "node").alias("component"))
 
 
