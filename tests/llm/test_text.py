@@ -392,6 +392,23 @@ def test_block_max_search_is_exact():
         assert np.allclose(full[want], cos) and list(near) == want and not dense.any()
 
 
+def test_block_max_search_reads_no_postings_of_common_terms(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.where(rng.random((600, 200)) < np.append(np.full(20, 0.5), np.full(180, 0.01)), rng.random((600, 200)), 0).astype(np.float32)
+    x = vectors.tf_idf(x * 9, np.ones(200, np.float32))
+    example, term = np.nonzero(x)
+    index = toxicity.Index(*x.shape, example, term, x[example, term], block=16)
+    sums, read = index._sums, []
+    monkeypatch.setattr(index, "_sums", lambda cell, q: read.append(int((index.cell[cell + 1] - index.cell[cell]).sum())) or sums(cell, q))
+    for q in x[:80].astype(np.float64):
+        at, full = np.flatnonzero(q), x.astype(np.float64) @ q
+        want = [i for i in np.lexsort((np.arange(len(full)), -np.round(full, 9)))[:7] if full[i] > 0]
+        read.clear()
+        near, cos = index.nearest(at, q[at], 7)
+        assert np.allclose(full[want], cos) and list(near) == want
+        assert sum(read) <= (x[:, at[at >= 20]] > 0).sum()
+
+
 def test_toxicity_against_a_full_comparison(spark):
     """Neighbours, cosines and votes by a plain loop over all labelled texts and all of their words."""
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")

@@ -5,9 +5,11 @@ ties to the label (chi-square); document frequencies come from the whole corpus.
 and grams that speak for label 1 weigh ``EMPHASIS`` times their idf, so one coded
 word in a long text is not drowned by what else the text is about.  The
 labelled vectors form an inverted index whose postings are cut into blocks of
-like examples, with the largest weight of each term in each block.  A query visits the
-blocks of the highest bounds first; elsewhere it adds up its telling terms only, and
-compares in whole each example that the bounds of the rest leave: the neighbours
+like examples, with the largest weight of each term in each block; blocks of common
+terms are also held in full, as rows, which several queries multiply at once in
+single precision.  A query visits the blocks of the highest bounds first, then
+those whose bounds allow more, and
+compares in whole each example that the rounding leaves: the neighbours
 are exactly those of a full comparison.  The index is bounded by the sample
 (``SAMPLE`` examples) and sent to every task.
 
@@ -18,6 +20,8 @@ those of its copies) calibrates the score.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +37,9 @@ LEAST_EXAMPLES = 5      # with label 1 that hold it
 NEIGHBOURS = 25
 BLOCK = 256             # examples in a block
 FIRST = 2               # blocks searched before the others
-SLACK = 0.1             # of the k-th cosine found there: bound of the terms left out at first (the neighbours do not depend on it)
-MEMORY = 1024           # different queries remembered per task
+COMMON = 16             # a term that one place in so many holds has a row of all places too (the neighbours do not depend on it)
+AT_ONCE = 64            # queries that multiply the rows together
+MEMORY = 1024           # different queries remembered per task, or those of one batch of texts
 BYTES = 1 << 20         # of text searched for terms at once
 THRESHOLD = 0.3
 
@@ -133,7 +138,8 @@ class Index:
         self.n, self.size, self.block, self.blocks = n, size, block, max(1, -(-n // block))
         # terms are numbered anew, the commonest first, so that lookups stay close together
         self.renumbered = np.empty(size, np.int64)
-        self.renumbered[np.argsort(-np.bincount(term, minlength=size), kind="stable")] = np.arange(size)
+        held = np.bincount(term, minlength=size)
+        self.renumbered[np.argsort(-held, kind="stable")] = np.arange(size)
         term = self.renumbered[term]
         # examples that share common words lie in one block, so that its bounds are tight
         near = np.zeros((n, min(size, 48)), bool)
@@ -155,8 +161,13 @@ class Index:
         self.most = np.maximum.reduceat(self.weight, self.cell) if len(of) else np.empty(0, np.float32)
         self.from_cell = np.searchsorted(of[self.cell] // self.blocks, np.arange(size + 1))
         self.cell = np.append(self.cell, len(of))
-        self.peak = np.zeros(size, np.float32)
-        np.maximum.at(self.peak, term, weight.astype(np.float32))
+        # the blocks of common terms in full (COMMON times the postings at most); a sum of q products in single precision
+        # is off by less than q + 2 roundings of it, and it is 1 at most
+        self.common = np.count_nonzero(held * COMMON >= self.blocks * block)
+        self.rows = np.zeros((self.common, self.blocks * block), np.float32)
+        some = term < self.common
+        self.rows[term[some], place[example[some]]] = weight[some]
+        self.off = (self.common + 2) * 2.0 ** -23
 
     def _whole(self, places: np.ndarray, dense: np.ndarray) -> np.ndarray:
         """Cosines of the query with whole examples."""
@@ -176,10 +187,20 @@ class Index:
         best = best[cosines[best] > 0][:k]
         return places[best], cosines[best]
 
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, dense: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def rough(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each query (terms and weights), what common terms add to its cosine
+        with each place, by block, to within ``off``."""
+        of, term = np.repeat(np.arange(len(queries)), [len(t) for t, _ in queries]), self.renumbered[np.concatenate([t for t, _ in queries])]
+        some, x = term < self.common, np.zeros((len(queries), self.common), np.float32)
+        x[of[some], term[some]] = np.concatenate([q for _, q in queries])[some]
+        return (x @ self.rows).reshape(-1, self.blocks, self.block)
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, dense: np.ndarray | None = None,
+                rough: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The examples with the k highest positive cosines (ties: lower
         number) and these cosines.  ``dense`` is all zeros, one for each term, and
-        is left so."""
+        is left so; ``rough`` is this query's part of ``rough()``."""
+        rough = self.rough([(terms, q)])[0] if rough is None else rough
         terms = self.renumbered[terms]
         dense = np.zeros(self.size) if dense is None else dense
         dense[terms] = q
@@ -190,28 +211,21 @@ class Index:
         bound = np.bincount(block, most, self.blocks)
         near = np.zeros(self.blocks, bool)
         near[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        some = np.flatnonzero(near.take(block))
-        sums = self._sums(cell.take(some), part.take(some)).ravel()
-        places = np.flatnonzero(sums)
-        places, cosines = self._best(places, sums[places], k)
-        kth = cosines[-1] if len(cosines) == k else 0.0
-        # terms of the lowest bounds are left out while these add up to less than ``SLACK`` of the k-th cosine
-        peaks = q * self.peak[terms]
-        low = np.argsort(peaks)
-        told = np.ones(len(terms), bool)
-        told[low[:np.searchsorted(np.cumsum(peaks[low]), kth * SLACK)]] = False
+        rare = np.repeat(terms >= self.common, n)
+        some = np.flatnonzero(rare & near.take(block))
+        sums = rough + self._sums(cell.take(some), part.take(some))
+        kth = max(0.0, np.partition(sums[near].ravel(), -k)[-k] - self.off) if near.sum() * self.block >= k else 0.0
         left = (bound >= kth - 1e-6) & (bound > 0) & ~near
         if left.any():
-            told = np.repeat(told, n)
-            some = np.flatnonzero(told & left.take(block))
-            sums = self._sums(cell.take(some), part.take(some))
-            some = np.flatnonzero(~told)
-            rest = np.bincount(block.take(some), most.take(some), self.blocks)[:, None]
-            if left.sum() * self.block > k:         # a k-th sum of telling terms alone bounds the k-th cosine too
-                kth = max(kth, np.partition(sums[left].ravel(), -k)[-k])
-            more = np.flatnonzero(((sums + rest >= kth - 1e-6) & (sums + rest > 0) & left[:, None]).ravel())
-            more = more[more < self.n]
-            places, cosines = self._best(np.append(places, more), np.append(cosines, self._whole(more, dense)), k)
+            some = np.flatnonzero(rare & left.take(block))
+            sums += self._sums(cell.take(some), part.take(some))
+        at = np.flatnonzero(left | near)
+        sums = sums[at]
+        if sums.size >= k:          # a k-th sum bounds the k-th cosine
+            kth = max(kth, np.partition(sums.ravel(), -k)[-k] - self.off)
+        i, j = np.nonzero((sums >= kth - self.off - 1e-6) & (sums > 0))
+        places = at[i] * self.block + j
+        places, cosines = self._best(places, self._whole(places, dense), k)
         dense[terms] = 0
         return self.order[places], cosines
 
@@ -270,32 +284,38 @@ class Model:
         for i in np.flatnonzero(~bare):
             lo, hi = starts[i], starts[i + 1]
             same.setdefault(c.id128(term[lo:hi].tobytes() + x[lo:hi].tobytes()), []).append(i)
-        for copies in same.values():            # each without its own copies
-            lo, hi = starts[copies[0]], starts[copies[0] + 1]
-            near, cos = self.nearest(term[lo:hi].astype(np.int64), x[lo:hi].astype(np.float64), NEIGHBOURS + len(copies))
-            other = ~np.isin(near, copies)
+        copies = list(same.values())
+        queries = [(term[starts[i]:starts[i + 1]].astype(np.int64), x[starts[i]:starts[i + 1]].astype(np.float64)) for i, *_ in copies]
+        for own, (near, cos) in zip(copies, self.nearest(queries, [NEIGHBOURS + len(own) for own in copies])):
+            other = ~np.isin(near, own)         # each without its own copies
             votes.append(voted(self.y[near[other][:NEIGHBOURS]], cos[other][:NEIGHBOURS], self.prior))
-            labels.append(self.y[copies].mean())
+            labels.append(self.y[own].mean())
         self.curve = calibration(np.array(votes), np.array(labels)) if votes else None
 
     def __getstate__(self):
         return {k: x for k, x in self.__dict__.items() if k not in ("index", "dense")}
 
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms and weights) the numbers and cosines of the k nearest examples."""
         if "index" not in self.__dict__:
             of, term, x = self.entries
             self.index = Index(len(self.y), self.terms.size, of.astype(np.int64), term.astype(np.int64), x)
             self.dense = np.zeros(self.terms.size)
-        return self.index.nearest(terms, q, k, self.dense)
-
-    def one(self, terms: np.ndarray, n: np.ndarray) -> tuple[float, list[int], list[float]]:
-        q = weighed(np.zeros(len(terms), np.int64), terms, n, self.term_weight, 1)
-        near, cos = self.nearest(terms, q, NEIGHBOURS)
-        if not len(near):
-            return self.bare, [], []
-        vote = voted(self.y[near], cos, self.prior)
-        p = float(np.interp(vote, *self.curve)) if self.curve is not None else vote
-        return min(max(p, 0.0), 1.0), [self.ids[i] for i in near], [float(s) for s in cos]
+        for i in range(0, len(queries), AT_ONCE):
+            some = queries[i:i + AT_ONCE]
+            for (terms, q), n, rough in zip(some, k[i:i + AT_ONCE], self.index.rough(some)):
+                yield self.index.nearest(terms, q, n, self.dense, rough)
+
+    def several(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[int], list[float]]]:
+        """Scores and neighbours of texts given as terms and counts."""
+        queries = [(terms, weighed(np.zeros(len(terms), np.int64), terms, n, self.term_weight, 1)) for terms, n in texts]
+        for near, cos in self.nearest(queries, [NEIGHBOURS] * len(queries)):
+            if not len(near):
+                yield self.bare, [], []
+                continue
+            vote = voted(self.y[near], cos, self.prior)
+            p = float(np.interp(vote, *self.curve)) if self.curve is not None else vote
+            yield min(max(p, 0.0), 1.0), [self.ids[i] for i in near], [float(s) for s in cos]
 
     def scores(self, texts: list[bytes], memory: dict) -> list[tuple[float, list[int], list[float]]]:
         """Score of each text, and the neighbours that gave it; ``memory``
@@ -309,13 +329,17 @@ class Model:
                 end += 1
             of, term, n = self.terms.found(texts[at:end])
             cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else ()
+            keys, new = [], {}
             for lo, hi in zip(cuts, np.append(cuts[1:], len(of)) if len(of) else ()):
-                key = c.id128(term[lo:hi].tobytes() + n[lo:hi].tobytes())
-                if key not in memory:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    memory[key] = self.one(term[lo:hi], n[lo:hi])
-                out[at + of[lo]] = memory[key]
+                keys.append((at + of[lo], c.id128(term[lo:hi].tobytes() + n[lo:hi].tobytes())))
+                if keys[-1][1] not in memory:
+                    new.setdefault(keys[-1][1], (term[lo:hi], n[lo:hi]))
+            known = {key: memory[key] for _, key in keys if key not in new} | dict(zip(new, self.several(list(new.values()))))
+            if len(memory) + len(new) > MEMORY:
+                memory.clear()
+            memory.update(known)
+            for i, key in keys:
+                out[i] = known[key]
             at = end
         return out
 
