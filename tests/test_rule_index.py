@@ -115,6 +115,13 @@ def test_rules_of_a_profile(spark):
     assert got == {1: want, 4: want}
 
 
+def test_profiles_of_one_split_are_parsed_on_all_cores(spark):
+    df = spark.createDataFrame([(i, TEXT) for i in range(40)], "profile_id int, text string").coalesce(1)
+    got = profile.profile_rules(df)
+    assert "RoundRobinPartitioning" in got._jdf.queryExecution().toString()
+    assert got.count() == 40 * 13
+
+
 def test_a_profile_scores_messages(spark, tmp_path):
     at = tmp_path / "profile.md"
     at.write_text(TEXT)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetline import session
 from vetline.functions.text import PY_WHITESPACE
 
 
@@ -62,8 +63,10 @@ def profile_rules(profiles: DataFrame, id_col: str = "profile_id", text_col: str
     an item names is one rule, a case-insensitive pattern at word boundaries, so the
     rule index finds it by its text.  Null or blank texts state none.
 
-    One profile is one row, read whole; only its rules are shuffled, to be numbered.
+    One profile is one row, read whole; its rules are shuffled, to be numbered, and before
+    that the profiles of a scan of few splits, to be parsed on all cores.
     """
+    profiles = session.spread(profiles)
     text = F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\r\n?", "\n")
     sections = profiles.select(F.col(id_col), F.posexplode(F.split(F.concat(F.lit("\n"), text), _SECTION)).alias("s", "part"))
     sections = sections.select(id_col, "s", "part", F.trim(F.regexp_extract("part", r"^## +(?:\d+\. *)?([^\n]*)", 1)).alias("section"))
