@@ -175,6 +175,22 @@ def _met(percent: int):
     return run
 
 
+def _shared_subs(nodes: DataFrame) -> DataFrame:
+    """``node`` and ``sub``, its sub-keys (``i``, ``s``) that other nodes have too.
+    Nodes that share a key of the tensor product share both its sub-keys, so the
+    others, most of them, are left out before the product."""
+    subs = nodes.select("node", F.posexplode("sub").alias("i", "s"))
+    shared = subs.groupBy("i", "s").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("i", "s")
+    return subs.join(shared, ["i", "s"]).groupBy("node").agg(F.collect_list(F.struct("i", "s")).alias("sub"))
+
+
+def _keys(subs: DataFrame, m: int) -> DataFrame:
+    """The tensor product: one ``key`` for each pair of a node's sub-keys of A and B."""
+    a, b = (F.explode(F.expr(f"filter(sub, x -> x.i {of} {m})")).alias(name) for of, name in (("<", "a"), (">=", "b")))
+    return subs.select("node", "sub", a).select("node", "a", b).select(
+        "node", F.xxhash64(F.col("a.i") * m + F.col("b.i") - m, "a.s", "b.s").alias("key"))
+
+
 def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, sub_keys: int, sub_size: int) -> tuple[DataFrame, DataFrame]:
     """The rows (``row_id``, hashes ``t1`` and ``t2`` of the text, ``n``
     shingles, ``set_id``) and the component (a number) of each ``set_id``.
@@ -197,10 +213,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
         F.min("row_id").alias("low_id"), F.first(F.struct("n", "s1", "s2", "t1", "t2", "sub")).alias("x"))
         .select(F.monotonically_increasing_id().alias("node"), "set_id", "low_id", "x.*"), "nodes")
     m = sub_keys
-    # the tensor product: one key for each pair of sub-keys
-    keys = nodes.select("node", "sub", F.explode(F.sequence(F.lit(0), F.lit(m * m - 1))).alias("t")).select(
-        "node", F.xxhash64("t", F.col("sub")[F.floor(F.col("t") / m).cast("int")],
-                           F.col("sub")[(F.col("t") % m + m).cast("int")]).alias("key"))
+    keys = _keys(c.stored(_shared_subs(nodes), "shared_subs"), m)
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     met = c.stored(keys.join(shared.select("key", "low"), "key"), "met")
     wanted = nodes.join(met.select("node").distinct(), "node").select("node", "t1", "t2")
