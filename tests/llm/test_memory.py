@@ -1,10 +1,11 @@
 """What reaches the tensor product and the driver."""
 
+import pickle
 from collections import Counter
 
 import numpy as np
 
-from vetline.llm import minhash
+from vetline.llm import minhash, toxicity
 
 
 def test_only_shared_sub_keys_reach_the_tensor_product(spark):
@@ -24,3 +25,21 @@ def test_only_shared_sub_keys_reach_the_tensor_product(spark):
     many = lambda buckets: Counter(tuple(sorted(b)) for b in buckets.values() if len(b) > 1)     # noqa: E731
     assert many(got) == many(wanted)
     assert {n for b in got.values() for n in b} <= set(range(40))
+
+
+def test_model_passes_the_driver_packed():
+    r = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(3000)]
+    rows = [(i, " ".join(r.choice(words, 300)).encode(), int(i % 7 == 0)) for i in range(300)]
+    hashes = np.unique(toxicity.c.hashed_words([" ".join(words).encode()])[0])
+    terms = toxicity.Terms(hashes, np.empty(0, np.uint64))
+    model = toxicity.Model(terms, r.random(terms.size).astype(np.float32) + np.float32(0.1), rows)
+    of, term, x = model.entries()
+    assert len(of) == sum(len(set(t.split())) for _, t, _ in rows) and (np.diff(of * terms.size + term) > 0).all()
+    assert np.allclose(np.bincount(of, x.astype(float) ** 2), 1, atol=1e-5)
+    there = pickle.dumps(model)
+    assert len(there) < 4 * len(of)         # 12 bytes an entry before
+    again = pickle.loads(there)
+    assert all((a == b).all() for a, b in zip(model.entries(), again.entries()))
+    texts = [t for _, t, _ in rows[:70]] + [b"", b"nothing known"]
+    assert again.scores(texts, {}) == model.scores(texts, {})

@@ -20,6 +20,7 @@ those of its copies) calibrates the score.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -261,6 +262,15 @@ def weighed(of: np.ndarray, term: np.ndarray, n: np.ndarray, weight: np.ndarray,
     return x / np.where(norm > 0, norm, 1)[of]
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Integers of 32 bits, their highest bytes first, compressed."""
+    return zlib.compress(np.ascontiguousarray(x.astype(">i4").view(np.uint8).reshape(-1, 4).T), 1)
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(x), np.uint8).reshape(4, -1).T).view(">i4").ravel().astype(np.int64)
+
+
 class Model:
     """Terms, weights, labelled vectors and calibration; bounded by the sample.
     The index is built anew where it is used."""
@@ -272,9 +282,11 @@ class Model:
         parts = [terms.found([t for _, t, _ in rows[i:i + 200]]) for i in range(0, len(rows), 200)]
         of = np.concatenate([p[0] + 200 * i for i, p in enumerate(parts)] or [np.empty(0, np.int64)])
         term, n = (np.concatenate([p[j] for p in parts] or [np.empty(0, np.int64)]) for j in (1, 2))
-        x = weighed(of, term, n, weight, len(rows))
-        self.entries = of[x > 0].astype(np.int32), term[x > 0].astype(np.int32), x[x > 0].astype(np.float32)
-        of, term, x = self.entries
+        some = weighed(of, term, n, weight, len(rows)) > 0
+        # the vectors as terms (each the difference from the one before) and counts, packed: the model passes through the driver
+        self.held = np.bincount(of[some], minlength=len(rows)).astype(np.int32)
+        self.packed = _packed(np.diff(term[some], prepend=0)), _packed(n[some])
+        of, term, x = self.entries()
         starts = np.searchsorted(of, np.arange(len(rows) + 1))
         bare = starts[1:] == starts[:-1]
         self.prior = float((self.y.sum() + 0.5) / (len(self.y) + 1))
@@ -295,11 +307,16 @@ class Model:
     def __getstate__(self):
         return {k: x for k, x in self.__dict__.items() if k not in ("index", "dense")}
 
+    def entries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Example, term and weight of the vectors, by example and term."""
+        of, (term, n) = np.repeat(np.arange(len(self.held)), self.held), map(_unpacked, self.packed)
+        term = np.cumsum(term)
+        return of, term, weighed(of, term, n, self.term_weight, len(self.held)).astype(np.float32)
+
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query (terms and weights) the numbers and cosines of the k nearest examples."""
         if "index" not in self.__dict__:
-            of, term, x = self.entries
-            self.index = Index(len(self.y), self.terms.size, of.astype(np.int64), term.astype(np.int64), x)
+            self.index = Index(len(self.y), self.terms.size, *self.entries())
             self.dense = np.zeros(self.terms.size)
         for i in range(0, len(queries), AT_ONCE):
             some = queries[i:i + AT_ONCE]
@@ -367,6 +384,7 @@ def _frequencies(docs: DataFrame, text_col: str, terms: Terms) -> tuple[int, np.
 
     terms_size = terms.size
     sums = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).toArrow()
+    known.destroy()
     out = np.zeros(terms_size + 1, np.int64)
     out[sums.column("f").to_numpy()] = sums.column("n").to_numpy()
     return int(out[terms_size]), out[:terms_size]

@@ -157,8 +157,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
 
 def fitted(sample: DataFrame, fit: Callable[[list[tuple[int, str, int]]], object]) -> object:
     """What ``fit`` makes of the bounded sample (rows in order of their ids),
-    in one task; only the result reaches the driver."""
+    in one task; only the result reaches the driver, as an Arrow batch, which its
+    JVM passes on as it is (a row of a pickled result would be copied several times)."""
     def run(batches):
         rows = sorted(r for b in batches for r in zip(*(col.to_pylist() for col in b.columns)))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
-    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"])
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").toArrow().column("model")[0].as_buffer())
