@@ -1,11 +1,15 @@
-"""What reaches the tensor product and the driver."""
+"""What reaches the tensor product and the driver, and what Python workers hold."""
 
+import importlib.util
 import pickle
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 
 from vetline.llm import minhash, toxicity
+from vetline.llm.queries import tokenizer_path
+from vetline.llm.token_ids import TokenIds
 
 
 def test_only_shared_sub_keys_reach_the_tensor_product(spark):
@@ -43,3 +47,39 @@ def test_model_passes_the_driver_packed():
     assert all((a == b).all() for a, b in zip(model.entries(), again.entries()))
     texts = [t for _, t, _ in rows[:70]] + [b"", b"nothing known"]
     assert again.scores(texts, {}) == model.scores(texts, {})
+
+
+def test_workers_keep_one_table_of_powers():
+    spec = importlib.util.find_spec("vetline.llm.common")
+    common = importlib.util.module_from_spec(spec)      # as in a new worker
+    spec.loader.exec_module(common)
+    tracemalloc.start()
+    try:
+        for n in (1, 2, 3, 1000, 1024, 1025, 70_000, 300_000, 500, 2 ** 19):
+            up, down = common.powers(n)
+            assert min(len(up), len(down)) >= n and (up[:n] * down[:n] == 1).all()
+            assert (up[1:n] == up[:n - 1] * np.uint64(common._BASE)).all()
+        del up, down
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 1.2 * 2 * 8 * 2 ** 19         # twice that with a table for each size
+
+
+def test_token_ids_of_large_batches_take_little_memory():
+    r = np.random.default_rng(8)
+    words = ["".join(map(chr, r.integers(97, 123, n))) for n in r.integers(2, 9, 2000)]
+    texts = [" ".join(r.choice(words, 400)) for _ in range(2500)]
+    ids_of = TokenIds(tokenizer_path())
+    ids_of([" ".join(words)])
+    size = sum(map(len, texts))
+    assert size > 5_000_000
+    tracemalloc.start()
+    try:
+        got = ids_of(texts)
+        peak = tracemalloc.get_traced_memory()[1] - sum(x.nbytes for x in got)
+    finally:
+        tracemalloc.stop()
+    assert peak < 80_000_000, peak
+    for i in range(0, len(texts), 250):
+        assert got[i].tolist() == ids_of.tok.encode(texts[i], add_special_tokens=False).ids

@@ -69,18 +69,20 @@ def gram_hashes(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
 _R = np.random.default_rng(11)
 _VALUES = _R.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least n."""
-    size = 1 << max(n - 1, 1).bit_length()
-    if size not in _POWERS:
-        if len(_POWERS) > 8:
-            _POWERS.clear()
-        _POWERS[size] = tuple(np.append(np.uint64(1), np.cumprod(np.full(size - 1, b, np.uint64), dtype=np.uint64))
-                              for b in (_BASE, pow(_BASE, -1, 2**64)))
-    return _POWERS[size]
+_POWERS: tuple[np.ndarray, ...] = (np.ones(1, np.uint64),) * 2
+
+
+def powers(n: int) -> tuple[np.ndarray, ...]:
+    """Powers of an odd base and of its inverse modulo 2**64, at least n.  Only
+    the longest are kept, which begin with all shorter ones: a Python worker lives on
+    after its task."""
+    global _POWERS
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        _POWERS = ()        # the old go before the new are made
+        _POWERS = tuple(np.append(np.uint64(1), np.cumprod(np.full(size - 1, b, np.uint64), dtype=np.uint64))
+                        for b in (_BASE, pow(_BASE, -1, 2**64)))
+    return _POWERS
 
 
 def byte_values(buf: np.ndarray) -> np.ndarray:
