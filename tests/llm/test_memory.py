@@ -2,12 +2,16 @@
 
 import importlib.util
 import pickle
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
-from vetline.llm import minhash, toxicity
+from vetline.llm import minhash, packing, toxicity
 from vetline.llm.queries import tokenizer_path
 from vetline.llm.token_ids import TokenIds
 
@@ -63,7 +67,7 @@ def test_workers_keep_one_table_of_powers():
         held = tracemalloc.get_traced_memory()[0]
     finally:
         tracemalloc.stop()
-    assert held < 1.2 * 2 * 8 * 2 ** 19         # twice that with a table for each size
+    assert held < 1.2 * 2 * 8 * 2 ** 19         # a table for each size takes more
 
 
 def test_token_ids_of_large_batches_take_little_memory():
@@ -83,3 +87,16 @@ def test_token_ids_of_large_batches_take_little_memory():
     assert peak < 80_000_000, peak
     for i in range(0, len(texts), 250):
         assert got[i].tolist() == ids_of.tok.encode(texts[i], add_special_tokens=False).ids
+
+
+def test_packing_brings_no_pandas_into_workers():
+    code = "import sys, vetline.llm.packing, vetline.llm.token_ids; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(packing.__file__).parents[2], capture_output=True, text=True,
+                          check=True).stdout == "False\n"
+
+
+def test_short_pieces_are_fitted_as_arrow():
+    t = pa.table({"salt": pa.array([1] * 6, pa.int32()), "bin": pa.array([7, None, None, 5, None, None], pa.int64()),
+                  "size": pa.array([60, 50, 60, 45, 90, 40], pa.int64()), "piece_key": pa.array([None, 3, 9, None, 1, 2], pa.int64())})
+    got = packing._fit(100, 10, 4)((pa.scalar(1),), t)
+    assert got.to_pydict() == {"piece_key": [1, 2, 3, 9], "length": [90, 40, 50, 60], "bin": [11, 5, 15, 7]}

@@ -18,7 +18,6 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,7 +174,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY, small: int = SMALL, groups:
             "room > 0").select(F.pmod(F.xxhash64("bin"), F.lit(shards)).cast("int").alias("salt"), "bin",
                                F.col("room").alias("size"), F.lit(None).cast("long").alias("piece_key"))
         todo = rest.select("salt", F.lit(None).cast("long").alias("bin"), F.col("length").alias("size"), "piece_key")
-        fitted = rooms.unionByName(todo).groupBy("salt").applyInPandas(
+        fitted = rooms.unionByName(todo).groupBy("salt").applyInArrow(
             _fit(capacity, base, shards), "piece_key long, length long, bin long")
         piece_bins = fitted if placed is None else placed.unionByName(fitted)
     if piece_bins is None:
@@ -201,14 +200,13 @@ def _look_up(places):
 
 
 def _fit(capacity: int, base: int, shards: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        todo = pdf["piece_key"].notna()
-        some, rooms = pdf[todo].sort_values("piece_key"), pdf[~todo].sort_values("bin")
-        made = iter(range(base + int(key[0]), 2**62, shards))
-        bins = best_fit(some["size"].to_numpy(), rooms["bin"].astype("int64").tolist(), rooms["size"].tolist(), capacity,
-                        lambda: next(made))
-        return pd.DataFrame({"piece_key": some["piece_key"].astype("int64"), "length": some["size"].astype("int64"),
-                             "bin": np.array(bins, dtype=np.int64)})
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        piece = table.column("piece_key")
+        some, rooms = table.filter(piece.is_valid()).sort_by("piece_key"), table.filter(piece.is_null()).sort_by("bin")
+        made = iter(range(base + key[0].as_py(), 2**62, shards))
+        bins = best_fit(some.column("size").to_numpy(), rooms.column("bin").to_pylist(), rooms.column("size").to_pylist(),
+                        capacity, lambda: next(made))
+        return pa.table({"piece_key": some.column("piece_key"), "length": some.column("size"), "bin": pa.array(bins, pa.int64())})
     return run
 
 

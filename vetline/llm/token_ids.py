@@ -18,7 +18,7 @@ import numpy as np
 
 from vetline.llm import common as c
 
-BLOCK_BYTES = 1 << 19       # text handled at once; its arrays take many times as much, in each Python worker
+BLOCK_BYTES = 1 << 18       # text handled at once; its arrays take many times as much, in each Python worker
 CACHED_RUNS = 1_000_000     # per Python worker, in arrays
 CACHED_CHUNKS = 100_000
 LONGEST = 64                # bytes of a run that is looked up by its hash
