@@ -1,9 +1,12 @@
 """Near-duplicates, repeated windows and lines against plain versions."""
 
+import contextlib
 import hashlib
 import itertools
 import random
+import threading
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 
@@ -289,3 +292,62 @@ def test_embeddings_against_all_pairs(spark):
         got = embeddings.near_duplicates(df, tile=tile).collect()
         assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
     assert embeddings.near_duplicates(df.where("false")).count() == 0
+
+
+class Shuffled:
+    """The bytes of the shuffle files seen meanwhile, as Spark may drop them early."""
+
+    def __init__(self, spark):
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        self.dirs, self.sizes, self.over = [d.getPath() for d in dirs], {}, threading.Event()
+        self.before = set(self.look())
+        self.thread = threading.Thread(target=self.watch)
+
+    def look(self) -> dict[str, int]:
+        return {f.name: f.stat().st_size for d in self.dirs for f in Path(d).glob("*/shuffle_*.data")}
+
+    def watch(self):
+        while not self.over.wait(0.05):
+            with contextlib.suppress(OSError):      # a file may go meanwhile
+                self.sizes.update(self.look())
+
+    def __enter__(self):
+        self.thread.start()
+        return self
+
+    def __exit__(self, *error):
+        self.over.set()
+        self.thread.join()
+
+    def bytes(self) -> int:
+        return sum(n for f, n in self.sizes.items() if f not in self.before)
+
+
+def test_embeddings_on_disk_grow_with_the_rows(spark):
+    """Spread-out vectors are near in no few coordinates, so every block meets every other: none is shuffled for that."""
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((2000, 96))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 600, 2):      # pairs about the threshold, and some at it
+        aside = x[i + 1] - (x[i + 1] @ x[i]) * x[i]
+        cos = 0.95 + rng.choice([0, 1e-12, -1e-12, 1e-6, -1e-6, 1e-4, -1e-4, 3e-3, -3e-3, 0.04])
+        x[i + 1] = cos * x[i] + (1 - cos ** 2) ** 0.5 * aside / np.linalg.norm(aside)
+    x[600:660] = x[0] * rng.uniform(1e-9, 1e9, (60, 1))     # one direction
+    x[700:900] = x[1] + 0.02 * rng.standard_normal((200, 96))
+    x[1000:1500] = x[1000:1500].astype(np.float32)
+    vectors = [*x, *rng.standard_normal((100, 3))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    linked = np.zeros((len(vectors), len(vectors)), bool)
+    for part in (slice(0, 2000), slice(2000, 2100)):
+        unit = embeddings._unit(np.stack(vectors[part]))
+        linked[part, part] = np.einsum("ik,jk->ij", unit, unit, optimize=False) >= 0.95
+    np.fill_diagonal(linked, False)
+    unsure = np.flatnonzero(np.abs(np.einsum("ij,ij->i", x[:600:2], x[1:600:2]) - 0.95) < 1e-14)    # told by the last bit
+    for i in 2 * unsure:
+        u = embeddings._unit(x[i:i + 2])
+        linked[i, i + 1] = linked[i + 1, i] = np.einsum("ij,ij->i", u[:1], u[1:])[0] >= 0.95
+    comp = plain_components(list(range(len(vectors))), [tuple(p) for p in np.argwhere(np.triu(linked)).tolist()])
+    with Shuffled(spark) as shuffled:
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df, tile=60).collect()}
+    assert got == {i: (int(n), k) for i, (n, k) in enumerate(zip(linked.sum(1), comp))}
+    assert shuffled.bytes() < 9 * 2000 * 96 * 8, shuffled.bytes()       # all other blocks' vectors before
