@@ -35,7 +35,7 @@ from vetline.llm import common as c
 
 THRESHOLD = 0.95
 TILE = 1 << 17          # vectors in a block at most
-TILE_BYTES = 24 << 20   # bytes of their components at most (one vector at least)
+TILE_BYTES = 12 << 20   # bytes of their components at most (one vector at least)
 LEAST = 2048            # vectors in a block of a small table
 PIVOT_BYTES = 16 << 20  # bytes of all pivots, about, at most
 JOBS = 12               # over which the pairs of blocks are dealt
@@ -44,7 +44,7 @@ SLACK = 1e-4            # for single precision in the bounds
 PAIRS = 1 << 18         # pairs carried on at once
 PRODUCTS = 1 << 20      # products at once, with pivots
 BOUNDS = 1 << 17        # bounds at once
-TOGETHER = 4            # blocks that one task compares with another, of many
+TOGETHER = 6            # blocks that one task compares with another, of many
 
 Pivots = dict[int, tuple[int, np.ndarray]]      # by dimension: the number of the first cell, and a row for each cell
 
